@@ -16,6 +16,7 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
+from pyspark.errors import AnalysisException  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
@@ -30,7 +31,14 @@ from carelake.plans.batch import Warehouse, table_reader  # noqa: E402
 from carelake.plans.warehouse import JOBS, _DOCTOR_OUT, enrich_doctor_hospital_patient  # noqa: E402
 from carelake.session import work_dir  # noqa: E402
 from carelake.sources.specs import ARRIVAL, ROWKIND, TableSpec  # noqa: E402
-from carelake.streaming.sink import live_view, read_state, upsert  # noqa: E402
+from carelake.session import DEFAULT_CONF  # noqa: E402
+from carelake.sources.changelog import read_changelog  # noqa: E402
+from carelake.sources.specs import ODS_DICT  # noqa: E402
+from carelake.streaming.jobs import start_job, start_table, state_lookup  # noqa: E402
+from carelake.streaming.sink import live_view, read_feed, read_state, upsert  # noqa: E402
+from carelake.streaming.wait import lookup_join_wait  # noqa: E402
+
+ROCKSDB_PROVIDER = DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"]
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 EV_COLS = ["user_id", "ts", "event_id", "event_type", "value", "props"]
@@ -213,6 +221,95 @@ def q_lookup_asof_wait(spark, sf_dir):
                             wait_seconds=_oracle.WAIT_SECONDS)
 
 
+# --------------------------------------------------------------- stream keys
+
+def _land(df: DataFrame, path: str, files: int) -> None:
+    """Write change rows as ``files`` files into a landing folder (append)."""
+    df.repartition(files).write.mode("append").parquet(path)
+
+
+def q_stream_upsert(spark, sf_dir):
+    """W3 as a stream: 4 micro-batches of change-log files into its state table."""
+    t = _t(spark, sf_dir)
+    root = work_dir(spark, "stream_upsert")
+    job = JOBS["dwd_patient_register"]
+    log = standins.ods_patient_log(t)
+    _land(log, f"{root}/landing", 4)
+    upsert(conform(standins.ods_dict(t), ODS_DICT.schema), ODS_DICT, f"{root}/ods_dict")
+    stream = read_changelog(spark, f"{root}/landing", log.schema, stream=True,
+                            max_files_per_trigger=1)
+    q = start_job(job, stream, f"{root}/state", f"{root}/checkpoint",
+                  {"ods_dict": state_lookup(spark, ODS_DICT, f"{root}/ods_dict")},
+                  reject_path=f"{root}/rejects", trigger={"availableNow": True})
+    q.awaitTermination()
+    return live_view(spark, job.spec, f"{root}/state")
+
+
+def q_stream_change_feed(spark, sf_dir):
+    """Change feed written by the upsert stream: morning events, then the rest."""
+    root = work_dir(spark, "stream_change_feed")
+    rows = _events_rows(_ev(spark, sf_dir))
+    morning = F.hour("ts") < 12
+    feed = f"{root}/feed"
+    for phase in (rows.filter(morning), rows.filter(~morning)):
+        _land(phase, f"{root}/landing", 3)
+        stream = read_changelog(spark, f"{root}/landing", rows.schema, stream=True)
+        q = start_table(EVENTS_SPEC, stream, f"{root}/state", f"{root}/checkpoint",
+                        feed_path=feed, trigger={"availableNow": True})
+        q.awaitTermination()
+    changes = read_feed(spark, EVENTS_SPEC, feed)
+    last = changes.agg(F.max("batch_id")).first()[0]
+    return changes.filter(F.col("batch_id") == last).drop("batch_id")
+
+
+def q_stream_lookup_wait(spark, sf_dir, wait_seconds: float = 2.0, deadline_s: float = 120.0):
+    """J6 on a stream: purchases wait up to 2 s for their user's signup row."""
+    import time
+    root = work_dir(spark, "stream_lookup_wait")
+    e = _t(spark, sf_dir)("events")
+    facts = e.filter(F.col("event_type") == "purchase").select(
+        "event_id", "user_id", "ts", "value", F.lit("+I").alias(ROWKIND),
+        F.col("event_id").alias(ARRIVAL))
+    dims = e.filter(F.col("event_type") == "signup").select(
+        "user_id", "event_id", "ts", "value", F.lit("+I").alias(ROWKIND),
+        F.col("event_id").alias(ARRIVAL))
+    _land(facts, f"{root}/facts", 2)
+    _land(dims, f"{root}/dims", 2)
+    n_facts = spark.read.parquet(f"{root}/facts").count()
+    out = lookup_join_wait(
+        read_changelog(spark, f"{root}/facts", facts.schema, stream=True),
+        read_changelog(spark, f"{root}/dims", dims.schema, stream=True),
+        fact_key="user_id", dim_key="user_id", fact_id="event_id",
+        cols={"event_id": "signup_event_id", "ts": "signup_ts", "value": "signup_value"},
+        wait_seconds=wait_seconds)
+    provider_key = "spark.sql.streaming.stateStore.providerClass"
+    previous = spark.conf.get(provider_key, None)
+    spark.conf.set(provider_key, ROCKSDB_PROVIDER)
+    try:
+        q = (out.writeStream.format("parquet").option("path", f"{root}/out")
+             .option("checkpointLocation", f"{root}/checkpoint")
+             .trigger(processingTime="1 second").start())
+    finally:
+        if previous is not None and previous != ROCKSDB_PROVIDER:
+            spark.conf.set(provider_key, previous)
+    try:
+        stop_at = time.time() + deadline_s
+        while time.time() < stop_at:
+            if q.exception() is not None:
+                raise q.exception()
+            try:
+                if spark.read.schema(out.schema).parquet(f"{root}/out").count() >= n_facts:
+                    break
+            except AnalysisException as err:  # the sink folder appears with the first commit
+                if "PATH_NOT_FOUND" not in str(err) and "Path does not exist" not in str(err):
+                    raise
+            time.sleep(1.0)
+    finally:
+        q.stop()
+    return spark.read.schema(out.schema).parquet(f"{root}/out").select(
+        "event_id", "user_id", "ts", "value", "signup_event_id", "signup_ts", "signup_value")
+
+
 def _table_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return Warehouse(_t(spark, sf_dir)).table(name)
@@ -241,6 +338,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_asof": q_lookup_asof,
     "lookup_asof_wait": q_lookup_asof_wait,
     **{name: _table_query(name) for name in JOBS},
+    "stream_upsert": q_stream_upsert,
+    "stream_change_feed": q_stream_change_feed,
+    "stream_lookup_wait": q_stream_lookup_wait,
 }
 
 

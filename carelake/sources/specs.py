@@ -274,3 +274,10 @@ ALL_SPECS = {s.name: s for s in [
     DWD_USER_REGISTER, DWD_DOCTOR_REGISTER, DWD_PATIENT_REGISTER, DWD_PAYMENT,
     DWD_REVIEW, DWD_PRESCRIPTION_DETAIL, DWD_PRESCRIPTION, DWD_CONSULTATION,
 ]}
+
+# The code dictionary is itself a keyed source table, kept in a state table
+# when the jobs run as streams.
+ODS_DICT = TableSpec(name="ods_dict", schema=T.StructType([
+    _f("id", T.IntegerType(), "code"),
+    _f("value", _STR, "text of the code"),
+]), pk=("id",), buckets=1)

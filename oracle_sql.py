@@ -27,6 +27,28 @@ def _live(src: str, keys: str, order: str) -> str:
     return f"SELECT * FROM ({_latest(src, keys, order)}) WHERE rowkind IN ('+I', '+U')"
 
 
+def _diff(before: str, after: str, keys: list[str], cols: list[str]) -> str:
+    """Change feed between two keyed snapshots: +I, -D and -U/+U pairs."""
+    on = " AND ".join(f"b.{k} = a.{k}" for k in keys)
+    kcols = ", ".join(f"coalesce(b.{k}, a.{k}) AS {k}" for k in keys)
+    bcols = ", ".join(f"b.{c} AS b_{c}" for c in cols)
+    acols = ", ".join(f"a.{c} AS a_{c}" for c in cols)
+    changed = " OR ".join(f"b.{c} IS DISTINCT FROM a.{c}" for c in cols)
+    k = ", ".join(keys)
+    bv = ", ".join(f"b_{c} AS {c}" for c in cols)
+    av = ", ".join(f"a_{c} AS {c}" for c in cols)
+    return f"""
+WITH b AS ({before}), a AS ({after}),
+j AS (SELECT {kcols}, b.{keys[0]} IS NOT NULL AS in_b, a.{keys[0]} IS NOT NULL AS in_a, {bcols}, {acols}
+      FROM b FULL OUTER JOIN a ON {on}
+      WHERE b.{keys[0]} IS NULL OR a.{keys[0]} IS NULL OR {changed})
+SELECT '+I' AS rowkind, {k}, {av} FROM j WHERE NOT in_b
+UNION ALL SELECT '-D' AS rowkind, {k}, {bv} FROM j WHERE NOT in_a
+UNION ALL SELECT '-U' AS rowkind, {k}, {bv} FROM j WHERE in_a AND in_b
+UNION ALL SELECT '+U' AS rowkind, {k}, {av} FROM j WHERE in_a AND in_b
+"""
+
+
 EV_ORDER = "ts DESC NULLS LAST, arrival DESC NULLS LAST, event_id DESC, event_type DESC, value DESC, props DESC, rowkind DESC"
 
 DIM_HOSPITAL = """
@@ -253,6 +275,21 @@ SELECT '+U', user_id, a_ts, a_event_id, a_event_type, a_value, a_props FROM j WH
 EV_DT = f"SELECT *, strftime(ts, '%Y-%m-%d') AS dt FROM ({EV})"
 EV_DT_ORDER = "ts DESC NULLS LAST, arrival DESC NULLS LAST"
 
+_EV_DT_LIVE_ALL = _live(EV_DT, "dt, user_id", EV_DT_ORDER)
+_EV_DT_LIVE_AM = _live(f"SELECT * FROM ({EV_DT}) WHERE hour(ts) < 12", "dt, user_id", EV_DT_ORDER)
+_EV_VALUE_COLS = ["ts", "event_id", "event_type", "value", "props"]
+
+STREAM_CHANGE_FEED = _diff(f"SELECT dt, {EV_COLS} FROM ({_EV_DT_LIVE_AM})",
+                           f"SELECT dt, {EV_COLS} FROM ({_EV_DT_LIVE_ALL})",
+                           ["dt", "user_id"], _EV_VALUE_COLS)
+
+STREAM_LOOKUP_WAIT = f"""
+SELECT p.event_id, p.user_id, p.ts, p.value, s.event_id AS signup_event_id, s.ts AS signup_ts,
+       s.value AS signup_value
+FROM ({PURCHASES}) p
+LEFT JOIN ({_latest(SIGNUPS, 'user_id', 'event_id DESC')}) s ON p.user_id = s.user_id
+"""
+
 ORACLE: dict[str, str] = {
     "conform_cast": """
         SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_size AS SMALLINT) AS size_small,
@@ -313,4 +350,7 @@ ORACLE: dict[str, str] = {
     "dwd_prescription_detail": PRESCRIPTION_DETAIL,
     "dwd_prescription": PRESCRIPTION,
     "dwd_consultation": CONSULTATION,
+    "stream_upsert": PATIENT_REGISTER,
+    "stream_change_feed": STREAM_CHANGE_FEED,
+    "stream_lookup_wait": STREAM_LOOKUP_WAIT,
 }
