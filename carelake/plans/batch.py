@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.operators.changelog import materialize
@@ -20,10 +21,20 @@ class Warehouse:
 
     Lookup views are the live rows of the source (``ods_dict``) or of
     another target table (``dim_*``), built from the same tables.
+
+    Each lookup view is materialized once (persisted and counted) before it
+    is joined: it is then computed once however many lookups use it, and
+    the planner sees its real size, so it is broadcast only when it is
+    under ``spark.sql.autoBroadcastJoinThreshold`` and joined by a shuffle
+    otherwise. (A view derived through joins and aggregates otherwise gets
+    a static estimate far above its size, and the fact side would be
+    shuffled for a tiny dimension.) Lost cache blocks are recomputed from
+    the sources.
     """
 
-    def __init__(self, tables):
+    def __init__(self, tables, *, materialize_views: bool = True):
         self.tables = tables
+        self.materialize_views = materialize_views
         self._views: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
@@ -31,12 +42,19 @@ class Warehouse:
 
     def view(self, name: str) -> DataFrame:
         if name not in self._views:
-            if name in JOBS:
-                self._views[name] = self.table(name)
-            else:
-                self._views[name] = materialize(self.source(name), ["id"])
+            view = self.table(name) if name in JOBS else materialize(self.source(name), ["id"])
+            if self.materialize_views:
+                view = view.persist(StorageLevel.MEMORY_AND_DISK)
+                view.count()
+            self._views[name] = view
         return self._views[name]
 
+    def release(self) -> None:
+        """Drop the materialized lookup views."""
+        for view in self._views.values():
+            view.unpersist()
+        self._views.clear()
+
     def table(self, name: str) -> DataFrame:
         job = JOBS[name]
         return build(job, self.source(job.source), {n: self.view(n) for n in job.lookups})
