@@ -41,7 +41,7 @@ _RETRACT = ("-U", "-D")
 
 
 def _py(v):
-    """pandas cell -> plain Python value for the state store (NaN/NaT -> None)."""
+    """pandas cell -> plain Python value (NaN/NaT -> None)."""
     if v is None:
         return None
     try:
@@ -56,6 +56,27 @@ def _py(v):
     return v
 
 
+_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+_FRACTIONAL = (T.DoubleType, T.FloatType)
+
+
+def _converter(dtype: T.DataType):
+    """Cell converter to the Python type the state store expects for ``dtype``.
+
+    A pandas column of a group that mixes fact and dimension rows holds
+    NULLs, so integral columns arrive as floats; they are cast back here.
+    """
+    if isinstance(dtype, _INTEGRAL):
+        return lambda v: None if (v := _py(v)) is None else int(v)
+    if isinstance(dtype, _FRACTIONAL):
+        return lambda v: None if (v := _py(v)) is None else float(v)
+    if isinstance(dtype, T.BooleanType):
+        return lambda v: None if (v := _py(v)) is None else bool(v)
+    if isinstance(dtype, T.StringType):
+        return lambda v: None if (v := _py(v)) is None else str(v)
+    return _py
+
+
 class _WaitProcessor(StatefulProcessor):
     def __init__(self, fact_fields: Sequence[T.StructField], dim_fields: Sequence[T.StructField],
                  fact_id: str, wait_ms: int):
@@ -65,6 +86,8 @@ class _WaitProcessor(StatefulProcessor):
         self.dim_cols = [f.name for f in dim_fields]
         self.fact_id = fact_id
         self.wait_ms = int(wait_ms)
+        self.fact_conv = [_converter(f.dataType) for f in self.fact_fields]
+        self.dim_conv = [_converter(f.dataType) for f in self.dim_fields]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -90,10 +113,10 @@ class _WaitProcessor(StatefulProcessor):
         dims = pdf[pdf[_TAG] == 0].sort_values(ARRIVAL, kind="stable")
         dim_view = dims[[ROWKIND, ARRIVAL] + [f"d_{c}" for c in self.dim_cols]]
         for kind, arrival, *values in dim_view.itertuples(index=False, name=None):
-            arrival = _py(arrival)
+            arrival = None if (arrival := _py(arrival)) is None else int(arrival)
             if state is not None and state[1] is not None and arrival is not None and arrival < state[1]:
                 continue  # an older version never overwrites a newer one
-            state = (kind not in _RETRACT, arrival, *[_py(v) for v in values])
+            state = (kind not in _RETRACT, arrival, *[c(v) for c, v in zip(self.dim_conv, values)])
         if len(dims):
             self.dim.update(state)
         attrs = tuple(state[2:]) if state is not None and state[0] else None
@@ -111,7 +134,7 @@ class _WaitProcessor(StatefulProcessor):
         id_pos = self.fact_cols.index(self.fact_id)
         emit_now, emit_plain = [], []
         for kind, *raw in fact_view.itertuples(index=False, name=None):
-            values = tuple(_py(v) for v in raw)
+            values = tuple(c(v) for c, v in zip(self.fact_conv, raw))
             fid = (values[id_pos],)
             if kind in _RETRACT:
                 if self.pending.exists() and self.pending.containsKey(fid):
