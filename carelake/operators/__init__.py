@@ -2,7 +2,9 @@
 
 from carelake.operators.changelog import (filter_changelog, inserts_only, latest_by_key,
                                           materialize, merge_state, snapshot_diff)
-from carelake.operators.lookup import decode_codes, lookup_join, lookup_join_asof
+from carelake.operators.lookup import (assert_unique_key, decode_codes, duplicate_keys,
+                                       lookup_join, lookup_join_asof)
 
 __all__ = ["filter_changelog", "inserts_only", "latest_by_key", "materialize", "merge_state",
-           "snapshot_diff", "decode_codes", "lookup_join", "lookup_join_asof"]
+           "snapshot_diff", "assert_unique_key", "decode_codes", "duplicate_keys", "lookup_join",
+           "lookup_join_asof"]

@@ -128,3 +128,21 @@ def lookup_join_asof(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_ke
     j = j.withColumn("__hit", hit)
     return j.select(*[F.col("__f")[c].alias(c) for c in fact_cols],
                     *[F.col("__hit")[o].alias(o) for o in mapping.values()])
+
+
+def duplicate_keys(dim: DataFrame, keys: Sequence[str] | str = "id") -> DataFrame:
+    """Keys that occur more than once in ``dim`` with their counts (S3 check)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return dim.groupBy(*[_q(k) for k in keys]).count().filter(F.col("count") > 1)
+
+
+def assert_unique_key(dim: DataFrame, keys: Sequence[str] | str = "id") -> DataFrame:
+    """Raise if a lookup side repeats a key (a lookup would then repeat facts).
+
+    One distributed aggregation; only the first offending key reaches the
+    driver. Returns ``dim`` for chaining.
+    """
+    dup = duplicate_keys(dim, keys).limit(1).collect()
+    if dup:
+        raise ValueError(f"lookup key not unique: {dup[0].asDict()}")
+    return dim

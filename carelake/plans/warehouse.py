@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from carelake.functions.conform import conform, split_rejects
-from carelake.functions.timeparts import day_of, hour_of, minute_of
+from carelake.functions.timeparts import day_of, hour_of, minute_of, proc_time
 from carelake.operators.changelog import filter_changelog, inserts_only, materialize
 from carelake.operators.lookup import decode_codes, lookup_join
 from carelake.sources import specs as S
@@ -264,6 +264,13 @@ JOBS: dict[str, Job] = {j.name: j for j in [
 ]}
 
 
+def doctor_insert_preview(ods_doctor_log: DataFrame) -> DataFrame:
+    """Insert events of the doctors' audit log with their processing time."""
+    ins = inserts_only(ods_doctor_log)
+    return ins.select("id", "create_time", "update_time", "birthday", "consultation_fee", "gender",
+                      "name", "specialty", "title", "hospital_id", proc_time().alias("proc_time"))
+
+
 def keyed_rows(job: Job, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``prepare`` plus the NULL-key split (R15): returns ``(rows, rejects)``."""
     rows = job.prepare(source)

@@ -87,6 +87,14 @@ def start_job(job: Job, source: DataFrame, state_path: str, checkpoint: str,
     return writer.start()
 
 
+def start_console(df: DataFrame, *, trigger: Mapping[str, object] | None = None,
+                  num_rows: int = 20) -> StreamingQuery:
+    """Print a stream's rows as they arrive (S11): the ad-hoc preview sink."""
+    return (df.writeStream.format("console").option("truncate", "false")
+            .option("numRows", num_rows).outputMode("append")
+            .trigger(**(trigger or {"processingTime": COMMIT_INTERVAL})).start())
+
+
 def start_table(spec: TableSpec, source: DataFrame, state_path: str, checkpoint: str, *,
                 feed_path: str | None = None, trigger: Mapping[str, object] | None = None
                 ) -> StreamingQuery:

@@ -13,6 +13,12 @@ into one flat, tagged stream, grouped by the join key and processed by a
   with its arrival; an older arrival never overwrites a newer one.
 * ``MapState`` ``pending``: fact id -> fact columns and its deadline.
 
+Skew: one key (a busy doctor) may carry a large share of the facts, so the
+state is keyed by ``(key, salt)`` with ``salt = hash(fact id) mod n``; each
+dimension change is copied to the ``n`` salts of its key. A fact and its
+retraction share a salt. State grows by ``n`` copies of each dimension row,
+which is small next to the facts.
+
 Inside one batch a key's dimension changes are applied before its facts.
 A fact retraction (``-U``/``-D``) cancels a pending fact of the same id and
 is passed on without attributes (only its key matters downstream). Facts
@@ -36,7 +42,7 @@ from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, Stateful
 from carelake.sources.specs import ARRIVAL, ROWKIND
 
 # plain names: Arrow batches rename columns that start with "__"
-_TAG, _KEY = "lk_tag", "lk_key"
+_TAG, _KEY, _SALT = "lk_tag", "lk_key", "lk_salt"
 _RETRACT = ("-U", "-D")
 
 
@@ -169,13 +175,15 @@ class _WaitProcessor(StatefulProcessor):
 
 
 def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_key: str,
-                     fact_id: str, cols: Mapping[str, str], wait_seconds: float = 300) -> DataFrame:
+                     fact_id: str, cols: Mapping[str, str], wait_seconds: float = 300,
+                     salts: int = 8) -> DataFrame:
     """Streaming left lookup of ``dims`` attributes onto ``facts`` with a bounded wait.
 
     ``facts`` and ``dims`` are streaming change logs (``rowkind``,
     ``arrival``); ``fact_id`` identifies a fact (its primary key). ``cols``
     maps dimension column -> output column. Output: the fact's data columns
     (with ``rowkind`` and ``arrival`` when present) plus the mapped columns.
+    ``salts`` splits each key's facts over that many state groups.
     """
     fact_cols = [c for c in facts.columns]
     fact_fields = [facts.schema[c] for c in fact_cols]
@@ -188,11 +196,14 @@ def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_ke
     def null(dtype):
         return F.lit(None).cast(dtype)
 
-    f_sel = [F.col(fact_key).cast(key_type).alias(_KEY), F.lit(1).alias(_TAG),
+    n_salts = max(int(salts), 1)
+    fact_salt = F.pmod(F.xxhash64(F.col(fact_id)), F.lit(n_salts)).cast("int")
+    dim_salt = F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1)))
+    f_sel = [F.col(fact_key).cast(key_type).alias(_KEY), fact_salt.alias(_SALT), F.lit(1).alias(_TAG),
              F.col(ROWKIND).alias(ROWKIND), F.col(ARRIVAL).alias(ARRIVAL),
              *[F.col(c).alias(f"f_{c}") for c in fact_cols],
              *[null(f.dataType).alias(f"d_{f.name}") for f in dim_fields]]
-    d_sel = [F.col(dim_key).cast(key_type).alias(_KEY), F.lit(0).alias(_TAG),
+    d_sel = [F.col(dim_key).cast(key_type).alias(_KEY), dim_salt.alias(_SALT), F.lit(0).alias(_TAG),
              F.col(ROWKIND).alias(ROWKIND), F.col(ARRIVAL).alias(ARRIVAL),
              *[null(f.dataType).alias(f"f_{f.name}") for f in fact_fields],
              *[F.col(c).alias(f"d_{o}") for c, o in cols.items()]]
@@ -201,7 +212,7 @@ def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_ke
 
     out_schema = T.StructType([*fact_fields, *dim_fields])
     processor = _WaitProcessor(fact_fields, dim_fields, fact_id, int(wait_seconds * 1000))
-    matched = tagged.groupBy(_KEY).transformWithStateInPandas(
+    matched = tagged.groupBy(_KEY, _SALT).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out_schema,
         outputMode="Append", timeMode="ProcessingTime")
     # NULL keys never match: they skip the state and come out with NULL attributes
