@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from carelake.plans.warehouse import Job, keyed_rows
 from carelake.sources.specs import TableSpec
-from carelake.streaming.sink import live_view, upsert
+from carelake.streaming.sink import live_view, retry_on_missing_files, upsert
 
 # The commit cadence of the jobs and of the change feed.
 COMMIT_INTERVAL = "20 seconds"
@@ -49,9 +49,15 @@ def batch_writer(job: Job, state_path: str, lookups: Mapping[str, LookupReader],
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows, rejects = keyed_rows(job, batch)
-            views = {name: lookups[name]() for name in job.lookups}
-            upsert(job.enrich(rows, **views), job.spec, state_path,
-                   feed_path=feed_path, batch_id=batch_id)
+
+            def apply() -> None:
+                # lookups are re-read on every attempt: a dimension table being
+                # rewritten by its own job may have replaced the files listed before
+                views = {name: lookups[name]() for name in job.lookups}
+                upsert(job.enrich(rows, **views), job.spec, state_path,
+                       feed_path=feed_path, batch_id=batch_id)
+
+            retry_on_missing_files(apply)
             if reject_path is not None:
                 (rejects.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
                         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

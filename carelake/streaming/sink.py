@@ -117,6 +117,33 @@ def upsert(rows: DataFrame, spec: TableSpec, path: str, *, feed_path: str | None
         rows.unpersist()
 
 
+_MISSING_FILE_MARKS = ("FileNotFoundException", "FAILED_READ_FILE", "does not exist",
+                       "No such file")
+
+
+def is_missing_file_error(err: BaseException) -> bool:
+    """True when a read failed because a concurrent overwrite replaced its files."""
+    text = f"{type(err).__name__}: {err}"
+    return any(mark in text for mark in _MISSING_FILE_MARKS)
+
+
+def retry_on_missing_files(fn, attempts: int = 4, pause_s: float = 1.0):
+    """Run ``fn()``; on a missing-file read error run it again (with fresh reads).
+
+    A state table is replaced partition by partition while readers may be
+    listing it; re-running the read sees the committed files. ``fn`` must
+    be idempotent (all upserts are).
+    """
+    import time
+    for attempt in range(attempts):
+        try:
+            return fn()
+        except Exception as err:  # noqa: BLE001 - only missing-file errors are retried
+            if attempt == attempts - 1 or not is_missing_file_error(err):
+                raise
+            time.sleep(pause_s * (attempt + 1))
+
+
 def read_feed(spark: SparkSession, spec: TableSpec, feed_path: str) -> DataFrame:
     """The change feed of a table: ``rowkind``, the target columns, ``batch_id``."""
     schema = T.StructType([T.StructField(ROWKIND, T.StringType())] + list(spec.schema.fields)

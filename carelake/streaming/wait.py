@@ -44,6 +44,7 @@ from carelake.sources.specs import ARRIVAL, ROWKIND
 # plain names: Arrow batches rename columns that start with "__"
 _TAG, _KEY, _SALT = "lk_tag", "lk_key", "lk_salt"
 _RETRACT = ("-U", "-D")
+_KIND_RANK = {"-U": 0, "+I": 1, "+U": 1, "-D": 2}
 
 
 def _py(v):
@@ -116,7 +117,10 @@ class _WaitProcessor(StatefulProcessor):
         out: list[pd.DataFrame] = []
 
         state = self.dim.get() if self.dim.exists() else None
-        dims = pdf[pdf[_TAG] == 0].sort_values(ARRIVAL, kind="stable")
+        dims = pdf[pdf[_TAG] == 0]
+        # equal arrivals (a change feed's -U/+U pair of one batch): before-image first
+        rank = dims[ROWKIND].map(_KIND_RANK).fillna(1)
+        dims = dims.assign(lk_rank=rank).sort_values([ARRIVAL, "lk_rank"], kind="stable")
         dim_view = dims[[ROWKIND, ARRIVAL] + [f"d_{c}" for c in self.dim_cols]]
         for kind, arrival, *values in dim_view.itertuples(index=False, name=None):
             arrival = None if (arrival := _py(arrival)) is None else int(arrival)

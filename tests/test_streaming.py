@@ -14,6 +14,7 @@ from carelake.plans.warehouse import JOBS, build
 from carelake.sources.changelog import read_changelog
 from carelake.sources.specs import DIM_MEDICINE, ODS_DICT
 from carelake.streaming import live_view, read_state, start_job, state_lookup, upsert
+from carelake.streaming.sink import retry_on_missing_files
 from carelake.streaming.wait import lookup_join_wait
 from carelake.functions.conform import conform
 from conftest import SF_SMALL
@@ -167,3 +168,42 @@ def test_wait_hit_late_arrival_timeout_and_cancel(spark, tmp_dir):
     # 100: filled after its dimension arrived; 101: NULL key, never waits;
     # 102: timed out with NULLs; 103: only its retraction comes out
     assert got == [(100, "+I", "Ann"), (101, "+I", None), (102, "+I", None), (103, "-D", None)]
+
+
+def test_wide_fact_with_waiting_lookups_equals_batch(spark, tmp_dir):
+    """W8 through three chained waiting stages; every dimension row is present,
+    so hits come out at once and misses after the wait, as the batch result."""
+    from carelake.streaming.chain import feed_as_changes, start_waiting_job
+    from carelake.sources.specs import DIM_DOCTOR, DIM_HOSPITAL, DIM_PATIENT
+    t = table_reader(spark, SF_SMALL)
+    wh = Warehouse(t)
+    changes = {}
+    for spec in (DIM_DOCTOR, DIM_HOSPITAL, DIM_PATIENT):
+        path = f"{tmp_dir}/{spec.name}_feed"
+        (wh.view(spec.name).withColumn("rowkind", F.lit("+I")).withColumn("batch_id", F.lit(0).cast("long"))
+           .write.partitionBy("batch_id").parquet(path))
+        schema = spark.read.parquet(path).schema
+        changes[spec.name] = feed_as_changes(spark.readStream.schema(schema).parquet(path))
+    job = JOBS["dwd_consultation"]
+    log = standins.ods_consultation(t)
+    log.write.parquet(f"{tmp_dir}/landing")
+    source = read_changelog(spark, f"{tmp_dir}/landing", log.schema, stream=True)
+    want = sorted(tuple(r) for r in wh.table(job.name).collect())
+    queries = start_waiting_job(spark, job, source, changes, f"{tmp_dir}/w8", wait_seconds=3,
+                                trigger={"processingTime": "1 second"})
+    try:
+        end = time.time() + 150
+        while time.time() < end:
+            for q in queries:
+                if q.exception() is not None:
+                    raise q.exception()
+            n = retry_on_missing_files(
+                lambda: live_view(spark, job.spec, f"{tmp_dir}/w8/state").count())
+            if n >= len(want):
+                break
+            time.sleep(2)
+    finally:
+        for q in queries:
+            q.stop()
+    got = sorted(tuple(r) for r in live_view(spark, job.spec, f"{tmp_dir}/w8/state").collect())
+    assert got == want
