@@ -28,7 +28,7 @@ from carelake.operators import (decode_codes, filter_changelog, inserts_only,  #
                                 merge_state, snapshot_diff)
 from carelake.plans import standins  # noqa: E402
 from carelake.plans.batch import Warehouse, table_reader  # noqa: E402
-from carelake.plans.warehouse import JOBS, _DOCTOR_OUT, enrich_doctor_hospital_patient  # noqa: E402
+from carelake.plans.warehouse import JOBS, WIDE_LOOKUP_COLUMNS, enrich_doctor_hospital_patient  # noqa: E402
 from carelake.session import work_dir  # noqa: E402
 from carelake.sources.specs import ARRIVAL, ROWKIND, TableSpec  # noqa: E402
 from carelake.session import DEFAULT_CONF  # noqa: E402
@@ -194,7 +194,7 @@ def q_lookup_chain(spark, sf_dir):
     rows = materialize(job.prepare(wh.source(job.source)), job.spec.pk, job.spec.order)
     out = enrich_doctor_hospital_patient(rows, wh.view("dim_doctor"), wh.view("dim_hospital"),
                                          wh.view("dim_patient"))
-    return out.select("id", *_DOCTOR_OUT)
+    return out.select("id", *WIDE_LOOKUP_COLUMNS)
 
 
 def _purchases_signups(spark, sf_dir):
@@ -262,7 +262,7 @@ def q_stream_change_feed(spark, sf_dir):
     return changes.filter(F.col("batch_id") == last).drop("batch_id")
 
 
-def q_stream_lookup_wait(spark, sf_dir, wait_seconds: float = 2.0, deadline_s: float = 120.0):
+def q_stream_lookup_wait(spark, sf_dir, wait_seconds: float = 2.0, deadline_s: float = 300.0):
     """J6 on a stream: purchases wait up to 2 s for their user's signup row."""
     import time
     root = work_dir(spark, "stream_lookup_wait")
@@ -282,16 +282,22 @@ def q_stream_lookup_wait(spark, sf_dir, wait_seconds: float = 2.0, deadline_s: f
         fact_key="user_id", dim_key="user_id", fact_id="event_id",
         cols={"event_id": "signup_event_id", "ts": "signup_ts", "value": "signup_value"},
         wait_seconds=wait_seconds)
-    provider_key = "spark.sql.streaming.stateStore.providerClass"
-    previous = spark.conf.get(provider_key, None)
-    spark.conf.set(provider_key, ROCKSDB_PROVIDER)
+    # The state store provider and the number of state partitions are fixed
+    # when a stateful query first starts: use RocksDB and one partition per
+    # core, then restore the session's settings.
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+                "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
+    previous = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         q = (out.writeStream.format("parquet").option("path", f"{root}/out")
              .option("checkpointLocation", f"{root}/checkpoint")
              .trigger(processingTime="1 second").start())
     finally:
-        if previous is not None and previous != ROCKSDB_PROVIDER:
-            spark.conf.set(provider_key, previous)
+        for k, v in previous.items():
+            if v is not None:
+                spark.conf.set(k, v)
     try:
         stop_at = time.time() + deadline_s
         while time.time() < stop_at:

@@ -180,28 +180,28 @@ def _enrich_detail(rows: DataFrame, dim_medicine: DataFrame) -> DataFrame:
 
 
 # doctor attributes copied under a prefix (J3); ``gender`` holds the name
-_DOCTOR_ATTRS = {"name": "doctor_name", "birthday": "doctor_birthday",
+DOCTOR_ATTRS = {"name": "doctor_name", "birthday": "doctor_birthday",
                  "gender_code": "doctor_gender_code", "gender": "doctor_gender_name",
                  "specialty_code": "doctor_specialty_code", "specialty_name": "doctor_specialty_name",
                  "title_code": "doctor_title_code", "title_name": "doctor_title_name",
                  "hospital_id": "hospital_id"}
-_HOSPITAL_ATTRS = {"name": "hospital_name", "establish_time": "hospital_establish_time",
+HOSPITAL_ATTRS = {"name": "hospital_name", "establish_time": "hospital_establish_time",
                    "level": "hospital_level", "province": "hospital_province",
                    "city": "hospital_city", "district": "hospital_district"}
-_PATIENT_ATTRS = {"name": "patient_name", "birthday": "patient_birthday",
+PATIENT_ATTRS = {"name": "patient_name", "birthday": "patient_birthday",
                   "gender_code": "patient_gender_code", "gender_name": "patient_gender_name"}
 
 
 def enrich_doctor_hospital_patient(rows: DataFrame, dim_doctor: DataFrame,
                                    dim_hospital: DataFrame, dim_patient: DataFrame) -> DataFrame:
     """Doctor lookup, then hospital by the doctor's hospital (J4) and patient."""
-    d = lookup_join(rows, dim_doctor, "doctor_id", cols=_DOCTOR_ATTRS)
-    d = lookup_join(d, dim_hospital, "hospital_id", cols=_HOSPITAL_ATTRS)
-    return lookup_join(d, dim_patient, "patient_id", cols=_PATIENT_ATTRS)
+    d = lookup_join(rows, dim_doctor, "doctor_id", cols=DOCTOR_ATTRS)
+    d = lookup_join(d, dim_hospital, "hospital_id", cols=HOSPITAL_ATTRS)
+    return lookup_join(d, dim_patient, "patient_id", cols=PATIENT_ATTRS)
 
 
-_DOCTOR_OUT = ["doctor_id", *_DOCTOR_ATTRS.values(), *_HOSPITAL_ATTRS.values(), "patient_id",
-               *_PATIENT_ATTRS.values()]
+WIDE_LOOKUP_COLUMNS = ["doctor_id", *DOCTOR_ATTRS.values(), *HOSPITAL_ATTRS.values(), "patient_id",
+               *PATIENT_ATTRS.values()]
 
 
 def _prep_prescription(src: DataFrame) -> DataFrame:
@@ -216,7 +216,7 @@ def _enrich_prescription(rows: DataFrame, dim_doctor: DataFrame, dim_hospital: D
                          dim_patient: DataFrame) -> DataFrame:
     d = enrich_doctor_hospital_patient(rows, dim_doctor, dim_hospital, dim_patient)
     d = d.select("id", "create_time", "update_time", "instruction", "status", "total_amount",
-                 "consultation_id", *_DOCTOR_OUT, "dt", "hour", "minute", *_meta(d))
+                 "consultation_id", *WIDE_LOOKUP_COLUMNS, "dt", "hour", "minute", *_meta(d))
     return conform(d, S.DWD_PRESCRIPTION.schema)
 
 
@@ -234,7 +234,7 @@ def _enrich_consultation(rows: DataFrame, dim_doctor: DataFrame, dim_hospital: D
                          dim_patient: DataFrame) -> DataFrame:
     d = enrich_doctor_hospital_patient(rows, dim_doctor, dim_hospital, dim_patient)
     d = d.select("id", "create_time", "update_time", "consultation_fee", "description", "diagnosis",
-                 "rating", "review", "status", *_DOCTOR_OUT, "user_id", "dt", "hour", "minute",
+                 "rating", "review", "status", *WIDE_LOOKUP_COLUMNS, "user_id", "dt", "hour", "minute",
                  *_meta(d))
     return conform(d, S.DWD_CONSULTATION.schema)
 

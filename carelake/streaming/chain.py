@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.functions.conform import conform, split_rejects
-from carelake.plans.warehouse import (_DOCTOR_ATTRS, _DOCTOR_OUT, _HOSPITAL_ATTRS, _PATIENT_ATTRS,
+from carelake.plans.warehouse import (DOCTOR_ATTRS, WIDE_LOOKUP_COLUMNS, HOSPITAL_ATTRS, PATIENT_ATTRS,
                                       Job)
 from carelake.sources.specs import ARRIVAL, ROWKIND
 from carelake.streaming.sink import retry_on_missing_files, upsert
@@ -64,27 +64,27 @@ def start_waiting_job(spark: SparkSession, job: Job, source: DataFrame,
     rows, _ = split_rejects(job.prepare(source), job.spec.pk)
     rows = rows.withColumn(_FACT_UID, F.concat_ws("/", "dt", "id"))
 
-    s1 = _stage(rows, dim_changes["dim_doctor"], "doctor_id", _DOCTOR_ATTRS, wait_seconds, salts)
+    s1 = _stage(rows, dim_changes["dim_doctor"], "doctor_id", DOCTOR_ATTRS, wait_seconds, salts)
     q1 = (s1.writeStream.format("parquet").option("path", f"{root}/stage_doctor")
           .option("checkpointLocation", f"{root}/checkpoint_doctor").trigger(**trig).start())
 
     s2_in = spark.readStream.schema(s1.schema).parquet(f"{root}/stage_doctor")
-    s2 = _stage(s2_in, dim_changes["dim_hospital"], "hospital_id", _HOSPITAL_ATTRS,
+    s2 = _stage(s2_in, dim_changes["dim_hospital"], "hospital_id", HOSPITAL_ATTRS,
                 wait_seconds, salts)
     q2 = (s2.writeStream.format("parquet").option("path", f"{root}/stage_hospital")
           .option("checkpointLocation", f"{root}/checkpoint_hospital").trigger(**trig).start())
 
     s3_in = spark.readStream.schema(s2.schema).parquet(f"{root}/stage_hospital")
-    s3 = _stage(s3_in, dim_changes["dim_patient"], "patient_id", _PATIENT_ATTRS,
+    s3 = _stage(s3_in, dim_changes["dim_patient"], "patient_id", PATIENT_ATTRS,
                 wait_seconds, salts)
     lead = [c for c in s1.columns if c not in (_FACT_UID, ROWKIND, ARRIVAL)
-            and c not in _DOCTOR_ATTRS.values()]
+            and c not in DOCTOR_ATTRS.values()]
     # the target's column order: the fact's own columns around the lookup block
     head = [c for c in lead if c not in ("doctor_id", "patient_id", "user_id", "dt", "hour", "minute")]
     tail = (["user_id"] if "user_id" in lead else []) + ["dt", "hour", "minute"]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.select(*head, *_DOCTOR_OUT, *tail, ROWKIND, ARRIVAL)
+        out = batch.select(*head, *WIDE_LOOKUP_COLUMNS, *tail, ROWKIND, ARRIVAL)
         retry_on_missing_files(lambda: upsert(conform(out, job.spec.schema), job.spec,
                                               f"{root}/state", batch_id=batch_id))
 

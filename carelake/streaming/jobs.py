@@ -58,7 +58,9 @@ def batch_writer(job: Job, state_path: str, lookups: Mapping[str, LookupReader],
                        feed_path=feed_path, batch_id=batch_id)
 
             retry_on_missing_files(apply)
-            if reject_path is not None:
+            # rejects are rare: a cheap emptiness check on the cached batch
+            # saves a write and its commit on almost every batch
+            if reject_path is not None and not rejects.isEmpty():
                 (rejects.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
                         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                         .partitionBy("batch_id").parquet(reject_path))

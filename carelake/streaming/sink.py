@@ -108,7 +108,11 @@ def upsert(rows: DataFrame, spec: TableSpec, path: str, *, feed_path: str | None
                 "batch_id", F.lit(int(batch_id or 0)).cast("long"))
             (feed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(feed_path))
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # one shuffle by key merges; REBALANCE then groups rows by directory, so a
+        # partition gets a few files of the advisory size instead of one per task,
+        # and AQE splits a partition that holds a large share of the batch
+        (merged.hint("rebalance", *spec.layout)
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(*spec.layout).parquet(path))
         if feed_path is not None:
             merged.unpersist()

@@ -89,9 +89,17 @@ def compare(spark, sf_dir: str, keys=None, verbose=True) -> dict[str, tuple[bool
 
 if __name__ == "__main__":
     from carelake.session import build_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:] or None
-    spark = build_session("local[8]", shuffle_partitions=8)
+    args = sys.argv[1:]
+    vanilla = "--vanilla" in args           # a session with Spark's defaults only
+    args = [a for a in args if a != "--vanilla"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:] or None
+    if vanilla:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .getOrCreate())
+    else:
+        spark = build_session("local[8]", shuffle_partitions=8)
     res = compare(spark, sf, keys)
     bad = [k for k, (ok, _) in res.items() if not ok]
     print(f"{len(res) - len(bad)}/{len(res)} match", "bad:", bad)
