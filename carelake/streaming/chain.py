@@ -1,30 +1,46 @@
 """Wide facts with bounded waits on their lookups (W7, W8 as streams).
 
 The consultation and prescription jobs wait up to 300 s for a missing
-doctor, hospital or patient row before giving NULLs. Each wait is a
-stateful stage of its own, joined by append-only intermediate folders, so
-state, checkpoints and waiting times stay independent:
-
-1. prepared facts  -> wait for the doctor   -> ``stage_doctor`` folder
-2. ``stage_doctor`` -> wait for the hospital (by the doctor's hospital)
-                                             -> ``stage_hospital`` folder
-3. ``stage_hospital`` -> wait for the patient -> conform -> upsert
-
-The dimension inputs are change streams of the dimension tables, e.g. the
-change feeds their own upsert jobs write (``rowkind`` + columns +
-``batch_id``, which orders the changes).
+doctor, hospital or patient row before giving NULLs. Each wait is a stage
+of its own, joined to the next by append-only folders, so state,
+checkpoints and waiting times stay independent:
+
+1. prepared facts  -> doctor   -> ``doctor_*`` folders
+2. doctor output   -> hospital (by the doctor's hospital) -> ``hospital_*`` folders
+3. hospital output -> patient  -> conform -> upsert
+
+A stage works in two steps (``start_wait_stage``):
+
+A. ``foreachBatch``: a plain lookup against the dimension's current state
+   (re-read per batch). Hits, NULL keys and retractions go straight to the
+   ``hits`` folder; only misses go to the ``misses`` folder.
+B. the stateful bounded wait (``lookup_join_wait``) over the misses and the
+   dimension's change stream, into the ``waited`` folder.
+
+So the Python state sees only the facts whose dimension row is late; a busy
+key whose row exists is resolved by a set-based join (broadcast or
+shuffled, AQE splitting skew) and never reaches the state. The dimension
+change stream still feeds step B, so a row that lands between the read in
+step A and the miss reaching step B is not missed. The dimension inputs are
+change streams of the dimension tables, e.g. the change feeds their own
+upsert jobs write (``rowkind`` + columns + ``batch_id``).
+
+Batches can be replayed after a failure; a replay may repeat a fact
+downstream, which the final keyed upsert absorbs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.functions.conform import conform, split_rejects
-from carelake.plans.warehouse import (DOCTOR_ATTRS, WIDE_LOOKUP_COLUMNS, HOSPITAL_ATTRS, PATIENT_ATTRS,
-                                      Job)
+from carelake.plans.warehouse import (DOCTOR_ATTRS, HOSPITAL_ATTRS, PATIENT_ATTRS,
+                                      WIDE_LOOKUP_COLUMNS, Job)
 from carelake.sources.specs import ARRIVAL, ROWKIND
 from carelake.streaming.sink import retry_on_missing_files, upsert
 from carelake.streaming.wait import lookup_join_wait
@@ -34,6 +50,7 @@ RETRY_STEP = "10 seconds"
 WAIT_SECONDS = 10 * 30
 
 _FACT_UID = "fact_uid"
+_FOUND = "lk_found"
 
 
 def feed_as_changes(feed: DataFrame) -> DataFrame:
@@ -41,44 +58,108 @@ def feed_as_changes(feed: DataFrame) -> DataFrame:
     return feed.withColumn(ARRIVAL, F.col("batch_id").cast("long")).drop("batch_id")
 
 
-def _stage(facts: DataFrame, dims: DataFrame, on: str, attrs: Mapping[str, str],
-           wait_seconds: float, salts: int) -> DataFrame:
-    wanted = {c: o for c, o in attrs.items()}
-    d = dims.select("id", *wanted.keys(), ROWKIND, ARRIVAL)
-    return lookup_join_wait(facts, d, fact_key=on, dim_key="id", fact_id=_FACT_UID, cols=wanted,
-                            wait_seconds=wait_seconds, salts=salts)
+def _ensure_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Create an empty typed folder so a streaming reader can start on it."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+
+
+def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch_id").parquet(path))
+
+
+def start_wait_stage(spark: SparkSession, facts: DataFrame, dim_changes: DataFrame, *,
+                     on: str, attrs: Mapping[str, str], root: str, name: str,
+                     dim_state: Callable[[], DataFrame] | None = None,
+                     wait_seconds: float = WAIT_SECONDS, salts: int = 8,
+                     trigger: Mapping[str, object] | None = None
+                     ) -> tuple[list[StreamingQuery], DataFrame]:
+    """One waiting lookup of ``attrs`` by ``facts[on] == dim.id``.
+
+    Returns the started queries and the stage's output stream (the facts
+    with the attribute columns). Without ``dim_state`` every fact goes
+    through the stateful wait.
+    """
+    trig = dict(trigger or {"processingTime": RETRY_STEP})
+    changes = dim_changes.select("id", *attrs.keys(), ROWKIND, ARRIVAL)
+    attr_fields = [T.StructField(o, changes.schema[c].dataType) for c, o in attrs.items()]
+    out_schema = T.StructType(list(facts.schema.fields) + attr_fields)
+    with_batch = T.StructType(list(out_schema.fields) + [T.StructField("batch_id", T.LongType())])
+    queries: list[StreamingQuery] = []
+
+    if dim_state is not None:
+        hits_path, miss_path = f"{root}/{name}_hits", f"{root}/{name}_misses"
+        fact_cols = facts.columns
+
+        def resolve(batch: DataFrame, batch_id: int) -> None:
+            def run() -> None:
+                view = dim_state().select(F.col("id").alias(_FOUND),
+                                          *[F.col(c).alias(o) for c, o in attrs.items()])
+                joined = (batch.join(view, F.col(on) == F.col(_FOUND), "left")
+                               .persist(StorageLevel.MEMORY_AND_DISK))
+                try:
+                    done = (F.col(_FOUND).isNotNull() | F.col(on).isNull()
+                            | F.col(ROWKIND).isin("-U", "-D"))
+                    _write_batch(joined.filter(done).drop(_FOUND), hits_path, batch_id)
+                    _write_batch(joined.filter(~done).select(*fact_cols), miss_path, batch_id)
+                finally:
+                    joined.unpersist()
+            retry_on_missing_files(run)
+
+        queries.append(facts.writeStream.foreachBatch(resolve)
+                       .option("checkpointLocation", f"{root}/{name}_checkpoint_resolve")
+                       .trigger(**trig).start())
+        miss_schema = T.StructType(list(facts.schema.fields) + [T.StructField("batch_id", T.LongType())])
+        _ensure_folder(spark, miss_path, miss_schema)
+        _ensure_folder(spark, hits_path, with_batch)
+        waiting_in = spark.readStream.schema(miss_schema).parquet(miss_path).drop("batch_id")
+        hits_out = spark.readStream.schema(with_batch).parquet(hits_path).drop("batch_id")
+    else:
+        waiting_in, hits_out = facts, None
+
+    waited = lookup_join_wait(waiting_in, changes, fact_key=on, dim_key="id", fact_id=_FACT_UID,
+                              cols=dict(attrs), wait_seconds=wait_seconds, salts=salts)
+    waited_path = f"{root}/{name}_waited"
+    _ensure_folder(spark, waited_path, out_schema)
+    queries.append(waited.writeStream.format("parquet").option("path", waited_path)
+                   .option("checkpointLocation", f"{root}/{name}_checkpoint_wait")
+                   .trigger(**trig).start())
+    out = spark.readStream.schema(out_schema).parquet(waited_path)
+    if hits_out is not None:
+        out = out.unionByName(hits_out)
+    return queries, out
 
 
 def start_waiting_job(spark: SparkSession, job: Job, source: DataFrame,
                       dim_changes: Mapping[str, DataFrame], root: str, *,
+                      dim_states: Mapping[str, Callable[[], DataFrame]] | None = None,
                       wait_seconds: float = WAIT_SECONDS, salts: int = 8,
                       trigger: Mapping[str, object] | None = None) -> list[StreamingQuery]:
-    """Start the three chained stages of W7/W8; returns the three queries.
+    """Start the chained stages of W7/W8 and the final upsert; returns all queries.
 
     ``dim_changes`` maps ``dim_doctor``/``dim_hospital``/``dim_patient`` to
-    streaming change logs of those tables. ``root`` holds the intermediate
-    folders, the checkpoints and the target ``state``. Use a processing-time
-    trigger (timers do not end an ``availableNow`` run).
+    streaming change logs of those tables; ``dim_states`` optionally maps
+    them to readers of their current rows (step A above). ``root`` holds
+    the intermediate folders, the checkpoints and the target ``state``. Use
+    a processing-time trigger (timers do not end an ``availableNow`` run).
     """
     trig = dict(trigger or {"processingTime": RETRY_STEP})
+    states = dict(dim_states or {})
     rows, _ = split_rejects(job.prepare(source), job.spec.pk)
     rows = rows.withColumn(_FACT_UID, F.concat_ws("/", "dt", "id"))
-
-    s1 = _stage(rows, dim_changes["dim_doctor"], "doctor_id", DOCTOR_ATTRS, wait_seconds, salts)
-    q1 = (s1.writeStream.format("parquet").option("path", f"{root}/stage_doctor")
-          .option("checkpointLocation", f"{root}/checkpoint_doctor").trigger(**trig).start())
-
-    s2_in = spark.readStream.schema(s1.schema).parquet(f"{root}/stage_doctor")
-    s2 = _stage(s2_in, dim_changes["dim_hospital"], "hospital_id", HOSPITAL_ATTRS,
-                wait_seconds, salts)
-    q2 = (s2.writeStream.format("parquet").option("path", f"{root}/stage_hospital")
-          .option("checkpointLocation", f"{root}/checkpoint_hospital").trigger(**trig).start())
-
-    s3_in = spark.readStream.schema(s2.schema).parquet(f"{root}/stage_hospital")
-    s3 = _stage(s3_in, dim_changes["dim_patient"], "patient_id", PATIENT_ATTRS,
-                wait_seconds, salts)
-    lead = [c for c in s1.columns if c not in (_FACT_UID, ROWKIND, ARRIVAL)
-            and c not in DOCTOR_ATTRS.values()]
+    queries: list[StreamingQuery] = []
+    stream = rows
+    for dim, on, attrs in (("dim_doctor", "doctor_id", DOCTOR_ATTRS),
+                           ("dim_hospital", "hospital_id", HOSPITAL_ATTRS),
+                           ("dim_patient", "patient_id", PATIENT_ATTRS)):
+        started, stream = start_wait_stage(
+            spark, stream, dim_changes[dim], on=on, attrs=attrs, root=root,
+            name=dim.removeprefix("dim_"), dim_state=states.get(dim),
+            wait_seconds=wait_seconds, salts=salts, trigger=trig)
+        queries += started
+
+    lead = [c for c in rows.columns if c not in (_FACT_UID, ROWKIND, ARRIVAL)]
     # the target's column order: the fact's own columns around the lookup block
     head = [c for c in lead if c not in ("doctor_id", "patient_id", "user_id", "dt", "hour", "minute")]
     tail = (["user_id"] if "user_id" in lead else []) + ["dt", "hour", "minute"]
@@ -88,6 +169,7 @@ def start_waiting_job(spark: SparkSession, job: Job, source: DataFrame,
         retry_on_missing_files(lambda: upsert(conform(out, job.spec.schema), job.spec,
                                               f"{root}/state", batch_id=batch_id))
 
-    q3 = (s3.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint_patient")
-          .trigger(**trig).start())
-    return [q1, q2, q3]
+    queries.append(stream.writeStream.foreachBatch(write)
+                   .option("checkpointLocation", f"{root}/checkpoint_upsert")
+                   .trigger(**trig).start())
+    return queries

@@ -85,6 +85,14 @@ def _converter(dtype: T.DataType):
 
 
 class _WaitProcessor(StatefulProcessor):
+    """Per (key, salt): the dimension row, a count of waiting facts, the waiting facts.
+
+    Every state call is a round trip to the JVM, so the hot path makes as few
+    as possible: one ``get`` of the ``dim`` value (which also carries the
+    number of waiting facts), and the ``pending`` map only when something
+    waits.
+    """
+
     def __init__(self, fact_fields: Sequence[T.StructField], dim_fields: Sequence[T.StructField],
                  fact_id: str, wait_ms: int):
         self.fact_fields = list(fact_fields)
@@ -92,85 +100,109 @@ class _WaitProcessor(StatefulProcessor):
         self.fact_cols = [f.name for f in fact_fields]
         self.dim_cols = [f.name for f in dim_fields]
         self.fact_id = fact_id
+        self.id_pos = self.fact_cols.index(fact_id)
         self.wait_ms = int(wait_ms)
         self.fact_conv = [_converter(f.dataType) for f in self.fact_fields]
         self.dim_conv = [_converter(f.dataType) for f in self.dim_fields]
+        self.no_attrs = (None,) * len(self.dim_cols)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        dim_schema = T.StructType([T.StructField("__live", T.BooleanType()),
-                                   T.StructField("__arrival", T.LongType()), *self.dim_fields])
-        pending_schema = T.StructType([*self.fact_fields, T.StructField("__deadline", T.LongType())])
-        id_type = next(f.dataType for f in self.fact_fields if f.name == self.fact_id)
+        dim_schema = T.StructType([T.StructField("live", T.BooleanType()),
+                                   T.StructField("arrival", T.LongType()),
+                                   T.StructField("waiting", T.LongType()), *self.dim_fields])
+        pending_schema = T.StructType([*self.fact_fields, T.StructField("deadline", T.LongType())])
+        id_type = self.fact_fields[self.id_pos].dataType
         self.dim = handle.getValueState("dim", dim_schema)
         self.pending = handle.getMapState("pending", T.StructType([T.StructField("id", id_type)]),
                                           pending_schema)
 
     def _out(self, facts: list[tuple], attrs: tuple | None) -> pd.DataFrame:
-        n_dim = len(self.dim_cols)
-        rows = [tuple(f) + (attrs if attrs is not None else (None,) * n_dim) for f in facts]
-        return pd.DataFrame(rows, columns=self.fact_cols + self.dim_cols)
+        tail = attrs if attrs is not None else self.no_attrs
+        return pd.DataFrame([tuple(f) + tail for f in facts], columns=self.fact_cols + self.dim_cols)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        now = timerValues.getCurrentProcessingTimeInMs()
+        chunks = list(rows)
+        pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+        tags = pdf[_TAG].to_numpy()
+        state = self.dim.get()
+        if state is None:
+            live, arrival, waiting, attrs = False, None, 0, self.no_attrs
+        else:
+            live, arrival, waiting, attrs = bool(state[0]), state[1], int(state[2] or 0), tuple(state[3:])
+        changed = False
         out: list[pd.DataFrame] = []
 
-        state = self.dim.get() if self.dim.exists() else None
-        dims = pdf[pdf[_TAG] == 0]
-        # equal arrivals (a change feed's -U/+U pair of one batch): before-image first
-        rank = dims[ROWKIND].map(_KIND_RANK).fillna(1)
-        dims = dims.assign(lk_rank=rank).sort_values([ARRIVAL, "lk_rank"], kind="stable")
-        dim_view = dims[[ROWKIND, ARRIVAL] + [f"d_{c}" for c in self.dim_cols]]
-        for kind, arrival, *values in dim_view.itertuples(index=False, name=None):
-            arrival = None if (arrival := _py(arrival)) is None else int(arrival)
-            if state is not None and state[1] is not None and arrival is not None and arrival < state[1]:
-                continue  # an older version never overwrites a newer one
-            state = (kind not in _RETRACT, arrival, *[c(v) for c, v in zip(self.dim_conv, values)])
-        if len(dims):
-            self.dim.update(state)
-        attrs = tuple(state[2:]) if state is not None and state[0] else None
-
-        if attrs is not None and self.pending.exists():
-            waiting = [tuple(v[:-1]) for _, v in self.pending.iterator()]
-            if waiting:
-                out.append(self._out(waiting, attrs))
+        is_dim = tags == 0
+        if is_dim.any():
+            dims = pdf[is_dim]
+            if len(dims) > 1:
+                # equal arrivals (a change feed's -U/+U pair of one batch): before-image first
+                rank = dims[ROWKIND].map(_KIND_RANK).fillna(1)
+                dims = dims.assign(lk_rank=rank).sort_values([ARRIVAL, "lk_rank"], kind="stable")
+            view = dims[[ROWKIND, ARRIVAL] + [f"d_{c}" for c in self.dim_cols]]
+            for kind, arr, *values in view.itertuples(index=False, name=None):
+                arr = None if (arr := _py(arr)) is None else int(arr)
+                if arrival is not None and arr is not None and arr < arrival:
+                    continue  # an older version never overwrites a newer one
+                live, arrival = kind not in _RETRACT, arr
+                attrs = tuple(c(v) for c, v in zip(self.dim_conv, values))
+                changed = True
+        current = attrs if live else None
+
+        if current is not None and waiting > 0:
+            held = [tuple(v[:-1]) for _, v in self.pending.iterator()]
+            if held:
+                out.append(self._out(held, current))
             self.pending.clear()
             for ts in list(self.handle.listTimers()):
                 self.handle.deleteTimer(ts)
-
-        facts = pdf[pdf[_TAG] == 1].sort_values(ARRIVAL, kind="stable")
-        fact_view = facts[[ROWKIND] + [f"f_{c}" for c in self.fact_cols]]
-        id_pos = self.fact_cols.index(self.fact_id)
-        emit_now, emit_plain = [], []
-        for kind, *raw in fact_view.itertuples(index=False, name=None):
-            values = tuple(c(v) for c, v in zip(self.fact_conv, raw))
-            fid = (values[id_pos],)
-            if kind in _RETRACT:
-                if self.pending.exists() and self.pending.containsKey(fid):
-                    self.pending.removeKey(fid)
-                emit_plain.append(values)
-            elif attrs is not None:
-                emit_now.append(values)
-            else:
-                deadline = now + self.wait_ms
-                self.pending.updateValue(fid, values + (deadline,))
-                self.handle.registerTimer(deadline)
-        if emit_now:
-            out.append(self._out(emit_now, attrs))
-        if emit_plain:
-            out.append(self._out(emit_plain, None))
+            waiting, changed = 0, True
+
+        is_fact = ~is_dim
+        if is_fact.any():
+            facts = pdf[is_fact]
+            if len(facts) > 1:
+                facts = facts.sort_values(ARRIVAL, kind="stable")
+            view = facts[[ROWKIND] + [f"f_{c}" for c in self.fact_cols]]
+            now = timerValues.getCurrentProcessingTimeInMs()
+            emit_now, emit_plain = [], []
+            for kind, *raw in view.itertuples(index=False, name=None):
+                values = tuple(c(v) for c, v in zip(self.fact_conv, raw))
+                fid = (values[self.id_pos],)
+                if kind in _RETRACT:
+                    if waiting > 0 and self.pending.containsKey(fid):
+                        self.pending.removeKey(fid)
+                        waiting, changed = waiting - 1, True
+                    emit_plain.append(values)
+                elif current is not None:
+                    emit_now.append(values)
+                else:
+                    deadline = now + self.wait_ms
+                    self.pending.updateValue(fid, values + (deadline,))
+                    self.handle.registerTimer(deadline)
+                    waiting, changed = waiting + 1, True   # an upper bound; exact after a timer
+            if emit_now:
+                out.append(self._out(emit_now, current))
+            if emit_plain:
+                out.append(self._out(emit_plain, None))
+        if changed:
+            self.dim.update((live, arrival, waiting, *attrs))
         yield from out
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         expiry = expiredTimerInfo.getExpiryTimeInMs()
-        due = []
-        if self.pending.exists():
-            for fid, v in list(self.pending.iterator()):
-                if v[-1] is not None and v[-1] <= expiry:
-                    due.append(tuple(v[:-1]))
-                    self.pending.removeKey(fid)
+        due, left = [], 0
+        for fid, v in list(self.pending.iterator()):
+            if v[-1] is not None and v[-1] <= expiry:
+                due.append(tuple(v[:-1]))
+                self.pending.removeKey(fid)
+            else:
+                left += 1
+        state = self.dim.get()
+        if state is not None:
+            self.dim.update((state[0], state[1], left, *state[3:]))
         if due:
             yield self._out(due, None)
 
