@@ -61,6 +61,29 @@ def create_if_absent(spark: SparkSession, spec: TableSpec, path: str) -> None:
         empty.write.mode("ignore").partitionBy(*spec.layout).parquet(path)
 
 
+def read_partitions(spark: SparkSession, spec: TableSpec, path: str, touched: list
+                    ) -> DataFrame | None:
+    """Rows of the touched partitions only; None when none of them exists yet.
+
+    The folders are named by one glob (``dt={a,b}/bucket={0,1}``), so only
+    those directories are listed, not the whole table, whose listing would
+    grow with every partition ever written. The exact partition filter is
+    applied on top of the glob's superset.
+    """
+    parts = []
+    for i, col in enumerate(spec.layout):
+        values = sorted({str(row[i]) for row in touched})
+        parts.append(f"{col}={values[0]}" if len(values) == 1 else f"{col}={{{','.join(values)}}}")
+    pattern = f"{path.rstrip('/')}/" + "/".join(parts)
+    try:
+        df = spark.read.schema(state_schema(spec)).option("basePath", path).parquet(pattern)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
+    return df.filter(_partition_filter(spec, touched))
+
+
 def _partition_filter(spec: TableSpec, touched: list) -> F.Column:
     labels = ["/".join(str(v) for v in row) for row in touched]
     key = F.concat_ws("/", *[F.col(c).cast("string") for c in spec.layout])
@@ -90,9 +113,8 @@ def upsert(rows: DataFrame, spec: TableSpec, path: str, *, feed_path: str | None
         touched = rows.select(*spec.layout).distinct().collect()
         if not touched:
             return 0
-        old = read_state(spark, spec, path)
+        old = read_partitions(spark, spec, path, touched)
         if old is not None:
-            old = old.filter(_partition_filter(spec, touched))
             if feed_path is not None:
                 # the old rows are overwritten below; keep a reliable copy for the feed
                 old = old.checkpoint(eager=True)
