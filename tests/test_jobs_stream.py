@@ -29,7 +29,13 @@ def lookups(spark, tmp_path_factory):
     return readers
 
 
-@pytest.mark.parametrize("name", [n for n in JOBS if n not in ("dwd_patient_register", "dwd_consultation")])
+# sources spanning years of days write thousands of partition folders per batch
+_SLOW = {"dwd_payment", "dwd_review", "dwd_prescription", "dwd_prescription_detail"}
+
+
+@pytest.mark.parametrize("name", [
+    pytest.param(n, marks=pytest.mark.slow) if n in _SLOW else n
+    for n in JOBS if n not in ("dwd_patient_register", "dwd_consultation")])
 def test_job_stream_equals_batch(spark, tmp_dir, lookups, name):
     t = table_reader(spark, SF_SMALL)
     job = JOBS[name]

@@ -2,6 +2,8 @@
 
 import random
 import time
+
+import pytest
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -170,6 +172,7 @@ def test_wait_hit_late_arrival_timeout_and_cancel(spark, tmp_dir):
     assert got == [(100, "+I", "Ann"), (101, "+I", None), (102, "+I", None), (103, "-D", None)]
 
 
+@pytest.mark.slow
 def test_wide_fact_with_waiting_lookups_equals_batch(spark, tmp_dir):
     """W8 through three chained waiting stages; every dimension row is present,
     so hits come out at once and misses after the wait, as the batch result."""
