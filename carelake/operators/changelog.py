@@ -99,3 +99,44 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     out = joined.select(*[_q(k) for k in keys], F.explode(images).alias("__c"))
     return out.select(F.col("__c.k").alias(ROWKIND), *[_q(k) for k in keys],
                       *[F.col("__c.v")[c].alias(c) for c in cols])
+
+
+def compact_feed(feed: DataFrame, keys: Sequence[str], after_batch: int | None = None,
+                 upto_batch: int | None = None, *, batch_col: str = "batch_id") -> DataFrame:
+    """Net change between two versions from a per-batch change feed.
+
+    ``feed`` holds each commit's changes (``+I``; ``-U``/``+U`` pairs; ``-D``)
+    with the commit number in ``batch_col``. The result is the change feed
+    between the state after ``after_batch`` and the state after
+    ``upto_batch``: per key, the first before-image and the last after-image
+    in the range, compared like ``snapshot_diff``. Keys changed and changed
+    back produce nothing. One aggregation by key (partial before the
+    shuffle), so a feed of many commits compacts at the cost of one pass.
+    """
+    keys = list(keys)
+    cols = [c for c in feed.columns if c not in keys and c not in (ROWKIND, batch_col)]
+    f = feed
+    if after_batch is not None:
+        f = f.filter(F.col(batch_col) > F.lit(after_batch))
+    if upto_batch is not None:
+        f = f.filter(F.col(batch_col) <= F.lit(upto_batch))
+    # within a commit the before-image (-U/-D) sorts ahead of the after-image (+I/+U)
+    is_after = F.col(ROWKIND).isin(INSERT, UPDATE_AFTER).cast("int")
+    change = F.struct(F.col(batch_col).alias("b"), is_after.alias("a"),
+                      F.struct(*[_q(c) for c in cols]).alias("img"))
+    per_key = f.groupBy(*[_q(k) for k in keys]).agg(F.min(change).alias("__first"),
+                                                    F.max(change).alias("__last"))
+    before = F.when(F.col("__first.a") == 0, F.col("__first.img"))
+    after = F.when(F.col("__last.a") == 1, F.col("__last.img"))
+    net = per_key.select(*[_q(k) for k in keys], before.alias("__b"), after.alias("__a"))
+    net = net.filter(~F.col("__b").eqNullSafe(F.col("__a")))
+
+    def img(kind: str, side: str) -> Column:
+        return F.struct(F.lit(kind).alias("k"), F.col(side).alias("v"))
+
+    images = (F.when(F.col("__b").isNull(), F.array(img(INSERT, "__a")))
+               .when(F.col("__a").isNull(), F.array(img(DELETE, "__b")))
+               .otherwise(F.array(img(UPDATE_BEFORE, "__b"), img(UPDATE_AFTER, "__a"))))
+    out = net.select(*[_q(k) for k in keys], F.explode(images).alias("__c"))
+    return out.select(F.col("__c.k").alias(ROWKIND), *[_q(k) for k in keys],
+                      *[F.col("__c.v")[c].alias(c) for c in cols])

@@ -1,10 +1,10 @@
 """Structured Streaming: keyed upsert sink, job runner, change feed, bounded-wait lookup."""
 
 from carelake.streaming.sink import create_if_absent, live_view, read_feed, read_state, upsert
-from carelake.streaming.jobs import (batch_writer, start_console, start_job, start_table,
-                                    state_lookup)
+from carelake.streaming.jobs import (batch_writer, start_console, start_feed_compaction,
+                                    start_job, start_table, state_lookup)
 from carelake.streaming.location import TableLocation, current, open_table
 
 __all__ = ["create_if_absent", "live_view", "read_feed", "read_state", "upsert",
-           "batch_writer", "start_console", "start_job", "start_table", "state_lookup",
-           "TableLocation", "current", "open_table"]
+           "batch_writer", "start_console", "start_feed_compaction", "start_job", "start_table",
+           "state_lookup", "TableLocation", "current", "open_table"]

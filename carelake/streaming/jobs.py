@@ -27,7 +27,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from carelake.plans.warehouse import Job, keyed_rows
 from carelake.sources.specs import TableSpec
-from carelake.streaming.sink import live_view, retry_on_missing_files, upsert
+from carelake.operators.changelog import compact_feed
+from carelake.streaming.sink import live_view, read_feed, retry_on_missing_files, upsert
 
 # The commit cadence of the jobs and of the change feed.
 COMMIT_INTERVAL = "20 seconds"
@@ -95,6 +96,27 @@ def start_job(job: Job, source: DataFrame, state_path: str, checkpoint: str,
     return writer.start()
 
 
+def start_feed_compaction(spark: SparkSession, spec: TableSpec, feed_path: str, out_path: str,
+                          checkpoint: str, *, trigger: Mapping[str, object] | None = None
+                          ) -> StreamingQuery:
+    """The table's change feed at a coarser cadence (S8, T5; default 1 minute).
+
+    Streams the per-commit feed folder; each trigger's micro-batch holds the
+    commits since the previous trigger, which ``compact_feed`` folds into
+    their net change, written under ``out_path/feed_batch=<n>``.
+    """
+    schema = read_feed(spark, spec, feed_path).schema
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        net = compact_feed(batch, spec.pk).withColumn("feed_batch", F.lit(int(batch_id)).cast("long"))
+        (net.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("feed_batch").parquet(out_path))
+
+    return (spark.readStream.schema(schema).parquet(feed_path).writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": FEED_INTERVAL})).start())
+
+
 def start_console(df: DataFrame, *, trigger: Mapping[str, object] | None = None,
                   num_rows: int = 20) -> StreamingQuery:
     """Print a stream's rows as they arrive (S11): the ad-hoc preview sink."""

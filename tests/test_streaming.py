@@ -222,3 +222,24 @@ def test_wide_fact_with_waiting_lookups_equals_batch(spark, tmp_dir):
             q.stop()
     got = sorted(tuple(r) for r in live_view(spark, job.spec, f"{tmp_dir}/w8/state").collect())
     assert got == want
+
+
+def test_feed_compaction_stream_gives_net_change(spark, tmp_dir):
+    from carelake.sources.specs import TableSpec
+    from carelake.streaming import start_feed_compaction
+    spec = TableSpec(name="t", schema=T.StructType([T.StructField("id", T.StringType()),
+                                                    T.StructField("v", T.StringType())]),
+                     pk=("id",), buckets=1)
+    schema = "id string, v string, rowkind string, arrival long"
+    b1 = [("1", "a", "+I", 1), ("2", "a", "+I", 2), ("3", "a", "+I", 3)]
+    b2 = [("1", "b", "+U", 4), ("2", "a", "-D", 5), ("4", "a", "+I", 6)]
+    b3 = [("1", "a", "+U", 7), ("4", "c", "+U", 8)]
+    for n, rows in enumerate((b1, b2, b3), start=1):
+        upsert(spark.createDataFrame(rows, schema), spec, f"{tmp_dir}/s", feed_path=f"{tmp_dir}/f",
+               batch_id=n)
+    q = start_feed_compaction(spark, spec, f"{tmp_dir}/f", f"{tmp_dir}/net", f"{tmp_dir}/ck",
+                              trigger={"availableNow": True})
+    q.awaitTermination()
+    got = sorted((r.rowkind, r.id, r.v) for r in spark.read.parquet(f"{tmp_dir}/net").collect())
+    # all three commits in one trigger: from nothing to {1:a, 3:a, 4:c}
+    assert got == [("+I", "1", "a"), ("+I", "3", "a"), ("+I", "4", "c")]
