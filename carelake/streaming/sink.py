@@ -17,6 +17,8 @@ the commit finishes.
 
 from __future__ import annotations
 
+import re
+
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -61,6 +63,10 @@ def create_if_absent(spark: SparkSession, spec: TableSpec, path: str) -> None:
         empty.write.mode("ignore").partitionBy(*spec.layout).parquet(path)
 
 
+# partition values that appear unescaped in folder names and carry no glob syntax
+_SAFE_VALUE = re.compile(r"[A-Za-z0-9_.\-]+")
+
+
 def read_partitions(spark: SparkSession, spec: TableSpec, path: str, touched: list
                     ) -> DataFrame | None:
     """Rows of the touched partitions only; None when none of them exists yet.
@@ -70,9 +76,13 @@ def read_partitions(spark: SparkSession, spec: TableSpec, path: str, touched: li
     grow with every partition ever written. The exact partition filter is
     applied on top of the glob's superset.
     """
+    values_by_col = [sorted({str(row[i]) for row in touched}) for i in range(len(spec.layout))]
+    if not all(_SAFE_VALUE.fullmatch(v) for vs in values_by_col for v in vs):
+        # folder names escape other characters: list the table and prune instead
+        state = read_state(spark, spec, path)
+        return None if state is None else state.filter(_partition_filter(spec, touched))
     parts = []
-    for i, col in enumerate(spec.layout):
-        values = sorted({str(row[i]) for row in touched})
+    for col, values in zip(spec.layout, values_by_col):
         parts.append(f"{col}={values[0]}" if len(values) == 1 else f"{col}={{{','.join(values)}}}")
     pattern = f"{path.rstrip('/')}/" + "/".join(parts)
     try:

@@ -186,3 +186,19 @@ def test_lookup_join_never_changes_row_count(spark):
     facts = spark.range(100).withColumn("fk", (F.col("id") % 7).cast("string"))
     dim = spark.createDataFrame([(str(i), f"v{i}") for i in range(5)], "id string, v string")
     assert lookup_join(facts, dim, "fk", cols=["v"]).count() == 100
+
+
+def test_upsert_with_escaped_partition_values(spark, tmp_dir):
+    from pyspark.sql import types as T
+    from carelake.sources.specs import TableSpec
+    spec = TableSpec(name="t", schema=T.StructType([
+        T.StructField("p", T.StringType()), T.StructField("id", T.StringType()),
+        T.StructField("v", T.StringType())]), pk=("p", "id"), partition=("p",), buckets=2)
+    schema = "p string, id string, v string, rowkind string, arrival long"
+    path = f"{tmp_dir}/s"
+    upsert(spark.createDataFrame([("a b", "1", "x", "+I", 1), ("c:d", "2", "x", "+I", 2)], schema),
+           spec, path)
+    upsert(spark.createDataFrame([("a b", "1", "y", "+U", 3), ("c:d", "3", "z", "+I", 4)], schema),
+           spec, path)
+    got = sorted(tuple(r) for r in live_view(spark, spec, path).collect())
+    assert got == [("a b", "1", "y"), ("c:d", "2", "x"), ("c:d", "3", "z")]
