@@ -72,7 +72,7 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def start_wait_stage(spark: SparkSession, facts: DataFrame, dim_changes: DataFrame, *,
                      on: str, attrs: Mapping[str, str], root: str, name: str,
                      dim_state: Callable[[], DataFrame] | None = None,
-                     wait_seconds: float = WAIT_SECONDS, salts: int = 8,
+                     wait_seconds: float = WAIT_SECONDS, salts: int = 4,
                      trigger: Mapping[str, object] | None = None
                      ) -> tuple[list[StreamingQuery], DataFrame]:
     """One waiting lookup of ``attrs`` by ``facts[on] == dim.id``.
@@ -134,7 +134,7 @@ def start_wait_stage(spark: SparkSession, facts: DataFrame, dim_changes: DataFra
 def start_waiting_job(spark: SparkSession, job: Job, source: DataFrame,
                       dim_changes: Mapping[str, DataFrame], root: str, *,
                       dim_states: Mapping[str, Callable[[], DataFrame]] | None = None,
-                      wait_seconds: float = WAIT_SECONDS, salts: int = 8,
+                      wait_seconds: float = WAIT_SECONDS, salts: int = 4,
                       trigger: Mapping[str, object] | None = None) -> list[StreamingQuery]:
     """Start the chained stages of W7/W8 and the final upsert; returns all queries.
 

@@ -41,6 +41,17 @@ from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, Stateful
 
 from carelake.sources.specs import ARRIVAL, ROWKIND
 
+# The processor runs in Python workers on the executors. Pickling this module
+# by value ships its code with the query, so executors need no installed copy
+# of the package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: install the package instead
+    pass
+
 # plain names: Arrow batches rename columns that start with "__"
 _TAG, _KEY, _SALT = "lk_tag", "lk_key", "lk_salt"
 _RETRACT = ("-U", "-D")
@@ -124,7 +135,11 @@ class _WaitProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         chunks = list(rows)
         pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        tags = pdf[_TAG].to_numpy()
+        # one conversion per column; the rest is plain Python (per-group pandas
+        # calls would dominate: a group holds a handful of rows)
+        tags = pdf[_TAG].tolist()
+        kinds = pdf[ROWKIND].tolist()
+        arrivals = [_py(a) for a in pdf[ARRIVAL].tolist()]
         state = self.dim.get()
         if state is None:
             live, arrival, waiting, attrs = False, None, 0, self.no_attrs
@@ -133,20 +148,18 @@ class _WaitProcessor(StatefulProcessor):
         changed = False
         out: list[pd.DataFrame] = []
 
-        is_dim = tags == 0
-        if is_dim.any():
-            dims = pdf[is_dim]
-            if len(dims) > 1:
-                # equal arrivals (a change feed's -U/+U pair of one batch): before-image first
-                rank = dims[ROWKIND].map(_KIND_RANK).fillna(1)
-                dims = dims.assign(lk_rank=rank).sort_values([ARRIVAL, "lk_rank"], kind="stable")
-            view = dims[[ROWKIND, ARRIVAL] + [f"d_{c}" for c in self.dim_cols]]
-            for kind, arr, *values in view.itertuples(index=False, name=None):
-                arr = None if (arr := _py(arr)) is None else int(arr)
+        dim_rows = [i for i, t in enumerate(tags) if t == 0]
+        if dim_rows:
+            # equal arrivals (a change feed's -U/+U pair of one batch): before-image first
+            dim_rows.sort(key=lambda i: (arrivals[i] is not None, arrivals[i] or 0,
+                                         _KIND_RANK.get(kinds[i], 1)))
+            dim_cols = [pdf[f"d_{c}"].tolist() for c in self.dim_cols]
+            for i in dim_rows:
+                arr = None if arrivals[i] is None else int(arrivals[i])
                 if arrival is not None and arr is not None and arr < arrival:
                     continue  # an older version never overwrites a newer one
-                live, arrival = kind not in _RETRACT, arr
-                attrs = tuple(c(v) for c, v in zip(self.dim_conv, values))
+                live, arrival = kinds[i] not in _RETRACT, arr
+                attrs = tuple(conv(col[i]) for conv, col in zip(self.dim_conv, dim_cols))
                 changed = True
         current = attrs if live else None
 
@@ -159,18 +172,16 @@ class _WaitProcessor(StatefulProcessor):
                 self.handle.deleteTimer(ts)
             waiting, changed = 0, True
 
-        is_fact = ~is_dim
-        if is_fact.any():
-            facts = pdf[is_fact]
-            if len(facts) > 1:
-                facts = facts.sort_values(ARRIVAL, kind="stable")
-            view = facts[[ROWKIND] + [f"f_{c}" for c in self.fact_cols]]
+        fact_rows = [i for i, t in enumerate(tags) if t != 0]
+        if fact_rows:
+            fact_rows.sort(key=lambda i: (arrivals[i] is not None, arrivals[i] or 0))
+            fact_cols = [pdf[f"f_{c}"].tolist() for c in self.fact_cols]
             now = timerValues.getCurrentProcessingTimeInMs()
             emit_now, emit_plain = [], []
-            for kind, *raw in view.itertuples(index=False, name=None):
-                values = tuple(c(v) for c, v in zip(self.fact_conv, raw))
+            for i in fact_rows:
+                values = tuple(conv(col[i]) for conv, col in zip(self.fact_conv, fact_cols))
                 fid = (values[self.id_pos],)
-                if kind in _RETRACT:
+                if kinds[i] in _RETRACT:
                     if waiting > 0 and self.pending.containsKey(fid):
                         self.pending.removeKey(fid)
                         waiting, changed = waiting - 1, True
@@ -212,7 +223,7 @@ class _WaitProcessor(StatefulProcessor):
 
 def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_key: str,
                      fact_id: str, cols: Mapping[str, str], wait_seconds: float = 300,
-                     salts: int = 8) -> DataFrame:
+                     salts: int = 4) -> DataFrame:
     """Streaming left lookup of ``dims`` attributes onto ``facts`` with a bounded wait.
 
     ``facts`` and ``dims`` are streaming change logs (``rowkind``,
