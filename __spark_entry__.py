@@ -229,7 +229,7 @@ def _land(df: DataFrame, path: str, files: int) -> None:
 
 
 def q_stream_upsert(spark, sf_dir):
-    """W3 as a stream: 4 micro-batches of change-log files into its state table."""
+    """W3 as a stream: 4 change-log files, 2 per micro-batch, into its state table."""
     t = _t(spark, sf_dir)
     root = work_dir(spark, "stream_upsert")
     job = JOBS["dwd_patient_register"]
@@ -237,7 +237,7 @@ def q_stream_upsert(spark, sf_dir):
     _land(log, f"{root}/landing", 4)
     upsert(conform(standins.ods_dict(t), ODS_DICT.schema), ODS_DICT, f"{root}/ods_dict")
     stream = read_changelog(spark, f"{root}/landing", log.schema, stream=True,
-                            max_files_per_trigger=1)
+                            max_files_per_trigger=2)
     q = start_job(job, stream, f"{root}/state", f"{root}/checkpoint",
                   {"ods_dict": state_lookup(spark, ODS_DICT, f"{root}/ods_dict")},
                   reject_path=f"{root}/rejects", trigger={"availableNow": True})
