@@ -108,7 +108,9 @@ def lookup_join_asof(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_ke
         local = local.withColumn("__next", F.lit(None).cast(d.schema["__d"].dataType))
     fact_rows = local.filter(F.col("__tag") == 1)
 
-    # 2. per (key, bucket) summary, carried across the buckets of a key
+    # 2. per (key, bucket) summary, carried across the buckets of a key; a
+    #    partial aggregate before its shuffle, so it moves one row per
+    #    key-bucket and input partition
     summary = u.groupBy("__k", "__b").agg(
         F.max(F.when(F.col("__tag") == 0, F.col("__d"))).alias("__last"),
         F.min(F.when(F.col("__tag") == 0, F.col("__d"))).alias("__first"))
