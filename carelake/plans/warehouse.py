@@ -212,12 +212,19 @@ def _prep_prescription(src: DataFrame) -> DataFrame:
                       *_meta(src))
 
 
+def wide_output(spec: TableSpec, enriched: DataFrame) -> DataFrame:
+    """Final projection of W7/W8: the fact's own columns around the lookup block, conformed."""
+    fact_cols = [c for c in spec.columns if c not in WIDE_LOOKUP_COLUMNS]
+    tail = [c for c in ("user_id", "dt", "hour", "minute") if c in fact_cols]
+    head = [c for c in fact_cols if c not in tail]
+    d = enriched.select(*head, *WIDE_LOOKUP_COLUMNS, *tail, *_meta(enriched))
+    return conform(d, spec.schema)
+
+
 def _enrich_prescription(rows: DataFrame, dim_doctor: DataFrame, dim_hospital: DataFrame,
                          dim_patient: DataFrame) -> DataFrame:
     d = enrich_doctor_hospital_patient(rows, dim_doctor, dim_hospital, dim_patient)
-    d = d.select("id", "create_time", "update_time", "instruction", "status", "total_amount",
-                 "consultation_id", *WIDE_LOOKUP_COLUMNS, "dt", "hour", "minute", *_meta(d))
-    return conform(d, S.DWD_PRESCRIPTION.schema)
+    return wide_output(S.DWD_PRESCRIPTION, d)
 
 
 def _prep_consultation(src: DataFrame) -> DataFrame:
@@ -233,10 +240,7 @@ def _prep_consultation(src: DataFrame) -> DataFrame:
 def _enrich_consultation(rows: DataFrame, dim_doctor: DataFrame, dim_hospital: DataFrame,
                          dim_patient: DataFrame) -> DataFrame:
     d = enrich_doctor_hospital_patient(rows, dim_doctor, dim_hospital, dim_patient)
-    d = d.select("id", "create_time", "update_time", "consultation_fee", "description", "diagnosis",
-                 "rating", "review", "status", *WIDE_LOOKUP_COLUMNS, "user_id", "dt", "hour", "minute",
-                 *_meta(d))
-    return conform(d, S.DWD_CONSULTATION.schema)
+    return wide_output(S.DWD_CONSULTATION, d)
 
 
 JOBS: dict[str, Job] = {j.name: j for j in [

@@ -38,9 +38,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from carelake.functions.conform import conform, split_rejects
-from carelake.plans.warehouse import (DOCTOR_ATTRS, HOSPITAL_ATTRS, PATIENT_ATTRS,
-                                      WIDE_LOOKUP_COLUMNS, Job)
+from carelake.functions.conform import split_rejects
+from carelake.plans.warehouse import DOCTOR_ATTRS, HOSPITAL_ATTRS, PATIENT_ATTRS, Job, wide_output
 from carelake.sources.specs import ARRIVAL, ROWKIND
 from carelake.streaming.sink import retry_on_missing_files, upsert
 from carelake.streaming.wait import lookup_join_wait
@@ -159,15 +158,9 @@ def start_waiting_job(spark: SparkSession, job: Job, source: DataFrame,
             wait_seconds=wait_seconds, salts=salts, trigger=trig)
         queries += started
 
-    lead = [c for c in rows.columns if c not in (_FACT_UID, ROWKIND, ARRIVAL)]
-    # the target's column order: the fact's own columns around the lookup block
-    head = [c for c in lead if c not in ("doctor_id", "patient_id", "user_id", "dt", "hour", "minute")]
-    tail = (["user_id"] if "user_id" in lead else []) + ["dt", "hour", "minute"]
-
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.select(*head, *WIDE_LOOKUP_COLUMNS, *tail, ROWKIND, ARRIVAL)
-        retry_on_missing_files(lambda: upsert(conform(out, job.spec.schema), job.spec,
-                                              f"{root}/state", batch_id=batch_id))
+        out = wide_output(job.spec, batch.drop(_FACT_UID))
+        retry_on_missing_files(lambda: upsert(out, job.spec, f"{root}/state", batch_id=batch_id))
 
     queries.append(stream.writeStream.foreachBatch(write)
                    .option("checkpointLocation", f"{root}/checkpoint_upsert")

@@ -202,3 +202,45 @@ def test_upsert_with_escaped_partition_values(spark, tmp_dir):
            spec, path)
     got = sorted(tuple(r) for r in live_view(spark, spec, path).collect())
     assert got == [("a b", "1", "y"), ("c:d", "2", "x"), ("c:d", "3", "z")]
+
+
+def test_backfill_uses_dimension_versions_as_of_each_fact(spark):
+    from carelake.plans.backfill import backfill_wide
+
+    from pyspark.sql import types as T
+
+    def versioned(spec):  # a new schema: StructType.add would change the shared spec
+        return T.StructType(list(spec.schema.fields) + [
+            T.StructField("rowkind", T.StringType()), T.StructField("version_time", T.TimestampNTZType())])
+
+    def doc(id_, name, hosp):
+        return (id_, "1970-01-01", Decimal("1.00"), "101", "male", name, "501", "x", "301", "y", hosp)
+
+    dims_doctor = spark.createDataFrame(
+        [doc("1", "Old", "7") + ("+I", ts("2024-01-01 08:00:00")),
+         doc("1", "New", "7") + ("+U", ts("2024-01-01 12:00:00")),
+         doc("2", "Gone", "7") + ("+I", ts("2024-01-01 08:00:00")),
+         doc("2", "Gone", "7") + ("-D", ts("2024-01-01 09:00:00")),
+         doc("3", "Late", None) + ("+I", ts("2024-01-01 10:30:00"))],
+        versioned(S.DIM_DOCTOR))
+    hosp = spark.createDataFrame(
+        [("7", "a", "b", 1, "c", 1, "d", "1999-01-01", 1, "yes", "L1", "General", "P", "+I",
+          ts("2023-01-01 00:00:00"))], versioned(S.DIM_HOSPITAL))
+    pat = spark.createDataFrame([], versioned(S.DIM_PATIENT))
+    src = spark.createDataFrame([
+        consultation("+I", 1, 10, 201, update="2024-01-01 10:00:00", doctor=1),   # before the rename
+        consultation("+I", 2, 11, 201, update="2024-01-01 13:00:00", doctor=1),   # after it
+        consultation("+I", 3, 12, 201, update="2024-01-01 10:00:00", doctor=2),   # doctor deleted
+        consultation("+I", 4, 13, 201, update="2024-01-01 10:00:00", doctor=3),   # doctor 30 min late
+    ], ODS_CONSULTATION)
+    job = JOBS["dwd_consultation"]
+    vers = {"dim_doctor": dims_doctor, "dim_hospital": hosp, "dim_patient": pat}
+    out = {r.id: r for r in backfill_wide(job, src, vers).collect()}
+    assert out["10"].doctor_name == "Old" and out["10"].hospital_name == "General"
+    assert out["11"].doctor_name == "New"
+    assert out["12"].doctor_name is None and out["12"].hospital_id is None
+    assert out["13"].doctor_name is None
+    waited = {r.id: r for r in backfill_wide(job, src, vers, wait_seconds=3600).collect()}
+    assert waited["13"].doctor_name == "Late" and waited["13"].hospital_id is None
+    assert waited["10"].doctor_name == "Old"
+    assert out["10"].patient_name is None
