@@ -2,13 +2,13 @@
 
 import random
 import time
-
-import pytest
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from carelake.functions.conform import conform
 from carelake.operators import materialize, merge_state, snapshot_diff
 from carelake.plans import standins
 from carelake.plans.batch import Warehouse, table_reader
@@ -17,7 +17,6 @@ from carelake.sources.changelog import read_changelog
 from carelake.sources.specs import DIM_MEDICINE, ODS_DICT
 from carelake.streaming import live_view, read_state, start_job, state_lookup, upsert
 from carelake.streaming.wait import lookup_join_wait
-from carelake.functions.conform import conform
 from conftest import SF_SMALL
 from helpers import ts
 
