@@ -28,12 +28,11 @@ from carelake.operators import (decode_codes, filter_changelog, inserts_only,  #
                                 merge_state, snapshot_diff)
 from carelake.plans import standins  # noqa: E402
 from carelake.plans.batch import Warehouse, table_reader  # noqa: E402
-from carelake.plans.warehouse import JOBS, WIDE_LOOKUP_COLUMNS, enrich_doctor_hospital_patient  # noqa: E402
-from carelake.session import work_dir  # noqa: E402
-from carelake.sources.specs import ARRIVAL, ROWKIND, TableSpec  # noqa: E402
-from carelake.session import DEFAULT_CONF  # noqa: E402
+from carelake.plans.warehouse import (JOBS, WIDE_LOOKUP_COLUMNS,  # noqa: E402
+                                      enrich_doctor_hospital_patient)
+from carelake.session import DEFAULT_CONF, work_dir  # noqa: E402
 from carelake.sources.changelog import read_changelog  # noqa: E402
-from carelake.sources.specs import ODS_DICT  # noqa: E402
+from carelake.sources.specs import ARRIVAL, ODS_DICT, ROWKIND, TableSpec  # noqa: E402
 from carelake.streaming.jobs import start_job, start_table, state_lookup  # noqa: E402
 from carelake.streaming.sink import live_view, read_feed, read_state, upsert  # noqa: E402
 from carelake.streaming.wait import lookup_join_wait  # noqa: E402
