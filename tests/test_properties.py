@@ -88,3 +88,21 @@ def test_compacted_feed_equals_diff_of_versions(spark, tmp_dir):
         got = compact_feed(feed, ["id"], lo, hi).select("rowkind", "id", "v")
         want = snapshot_diff(state_after(lo), state_after(hi), ["id"])
         assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_filter_on_updating_source_matches_brute_force(spark):
+    """A key is present iff its latest change is live and passes the filter."""
+    from pyspark.sql import functions as F
+    from carelake.operators import filter_changelog, materialize
+    rnd = random.Random(3)
+    for _ in range(3):
+        rows = [(rnd.randint(0, 5), rnd.choice([None, 5, 20, 30]), rnd.choice(["+I", "+U", "-U", "-D"]), a)
+                for a in range(rnd.randint(5, 40))]
+        df = spark.createDataFrame(rows, "k int, v int, rowkind string, arrival long")
+        got = materialize(filter_changelog(df, F.col("v") > 10), ["k"])
+        want = []
+        for k in sorted({r[0] for r in rows}):
+            last = max((r for r in rows if r[0] == k), key=lambda r: r[3])
+            if last[2] in ("+I", "+U") and last[1] is not None and last[1] > 10:
+                want.append((k, last[1]))
+        assert sorted(tuple(r) for r in got.collect()) == want
