@@ -8,6 +8,7 @@ result as DuckDB SQL over the same tables.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -347,6 +348,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_change_feed": q_stream_change_feed,
     "stream_lookup_wait": q_stream_lookup_wait,
 }
+_SQL: dict[str, str] = dict(_oracle.ORACLE)
+
+# The training-data operators are an optional subpackage: without it the rest works alone.
+if importlib.util.find_spec("carelake.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
+    from carelake.llm import queries as _llm
+    _QUERIES |= _llm.QUERIES | {"pipeline": corpus_pipeline.run}
+    _SQL |= _llm.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -361,4 +370,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL with the same result for each key of ``queries()``."""
-    return {k: v for k, v in _oracle.ORACLE.items() if k in _QUERIES}
+    return {k: v for k, v in _SQL.items() if k in _QUERIES}
