@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import RecentCache, map_blocks, read_table
+from .common import RecentCache, map_blocks, read_table, ship
 
 #: A vocabulary file over this size is refused: it is shipped to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -243,6 +243,7 @@ def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "dec
     schema = _with(df, T.StructField(out, T.BinaryType(), False))
     from pyspark.sql.pandas.types import to_arrow_schema
     target = to_arrow_schema(schema)
+    ship(df.sparkSession)
 
     def run(batches):
         if vocabulary not in _TABLES:

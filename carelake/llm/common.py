@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +17,20 @@ from carelake.session import work_dir
 BLOCK_CHARS = 4_000_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_carelake_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="carelake-")) / "carelake.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    sc._carelake_shipped = True
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -76,6 +93,7 @@ def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], s
     """``fn(batch, texts)`` returns the columns of its block, by name of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema
     target = to_arrow_schema(schema)
+    ship(df.sparkSession)
 
     def run(batches):
         for batch, texts in text_blocks(batches):

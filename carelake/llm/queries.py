@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
+from .token_files import op8_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_token_files": op8_token_files,
     "op9_bpe": op9_bpe,
 }
 SQL: dict[str, str] = {}
