@@ -35,7 +35,7 @@ from .common import RecentCache, map_blocks, read_table, ship
 #: A vocabulary file over this size is refused: it is shipped to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Words and chunks that a Python worker remembers (twice as many at most).
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 400_000
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -59,16 +59,20 @@ class MergeReplay:
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
         self.byte_table = np.array(self.byte_ids)
         self.first_ranks = np.array([[ranks.get(bytes([a, b]), -1) for b in range(256)] for a in range(256)])
-        self.pairs: dict[tuple[int, int], int] = {}
+        # Left token to right token to the rank of their merge (-1: none), as far as pairs came up.
+        self.pairs: list[dict[int, int]] = [{} for _ in range(max(ranks.values()) + 1)]
+        self.n_pairs = 0
 
     def rank(self, a: int, b: int) -> int:
         """The rank of the merge of two neighbouring tokens, -1 without one."""
-        pair = (a, b)
-        r = self.pairs.get(pair)
+        r = self.pairs[a].get(b)
         if r is None:
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            r = self.pairs[pair] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
+            if self.n_pairs > 2_000_000:
+                for known in self.pairs:
+                    known.clear()
+                self.n_pairs = 0
+            r = self.pairs[a][b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
+            self.n_pairs += 1
         return r
 
     def encode(self, words: Iterable[bytes]) -> list[tuple[int, ...]]:
@@ -98,7 +102,7 @@ class MergeReplay:
         first = list(zip(split, starts.tolist(), strict=True))
         token = tokens.tolist()
         after, before = list(range(1, size + 1)), list(range(-1, size - 1))
-        rank, get = self.rank, self.pairs.get
+        rank, pairs = self.rank, self.pairs
         queue = list(index)
         heapq.heapify(queue)
         doubtful: list[int] = []  # positions where a merge made a pair of lower rank
@@ -112,25 +116,37 @@ class MergeReplay:
                 if a < 0:
                     continue
                 b = token[q]
-                if b < 0 or (get((a, b)) or rank(a, b)) != r:
+                if b < 0 or (pairs[a].get(b) or rank(a, b)) != r:
                     continue
                 n, l = after[q], before[p]
                 token[p], token[q] = r, -2
                 after[p], before[n] = n, p
-                for left, at in ((token[l], l), (token[n], p)):
-                    if left >= 0:
-                        pair = (left, r) if at == l else (r, left)
-                        k = get(pair)
-                        if k is None:
-                            k = rank(*pair)
-                        if k >= 0:
-                            if k < r:
-                                doubtful.append(p)
-                            if k in index:
-                                index[k].append(at)
-                            else:
-                                index[k] = [at]
-                                heapq.heappush(queue, k)
+                t = token[l]
+                if t >= 0:
+                    k = pairs[t].get(r)
+                    if k is None:
+                        k = rank(t, r)
+                    if k >= 0:
+                        if k in index:
+                            index[k].append(l)
+                        else:
+                            index[k] = [l]
+                            heapq.heappush(queue, k)
+                        if k < r:
+                            doubtful.append(p)
+                t = token[n]
+                if t >= 0:
+                    k = pairs[r].get(t)
+                    if k is None:
+                        k = rank(r, t)
+                    if k >= 0:
+                        if k in index:
+                            index[k].append(p)
+                        else:
+                            index[k] = [p]
+                            heapq.heappush(queue, k)
+                        if k < r:
+                            doubtful.append(p)
         for w, p in first:
             ids = []
             while token[p] >= 0:
@@ -166,42 +182,47 @@ def chunks_of(text: str) -> list[str]:
     return _CHUNK.split(text) if _ODD.search(text) or text[-1:] == " " else text.split(" ")
 
 
+def _key(text: str) -> str | tuple[str, str]:
+    return text[1:] if text[:1] == " " else ("", text)
+
+
 class BlockEncoder:
     """Encodes blocks of texts; ``pre_token`` is the pattern that cuts a text."""
 
     def __init__(self, ranks: dict[bytes, int], pre_token: str, cache: int = CACHE_ENTRIES):
         self.replay = MergeReplay(ranks)
         self.find = regex.compile(pre_token).findall
-        self.chunks, self.words = RecentCache(cache), RecentCache(cache)
+        # Ids of chunks and pre-tokens: by what follows their first space, or by ("", text) if there is none.
+        self.known = RecentCache(cache)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian 32-bit integers."""
         cut = [chunks_of(t) for t in texts]
-        # A chunk is kept without the space before it, the first chunk of a text (no space) apart.
-        heads = [c[0] for c in cut]
-        seen: set[str] = set()
         for c in cut:
-            seen.update(c[1:])
-        self._learn(heads, seen)
-        known = self.chunks.new
-        out = [b"".join([known["", h], *map(known.__getitem__, c[1:])])
-               for h, c in zip(heads, cut, strict=True)]
-        self.chunks.trim()
-        self.words.trim()
+            c[0] = _key(c[0])
+        seen: set = set()
+        for c in cut:
+            seen.update(c)
+        self._learn(seen)
+        known = self.known.new
+        out = [b"".join(map(known.__getitem__, c)) for c in cut]
+        self.known.trim()
         return out
 
-    def _learn(self, heads: Iterable[str], rest: set[str]) -> None:
-        new = self.chunks.missing({("", h) for h in heads})
-        new += self.chunks.missing(rest)
-        pieces = [self.find(k[1] if isinstance(k, tuple) else " " + k) for k in new]
-        words = self.words.missing({w for p in pieces for w in p})
-        store = self.words.new
+    def _learn(self, seen: Iterable) -> None:
+        new = self.known.missing(seen)
+        known = self.known.new
+        pieces = {k: self.find(k[1] if isinstance(k, tuple) else " " + k) for k in new}
+        words = {w: _key(w) for p in pieces.values() for w in p}
+        unknown = set(self.known.missing(words.values()))
+        words = [w for w, k in words.items() if k in unknown]
+        # A chunk that is one pre-token has the same key; the others are put together afterwards.
         for w, ids in zip(words, self.replay.encode([w.encode("utf-8", "surrogatepass") for w in words]),
                           strict=True):
-            store[w] = np.array(ids, "<u4").tobytes()
-        known = self.chunks.new
-        for k, p in zip(new, pieces, strict=True):
-            known[k] = b"".join([store[w] for w in p])
+            known[_key(w)] = np.array(ids, "<u4").tobytes()
+        for k, p in pieces.items():
+            if len(p) != 1:
+                known[k] = b"".join([known[_key(w)] for w in p])
 
 
 _WORKER: dict = {}

@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
+from .token_counts import op5_token_counts
 from .token_files import op8_token_files
+from .toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_token_counts": op5_token_counts,
+    "op6_toxicity": op6_toxicity,
     "op8_token_files": op8_token_files,
     "op9_bpe": op9_bpe,
 }
