@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
+from .language_id import op3_language_id
 from .token_counts import op5_token_counts
 from .token_files import op8_token_files
 from .toxicity import op6_toxicity
+from .url_filter import op2_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
+    "op3_language_id": op3_language_id,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
     "op8_token_files": op8_token_files,
