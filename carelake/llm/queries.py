@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
 from .language_id import op3_language_id
+from .secrets import SQL as SECRETS_SQL, op10_secret_scan
 from .token_counts import op5_token_counts
 from .token_files import op8_token_files
 from .toxicity import op6_toxicity
@@ -20,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op8_token_files": op8_token_files,
     "op9_bpe": op9_bpe,
+    "op10_secret_scan": op10_secret_scan,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_secret_scan": SECRETS_SQL}
