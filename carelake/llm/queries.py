@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
+from .decontamination import op7_decontamination
 from .language_id import op3_language_id
 from .secrets import SQL as SECRETS_SQL, op10_secret_scan
 from .token_counts import op5_token_counts
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op7_decontamination": op7_decontamination,
     "op8_token_files": op8_token_files,
     "op9_bpe": op9_bpe,
     "op10_secret_scan": op10_secret_scan,
