@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
 from .decontamination import op7_decontamination
+from .jaccard_join import op1_jaccard_join
 from .language_id import op3_language_id
 from .secrets import SQL as SECRETS_SQL, op10_secret_scan
 from .token_counts import op5_token_counts
@@ -16,6 +17,7 @@ from .toxicity import op6_toxicity
 from .url_filter import op2_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_url_filter": op2_url_filter,
     "op3_language_id": op3_language_id,
     "op5_token_counts": op5_token_counts,
