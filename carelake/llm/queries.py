@@ -10,6 +10,7 @@ from .bpe import op9_bpe
 from .decontamination import op7_decontamination
 from .jaccard_join import op1_jaccard_join
 from .language_id import op3_language_id
+from .nn_descent import op4_nn_descent
 from .secrets import SQL as SECRETS_SQL, op10_secret_scan
 from .token_counts import op5_token_counts
 from .token_files import op8_token_files
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_url_filter": op2_url_filter,
     "op3_language_id": op3_language_id,
+    "op4_nn_descent": op4_nn_descent,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
