@@ -182,7 +182,7 @@ def chunks_of(text: str) -> list[str]:
     return _CHUNK.split(text) if _ODD.search(text) or text[-1:] == " " else text.split(" ")
 
 
-def _key(text: str) -> str | tuple[str, str]:
+def chunk_key(text: str) -> str | tuple[str, str]:
     return text[1:] if text[:1] == " " else ("", text)
 
 
@@ -199,7 +199,7 @@ class BlockEncoder:
         """Each text's ids as little-endian 32-bit integers."""
         cut = [chunks_of(t) for t in texts]
         for c in cut:
-            c[0] = _key(c[0])
+            c[0] = chunk_key(c[0])
         seen: set = set()
         for c in cut:
             seen.update(c)
@@ -213,16 +213,16 @@ class BlockEncoder:
         new = self.known.missing(seen)
         known = self.known.new
         pieces = {k: self.find(k[1] if isinstance(k, tuple) else " " + k) for k in new}
-        words = {w: _key(w) for p in pieces.values() for w in p}
+        words = {w: chunk_key(w) for p in pieces.values() for w in p}
         unknown = set(self.known.missing(words.values()))
         words = [w for w, k in words.items() if k in unknown]
         # A chunk that is one pre-token has the same key; the others are put together afterwards.
         for w, ids in zip(words, self.replay.encode([w.encode("utf-8", "surrogatepass") for w in words]),
                           strict=True):
-            known[_key(w)] = np.array(ids, "<u4").tobytes()
+            known[chunk_key(w)] = np.array(ids, "<u4").tobytes()
         for k, p in pieces.items():
             if len(p) != 1:
-                known[k] = b"".join([known[_key(w)] for w in p])
+                known[k] = b"".join([known[chunk_key(w)] for w in p])
 
 
 _WORKER: dict = {}

@@ -27,6 +27,8 @@ its own; other columns of the input are not read.
 from __future__ import annotations
 
 import json
+import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from carelake.session import work_dir
 
-from .bpe import chunks_of, read_vocabulary
+from .bpe import chunk_key, chunks_of, read_vocabulary
 from .common import RecentCache, cut, read_table, ship, text_blocks
 
 #: Longest code in bits (more, if the vocabulary needs it).
@@ -47,7 +49,7 @@ BLOCK_IDS = 1 << 20
 #: The id after each document.
 END_ID = 0
 #: Chunks that a Python worker remembers (twice as many at most).
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 400_000
 
 ID_SCHEMA = "doc_id long, part long, row long, before long, n_tokens long, ids binary"
 BLOCK_SCHEMA = ("part long, first_row long, before long, doc_ids array<long>, sizes array<long>, "
@@ -60,6 +62,7 @@ class LibraryEncoder:
     """Encodes texts with a tokenizers file; chunks that never share a token are encoded once."""
 
     def __init__(self, content: bytes):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
         from tokenizers import Tokenizer
         text = content.decode()
         self.tokenizer = Tokenizer.from_str(text)
@@ -70,28 +73,33 @@ class LibraryEncoder:
                          and not pre.get("add_prefix_space") and not spec.get("normalizer"))
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.chunks = RecentCache(CACHE_ENTRIES)
+        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = np.cumsum([len(x) for x in ids]).tolist()
+        data = np.fromiter(chain.from_iterable(ids), self.width, ends[-1] if ends else 0).tobytes()
+        size = np.dtype(self.width).itemsize
+        return [data[size * a:size * b] for a, b in zip([0, *ends], ends)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian integers of ``width``."""
         if not self.by_chunk:
             return self._library(texts)
-        whole = [any(a in t for a in self.added) for t in texts]
-        cuts = [None if w else chunks_of(t) for t, w in zip(texts, whole, strict=True)]
+        whole = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
+        cuts = [[""] if k in whole else chunks_of(t) for k, t in enumerate(texts)]
         seen: set = set()
         for c in cuts:
-            if c:
-                seen.add(("", c[0]))
-                seen.update(c[1:])
+            c[0] = chunk_key(c[0])
+            seen.update(c)
         new = self.chunks.missing(seen)
         known = self.chunks.new
         known.update(zip(new, self._library([k[1] if isinstance(k, tuple) else " " + k for k in new]),
                          strict=True))
-        out = [self._library([t])[0] if c is None else
-               b"".join([known["", c[0]], *map(known.__getitem__, c[1:])])
-               for t, c in zip(texts, cuts, strict=True)]
+        get = known.__getitem__
+        out = [b"".join(map(get, c)) for c in cuts]
+        for k in whole:
+            out[k] = self._library([texts[k]])[0]
         self.chunks.trim()
         return out
 
@@ -117,20 +125,19 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) ->
     ship(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
     target = to_arrow_schema(T._parse_datatype_string(ID_SCHEMA))
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         part, row, before = TaskContext.get().partitionId(), 0, 0
         for batch, texts in text_blocks(batches):
             encoder = _encoder(vocabulary, content.value)
-            width = "<u2" if encoder.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-            ids = [np.frombuffer(x + tail, "<u4").astype(width) for x in encoder(texts)]
-            sizes = np.array([len(x) for x in ids], np.int64)
+            tail = b"" if end_id is None else np.array([end_id], encoder.width).tobytes()
+            ids = [x + tail for x in encoder(texts)]
+            sizes = np.array([len(x) for x in ids], np.int64) // np.dtype(encoder.width).itemsize
             ends = before + np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).cast(pa.int64()), pa.array(np.full(len(ids), part)),
                 pa.array(np.arange(row, row + len(ids))), pa.array(ends - sizes), pa.array(sizes),
-                pa.array([x.tobytes() for x in ids], pa.binary())], schema=target)
+                pa.array(ids, pa.binary())], schema=target)
             row, before = row + len(ids), int(ends[-1])
 
     text = F.col("text").cast("string")
