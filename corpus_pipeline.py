@@ -1,9 +1,90 @@
-"""The corpus pipeline: toxicity, near duplicates, benchmark passages, secrets, token ids."""
+"""The corpus pipeline: toxicity, near duplicates, benchmark passages, secrets, token ids.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what it
+returns is written as Parquet and read again as the next stage's ``docs``. All
+but the last return the columns of ``documents``, of every row they keep:
+
+* ``toxicity``: documents that the fitted model calls toxic go. The model learns
+  from those rows of ``docs`` that have a label (two folds, as op6 does).
+* ``near_duplicates``: of each component of similar documents the one with the
+  smallest doc_id stays (once, if its row is repeated). Rows without doc_id, rows that
+  share a doc_id but not a text, and documents without words are not removed.
+* ``benchmark``: documents that hold a benchmark passage go.
+* ``secrets``: spans of secrets are replaced by ``[SECRET]``; n_chars follows.
+* ``token_ids``: doc_id, n_tokens and digests of ids and decoded bytes.
+
+Nulls, empty texts, repeated rows and empty tables pass as the operators'
+docstrings say; a null n_chars stays null. Columns beyond those of documents are dropped.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from carelake.llm.bpe import encoded_digests
+from carelake.llm.common import cut, read_table
+from carelake.llm.decontamination import mark_contaminated
+from carelake.llm.jaccard_join import similarity_components
+from carelake.llm.secrets import redact, scan
+from carelake.llm.toxicity import fit_toxicity, fold, score_toxicity
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    model = fit_toxicity(docs.select("doc_id", "text"), read_table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return score_toxicity(docs, model).where("predicted = 0").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    found = similarity_components(docs.select("doc_id", "text"))
+    # The ids that go: they have a word and a smaller id in their component. Ids are few bytes; texts are shuffled
+    # only if the rows that go are too many to broadcast.
+    gone = cut(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    small = F.broadcast(gone) if gone.count() <= 1_000_000 else gone
+    kept = docs.join(small, "doc_id", "left_anti")
+    # Repeated rows: one stays, but for rows without words, which are nobody's duplicate.
+    repeated = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    repeated = cut(repeated, "repeated")
+    if not repeated.limit(1).count():
+        return kept.select(*COLUMNS)
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    small = F.broadcast(repeated) if repeated.count() <= 1_000_000 else repeated
+    shared = kept.join(small, "doc_id").select(*COLUMNS)
+    first = shared.where(words).dropDuplicates(["doc_id", "text"])
+    return (kept.join(small, "doc_id", "left_anti").select(*COLUMNS)
+            .unionByName(first).unionByName(shared.where(~words)))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    marked = mark_contaminated(docs.select(*COLUMNS), read_table(spark, sf_dir, "benchmark"))
+    return marked.where(F.size("matches") == 0).select(*COLUMNS)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = redact(scan(docs.select(*COLUMNS)))
+    changed = F.when((F.size("spans") > 0) & F.col("n_chars").isNotNull(), F.length("text").cast("long"))
+    return found.withColumn("n_chars", F.coalesce(changed, F.col("n_chars"))).select(*COLUMNS)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return encoded_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("benchmark", benchmark),
+          ("secrets", secrets), ("token_ids", token_ids)]
+#: Toxicity is learned by a fit that SQL doesn't express; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``."""
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = cut(docs, f"stage-{name}")
     return docs
