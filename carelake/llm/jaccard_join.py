@@ -15,8 +15,8 @@ Steps, all distributed:
 2. ``prefixes``: each document's size, set id (equal sets have equal ids and are one node from
    here on) and prefix. Repeated sets within a task send their prefix once.
 3. Prefix shingles are aggregated to their least and greatest node (map-side combine);
-   those with one node only are done with. Of the others, star pairs (each node with the least and the
-   greatest) are verified first and give components.
+   those with one node only are done with. Of the others, star pairs (each node with the ``LEADERS`` of the
+   least and greatest nodes that it shares most with) are verified first and give components.
 4. Pairs of different components that share enough prefix shingles and were not
    verified yet are verified. So within a group of near copies a linear number of pairs
    is looked at, and no link between components is lost.
@@ -36,10 +36,11 @@ Hashes have 64 bits.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import cut, read_table, ship, text_blocks
 
@@ -50,6 +51,8 @@ NUMERATOR, DENOMINATOR = 75, 100
 PER_BUCKET, MIN_BITS, MAX_BITS = 128, 14, 24
 #: Least and greatest number of shared shingles that a document asks for.
 LEAST_MATCHES, MOST_MATCHES = 2, 8
+#: Partners of each node that are verified before pairs between components are looked for.
+LEADERS = 2
 #: Rows that are broadcast at most; beyond, joins are shuffled.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -151,12 +154,12 @@ def count_sketch(docs: DataFrame, bits: int) -> np.ndarray:
         used = [k for k in range(len(slices)) if slices[k].any()]
         yield pa.RecordBatch.from_arrays([
             pa.array(used, pa.int32()), pa.array([salt] * len(used), pa.int32()),
-            pa.array([slices[k].tobytes() for k in used], pa.binary())], names=["slice", "salt", "counts"])
+            pa.array([_packed(slices[k]) for k in used], pa.binary())], names=["slice", "salt", "counts"])
 
     def add(frame):
         import pandas as pd
-        total = sum(np.frombuffer(x, np.int64) for x in frame["counts"])
-        return pd.DataFrame({"slice": frame["slice"][:1], "salt": frame["salt"][:1], "counts": [total.tobytes()]})
+        total = sum(np.frombuffer(zlib.decompress(x), np.int64) for x in frame["counts"])
+        return pd.DataFrame({"slice": frame["slice"][:1], "salt": frame["salt"][:1], "counts": [_packed(total)]})
 
     schema = "slice int, salt int, counts binary"
     parts = docs.select("text").mapInArrow(count, schema)
@@ -164,10 +167,14 @@ def count_sketch(docs: DataFrame, bits: int) -> np.ndarray:
     parts = parts.groupBy("slice").applyInPandas(add, schema)
     out = np.zeros((1 << bits - width, 1 << width), np.int64)
     for r in parts.collect():  # 2 ** MAX_BITS numbers at most
-        out[r["slice"]] = np.frombuffer(r["counts"], np.int64)
+        out[r["slice"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     return out.reshape(-1)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.tobytes(), 1)
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
     """0 for buckets that are no fuller than chance has it, else 1 + the logarithm of the excess."""
     usual = float(np.median(counts))
@@ -302,10 +309,16 @@ def similarity_components(docs: DataFrame) -> DataFrame:
                 .where((DENOMINATOR * F.least("na", "nb") >= NUMERATOR * F.greatest("na", "nb"))
                        & (F.col("shared") >= F.least("ma", "mb"))).select("a", "b"))
 
-    star_pairs = (tokens.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-                  .unionByName(stars.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")))
-                  .unionByName(stars.where("node <> hi").select(F.col("node").alias("a"), F.col("hi").alias("b"))))
-    first = cut(enough(star_pairs.groupBy("a", "b").agg(F.count("*").alias("shared"))), "pairs")
+    # Star pairs: of the leaders that a node shares prefix shingles with, the ones it shares most with.
+    leads = stars.select("node", F.explode(F.array("lo", "hi")).alias("leader")).where("node <> leader")
+    twos = tokens.where("n = 2").select(F.explode(F.array(
+        F.struct(F.col("lo").alias("node"), F.col("hi").alias("leader")),
+        F.struct(F.col("hi").alias("node"), F.col("lo").alias("leader")))).alias("x")).select("x.*")
+    leads = leads.unionByName(twos).groupBy("node", "leader").agg(F.count("*").alias("shared"))
+    most = Window.partitionBy("node").orderBy(F.desc("shared"), "leader")
+    leads = leads.withColumn("k", F.row_number().over(most)).where(F.col("k") <= LEADERS)
+    star_pairs = leads.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "shared")
+    first = cut(enough(star_pairs.groupBy("a", "b").agg(F.max("shared").alias("shared"))), "pairs")
     links = cut(similar_pairs(docs, nodes, first, "verify"), "links")
     label = components(links)
 
@@ -313,11 +326,16 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     placed = (postings.join(label, "node", "left")
               .select("token", "node", F.coalesce("label", "node").alias("label")))
     placed = cut(placed, "postings")
-    mixed = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-    placed = cut(placed.join(mixed, "token", "left_semi"), "mixed")
-    left = placed.select("token", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = placed.select("token", F.col("node").alias("b"), F.col("label").alias("lb"))
-    across = left.join(right, "token").where("a < b and la <> lb").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    # A shingle's largest component there is met by the others' nodes alone: pairs within it are not made.
+    sizes = placed.groupBy("token", "label").agg(F.count("*").alias("n"))
+    mixed = (sizes.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
+             .where("labels > 1").select("token", "main"))
+    placed = cut(placed.join(mixed, "token"), "mixed")
+    left = placed.where("label <> main").select("token", F.col("node").alias("x"), F.col("label").alias("lx"))
+    right = placed.select("token", F.col("node").alias("y"), F.col("label").alias("ly"), "main")
+    across = left.join(right, "token").where("lx <> ly and (ly = main or x < y)")
+    across = (across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+              .groupBy("a", "b").agg(F.count("*").alias("shared")))
     rest = cut(enough(across).join(first, ["a", "b"], "left_anti"), "rest")
     if rest.limit(1).count():
         label = components(links.unionByName(cut(similar_pairs(docs, nodes, rest, "verify-rest"), "more-links")))
