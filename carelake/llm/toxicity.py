@@ -46,7 +46,7 @@ PRIOR = 0.05
 #: Lengths of word beginnings that are units.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Words that a Python worker remembers (twice as many at most).
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 100_000
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W\d_]+")
