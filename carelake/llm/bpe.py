@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import RecentCache, map_blocks, read_table, ship
+from .common import RecentCache, held, map_blocks, read_table, ship
 
 #: A vocabulary file over this size is refused: it is shipped to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -225,37 +225,40 @@ class BlockEncoder:
                 known[k] = b"".join([known[chunk_key(w)] for w in p])
 
 
-_WORKER: dict = {}
-
-
-def _encoder(key: tuple, content: bytes, pre_token: str) -> BlockEncoder:
-    """One encoder per Python worker, vocabulary and pattern."""
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = BlockEncoder(parse_ranks(content), pre_token)
-    return _WORKER[key]
-
-
 def _with(df: DataFrame, *fields: T.StructField) -> T.StructType:
     names = {f.name for f in fields}
     return T.StructType([f for f in df.schema.fields if f.name not in names] + list(fields))
 
 
 def bpe_encode(df: DataFrame, vocabulary: str, pre_token: str, text: str = "text",
-               out: str = "ids") -> DataFrame:
-    """``df`` with the ids of each text as ``array<int>`` in column ``out``."""
+               out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``df`` with the ids of each text as ``array<int>`` in column ``out``; with ``decoded``, also
+    the bytes that those ids stand for, in that column (``bpe_decode`` without another pass)."""
     content = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    key = (vocabulary, pre_token)
-    schema = _with(df.withColumn(text, F.col(text).cast("string")), T.StructField(out, T.ArrayType(T.IntegerType(), False), False))
+    key = ("bpe", vocabulary, pre_token)
+    df = df.withColumn(text, F.col(text).cast("string"))
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType(), False), False)]
+    if decoded:
+        fields.append(T.StructField(decoded, T.BinaryType(), False))
 
     def block(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        coded = _encoder(key, content.value, pre_token)(texts)
+        encoder = held(key, lambda: BlockEncoder(parse_ranks(content.value), pre_token))
+        coded = encoder(texts)
         ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), "<i4")))
-        return {n: batch.column(i) for i, n in enumerate(batch.schema.names)} | {
+        columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)} | {
             out: ids.cast(pa.list_(pa.field("element", pa.int32(), False)))}
+        if decoded:
+            columns[decoded] = _decoded(ids, encoder.replay.bytes_of)
+        return columns
 
-    return map_blocks(df.withColumn(text, F.col(text).cast("string")), block, schema)
+    return map_blocks(df, block, _with(df, *fields))
+
+
+def _decoded(ids: pa.Array, bytes_of: dict[int, bytes]) -> pa.Array:
+    table = bytes_of.__getitem__
+    return pa.array([b"".join(map(table, x.values.to_numpy().tolist())) if x.is_valid else b"" for x in ids],
+                    pa.binary())
 
 
 def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -267,26 +270,18 @@ def bpe_decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "dec
     ship(df.sparkSession)
 
     def run(batches):
-        if vocabulary not in _TABLES:
-            _TABLES.clear()
-            _TABLES[vocabulary] = {i: b for b, i in parse_ranks(content.value).items()}
-        table = _TABLES[vocabulary].__getitem__
+        bytes_of = {i: b for b, i in parse_ranks(content.value).items()}
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
-                decoded = [b"".join(map(table, x.values.to_numpy().tolist())) if x.is_valid else b""
-                           for x in batch.column(batch.schema.get_field_index(ids))]
                 columns = dict(zip(batch.schema.names, batch.columns, strict=True)) | {
-                    out: pa.array(decoded, pa.binary())}
+                    out: _decoded(batch.column(batch.schema.get_field_index(ids)), bytes_of)}
                 yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in target],
                                                  schema=target)
 
     return df.mapInArrow(run, schema)
 
 
-_TABLES: dict = {}
-
-
 def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None,
             pre_token: str | None = None) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document's whole text."""
@@ -297,8 +292,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None,
 
 
 def encoded_digests(docs: DataFrame, vocabulary: str, pre_token: str) -> DataFrame:
-    coded = bpe_encode(docs.select("doc_id", "text"), vocabulary, pre_token).drop("text")
-    return bpe_decode(coded, vocabulary).select(
+    """doc_id, n_tokens and digests of each document's ids and of the bytes decoded from them."""
+    return bpe_encode(docs.select("doc_id", "text"), vocabulary, pre_token, decoded="decoded").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

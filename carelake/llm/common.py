@@ -89,6 +89,18 @@ class RecentCache:
             self.new, self.old = {}, self.new
 
 
+_HELD: dict = {}
+
+
+def held(key, make: Callable):
+    """What ``make()`` gives, kept in the Python worker until another key is asked for: workers are
+    used again by other tasks and operators, and only one large object stays in each."""
+    if _HELD.get("key") != key:
+        _HELD.clear()
+        _HELD.update(key=key, value=make())
+    return _HELD["value"]
+
+
 def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], schema) -> DataFrame:
     """``fn(batch, texts)`` returns the columns of its block, by name of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema

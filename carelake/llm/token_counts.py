@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .bpe import MAX_VOCABULARY_BYTES
-from .common import RecentCache, map_blocks, read_table
+from .common import RecentCache, held, map_blocks, read_table
 
 #: Before each word.
 WORD_MARK = "▁"
@@ -97,21 +97,15 @@ class TrieCounter:
         return out
 
 
-_WORKER: dict = {}
-
-
 def token_counts(docs: DataFrame, scores: dict[str, float]) -> DataFrame:
     """doc_id, n_words, n_tokens of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(scores)
-    key = zlib.crc32(repr(sorted(scores.items())).encode("utf-8", "surrogatepass"))
+    key = "trie", zlib.crc32(repr(sorted(scores.items())).encode("utf-8", "surrogatepass"))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
                            T.StructField("n_words", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     def block(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        if key not in _WORKER:
-            _WORKER.clear()
-            _WORKER[key] = TrieCounter(shared.value), RecentCache(CACHE_ENTRIES)
-        counter, cache = _WORKER[key]
+        counter, cache = held(key, lambda: (TrieCounter(shared.value), RecentCache(CACHE_ENTRIES)))
         words = [t.split() for t in texts]
         seen: set[str] = set()
         for w in words:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from carelake.session import work_dir
 
 from .bpe import chunk_key, chunks_of, read_vocabulary
-from .common import RecentCache, cut, read_table, ship, text_blocks
+from .common import RecentCache, cut, held, read_table, ship, text_blocks
 
 #: Longest code in bits (more, if the vocabulary needs it).
 LIMIT = 20
@@ -104,16 +104,6 @@ class LibraryEncoder:
         return out
 
 
-_WORKER: dict = {}
-
-
-def _encoder(key: str, content: bytes) -> LibraryEncoder:
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = LibraryEncoder(content)
-    return _WORKER[key]
-
-
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) -> DataFrame:
     """Ids of every document, in ascending doc_id order within and between the parts.
 
@@ -129,7 +119,7 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) ->
     def run(batches):
         part, row, before = TaskContext.get().partitionId(), 0, 0
         for batch, texts in text_blocks(batches):
-            encoder = _encoder(vocabulary, content.value)
+            encoder = held(("library", vocabulary), lambda: LibraryEncoder(content.value))
             tail = b"" if end_id is None else np.array([end_id], encoder.width).tobytes()
             ids = [x + tail for x in encoder(texts)]
             sizes = np.array([len(x) for x in ids], np.int64) // np.dtype(encoder.width).itemsize

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import RecentCache, map_blocks, read_table, ship, text_blocks
+from .common import RecentCache, held, map_blocks, read_table, ship, text_blocks
 
 #: Labelled documents to learn from, of each class.
 MAX_DOCS = 5000
@@ -226,14 +226,11 @@ def _segments_of(model: ToxicityModel, words: list[str], cache: dict | None = No
 
 # ---------------------------------------------------------------- score
 
-_WORKER: dict = {}
-
-
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` with score, predicted (1 from ``THRESHOLD``) and passages (start, end in
     characters of the text and score) of every significant segment."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    key = id(shared), hash(tuple(model.units.items())), model.curve
+    key = "toxicity", hash(tuple(model.units.items())), model.curve
     names = ("score", "predicted", "passages")
     docs = docs.drop(*names).withColumn("text", F.col("text").cast("string"))
     schema = T.StructType(docs.schema.fields + [
@@ -242,9 +239,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def block(batch: pa.RecordBatch, texts: list[str]) -> dict:
         model = shared.value
-        if _WORKER.get("key") != key:
-            _WORKER.update(key=key, cache=RecentCache(CACHE_ENTRIES))
-        cache = _WORKER["cache"]
+        cache = held(key, lambda: RecentCache(CACHE_ENTRIES))
         words = [_WORD.findall(t.lower()) for t in texts]
         seen: set[str] = set()
         for w in words:
