@@ -23,19 +23,23 @@ from pyspark.sql import types as T  # noqa: E402
 
 import oracle_sql as _oracle  # noqa: E402
 from carelake.functions.conform import conform  # noqa: E402
-from carelake.functions.timeparts import day_of, hour_of, minute_of  # noqa: E402
-from carelake.operators import (decode_codes, filter_changelog, inserts_only,  # noqa: E402
+from carelake.functions.timeparts import day_of, hour_of, minute_of, proc_time  # noqa: E402
+from carelake.operators import (compact_feed, decode_codes, filter_changelog, inserts_only,  # noqa: E402
                                 latest_by_key, lookup_join, lookup_join_asof, materialize,
                                 merge_state, snapshot_diff)
 from carelake.plans import standins  # noqa: E402
 from carelake.plans.batch import Warehouse, table_reader  # noqa: E402
-from carelake.plans.warehouse import (JOBS, WIDE_LOOKUP_COLUMNS,  # noqa: E402
-                                      enrich_doctor_hospital_patient)
+from carelake.plans.warehouse import (JOBS, WIDE_LOOKUP_COLUMNS, build,  # noqa: E402
+                                      doctor_insert_preview, enrich_doctor_hospital_patient,
+                                      keyed_rows, wide_output)
 from carelake.session import DEFAULT_CONF, work_dir  # noqa: E402
 from carelake.sources.changelog import read_changelog  # noqa: E402
 from carelake.sources.specs import ARRIVAL, ODS_DICT, ROWKIND, TableSpec  # noqa: E402
 from carelake.streaming.jobs import start_job, start_table, state_lookup  # noqa: E402
-from carelake.streaming.sink import live_view, read_feed, read_state, upsert  # noqa: E402
+from carelake.streaming import sink  # noqa: E402
+from carelake.streaming.chain import wait_step, wide_stages  # noqa: E402
+from carelake.streaming.location import current, open_table, publish  # noqa: E402
+from carelake.streaming.sink import exists, live_view, read_feed, read_state, upsert  # noqa: E402
 from carelake.streaming.wait import lookup_join_wait  # noqa: E402
 
 ROCKSDB_PROVIDER = DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"]
@@ -223,43 +227,221 @@ def q_lookup_asof_wait(spark, sf_dir):
 
 # --------------------------------------------------------------- stream keys
 
-def _land(df: DataFrame, path: str, files: int) -> None:
-    """Write change rows as ``files`` files into a landing folder (append)."""
-    df.repartition(files).write.mode("append").parquet(path)
+def _land(df: DataFrame, path: str) -> None:
+    """Append change rows to a landing folder, in as many files as they have partitions."""
+    df.write.mode("append").parquet(path)
+
+
+def _half(df: DataFrame, second: bool) -> DataFrame:
+    return df.filter((F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 1) == F.lit(second))
+
+
+def _stream_job(spark, sf_dir, job_name: str, log: DataFrame) -> DataFrame:
+    """A job as a stream over its change log, which lands in two parts, each a run of its own."""
+    t = _t(spark, sf_dir)
+    root = work_dir(spark, f"stream_{job_name}")
+    job = JOBS[job_name]
+    wh = Warehouse(t)
+    lookups = {}
+    for name in job.lookups:
+        if name == "ods_dict":
+            spec, rows = ODS_DICT, conform(standins.ods_dict(t), ODS_DICT.schema)
+        else:
+            spec, dim = JOBS[name].spec, JOBS[name]
+            rows = dim.enrich(dim.prepare(wh.source(dim.source)), **{n: wh.view(n) for n in dim.lookups})
+        upsert(rows, spec, f"{root}/{name}")
+        lookups[name] = state_lookup(spark, spec, f"{root}/{name}")
+    for second in (True, False):  # later changes may land first
+        _land(_half(log, second), f"{root}/landing")
+        stream = read_changelog(spark, f"{root}/landing", log.schema, stream=True)
+        q = start_job(job, stream, f"{root}/state", f"{root}/checkpoint", lookups,
+                      reject_path=f"{root}/rejects", trigger={"availableNow": True})
+        q.awaitTermination()
+    return live_view(spark, job.spec, f"{root}/state")
 
 
 def q_stream_upsert(spark, sf_dir):
-    """W3 as a stream: 4 change-log files, 2 per micro-batch, into its state table."""
+    """W3 as a stream."""
+    return _stream_job(spark, sf_dir, "dwd_patient_register", standins.ods_patient_log(_t(spark, sf_dir)))
+
+
+def q_stream_dim_doctor(spark, sf_dir):
+    """D2 as a stream."""
+    return _stream_job(spark, sf_dir, "dim_doctor", standins.ods_doctor(_t(spark, sf_dir)))
+
+
+def q_stream_dwd_prescription_detail(spark, sf_dir):
+    """W6 as a stream, with its dimension read from a state table."""
+    return _stream_job(spark, sf_dir, "dwd_prescription_detail", standins.ods_prescription_detail(_t(spark, sf_dir)))
+
+
+def q_changing_payment(spark, sf_dir):
+    """W4 over updates, deletes, late and NULL versions."""
+    return build(JOBS["dwd_payment"], standins.changing(standins.ods_payment(_t(spark, sf_dir))), {})
+
+
+def q_changing_review(spark, sf_dir):
+    """W5 over a log in which consultations enter and leave status 207."""
+    return build(JOBS["dwd_review"], standins.changing(standins.ods_consultation(_t(spark, sf_dir))), {})
+
+
+def q_stream_changing_payment(spark, sf_dir):
+    return _stream_job(spark, sf_dir, "dwd_payment", standins.changing(standins.ods_payment(_t(spark, sf_dir))))
+
+
+def q_stream_changing_review(spark, sf_dir):
+    return _stream_job(spark, sf_dir, "dwd_review", standins.changing(standins.ods_consultation(_t(spark, sf_dir))))
+
+
+def q_stream_consultation_wait(spark, sf_dir, deadline_s: float = 600.0):
+    """W8 with its three waits: a third of the doctors become known after the facts."""
     t = _t(spark, sf_dir)
-    root = work_dir(spark, "stream_upsert")
-    job = JOBS["dwd_patient_register"]
-    log = standins.ods_patient_log(t)
-    _land(log, f"{root}/landing", 4)
-    upsert(conform(standins.ods_dict(t), ODS_DICT.schema), ODS_DICT, f"{root}/ods_dict")
-    stream = read_changelog(spark, f"{root}/landing", log.schema, stream=True,
-                            max_files_per_trigger=2)
-    q = start_job(job, stream, f"{root}/state", f"{root}/checkpoint",
-                  {"ods_dict": state_lookup(spark, ODS_DICT, f"{root}/ods_dict")},
-                  reject_path=f"{root}/rejects", trigger={"availableNow": True})
-    q.awaitTermination()
+    root = work_dir(spark, "stream_consultation_wait")
+    job, wh = JOBS["dwd_consultation"], Warehouse(t)
+    late = F.col("id").cast("bigint") % 3 == 0
+
+    def put(name, keep):
+        dim = JOBS[name]
+        rows = dim.enrich(dim.prepare(wh.source(dim.source)), **{n: wh.view(n) for n in dim.lookups})
+        upsert(rows.filter(keep), dim.spec, f"{root}/{name}")
+
+    put("dim_doctor", ~late)
+    put("dim_hospital", F.lit(True))
+    put("dim_patient", F.lit(True))
+    log = standins.ods_consultation(t)
+    _land(log, f"{root}/landing")
+    dims = {n: state_lookup(spark, JOBS[n].spec, f"{root}/{n}") for n in ("dim_doctor", "dim_hospital", "dim_patient")}
+    stages = wide_stages(dims)
+    rows, _ = keyed_rows(job, read_changelog(spark, f"{root}/landing", log.schema))
+
+    def step(n, facts, now):
+        done = wait_step(spark, facts, stages, f"{root}/steps", n, now=now, wait_seconds=300)
+        upsert(wide_output(job.spec, done), job.spec, f"{root}/state", batch_id=n, compact_every=100)
+
+    step(0, rows, 0.0)
+    put("dim_doctor", late)
+    step(1, rows.limit(0), 200.0)    # the late doctors are found
+    for n in (2, 3, 4):              # the rest have waited 300 s at each of the stages
+        step(n, rows.limit(0), 300.0 * n)
     return live_view(spark, job.spec, f"{root}/state")
 
 
+class _Died(Exception):
+    """Stands for a driver that is lost."""
+
+
+def _dying(fn, part: str):
+    """Run ``fn`` with a writer that is lost when it comes to ``part`` of the commit."""
+    whole = getattr(sink, part)
+
+    def lost(*args, **kwargs):
+        raise _Died(part)
+
+    setattr(sink, part, lost)
+    try:
+        fn()
+    except _Died:
+        pass
+    finally:
+        setattr(sink, part, whole)
+
+
+def q_replay_upsert(spark, sf_dir):
+    """Batches lost before and after they are published, each replayed."""
+    path = work_dir(spark, "replay_upsert")
+    rows = _events_rows(_ev(spark, sf_dir))
+    for n, part in enumerate(("_publish", "compact")):
+        batch = _half(rows, bool(n))
+        run = lambda b=batch, n=n: upsert(b, EVENTS_SPEC, path, batch_id=n, compact_every=1)
+        _dying(run, part)
+        run()
+    return live_view(spark, EVENTS_SPEC, path)
+
+
+def _net_feed(spark, feed: str, after: int) -> DataFrame:
+    return compact_feed(read_feed(spark, EVENTS_SPEC, feed), EVENTS_SPEC.pk, after_batch=after)
+
+
+def q_replay_change_feed(spark, sf_dir):
+    """The feed of a commit that was lost between its publication and its feed."""
+    path = work_dir(spark, "replay_change_feed")
+    rows = _events_rows(_ev(spark, sf_dir))
+    for n, phase in enumerate((F.hour("ts") < 12, F.hour("ts") >= 12)):
+        run = lambda p=phase, n=n: upsert(rows.filter(p), EVENTS_SPEC, f"{path}/state",
+                                          feed_path=f"{path}/feed", batch_id=n)
+        _dying(run, "write_feed")
+        run()
+    return _net_feed(spark, f"{path}/feed", 0)
+
+
 def q_stream_change_feed(spark, sf_dir):
-    """Change feed written by the upsert stream: morning events, then the rest."""
+    """Change feed written by the upsert stream: morning events, then the net change by the rest."""
     root = work_dir(spark, "stream_change_feed")
     rows = _events_rows(_ev(spark, sf_dir))
     morning = F.hour("ts") < 12
-    feed = f"{root}/feed"
+    feed, last = f"{root}/feed", -1
     for phase in (rows.filter(morning), rows.filter(~morning)):
-        _land(phase, f"{root}/landing", 3)
+        if phase is not None and last < 0 and exists(spark, feed):
+            last = read_feed(spark, EVENTS_SPEC, feed).agg(F.max("batch_id")).first()[0]
+        _land(phase, f"{root}/landing")
         stream = read_changelog(spark, f"{root}/landing", rows.schema, stream=True)
         q = start_table(EVENTS_SPEC, stream, f"{root}/state", f"{root}/checkpoint",
                         feed_path=feed, trigger={"availableNow": True})
         q.awaitTermination()
-    changes = read_feed(spark, EVENTS_SPEC, feed)
-    last = changes.agg(F.max("batch_id")).first()[0]
-    return changes.filter(F.col("batch_id") == last).drop("batch_id")
+    return _net_feed(spark, feed, last)
+
+
+def q_rebuild_table(spark, sf_dir):
+    """A table with half its rows, rebuilt out of sight and published once it is whole."""
+    root = work_dir(spark, "rebuild_table")
+    rows = _events_rows(_ev(spark, sf_dir))
+    old = open_table(spark, root, EVENTS_SPEC)
+    upsert(_half(rows, True), EVENTS_SPEC, old.state)
+    new = open_table(spark, root, EVENTS_SPEC, rebuild=True, publish_now=False)
+    upsert(rows, EVENTS_SPEC, new.state)
+    if current(spark, root, EVENTS_SPEC.name) != old:
+        raise AssertionError("an unpublished version is in sight")
+    publish(spark, new)
+    return live_view(spark, EVENTS_SPEC, current(spark, root, EVENTS_SPEC.name).state)
+
+
+def q_lookup_asof_changes(spark, sf_dir):
+    """As-of lookup over versions with -U/+U pairs of one time, deletes and re-inserts."""
+    t = _t(spark, sf_dir)
+    facts = t("orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("at"),
+                               F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderkey") % 120).alias("k"))
+    return lookup_join_asof(facts, standins.doctor_versions(t), fact_key="k", dim_key="id", fact_time="at",
+                            dim_time="version_time", cols={"name": "doctor_name"},
+                            kind=ROWKIND).select("o_orderkey", "doctor_name")
+
+
+def q_reject_rows(spark, sf_dir):
+    """Payments of which every fourth has no create_time: what is written and what is rejected."""
+    source = standins.ods_payment(_t(spark, sf_dir))
+    source = source.withColumn("create_time", F.when(F.col("id") % 4 != 0, F.col("create_time")))
+    rows, rejects = keyed_rows(JOBS["dwd_payment"], source)
+    return rows.select("id", F.lit(False).alias("rejected")).unionByName(
+        rejects.select("id", F.lit(True).alias("rejected")))
+
+
+def q_bucket_hash(spark, sf_dir):
+    """The hash layout after two upserts: every key in one bucket within range."""
+    path = work_dir(spark, "bucket_hash")
+    job, wh = JOBS["dim_user"], Warehouse(_t(spark, sf_dir))
+    rows = job.enrich(job.prepare(wh.source(job.source)))
+    for _ in range(2):
+        upsert(rows, job.spec, path, compact_every=1)
+    layout = spark.read.parquet(f"{path}/base").groupBy("id").agg(
+        F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
+    return layout.agg(F.count("*").alias("n_keys"),
+                      F.count_if((F.col("lo") < 0) | (F.col("hi") >= job.spec.buckets)).alias("out_of_range"),
+                      F.count_if(F.col("lo") != F.col("hi")).alias("in_two_buckets"))
+
+
+def q_doctor_preview(spark, sf_dir):
+    """Insert events with one processing time each run."""
+    rows = doctor_insert_preview(standins.ods_doctor_log(_t(spark, sf_dir)))
+    return rows.select("id", "create_time", "name", (F.col("proc_time") == proc_time()).alias("one_time"))
 
 
 def q_stream_lookup_wait(spark, sf_dir, wait_seconds: float = 2.0, deadline_s: float = 300.0):
@@ -273,8 +455,8 @@ def q_stream_lookup_wait(spark, sf_dir, wait_seconds: float = 2.0, deadline_s: f
     dims = e.filter(F.col("event_type") == "signup").select(
         "user_id", "event_id", "ts", "value", F.lit("+I").alias(ROWKIND),
         F.col("event_id").alias(ARRIVAL))
-    _land(facts, f"{root}/facts", 2)
-    _land(dims, f"{root}/dims", 2)
+    _land(facts, f"{root}/facts")
+    _land(dims, f"{root}/dims")
     n_facts = spark.read.parquet(f"{root}/facts").count()
     out = lookup_join_wait(
         read_changelog(spark, f"{root}/facts", facts.schema, stream=True),
@@ -296,11 +478,12 @@ def q_stream_lookup_wait(spark, sf_dir, wait_seconds: float = 2.0, deadline_s: f
              .trigger(processingTime="1 second").start())
     finally:
         for k, v in previous.items():
-            if v is not None:
-                spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     try:
         stop_at = time.time() + deadline_s
-        while time.time() < stop_at:
+        while True:
+            if time.time() >= stop_at:
+                raise TimeoutError(f"not all of {n_facts} facts came out within {deadline_s} s")
             if q.exception() is not None:
                 raise q.exception()
             try:
@@ -347,6 +530,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_upsert": q_stream_upsert,
     "stream_change_feed": q_stream_change_feed,
     "stream_lookup_wait": q_stream_lookup_wait,
+    "changing_payment": q_changing_payment,
+    "changing_review": q_changing_review,
+    "stream_changing_payment": q_stream_changing_payment,
+    "stream_changing_review": q_stream_changing_review,
+    "stream_dim_doctor": q_stream_dim_doctor,
+    "stream_dwd_prescription_detail": q_stream_dwd_prescription_detail,
+    "stream_consultation_wait": q_stream_consultation_wait,
+    "replay_upsert": q_replay_upsert,
+    "replay_change_feed": q_replay_change_feed,
+    "rebuild_table": q_rebuild_table,
+    "lookup_asof_changes": q_lookup_asof_changes,
+    "reject_rows": q_reject_rows,
+    "bucket_hash": q_bucket_hash,
+    "doctor_preview": q_doctor_preview,
 }
 _SQL: dict[str, str] = dict(_oracle.ORACLE)
 

@@ -25,23 +25,16 @@ def inserts_only(df: DataFrame, *, drop_kind: bool = False) -> DataFrame:
     return out.drop(ROWKIND) if drop_kind else out
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (ARRIVAL,),
-                  *, method: str = "agg") -> DataFrame:
+def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (ARRIVAL,)) -> DataFrame:
     """One row per key: the greatest by ``order``, then by every other column.
 
-    ``agg`` (default) is a group-by on the key with ``max(struct(...))``: it
+    A group-by on the key with ``max(struct(...))``: it
     runs a partial aggregate before the shuffle, so each input partition
     sends at most one row per key, and a key holding a large share of the
     rows is collapsed map-side instead of landing whole in one task.
-    ``window`` is the ``row_number()`` formulation, kept for comparison.
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    if method == "window":
-        ordering = [_q(c).desc_nulls_last() for c in order + rest]
-        w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*ordering)
-        return (df.withColumn("__rn", F.row_number().over(w))
-                  .filter(F.col("__rn") == 1).drop("__rn"))
     winner = F.max(F.struct(*[_q(c) for c in order + rest])).alias("__win")
     out = df.groupBy(*[_q(k) for k in keys]).agg(winner)
     return out.select(*[_q(c) if c in keys else F.col("__win")[c].alias(c) for c in df.columns])

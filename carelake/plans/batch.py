@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake.operators.changelog import materialize
 from carelake.plans import standins
-from carelake.plans.warehouse import JOBS, build
+from carelake.plans.warehouse import JOBS, build, keyed_rows
+from carelake.session import work_dir
 
 
 def table_reader(spark: SparkSession, sf_dir: str):
@@ -22,14 +22,13 @@ class Warehouse:
     Lookup views are the live rows of the source (``ods_dict``) or of
     another target table (``dim_*``), built from the same tables.
 
-    Each lookup view is materialized once (persisted and counted) before it
-    is joined: it is then computed once however many lookups use it, and
-    the planner sees its real size, so it is broadcast only when it is
+    Each lookup view is written once to the shared working folder and read back, as a job reads a
+    dimension's state table: it is computed once however many lookups use it, lookups read only the
+    columns they need, and the planner sees its real size, so it is broadcast only when it is
     under ``spark.sql.autoBroadcastJoinThreshold`` and joined by a shuffle
     otherwise. (A view derived through joins and aggregates otherwise gets
     a static estimate far above its size, and the fact side would be
-    shuffled for a tiny dimension.) Lost cache blocks are recomputed from
-    the sources.
+    shuffled for a tiny dimension.) Nothing stays cached.
     """
 
     def __init__(self, tables, *, materialize_views: bool = True):
@@ -44,16 +43,15 @@ class Warehouse:
         if name not in self._views:
             view = self.table(name) if name in JOBS else materialize(self.source(name), ["id"])
             if self.materialize_views:
-                view = view.persist(StorageLevel.MEMORY_AND_DISK)
-                view.count()
+                path = work_dir(view.sparkSession, f"view-{name}")
+                view.write.parquet(path)
+                view = view.sparkSession.read.schema(view.schema).parquet(path)
             self._views[name] = view
         return self._views[name]
 
-    def release(self) -> None:
-        """Drop the materialized lookup views."""
-        for view in self._views.values():
-            view.unpersist()
-        self._views.clear()
+    def rejects(self, name: str) -> DataFrame:
+        """Rows of a table's source with a NULL key or NOT NULL column: what ``table`` leaves out."""
+        return keyed_rows(JOBS[name], self.source(JOBS[name].source))[1]
 
     def table(self, name: str) -> DataFrame:
         job = JOBS[name]

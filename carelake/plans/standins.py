@@ -251,3 +251,39 @@ SOURCES: dict[str, Callable[[Tables], DataFrame]] = {
     "ods_prescription": ods_prescription,
     "ods_prescription_detail": ods_prescription_detail,
 }
+
+
+#: Changes made of every row of a source: number, kind, days by which its version is shifted (None: no
+#: version), what its status gains, and of which ids (every n-th).
+CHANGES = ((0, "+I", 0, 0, 1), (1, "-U", 0, 0, 3), (2, "+U", 1, 1, 3), (3, "-D", 2, 0, 5), (4, "+U", -1, 2, 4),
+           (5, "+U", None, 1, 9))
+
+
+def changing(source: DataFrame) -> DataFrame:
+    """A change log with updates, deletes, late older versions and NULL versions of ``source``'s rows."""
+    data = source.drop("rowkind", "arrival")
+    changes = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(kind).alias("kind"), F.lit(days).cast("int").alias("days"),
+                                 F.lit(gain).alias("gain"), F.lit(every).alias("every"))
+                        for n, kind, days, gain, every in CHANGES])
+    each = data.withColumn("change", F.explode(changes)).filter(F.col("id") % F.col("change.every") == 0)
+    each = (each.withColumn("update_time", F.col("update_time") + F.make_interval(days=F.col("change.days")))
+            .withColumn("status", (F.col("status") + F.col("change.gain")).cast("int"))
+            .withColumn("rowkind", F.col("change.kind"))
+            .withColumn("arrival", F.col("id") * 10 + F.col("change.n")).drop("change"))
+    return as_changelog(each, rowkind="rowkind", arrival="arrival")
+
+
+def doctor_versions(t: Tables) -> DataFrame:
+    """Doctors' recorded versions: renamed with -U/+U pairs of one time, deleted, inserted again."""
+    s = t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    versions = F.array(*[F.struct(F.lit(kind).alias("rowkind"), F.lit(day).cast("timestamp_ntz").alias("version_time"),
+                                  F.lit(mark).alias("mark"), F.lit(every).alias("every"))
+                         for kind, day, mark, every in DOCTOR_VERSIONS])
+    return (s.withColumn("v", F.explode(versions)).filter(F.col("id") % F.col("v.every") == 0)
+            .select("id", F.concat("name", "v.mark").alias("name"), "v.rowkind", "v.version_time"))
+
+
+#: Kind, time, what the name gains, and of which ids (every n-th).
+DOCTOR_VERSIONS = (("+I", "1993-01-01 00:00:00", "", 1), ("-U", "1995-06-01 00:00:00", "", 2),
+                   ("+U", "1995-06-01 00:00:00", " B", 2), ("-D", "1996-06-01 00:00:00", "", 3),
+                   ("+I", "1997-06-01 00:00:00", " C", 6))

@@ -46,11 +46,15 @@ def work_dir(spark: SparkSession, name: str = "") -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The folder named by ``spark.checkpoint.dir`` (or set with
-    ``setCheckpointDir``) is shared by all executors. Only when the session
-    has none, as in local tests, a temporary folder is made and registered.
+    ``setCheckpointDir``) is shared by all executors. Without one a session in
+    local mode, where driver and executors are one process, gets a temporary folder; on a cluster
+    this raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="carelake-")
         spark.sparkContext.setCheckpointDir(root)
     root = root.rstrip("/")

@@ -1,10 +1,13 @@
-"""Structured Streaming: keyed upsert sink, job runner, change feed, bounded-wait lookup."""
+"""Structured Streaming: versioned keyed upsert, job runner, change feed, bounded-wait lookups."""
 
-from carelake.streaming.sink import create_if_absent, live_view, read_feed, read_state, upsert
-from carelake.streaming.jobs import (batch_writer, start_console, start_feed_compaction,
-                                    start_job, start_table, state_lookup)
-from carelake.streaming.location import TableLocation, current, open_table
+from carelake.streaming.chain import WaitStage, start_wait, start_waiting_job, wait_step
+from carelake.streaming.jobs import (batch_writer, start_feed_compaction, start_job, start_preview,
+                                    start_table, state_lookup)
+from carelake.streaming.location import TableLocation, current, open_table, publish
+from carelake.streaming.sink import (compact, create_if_absent, live_view, read_feed, read_state,
+                                     upsert)
 
-__all__ = ["create_if_absent", "live_view", "read_feed", "read_state", "upsert",
-           "batch_writer", "start_console", "start_feed_compaction", "start_job", "start_table",
-           "state_lookup", "TableLocation", "current", "open_table"]
+__all__ = ["WaitStage", "start_wait", "start_waiting_job", "wait_step",
+           "batch_writer", "start_feed_compaction", "start_job", "start_preview", "start_table",
+           "state_lookup", "TableLocation", "current", "open_table", "publish",
+           "compact", "create_if_absent", "live_view", "read_feed", "read_state", "upsert"]

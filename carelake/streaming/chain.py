@@ -1,55 +1,44 @@
-"""Wide facts with bounded waits on their lookups (W7, W8 as streams).
-
-The consultation and prescription jobs wait up to 300 s for a missing
-doctor, hospital or patient row before giving NULLs. Each wait is a stage
-of its own, joined to the next by append-only folders, so state,
-checkpoints and waiting times stay independent:
-
-1. prepared facts  -> doctor   -> ``doctor_*`` folders
-2. doctor output   -> hospital (by the doctor's hospital) -> ``hospital_*`` folders
-3. hospital output -> patient  -> conform -> upsert
-
-A stage works in two steps (``start_wait_stage``):
-
-A. ``foreachBatch``: a plain lookup against the dimension's current state
-   (re-read per batch). Hits, NULL keys and retractions go straight to the
-   ``hits`` folder; only misses go to the ``misses`` folder.
-B. the stateful bounded wait (``lookup_join_wait``) over the misses and the
-   dimension's change stream, into the ``waited`` folder.
-
-So the Python state sees only the facts whose dimension row is late; a busy
-key whose row exists is resolved by a set-based join (broadcast or
-shuffled, AQE splitting skew) and never reaches the state. The dimension
-change stream still feeds step B, so a row that lands between the read in
-step A and the miss reaching step B is not missed. The dimension inputs are
-change streams of the dimension tables, e.g. the change feeds their own
-upsert jobs write (``rowkind`` + columns + ``batch_id``).
-
-Batches can be replayed after a failure; a replay may repeat a fact
-downstream, which the final keyed upsert absorbs.
+"""Wide facts with bounded waits on their lookups (W7, W8 as streams; J6).
+
+The consultation and prescription jobs retry a missing doctor, hospital or
+patient every 10 seconds, 30 times, before giving NULLs. Here that is a
+table of pending facts, joined with the dimensions as they stand at every
+tick: one query whose input is the fact stream and a ``rate`` source, which
+wakes it when no fact arrives.
+
+Micro-batch n takes what batch n - 1 left pending and the new facts, and
+looks up stage after stage (doctor, the doctor's hospital, patient). A fact
+passes a stage if its row is there, its key is NULL, it is a retraction, or it has
+waited its time there. What has passed all stages goes to the table.
+
+All rows of batch n, passed or pending, are one write-once folder
+``steps/n``; the upsert and the next batch read it. So a replayed batch finds
+what the first attempt decided, no fact goes two ways, and every version
+of a fact reaches the keyed upsert, which alone orders them. The lookups are
+plain joins (broadcast by measured size or shuffled, AQE splits hot keys), no
+dimension row is kept in the query's state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from carelake.functions.conform import split_rejects
+from carelake.functions.rowkind import RETRACT_KINDS
 from carelake.plans.warehouse import DOCTOR_ATTRS, HOSPITAL_ATTRS, PATIENT_ATTRS, Job, wide_output
 from carelake.sources.specs import ARRIVAL, ROWKIND
-from carelake.streaming.sink import retry_on_missing_files, upsert
-from carelake.streaming.wait import lookup_join_wait
+from carelake.streaming.sink import complete, upsert
 
 # The retry step and attempts of the waiting lookups (about 300 s).
 RETRY_STEP = "10 seconds"
 WAIT_SECONDS = 10 * 30
 
-_FACT_UID = "fact_uid"
-_FOUND = "lk_found"
+_STAGE, _SINCE, _FOUND = "lk_stage", "lk_since", "lk_found"
 
 
 def feed_as_changes(feed: DataFrame) -> DataFrame:
@@ -57,112 +46,102 @@ def feed_as_changes(feed: DataFrame) -> DataFrame:
     return feed.withColumn(ARRIVAL, F.col("batch_id").cast("long")).drop("batch_id")
 
 
-def _ensure_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Create an empty typed folder so a streaming reader can start on it."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+class WaitStage:
+    """One lookup of ``attrs`` (dimension column -> output) by ``facts[on] == dim[key]``."""
 
+    def __init__(self, dim: Callable[[], DataFrame], on: str, attrs: Mapping[str, str], key: str = "id"):
+        self.dim, self.on, self.attrs, self.key = dim, on, dict(attrs), key
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
 
+def _pass_stage(rows: DataFrame, number: int, stage: WaitStage, now: float, wait_seconds: float) -> DataFrame:
+    """Facts at stage ``number`` that pass it, one stage on; the others as they were."""
+    here = F.col(_STAGE) == number
+    view = stage.dim().select(F.col(stage.key).alias(_FOUND),
+                              *[F.col(c).alias(f"new_{o}") for c, o in stage.attrs.items()])
+    joined = rows.join(view, here & (F.col(stage.on) == F.col(_FOUND)), "left")
+    passes = here & (F.col(_FOUND).isNotNull() | F.col(stage.on).isNull() | F.col(ROWKIND).isin(*RETRACT_KINDS)
+                     | (F.lit(now) - F.col(_SINCE) >= wait_seconds))
+    kept = [F.when(here, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) if c in stage.attrs.values() else
+            F.when(passes, F.lit(number + 1)).otherwise(F.col(_STAGE)).alias(_STAGE) if c == _STAGE else
+            F.when(passes, F.lit(now)).otherwise(F.col(_SINCE)).alias(_SINCE) if c == _SINCE else F.col(c)
+            for c in rows.columns]
+    return joined.select(*kept)
 
-def start_wait_stage(spark: SparkSession, facts: DataFrame, dim_changes: DataFrame, *,
-                     on: str, attrs: Mapping[str, str], root: str, name: str,
-                     dim_state: Callable[[], DataFrame] | None = None,
-                     wait_seconds: float = WAIT_SECONDS, salts: int = 4,
-                     trigger: Mapping[str, object] | None = None
-                     ) -> tuple[list[StreamingQuery], DataFrame]:
-    """One waiting lookup of ``attrs`` by ``facts[on] == dim.id``.
 
-    Returns the started queries and the stage's output stream (the facts
-    with the attribute columns). Without ``dim_state`` every fact goes
-    through the stateful wait.
+def wait_step(spark: SparkSession, facts: DataFrame, stages: Sequence[WaitStage], steps: str, batch_id: int, *,
+              now: float, wait_seconds: float = WAIT_SECONDS) -> DataFrame:
+    """Batch ``batch_id``: ``facts`` and what is pending, moved on as far as they pass.
+
+    Writes ``steps/<batch_id>`` once (a replay reads it) and returns the facts that have passed all
+    stages. ``facts`` carry ``rowkind``.
+    """
+    added = [T.StructField(o, stage.dim().schema[c].dataType) for stage in stages for c, o in stage.attrs.items()]
+    schema = T.StructType(list(facts.schema.fields) + [f for f in added if f.name not in facts.columns] + [
+        T.StructField(_STAGE, T.IntegerType()), T.StructField(_SINCE, T.DoubleType())])
+    target = f"{steps}/{batch_id}"
+    if not complete(spark, target):
+        rows = facts
+        for f in added:
+            if f.name not in facts.columns:
+                rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+        rows = rows.withColumn(_STAGE, F.lit(0)).withColumn(_SINCE, F.lit(float(now))).select(*schema.names)
+        if batch_id > 0 and complete(spark, f"{steps}/{batch_id - 1}"):
+            before = spark.read.schema(schema).parquet(f"{steps}/{batch_id - 1}")
+            rows = rows.unionByName(before.filter(F.col(_STAGE) < len(stages)))
+        for k, stage in enumerate(stages):
+            rows = _pass_stage(rows, k, stage, float(now), float(wait_seconds))
+        rows.write.mode("overwrite").parquet(target)
+    done = spark.read.schema(schema).parquet(target).filter(F.col(_STAGE) == len(stages))
+    return done.drop(_STAGE, _SINCE)
+
+
+def start_wait(spark: SparkSession, facts: DataFrame, stages: Sequence[WaitStage], root: str,
+               write: Callable[[DataFrame, int], None], *, wait_seconds: float = WAIT_SECONDS,
+               trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+    """Run the stages on a fact stream; ``write(passed facts, batch number)`` must be idempotent.
+
+    ``trigger`` is the retry step; a ``rate`` source wakes the query at every one.
     """
-    trig = dict(trigger or {"processingTime": RETRY_STEP})
-    changes = dim_changes.select("id", *attrs.keys(), ROWKIND, ARRIVAL)
-    attr_fields = [T.StructField(o, changes.schema[c].dataType) for c, o in attrs.items()]
-    out_schema = T.StructType(list(facts.schema.fields) + attr_fields)
-    with_batch = T.StructType(list(out_schema.fields) + [T.StructField("batch_id", T.LongType())])
-    queries: list[StreamingQuery] = []
-
-    if dim_state is not None:
-        hits_path, miss_path = f"{root}/{name}_hits", f"{root}/{name}_misses"
-        fact_cols = facts.columns
-
-        def resolve(batch: DataFrame, batch_id: int) -> None:
-            def run() -> None:
-                view = dim_state().select(F.col("id").alias(_FOUND),
-                                          *[F.col(c).alias(o) for c, o in attrs.items()])
-                joined = (batch.join(view, F.col(on) == F.col(_FOUND), "left")
-                               .persist(StorageLevel.MEMORY_AND_DISK))
-                try:
-                    done = (F.col(_FOUND).isNotNull() | F.col(on).isNull()
-                            | F.col(ROWKIND).isin("-U", "-D"))
-                    _write_batch(joined.filter(done).drop(_FOUND), hits_path, batch_id)
-                    _write_batch(joined.filter(~done).select(*fact_cols), miss_path, batch_id)
-                finally:
-                    joined.unpersist()
-            retry_on_missing_files(run)
-
-        queries.append(facts.writeStream.foreachBatch(resolve)
-                       .option("checkpointLocation", f"{root}/{name}_checkpoint_resolve")
-                       .trigger(**trig).start())
-        miss_schema = T.StructType(list(facts.schema.fields) + [T.StructField("batch_id", T.LongType())])
-        _ensure_folder(spark, miss_path, miss_schema)
-        _ensure_folder(spark, hits_path, with_batch)
-        waiting_in = spark.readStream.schema(miss_schema).parquet(miss_path).drop("batch_id")
-        hits_out = spark.readStream.schema(with_batch).parquet(hits_path).drop("batch_id")
-    else:
-        waiting_in, hits_out = facts, None
-
-    waited = lookup_join_wait(waiting_in, changes, fact_key=on, dim_key="id", fact_id=_FACT_UID,
-                              cols=dict(attrs), wait_seconds=wait_seconds, salts=salts)
-    waited_path = f"{root}/{name}_waited"
-    _ensure_folder(spark, waited_path, out_schema)
-    queries.append(waited.writeStream.format("parquet").option("path", waited_path)
-                   .option("checkpointLocation", f"{root}/{name}_checkpoint_wait")
-                   .trigger(**trig).start())
-    out = spark.readStream.schema(out_schema).parquet(waited_path)
-    if hits_out is not None:
-        out = out.unionByName(hits_out)
-    return queries, out
+    columns = facts.columns
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    ticks = ticks.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields],
+                         F.lit(True).alias("lk_tick"))
+    both = facts.withColumn("lk_tick", F.lit(False)).unionByName(ticks)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        new = batch.filter(~F.col("lk_tick")).select(*columns)
+        write(wait_step(spark, new, stages, f"{root}/steps", batch_id, now=time.time(),
+                        wait_seconds=wait_seconds), batch_id)
+
+    return (both.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(**(trigger or {"processingTime": RETRY_STEP})).start())
+
+
+def wide_stages(dims: Mapping[str, Callable[[], DataFrame]]) -> list[WaitStage]:
+    """The stages of W7/W8, in order; ``dims`` maps table name to a reader of its current rows."""
+    return [WaitStage(dims["dim_doctor"], "doctor_id", DOCTOR_ATTRS),
+            WaitStage(dims["dim_hospital"], "hospital_id", HOSPITAL_ATTRS),
+            WaitStage(dims["dim_patient"], "patient_id", PATIENT_ATTRS)]
 
 
 def start_waiting_job(spark: SparkSession, job: Job, source: DataFrame,
-                      dim_changes: Mapping[str, DataFrame], root: str, *,
-                      dim_states: Mapping[str, Callable[[], DataFrame]] | None = None,
-                      wait_seconds: float = WAIT_SECONDS, salts: int = 4,
+                      dims: Mapping[str, Callable[[], DataFrame]], root: str, *,
+                      wait_seconds: float = WAIT_SECONDS,
                       trigger: Mapping[str, object] | None = None) -> list[StreamingQuery]:
-    """Start the chained stages of W7/W8 and the final upsert; returns all queries.
+    """Start W7 or W8; returns its queries (the job, and the one that stores its rejects).
 
-    ``dim_changes`` maps ``dim_doctor``/``dim_hospital``/``dim_patient`` to
-    streaming change logs of those tables; ``dim_states`` optionally maps
-    them to readers of their current rows (step A above). ``root`` holds
-    the intermediate folders, the checkpoints and the target ``state``. Use
-    a processing-time trigger (timers do not end an ``availableNow`` run).
+    ``root`` holds the steps, checkpoints, ``rejects`` (rows with a NULL key
+    or NOT NULL column, all of them) and the target ``state``. Use a
+    processing-time trigger: waiting does not end an ``availableNow`` run.
     """
-    trig = dict(trigger or {"processingTime": RETRY_STEP})
-    states = dict(dim_states or {})
-    rows, _ = split_rejects(job.prepare(source), job.spec.pk)
-    rows = rows.withColumn(_FACT_UID, F.concat_ws("/", "dt", "id"))
-    queries: list[StreamingQuery] = []
-    stream = rows
-    for dim, on, attrs in (("dim_doctor", "doctor_id", DOCTOR_ATTRS),
-                           ("dim_hospital", "hospital_id", HOSPITAL_ATTRS),
-                           ("dim_patient", "patient_id", PATIENT_ATTRS)):
-        started, stream = start_wait_stage(
-            spark, stream, dim_changes[dim], on=on, attrs=attrs, root=root,
-            name=dim.removeprefix("dim_"), dim_state=states.get(dim),
-            wait_seconds=wait_seconds, salts=salts, trigger=trig)
-        queries += started
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        out = wide_output(job.spec, batch.drop(_FACT_UID))
-        retry_on_missing_files(lambda: upsert(out, job.spec, f"{root}/state", batch_id=batch_id))
-
-    queries.append(stream.writeStream.foreachBatch(write)
-                   .option("checkpointLocation", f"{root}/checkpoint_upsert")
-                   .trigger(**trig).start())
-    return queries
+    needed = tuple(dict.fromkeys(job.spec.pk + job.spec.not_null))
+    rows, rejects = split_rejects(job.prepare(source), needed)
+
+    def write(done: DataFrame, batch_id: int) -> None:
+        upsert(wide_output(job.spec, done), job.spec, f"{root}/state", batch_id=batch_id)
+
+    rejected = (rejects.writeStream.format("parquet").option("path", f"{root}/rejects")
+                .option("checkpointLocation", f"{root}/checkpoint_rejects")
+                .trigger(**(trigger or {"processingTime": RETRY_STEP})).start())
+    return [start_wait(spark, rows, wide_stages(dims), root, write, wait_seconds=wait_seconds,
+                       trigger=trigger), rejected]

@@ -7,13 +7,12 @@ files, a message bus). Every micro-batch goes through ``foreachBatch``:
    NULL key column into the rejects folder (R15);
 2. re-read each lookup's current state (a static DataFrame captured once
    would stay frozen), and ``enrich``: processing-time lookups (J1, R7);
-3. ``upsert`` into the state table, optionally writing the batch's change
-   feed first.
+3. ``upsert`` into the state table, then the batch's change feed, if asked for.
 
 Progress (source offsets) lives in the query's checkpoint, so a restarted
-query resumes where it stopped; a replayed batch is harmless because the
-upsert is idempotent and the feed and rejects of batch ``n`` are
-overwritten, not appended (T3, T4).
+query resumes where it stopped. A replayed batch that is published already
+changes nothing, its feed is written if it is missing, and its rejects are
+the same rows under the same name (T3, T4).
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 from carelake.plans.warehouse import Job, keyed_rows
 from carelake.sources.specs import TableSpec
 from carelake.operators.changelog import compact_feed
-from carelake.streaming.sink import live_view, read_feed, retry_on_missing_files, upsert
+from carelake.streaming.sink import live_view, read_feed, upsert
 
 # The commit cadence of the jobs and of the change feed.
 COMMIT_INTERVAL = "20 seconds"
@@ -51,20 +50,15 @@ def batch_writer(job: Job, state_path: str, lookups: Mapping[str, LookupReader],
         try:
             rows, rejects = keyed_rows(job, batch)
 
-            def apply() -> None:
-                # lookups are re-read on every attempt: a dimension table being
-                # rewritten by its own job may have replaced the files listed before
-                views = {name: lookups[name]() for name in job.lookups}
-                upsert(job.enrich(rows, **views), job.spec, state_path,
-                       feed_path=feed_path, batch_id=batch_id)
-
-            retry_on_missing_files(apply)
+            # Published versions only, as of this batch; their files are never replaced.
+            views = {name: lookups[name]() for name in job.lookups}
+            upsert(job.enrich(rows, **views), job.spec, state_path,
+                   feed_path=feed_path, batch_id=batch_id)
             # rejects are rare: a cheap emptiness check on the cached batch
             # saves a write and its commit on almost every batch
-            if reject_path is not None and not rejects.isEmpty():
-                (rejects.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-                        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                        .partitionBy("batch_id").parquet(reject_path))
+            if not rejects.isEmpty():
+                rejects.write.mode("overwrite").parquet(
+                    f"{reject_path or state_path + '_rejects'}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
@@ -80,7 +74,8 @@ def start_job(job: Job, source: DataFrame, state_path: str, checkpoint: str,
 
     ``trigger`` defaults to the 20-second commit cadence; pass
     ``{"availableNow": True}`` to catch up and stop. One checkpoint folder
-    per job.
+    per job. Rows with a NULL key or NOT NULL column go to ``reject_path``, or
+    beside the state table (``<state_path>_rejects``).
     """
     lookups = dict(lookups or {})
     missing = [n for n in job.lookups if n not in lookups]
@@ -117,12 +112,11 @@ def start_feed_compaction(spark: SparkSession, spec: TableSpec, feed_path: str,
             .trigger(**(trigger or {"processingTime": FEED_INTERVAL})).start())
 
 
-def start_console(df: DataFrame, *, trigger: Mapping[str, object] | None = None,
-                  num_rows: int = 20) -> StreamingQuery:
-    """Print a stream's rows as they arrive (S11): the ad-hoc preview sink."""
-    return (df.writeStream.format("console").option("truncate", "false")
-            .option("numRows", num_rows).outputMode("append")
-            .trigger(**(trigger or {"processingTime": COMMIT_INTERVAL})).start())
+def start_preview(df: DataFrame, path: str, checkpoint: str, *,
+                  trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+    """Append a stream's rows, all of them, to a folder: the ad-hoc preview sink."""
+    return (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(**(trigger or {"processingTime": COMMIT_INTERVAL})).start())
 
 
 def start_table(spec: TableSpec, source: DataFrame, state_path: str, checkpoint: str, *,

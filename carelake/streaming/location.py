@@ -5,8 +5,8 @@ own state, checkpoint, change feed and rejects folders. ``rebuild`` (the
 jobs' ``drop table`` + ``CREATE TABLE``) starts a new version: the new
 streaming query has a fresh checkpoint, so it re-reads its source from the
 start into empty state, while the old version stays readable until it is
-removed by retention. The current version is a one-row pointer written
-with Spark, so it works on any file system the cluster uses.
+removed by retention. Pointers are append-only: one small file per published
+version, the highest wins. They are written with Spark, so it works on any file system the cluster uses.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from carelake.sources.specs import TableSpec
-from carelake.streaming.sink import create_if_absent
+from carelake.streaming.sink import complete, create_if_absent, exists
 
 
 @dataclass(frozen=True)
@@ -47,30 +47,48 @@ class TableLocation:
         return f"{self.base}/rejects"
 
 
-def _pointer(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}/_current"
+def _pointers(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}/_published"
 
 
 def current(spark: SparkSession, root: str, name: str) -> TableLocation:
-    """The current version of ``name`` (version 0 when never built)."""
-    try:
-        row = spark.read.schema("version BIGINT").json(_pointer(root, name)).first()
-    except AnalysisException:
-        row = None
-    return TableLocation(root, name, int(row.version) if row and row.version is not None else 0)
-
+    """The current version of ``name`` (version 0 when never built).
 
-def _publish(spark: SparkSession, loc: TableLocation) -> None:
-    (spark.createDataFrame([(loc.version,)], "version BIGINT").coalesce(1)
-          .write.mode("overwrite").json(_pointer(loc.root, loc.name)))
+    Raises if versions are there but no published pointer: falling back to an older one would
+    bring old rows back.
+    """
+    try:
+        rows = spark.read.schema("version BIGINT").json(f"{_pointers(root, name)}/*").collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        rows = []
+    if not rows:
+        if exists(spark, f"{root.rstrip('/')}/{name}/v0"):
+            raise FileNotFoundError(f"{root}/{name} has versions but no published pointer")
+        return TableLocation(root, name, 0)
+    return TableLocation(root, name, max(r.version for r in rows))
+
+
+def publish(spark: SparkSession, loc: TableLocation) -> None:
+    """Make ``loc`` the current version: one more pointer, written once; the highest wins."""
+    target = f"{_pointers(loc.root, loc.name)}/{loc.version:09d}"
+    if not complete(spark, target):
+        (spark.createDataFrame([(loc.version,)], "version BIGINT").coalesce(1)
+              .write.mode("overwrite").json(target))
 
 
 def open_table(spark: SparkSession, root: str, spec: TableSpec, *,
-               rebuild: bool = False) -> TableLocation:
-    """``CREATE TABLE IF NOT EXISTS``, or with ``rebuild`` a fresh version of it."""
+               rebuild: bool = False, publish_now: bool = True) -> TableLocation:
+    """``CREATE TABLE IF NOT EXISTS``, or with ``rebuild`` a fresh version of it.
+
+    With ``publish_now=False`` a rebuilt version stays out of sight until ``publish``
+    is called, after its job has caught up.
+    """
     loc = current(spark, root, spec.name)
     if rebuild:
         loc = TableLocation(root, spec.name, loc.version + 1)
     create_if_absent(spark, spec, loc.state)
-    _publish(spark, loc)
+    if publish_now:
+        publish(spark, loc)
     return loc

@@ -1,23 +1,32 @@
-"""Keyed upsert into a parquet state table.
-
-Layout of a state table at ``path``: the target columns plus ``rowkind``
-and ``arrival``, directory-partitioned by the spec's partition columns and
-``bucket``. Deleted keys stay as tombstone rows (a partition emptied by a
-delete could not otherwise be cleared by a dynamic overwrite, and a late,
-older version must not bring a deleted key back). Readers use
-``live_view``.
-
-One upsert = read the touched ``(dt, bucket)`` partitions, merge them with
-the batch by key (one shuffle, with a partial aggregate before it) and
-overwrite exactly those partitions. The merge is idempotent, so a batch
-replayed after a failure gives the same state (T3). A dynamic overwrite is
-not atomic across partitions: a reader may see a half-applied batch until
-the commit finishes.
+"""Keyed upsert into a versioned parquet state table.
+
+Nothing at ``path`` is ever replaced; every folder is written once:
+
+* ``commits/<id>``: the winning change of each key of one batch;
+* ``base/<partition>/c=<id>/bucket=<n>``: compacted partitions (value
+  partitions and hash buckets of the spec);
+* ``log/<number>``: one small JSON entry per published version. A ``delta``
+  entry names a commit folder and its partition values; a ``base`` entry
+  names, for every partition, the compacted folder in force and the last delta it holds.
+
+A version exists once its log entry is written, which is the last write of a
+commit; readers take the newest base entry and the deltas after it and fold
+them by key (``latest_by_key``). So a reader sees the version before or after
+a commit, never half of one; a writer that dies leaves folders that no entry
+names. A streaming batch is published under its number: if it is replayed
+after its entry was written, it changes nothing (T3). One writer per table;
+a second one fails on the entry's folder.
+
+A commit costs one shuffle of the batch by key. Deleted keys stay as tombstone
+rows, because a late, older version must not bring them back; readers use
+``live_view``. ``compact`` folds the partitions that deltas have touched since.
 """
 
 from __future__ import annotations
 
-import re
+import json
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -29,6 +38,11 @@ from carelake.functions.rowkind import is_live
 from carelake.operators.changelog import latest_by_key, snapshot_diff
 from carelake.sources.specs import ARRIVAL, BUCKET, ROWKIND, TableSpec
 
+#: Deltas after which a commit also compacts: three 20-second commits are the feed's minute.
+COMPACT_EVERY = 3
+
+_ENTRY = "number BIGINT, kind STRING, folder STRING, parts STRING, upto BIGINT, batch BIGINT"
+
 
 def state_schema(spec: TableSpec) -> T.StructType:
     return T.StructType(list(spec.schema.fields) + [
@@ -38,14 +52,97 @@ def state_schema(spec: TableSpec) -> T.StructType:
     ])
 
 
-def read_state(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame | None:
-    """All rows of a state table, tombstones included; None when absent."""
+# ------------------------------------------------------------------ versions
+
+@dataclass
+class Version:
+    """What is published: the base folder of each partition, and the deltas since."""
+
+    number: int = -1
+    base: dict[str, str] = field(default_factory=dict)   # partition folder -> compaction id
+    deltas: list[tuple[int, str, list[str]]] = field(default_factory=list)  # number, folder, partitions
+    batch: int | None = None                             # last streaming batch
+    at_batch: dict[int, int] = field(default_factory=dict)  # streaming batch -> entry number
+
+
+def version(spark: SparkSession, path: str, before: int | None = None) -> Version | None:
+    """The newest published version (or the one before entry ``before``); None without a table."""
     try:
-        return spark.read.schema(state_schema(spec)).parquet(path)
+        rows = spark.read.schema(_ENTRY).json(f"{path}/log/*").collect()  # one small row per commit
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return None
         raise
+    rows = sorted((r for r in rows if before is None or r.number < before), key=lambda r: r.number)
+    bases = [r for r in rows if r.kind == "base"]
+    out = Version(number=rows[-1].number if rows else -1, base=json.loads(bases[-1].parts) if bases else {})
+    held = bases[-1].upto if bases else -1
+    for r in rows:
+        if r.kind == "delta":
+            if r.number > held:
+                out.deltas.append((r.number, r.folder, json.loads(r.parts)))
+            if r.batch is not None:
+                out.batch = max(r.batch, -1 if out.batch is None else out.batch)
+                out.at_batch[r.batch] = r.number
+    return out
+
+
+def _publish(spark: SparkSession, path: str, number: int, kind: str, folder: str | None, parts,
+             upto: int | None = None, batch: int | None = None) -> None:
+    row = [(number, kind, folder, json.dumps(parts), upto, batch)]
+    (spark.createDataFrame(row, _ENTRY).coalesce(1)
+          .write.mode("errorifexists").json(f"{path}/log/{number:012d}"))
+
+
+def _escape(value: str) -> str:
+    """A partition value as Spark writes it in a folder name."""
+    special = '"#%\'*/:=?\\\x7f{[]^'
+    return "".join(f"%{ord(c):02X}" if c in special or c < " " else c for c in value)
+
+
+def _partition_path(spec: TableSpec, row) -> str:
+    return "/".join(f"{c}={_escape(str(row[c]))}" for c in spec.partition)
+
+
+def _versions_rows(spark: SparkSession, spec: TableSpec, path: str, v: Version,
+                   parts: set[str] | None = None) -> DataFrame:
+    """All rows of a version, unfolded; only of the partitions ``parts``, if given."""
+    schema = state_schema(spec)
+    out = spark.createDataFrame([], schema)
+    base = [f"{path}/base/{p + '/' if p else ''}c={c}" for p, c in v.base.items()
+            if parts is None or p in parts]
+    if base:
+        with_id = T.StructType(list(schema.fields) + [T.StructField("c", T.StringType())])
+        out = out.unionByName(spark.read.schema(with_id).option("basePath", f"{path}/base")
+                              .parquet(*base).drop("c").select(*schema.names))
+    deltas = [f"{path}/commits/{f}" for _, f, ps in v.deltas if parts is None or parts & set(ps)]
+    if deltas:
+        rows = spark.read.schema(schema).parquet(*deltas)
+        if parts is not None and spec.partition:
+            rows = rows.filter(_partition_column(spec).isin(sorted(parts)))
+        out = out.unionByName(rows)
+    return out
+
+
+def _partition_column(spec: TableSpec) -> F.Column:
+    """``_partition_path`` as an expression."""
+    pieces = []
+    for c in spec.partition:
+        value = F.col(c).cast("string")
+        for ch in '%"#\'*/:=?\\\x7f{[]^' + "".join(map(chr, range(1, 32))):
+            value = F.replace(value, F.lit(ch), F.lit(f"%{ord(ch):02X}"))
+        pieces.append(F.concat(F.lit(f"{c}="), value))
+    return F.concat_ws("/", *pieces) if pieces else F.lit("")
+
+
+# ------------------------------------------------------------------- reading
+
+def read_state(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame | None:
+    """The current row of every key, tombstones included; None when absent."""
+    v = version(spark, path)
+    if v is None:
+        return None
+    return latest_by_key(_versions_rows(spark, spec, path, v), spec.pk, spec.order)
 
 
 def live_view(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
@@ -57,48 +154,12 @@ def live_view(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
 
 
 def create_if_absent(spark: SparkSession, spec: TableSpec, path: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS``: an empty, typed state table."""
-    if read_state(spark, spec, path) is None:
-        empty = spark.createDataFrame([], state_schema(spec))
-        empty.write.mode("ignore").partitionBy(*spec.layout).parquet(path)
-
+    """``CREATE TABLE IF NOT EXISTS``: an empty table."""
+    if version(spark, path) is None:
+        _publish(spark, path, 0, "base", None, {}, upto=-1)
 
-# partition values that appear unescaped in folder names and carry no glob syntax
-_SAFE_VALUE = re.compile(r"[A-Za-z0-9_.\-]+")
-
-
-def read_partitions(spark: SparkSession, spec: TableSpec, path: str, touched: list
-                    ) -> DataFrame | None:
-    """Rows of the touched partitions only; None when none of them exists yet.
-
-    The folders are named by one glob (``dt={a,b}/bucket={0,1}``), so only
-    those directories are listed, not the whole table, whose listing would
-    grow with every partition ever written. The exact partition filter is
-    applied on top of the glob's superset.
-    """
-    values_by_col = [sorted({str(row[i]) for row in touched}) for i in range(len(spec.layout))]
-    if not all(_SAFE_VALUE.fullmatch(v) for vs in values_by_col for v in vs):
-        # folder names escape other characters: list the table and prune instead
-        state = read_state(spark, spec, path)
-        return None if state is None else state.filter(_partition_filter(spec, touched))
-    parts = []
-    for col, values in zip(spec.layout, values_by_col):
-        parts.append(f"{col}={values[0]}" if len(values) == 1 else f"{col}={{{','.join(values)}}}")
-    pattern = f"{path.rstrip('/')}/" + "/".join(parts)
-    try:
-        df = spark.read.schema(state_schema(spec)).option("basePath", path).parquet(pattern)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return None
-        raise
-    return df.filter(_partition_filter(spec, touched))
-
-
-def _partition_filter(spec: TableSpec, touched: list) -> F.Column:
-    labels = ["/".join(str(v) for v in row) for row in touched]
-    key = F.concat_ws("/", *[F.col(c).cast("string") for c in spec.layout])
-    return key.isin(labels)
 
+# ------------------------------------------------------------------- writing
 
 def with_layout(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Target columns + bookkeeping + ``bucket``, in state-table order."""
@@ -107,77 +168,91 @@ def with_layout(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def upsert(rows: DataFrame, spec: TableSpec, path: str, *, feed_path: str | None = None,
-           batch_id: int | None = None) -> int:
+           batch_id: int | None = None, compact_every: int = COMPACT_EVERY) -> int:
     """Apply a batch of conformed change rows to the state table at ``path``.
 
-    ``rows`` carry the target columns plus ``rowkind`` and ``arrival``. When
-    ``feed_path`` is given, the change feed of this batch (``snapshot_diff``
-    of the touched partitions before and after) is written first, into
-    ``feed_path/batch_id=<n>``, overwritten on replay. Returns the number of
-    touched partitions.
+    ``rows`` carry the target columns plus ``rowkind`` and ``arrival``.
+    ``batch_id`` is the number of a streaming batch: one that is published
+    already is not applied again. With ``feed_path``, the batch's change feed goes to
+    ``feed_path/batch_id=<n>`` once the batch is published; it is a function of published
+    versions, so a replay after a crash in between writes the same feed. Returns the number of
+    partitions the batch touched.
     """
     spark = rows.sparkSession
-    rows = with_layout(rows, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    v = version(spark, path) or Version()
+    touched: list[str] = []
+    if batch_id is None or batch_id not in v.at_batch:
+        folder = uuid.uuid4().hex
+        winners = latest_by_key(with_layout(rows, spec), spec.pk, spec.order)
+        winners.write.parquet(f"{path}/commits/{folder}")
+        written = spark.read.schema(state_schema(spec)).parquet(f"{path}/commits/{folder}")
+        # Partition values only (the days of a batch) reach the driver.
+        days = written.select(*spec.partition).distinct().collect() if spec.partition else written.limit(1).collect()
+        touched = sorted({_partition_path(spec, r) for r in days})
+        if touched:
+            number = v.number + 1
+            _publish(spark, path, number, "delta", folder, touched, batch=batch_id)
+            v.deltas.append((number, folder, touched))
+            v.number = number
+            if batch_id is not None:
+                v.at_batch[batch_id] = number
+    if feed_path is not None:
+        if batch_id is None:
+            raise ValueError("a change feed needs the batch's number")
+        if batch_id in v.at_batch:
+            write_feed(spark, spec, path, feed_path, batch_id, v)
+    if touched and len(v.deltas) >= compact_every:
+        compact(spark, spec, path)
+    return len(touched)
+
+
+def compact(spark: SparkSession, spec: TableSpec, path: str) -> None:
+    """Fold the partitions that deltas touched into new base folders and publish them."""
+    v = version(spark, path)
+    if v is None or not v.deltas:
+        return
+    parts = {p for _, _, ps in v.deltas for p in ps}
+    c = uuid.uuid4().hex
+    rows = latest_by_key(_versions_rows(spark, spec, path, v, parts), spec.pk, spec.order)
+    # REBALANCE groups rows by folder: a few files each, and AQE splits a large partition.
+    (rows.withColumn("c", F.lit(c)).hint("rebalance", *spec.layout)
+         .write.mode("append").partitionBy(*spec.partition, "c", BUCKET).parquet(f"{path}/base"))
+    _publish(spark, path, v.number + 1, "base", None, v.base | {p: c for p in parts}, upto=v.deltas[-1][0])
+
+
+def write_feed(spark: SparkSession, spec: TableSpec, path: str, feed_path: str, batch_id: int,
+               v: Version) -> None:
+    """The change feed of a published batch, unless it is there: the keys of the batch, before and after."""
+    number = v.at_batch[batch_id]
+    target = f"{feed_path}/batch_id={batch_id}"
+    if complete(spark, target):
+        return
+    _, folder, parts = next((d for d in v.deltas if d[0] == number), (None, None, None))
+    if folder is None:  # compacted meanwhile
+        row = spark.read.schema(_ENTRY).json(f"{path}/log/{number:012d}").first()
+        folder, parts = row.folder, json.loads(row.parts)
+    batch = spark.read.schema(state_schema(spec)).parquet(f"{path}/commits/{folder}")
+    older = version(spark, path, before=number) or Version()
+    keys = batch.select(*spec.pk)
+    old = _versions_rows(spark, spec, path, older, set(parts)).join(keys, list(spec.pk), "left_semi")
+    old = latest_by_key(old.select(*state_schema(spec).names), spec.pk, spec.order).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # Only partition values reach the driver: at most days-in-batch x buckets.
-        touched = rows.select(*spec.layout).distinct().collect()
-        if not touched:
-            return 0
-        old = read_partitions(spark, spec, path, touched)
-        if old is not None:
-            if feed_path is not None:
-                # the old rows are overwritten below; keep a reliable copy for the feed
-                old = old.checkpoint(eager=True)
-            merged = latest_by_key(old.unionByName(rows), spec.pk, spec.order)
-        else:
-            merged = latest_by_key(rows, spec.pk, spec.order)
-        if feed_path is not None:
-            merged = merged.persist(StorageLevel.MEMORY_AND_DISK)
-            before = (old.filter(is_live()).select(*spec.columns) if old is not None
-                      else spark.createDataFrame([], spec.schema))
-            after = merged.filter(is_live()).select(*spec.columns)
-            feed = snapshot_diff(before, after, spec.pk).withColumn(
-                "batch_id", F.lit(int(batch_id or 0)).cast("long"))
-            (feed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(feed_path))
-        # one shuffle by key merges; REBALANCE then groups rows by directory, so a
-        # partition gets a few files of the advisory size instead of one per task,
-        # and AQE splits a partition that holds a large share of the batch
-        (merged.hint("rebalance", *spec.layout)
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy(*spec.layout).parquet(path))
-        if feed_path is not None:
-            merged.unpersist()
-        return len(touched)
+        new = latest_by_key(old.unionByName(batch), spec.pk, spec.order)
+        feed = snapshot_diff(old.filter(is_live()).select(*spec.columns),
+                             new.filter(is_live()).select(*spec.columns), spec.pk)
+        feed.write.mode("overwrite").parquet(target)
     finally:
-        rows.unpersist()
-
+        old.unpersist()
 
-_MISSING_FILE_MARKS = ("FileNotFoundException", "FAILED_READ_FILE", "does not exist",
-                       "No such file")
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
-def is_missing_file_error(err: BaseException) -> bool:
-    """True when a read failed because a concurrent overwrite replaced its files."""
-    text = f"{type(err).__name__}: {err}"
-    return any(mark in text for mark in _MISSING_FILE_MARKS)
 
-
-def retry_on_missing_files(fn, attempts: int = 4, pause_s: float = 1.0):
-    """Run ``fn()``; on a missing-file read error run it again (with fresh reads).
-
-    A state table is replaced partition by partition while readers may be
-    listing it; re-running the read sees the committed files. ``fn`` must
-    be idempotent (all upserts are).
-    """
-    import time
-    for attempt in range(attempts):
-        try:
-            return fn()
-        except Exception as err:  # noqa: BLE001 - only missing-file errors are retried
-            if attempt == attempts - 1 or not is_missing_file_error(err):
-                raise
-            time.sleep(pause_s * (attempt + 1))
+def complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a Spark write to ``folder`` has ended."""
+    return exists(spark, f"{folder}/_SUCCESS")
 
 
 def read_feed(spark: SparkSession, spec: TableSpec, feed_path: str) -> DataFrame:

@@ -105,13 +105,14 @@ class _WaitProcessor(StatefulProcessor):
     """
 
     def __init__(self, fact_fields: Sequence[T.StructField], dim_fields: Sequence[T.StructField],
-                 fact_id: str, wait_ms: int):
+                 fact_id: str, wait_ms: int, order: Sequence[str] = (ARRIVAL,)):
         self.fact_fields = list(fact_fields)
         self.dim_fields = list(dim_fields)
         self.fact_cols = [f.name for f in fact_fields]
         self.dim_cols = [f.name for f in dim_fields]
         self.fact_id = fact_id
         self.id_pos = self.fact_cols.index(fact_id)
+        self.order_pos = [self.fact_cols.index(c) for c in order]
         self.wait_ms = int(wait_ms)
         self.fact_conv = [_converter(f.dataType) for f in self.fact_fields]
         self.dim_conv = [_converter(f.dataType) for f in self.dim_fields]
@@ -125,8 +126,13 @@ class _WaitProcessor(StatefulProcessor):
         pending_schema = T.StructType([*self.fact_fields, T.StructField("deadline", T.LongType())])
         id_type = self.fact_fields[self.id_pos].dataType
         self.dim = handle.getValueState("dim", dim_schema)
-        self.pending = handle.getMapState("pending", T.StructType([T.StructField("id", id_type)]),
-                                          pending_schema)
+        self.pending = handle.getMapState("pending", T.StructType([
+            T.StructField("id", id_type), T.StructField("arrival", T.LongType()),
+            T.StructField("kind", T.StringType())]), pending_schema)
+
+    def _rank(self, values: tuple) -> tuple:
+        """A version's order; NULL ranks lowest."""
+        return tuple((values[p] is not None, values[p]) if values[p] is not None else (False,) for p in self.order_pos)
 
     def _out(self, facts: list[tuple], attrs: tuple | None) -> pd.DataFrame:
         tail = attrs if attrs is not None else self.no_attrs
@@ -156,8 +162,8 @@ class _WaitProcessor(StatefulProcessor):
             dim_cols = [pdf[f"d_{c}"].tolist() for c in self.dim_cols]
             for i in dim_rows:
                 arr = None if arrivals[i] is None else int(arrivals[i])
-                if arrival is not None and arr is not None and arr < arrival:
-                    continue  # an older version never overwrites a newer one
+                if arrival is not None and (arr is None or arr < arrival):
+                    continue  # an older version never overwrites a newer one; NULL ranks lowest
                 live, arrival = kinds[i] not in _RETRACT, arr
                 attrs = tuple(conv(col[i]) for conv, col in zip(self.dim_conv, dim_cols))
                 changed = True
@@ -180,11 +186,14 @@ class _WaitProcessor(StatefulProcessor):
             emit_now, emit_plain = [], []
             for i in fact_rows:
                 values = tuple(conv(col[i]) for conv, col in zip(self.fact_conv, fact_cols))
-                fid = (values[self.id_pos],)
+                # Every version of a fact waits by itself: none replaces another.
+                fid = (values[self.id_pos], arrivals[i], kinds[i])
                 if kinds[i] in _RETRACT:
-                    if waiting > 0 and self.pending.containsKey(fid):
-                        self.pending.removeKey(fid)
-                        waiting, changed = waiting - 1, True
+                    if waiting > 0:
+                        for k, v in list(self.pending.iterator()):
+                            if k[0] == fid[0] and self._rank(v) <= self._rank(values):
+                                self.pending.removeKey(tuple(k))
+                                waiting, changed = waiting - 1, True
                     emit_plain.append(values)
                 elif current is not None:
                     emit_now.append(values)
@@ -205,7 +214,8 @@ class _WaitProcessor(StatefulProcessor):
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
         expiry = expiredTimerInfo.getExpiryTimeInMs()
         due, left = [], 0
-        for fid, v in list(self.pending.iterator()):
+        for k, v in list(self.pending.iterator()):
+            fid = tuple(k)
             if v[-1] is not None and v[-1] <= expiry:
                 due.append(tuple(v[:-1]))
                 self.pending.removeKey(fid)
@@ -223,7 +233,7 @@ class _WaitProcessor(StatefulProcessor):
 
 def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_key: str,
                      fact_id: str, cols: Mapping[str, str], wait_seconds: float = 300,
-                     salts: int = 4) -> DataFrame:
+                     salts: int = 4, fact_order: Sequence[str] = (ARRIVAL,)) -> DataFrame:
     """Streaming left lookup of ``dims`` attributes onto ``facts`` with a bounded wait.
 
     ``facts`` and ``dims`` are streaming change logs (``rowkind``,
@@ -231,6 +241,8 @@ def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_ke
     maps dimension column -> output column. Output: the fact's data columns
     (with ``rowkind`` and ``arrival`` when present) plus the mapped columns.
     ``salts`` splits each key's facts over that many state groups.
+    ``fact_order`` are the columns that order a fact's versions: a retraction
+    withdraws only waiting versions that are not newer than itself.
     """
     fact_cols = [c for c in facts.columns]
     fact_fields = [facts.schema[c] for c in fact_cols]
@@ -258,7 +270,7 @@ def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_ke
     tagged = keyed_facts.unionByName(dims.filter(F.col(dim_key).isNotNull()).select(*d_sel))
 
     out_schema = T.StructType([*fact_fields, *dim_fields])
-    processor = _WaitProcessor(fact_fields, dim_fields, fact_id, int(wait_seconds * 1000))
+    processor = _WaitProcessor(fact_fields, dim_fields, fact_id, int(wait_seconds * 1000), fact_order)
     matched = tagged.groupBy(_KEY, _SALT).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out_schema,
         outputMode="Append", timeMode="ProcessingTime")

@@ -7,6 +7,8 @@ for change feeds.
 """
 
 # Change log from ``events``: key user_id, sequence ts, arrival event_id.
+from carelake.plans import standins
+
 EV = """
 SELECT user_id, ts, event_id, event_type, value, props,
        CASE event_type WHEN 'signup' THEN '+I' WHEN 'click' THEN '+U' WHEN 'purchase' THEN '+U'
@@ -290,6 +292,50 @@ FROM ({PURCHASES}) p
 LEFT JOIN ({_latest(SIGNUPS, 'user_id', 'event_id DESC')}) s ON p.user_id = s.user_id
 """
 
+def _values(rows) -> str:
+    text = lambda v: "NULL" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
+    return ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows)
+
+
+def _changing(status: str) -> str:
+    """``orders`` as the live winners of its changes: o_ columns, ``upd`` and ``st``."""
+    changes = f"""
+      SELECT o.*, rowkind, CAST(o_orderdate AS TIMESTAMP) + days * INTERVAL 1 DAY AS upd, {status} + gain AS st, o_orderkey * 10 + n AS arrival
+      FROM orders o, (VALUES {_values(standins.CHANGES)}) c(n, rowkind, days, gain, every) WHERE o_orderkey % every = 0"""
+    return _live(changes, "o_orderkey", "upd DESC NULLS LAST, arrival DESC")
+
+
+_CHANGED_PAYMENTS = _changing("CASE WHEN o_orderstatus = 'F' THEN 203 ELSE 202 END")
+_CHANGED_CONSULTATIONS = _changing("(o_orderkey % 7 + 201)")
+
+CHANGING_PAYMENT = (PAYMENT.replace("o_orderdate AS update_time", "upd AS update_time")
+                    .replace("CASE WHEN o_orderstatus = 'F' THEN 203 ELSE 202 END", "st")
+                    .replace("FROM orders", f"FROM ({_CHANGED_PAYMENTS})"))
+CHANGING_REVIEW = (REVIEW.replace("o_orderdate AS update_time", "upd AS update_time")
+                   .replace("FROM orders WHERE o_orderkey % 7 + 201 = 207", f"FROM ({_CHANGED_CONSULTATIONS}) WHERE st = 207"))
+
+LOOKUP_ASOF_CHANGES = f"""
+WITH v AS (SELECT s_suppkey AS id, s_name || mark AS name, rowkind, CAST(t AS TIMESTAMP) AS t
+           FROM supplier, (VALUES {_values(standins.DOCTOR_VERSIONS)}) c(rowkind, t, mark, every)
+           WHERE s_suppkey % every = 0 AND rowkind <> '-U')
+SELECT o_orderkey, CASE WHEN v.rowkind <> '-D' THEN v.name END AS doctor_name
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 120 END AS k, CAST(o_orderdate AS TIMESTAMP) AS at FROM orders) f
+ASOF LEFT JOIN v ON f.k = v.id AND f.at >= v.t
+"""
+
+REJECT_ROWS = """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 4 = 0 AS rejected FROM orders
+"""
+
+BUCKET_HASH = """
+SELECT count(*) AS n_keys, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS in_two_buckets FROM customer
+"""
+
+DOCTOR_PREVIEW = """
+SELECT e.user_id AS id, e.ts AS create_time, s.s_name AS name, true AS one_time
+FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey WHERE e.event_type = 'signup'
+"""
+
 ORACLE: dict[str, str] = {
     "conform_cast": """
         SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_size AS SMALLINT) AS size_small,
@@ -353,4 +399,18 @@ ORACLE: dict[str, str] = {
     "stream_upsert": PATIENT_REGISTER,
     "stream_change_feed": STREAM_CHANGE_FEED,
     "stream_lookup_wait": STREAM_LOOKUP_WAIT,
+    "changing_payment": CHANGING_PAYMENT,
+    "changing_review": CHANGING_REVIEW,
+    "stream_changing_payment": CHANGING_PAYMENT,
+    "stream_changing_review": CHANGING_REVIEW,
+    "stream_dim_doctor": DIM_DOCTOR,
+    "stream_dwd_prescription_detail": PRESCRIPTION_DETAIL,
+    "stream_consultation_wait": CONSULTATION,
+    "replay_upsert": f"SELECT dt, {EV_COLS} FROM ({_live(EV_DT, 'dt, user_id', EV_DT_ORDER)})",
+    "replay_change_feed": STREAM_CHANGE_FEED,
+    "rebuild_table": f"SELECT dt, {EV_COLS} FROM ({_live(EV_DT, 'dt, user_id', EV_DT_ORDER)})",
+    "lookup_asof_changes": LOOKUP_ASOF_CHANGES,
+    "reject_rows": REJECT_ROWS,
+    "bucket_hash": BUCKET_HASH,
+    "doctor_preview": DOCTOR_PREVIEW,
 }

@@ -24,16 +24,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="carelake-test-")
-
-
-def pytest_configure(config):
-    config.addinivalue_line("markers", "slow: long streaming runs; set CARELAKE_SLOW=1 to run them")
-
-
-def pytest_collection_modifyitems(config, items):
-    if os.environ.get("CARELAKE_SLOW") == "1":
-        return
-    skip = pytest.mark.skip(reason="slow streaming run; set CARELAKE_SLOW=1")
-    for item in items:
-        if "slow" in item.keywords:
-            item.add_marker(skip)

@@ -55,6 +55,40 @@ def test_lookup_join_asof_matches_brute_force(spark):
         assert sorted(tuple(r) for r in got.collect()) == _brute_asof(facts, dims, wait)
 
 
+def _brute_asof_kinds(facts, dims, wait):
+    rank = {"-U": 0, "-D": 1, "+I": 2, "+U": 2}
+    out = []
+    for fid, key, t in facts:
+        mine = sorted((d for d in dims if d[0] == key and key is not None), key=lambda d: (d[1], d[4], rank[d[3]], d[2]))
+        before = [d for d in mine if d[1] <= t]
+        hit = before[-1] if before and rank[before[-1][3]] == 2 else None
+        if hit is None and wait is not None:
+            hit = next((d for d in mine if t < d[1] <= t + timedelta(seconds=wait) and rank[d[3]] == 2), None)
+        out.append((fid, hit[2] if hit else None))
+    return sorted(out)
+
+
+def test_lookup_join_asof_over_changes_matches_brute_force(spark):
+    """Updates as -U/+U pairs of one time, deletes, re-inserts, NULL keys, a hot key."""
+    rnd = random.Random(21)
+    for wait in (None, 400):
+        facts = [(i, rnd.choice([None, 0, 0, 0, 1, 2]), BASE + timedelta(seconds=rnd.randint(0, 4000))) for i in range(120)]
+        dims, arrival = [], 0
+        for k in range(3):
+            for t in sorted(rnd.randint(0, 4000) for _ in range(9)):
+                at = BASE + timedelta(seconds=t)
+                kinds = rnd.choice([["+I"], ["-D"], ["-U", "+U"], ["-D", "+I"]])
+                for kind in kinds:
+                    arrival += 1
+                    dims.append((k, at, rnd.randint(0, 99), kind, arrival))
+        f = spark.createDataFrame(facts, "fid long, k long, t timestamp_ntz")
+        d = spark.createDataFrame(dims, "k long, t timestamp_ntz, dim_id long, rowkind string, arrival long")
+        for order, known in ((("arrival",), dims), ((), [(*d_[:4], 0) for d_ in dims])):
+            got = lookup_join_asof(f, d, fact_key="k", dim_key="k", fact_time="t", dim_time="t", cols={"dim_id": "x"},
+                                   wait_seconds=wait, bucket_seconds=300, kind="rowkind", dim_order=order, salts=3)
+            assert sorted((r.fid, r.x) for r in got.collect()) == _brute_asof_kinds(facts, known, wait)
+
+
 def test_compacted_feed_equals_diff_of_versions(spark, tmp_dir):
     """Per-commit feeds folded over a range equal the diff of the two versions."""
     from pyspark.sql import types as T

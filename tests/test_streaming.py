@@ -170,56 +170,148 @@ def test_wait_hit_late_arrival_timeout_and_cancel(spark, tmp_dir):
     assert got == [(100, "+I", "Ann"), (101, "+I", None), (102, "+I", None), (103, "-D", None)]
 
 
-@pytest.mark.slow
+def test_waiting_versions_do_not_replace_each_other(spark, tmp_dir):
+    """An older version that arrives while a newer one waits, and a late before-image, lose no fact."""
+    root = tmp_dir
+    _put(spark, f"{root}/dims", [(0, "nobody", "+I", 0)], DIM_SCHEMA)
+    _put(spark, f"{root}/facts", [(100, 1, 10.0, "+U", 10)], FACT_SCHEMA)
+    q = _start_wait(spark, root, wait_seconds=12)
+    try:
+        _poll(spark, q, 1, deadline=4)
+        _put(spark, f"{root}/facts", [(100, 1, 5.0, "+U", 5), (100, 1, 4.0, "-U", 4)], FACT_SCHEMA)
+        rows = _poll(spark, q, 3, deadline=90)
+    finally:
+        q.stop()
+    assert sorted((r.arrival, r.rowkind, r.amount) for r in rows) == [(4, "-U", 4.0), (5, "+U", 5.0), (10, "+U", 10.0)]
+
+
+WIDE = "id string, doctor_id string, rowkind string, arrival long"
+
+
+def _doctor_stage(spark, rows):
+    from carelake.streaming import WaitStage
+    return [WaitStage(lambda: spark.createDataFrame(rows, "id string, name string, hospital_id string"),
+                      "doctor_id", {"name": "doctor_name", "hospital_id": "hospital_id"}),
+            WaitStage(lambda: spark.createDataFrame([("h", "Clinic")], "id string, name string"),
+                      "hospital_id", {"name": "hospital_name"})]
+
+
+def test_wait_steps_hit_late_row_time_out_and_replay(spark, tmp_dir):
+    from carelake.streaming import wait_step
+
+    def step(n, facts, doctors, now):
+        out = wait_step(spark, spark.createDataFrame(facts, WIDE), _doctor_stage(spark, doctors), f"{tmp_dir}/steps", n,
+                        now=now, wait_seconds=300)
+        return sorted((r.id, r.rowkind, r.arrival, r.doctor_name, r.hospital_name) for r in out.collect())
+
+    ann, bob = ("d1", "Ann", "h"), ("d2", "Bob", "nowhere")
+    first = [("1", "d1", "+I", 1), ("2", "d2", "+I", 2), ("3", None, "+I", 3), ("4", "d9", "+U", 10)]
+    assert step(0, first, [ann], 0) == [("1", "+I", 1, "Ann", "Clinic"), ("3", "+I", 3, None, None)]
+    # An older version and a late before-image of the waiting fact 4: both go their own way.
+    late = [("4", "d9", "+U", 5), ("4", "d9", "-U", 4)]
+    assert step(1, late, [ann, bob], 200) == [("4", "-U", 4, None, None)]
+    # A replay finds what the first attempt decided, whatever the dimension holds by now.
+    assert step(1, late, [ann, bob, ("d9", "Zoe", "h")], 250) == [("4", "-U", 4, None, None)]
+    assert step(2, [], [ann, bob], 300) == [("4", "+U", 10, None, None)]
+    assert step(3, [], [ann, bob, ("d9", "Zoe", "h")], 310) == [("4", "+U", 5, "Zoe", "Clinic")]
+    assert step(4, [], [ann, bob], 500) == [("2", "+I", 2, "Bob", None)]
+    assert step(5, [], [ann, bob], 900) == []
+
+
 def test_wide_fact_with_waiting_lookups_equals_batch(spark, tmp_dir):
-    """W8 through three chained waiting stages; every dimension row is present,
-    so hits come out at once and misses after the wait, as the batch result."""
-    from carelake.streaming.chain import feed_as_changes, start_waiting_job
+    """W8 through its waits, a third of the doctors arriving late, equals the batch build; rejects are kept."""
     from carelake.sources.specs import DIM_DOCTOR, DIM_HOSPITAL, DIM_PATIENT
+    from carelake.streaming import start_waiting_job
     t = table_reader(spark, SF_SMALL)
     wh = Warehouse(t)
-    changes = {}
-    for spec in (DIM_DOCTOR, DIM_HOSPITAL, DIM_PATIENT):
-        path = f"{tmp_dir}/{spec.name}_feed"
-        (wh.view(spec.name).withColumn("rowkind", F.lit("+I")).withColumn("batch_id", F.lit(0).cast("long"))
-           .write.partitionBy("batch_id").parquet(path))
-        schema = spark.read.parquet(path).schema
-        changes[spec.name] = feed_as_changes(spark.readStream.schema(schema).parquet(path))
+    live = lambda name: (wh.view(name).withColumn("rowkind", F.lit("+I"))
+                         .withColumn("arrival", F.lit(0).cast("long")))
+    late = F.col("id").cast("int") % 3 == 0
+    upsert(live("dim_doctor").filter(~late), DIM_DOCTOR, f"{tmp_dir}/dim_doctor")
+    for spec in (DIM_HOSPITAL, DIM_PATIENT):
+        upsert(live(spec.name), spec, f"{tmp_dir}/{spec.name}")
+    dims = {s.name: state_lookup(spark, s, f"{tmp_dir}/{s.name}") for s in (DIM_DOCTOR, DIM_HOSPITAL, DIM_PATIENT)}
     job = JOBS["dwd_consultation"]
     log = standins.ods_consultation(t)
-    log.write.parquet(f"{tmp_dir}/landing")
+    bad = log.limit(1).withColumn("create_time", F.lit(None).cast("timestamp_ntz"))
+    log.unionByName(bad).write.parquet(f"{tmp_dir}/landing")
     source = read_changelog(spark, f"{tmp_dir}/landing", log.schema, stream=True)
     want = sorted(tuple(r) for r in wh.table(job.name).collect())
-    # doctors are looked up in their current state first (only misses wait);
-    # hospitals and patients go through the stateful wait only
-    upsert(wh.view("dim_doctor").withColumn("rowkind", F.lit("+I")).withColumn("arrival", F.lit(0).cast("long")),
-           DIM_DOCTOR, f"{tmp_dir}/dim_doctor_state")
-    states = {"dim_doctor": state_lookup(spark, DIM_DOCTOR, f"{tmp_dir}/dim_doctor_state")}
-    queries = start_waiting_job(spark, job, source, changes, f"{tmp_dir}/w8", dim_states=states,
-                                wait_seconds=3, trigger={"processingTime": "1 second"})
-
-    def arrived(name):
-        try:
-            return spark.read.parquet(f"{tmp_dir}/w8/{name}").count()
-        except Exception:  # noqa: BLE001 - folder still empty
-            return 0
-
+    queries = start_waiting_job(spark, job, source, dims, f"{tmp_dir}/w8", wait_seconds=25,
+                                trigger={"processingTime": "2 seconds"})
     try:
-        end = time.time() + 420
-        while time.time() < end:
+        end, n = time.time() + 200, -1
+        while n < len(want):
             for q in queries:
                 if q.exception() is not None:
                     raise q.exception()
-            # the last stage's outputs are append-only: safe to read while running
-            if arrived("patient_waited") + arrived("patient_hits") >= len(want):
-                break
-            time.sleep(2)
-        queries[-1].processAllAvailable()
+            assert time.time() < end, f"{n} of {len(want)} facts"
+            n = live_view(spark, job.spec, f"{tmp_dir}/w8/state").count()
+            if n > 0 and late is not None:
+                upsert(live("dim_doctor").filter(late), DIM_DOCTOR, f"{tmp_dir}/dim_doctor")
+                late = None
+        queries[1].processAllAvailable()
     finally:
         for q in queries:
             q.stop()
-    got = sorted(tuple(r) for r in live_view(spark, job.spec, f"{tmp_dir}/w8/state").collect())
-    assert got == want
+    assert sorted(tuple(r) for r in live_view(spark, job.spec, f"{tmp_dir}/w8/state").collect()) == want
+    assert spark.read.parquet(f"{tmp_dir}/w8/rejects").count() == 1
+
+
+# ---------------------------------------------------------------- commits
+
+class _Stop(Exception):
+    pass
+
+
+def _versioned_spec():
+    from carelake.sources.specs import TableSpec
+    return TableSpec(name="t", schema=T.StructType([T.StructField(c, T.StringType()) for c in ("dt", "id", "v")]),
+                     pk=("dt", "id"), partition=("dt",), buckets=2)
+
+
+VERSIONED = "dt string, id string, v string, rowkind string, arrival long"
+
+
+@pytest.mark.parametrize("where", ["_publish", "write_feed", "compact"])
+def test_commit_that_dies_anywhere_is_replayed_once(spark, tmp_dir, monkeypatch, where):
+    from carelake.streaming import sink
+    spec = _versioned_spec()
+    batches = [[("d1", "1", "a", "+I", 1), ("d2", "2", "a", "+I", 2)],
+               [("d1", "1", "b", "+U", 3), ("d2", "2", "a", "-D", 4), ("d1", "3", "c", "+I", 5)],
+               [("d1", "1", "b", "-D", 6), ("d2", "2", "z", "+I", 7)]]
+
+    def run(root, dying=None):
+        for n, rows in enumerate(batches):
+            df = spark.createDataFrame(rows, VERSIONED)
+            go = lambda: upsert(df, spec, f"{root}/s", feed_path=f"{root}/f", batch_id=n)  # noqa: E731, B023
+            if n == dying:
+                before = _rows(live_view(spark, spec, f"{root}/s"))
+                with monkeypatch.context() as m:
+                    m.setattr(sink, where, lambda *a, **k: (_ for _ in ()).throw(_Stop()))
+                    with pytest.raises(_Stop):
+                        go()
+                if where == "_publish":  # nothing of it is to be seen
+                    assert _rows(live_view(spark, spec, f"{root}/s")) == before
+            go()
+        go()  # a batch that is published already
+        feed = _rows(sink.read_feed(spark, spec, f"{root}/f").select("batch_id", "rowkind", "dt", "id", "v"))
+        return _rows(read_state(spark, spec, f"{root}/s")), feed
+
+    whole = run(f"{tmp_dir}/whole")
+    assert whole == run(f"{tmp_dir}/dying", dying=2)
+    assert [r[1:] for r in whole[1] if r[0] == 1] == [
+        ("+I", "d1", "3", "c"), ("+U", "d1", "1", "b"), ("-D", "d2", "2", "a"), ("-U", "d1", "1", "a")]
+
+
+def test_reader_keeps_its_version(spark, tmp_dir):
+    spec = _versioned_spec()
+    upsert(spark.createDataFrame([("d1", "1", "a", "+I", 1)], VERSIONED), spec, f"{tmp_dir}/s")
+    old = live_view(spark, spec, f"{tmp_dir}/s")
+    for k in range(4):  # compacts on the way
+        upsert(spark.createDataFrame([("d1", "1", f"b{k}", "+U", 2 + k)], VERSIONED), spec, f"{tmp_dir}/s")
+    assert _rows(old) == [("d1", "1", "a")]
+    assert _rows(live_view(spark, spec, f"{tmp_dir}/s")) == [("d1", "1", "b3")]
 
 
 def test_feed_compaction_stream_gives_net_change(spark, tmp_dir):

@@ -9,8 +9,8 @@ from carelake.plans.batch import Warehouse, table_reader
 from carelake.plans.warehouse import JOBS, doctor_insert_preview
 from carelake.sources.changelog import read_changelog
 from carelake.sources.specs import DIM_DOCTOR, DIM_HOSPITAL, DIM_PATIENT
-from carelake.streaming import (current, live_view, open_table, read_state, start_console,
-                                start_job, state_lookup, upsert)
+from carelake.streaming import (current, live_view, open_table, publish, read_state,
+                                start_job, start_preview, state_lookup, upsert)
 from conftest import SF_SMALL
 
 
@@ -41,17 +41,30 @@ def test_lookup_key_check(spark):
         assert_unique_key(bad)
 
 
-def test_doctor_insert_preview_on_console(spark, tmp_dir, capsys):
+def test_doctor_insert_preview_has_every_insert(spark, tmp_dir):
     t = table_reader(spark, SF_SMALL)
     log = standins.ods_doctor_log(t)
     log.write.parquet(f"{tmp_dir}/landing")
-    batch = doctor_insert_preview(log)
-    assert batch.count() == log.filter(F.col("rowkind") == "+I").count()
-    assert batch.columns[-1] == "proc_time"
+    inserts = log.filter(F.col("rowkind") == "+I").count()
+    assert doctor_insert_preview(log).count() == inserts
     stream = read_changelog(spark, f"{tmp_dir}/landing", log.schema, stream=True)
-    q = start_console(doctor_insert_preview(stream), trigger={"availableNow": True}, num_rows=3)
+    q = start_preview(doctor_insert_preview(stream), f"{tmp_dir}/out", f"{tmp_dir}/ck", trigger={"availableNow": True})
     q.awaitTermination()
-    assert q.lastProgress["numInputRows"] == log.count()
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert out.count() == inserts and out.columns[-1] == "proc_time"
+
+
+def test_lost_pointer_raises(spark, tmp_dir):
+    import shutil
+    spec = JOBS["dim_user"].spec
+    open_table(spark, tmp_dir, spec)
+    hidden = open_table(spark, tmp_dir, spec, rebuild=True, publish_now=False)
+    assert hidden.version == 1 and current(spark, tmp_dir, spec.name).version == 0
+    publish(spark, hidden)
+    assert current(spark, tmp_dir, spec.name).version == 1
+    shutil.rmtree(f"{tmp_dir}/{spec.name}/_published")
+    with pytest.raises(FileNotFoundError):
+        current(spark, tmp_dir, spec.name)
 
 
 def test_wide_fact_stream_equals_batch(spark, tmp_dir):
