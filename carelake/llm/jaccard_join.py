@@ -51,8 +51,10 @@ NUMERATOR, DENOMINATOR = 75, 100
 PER_BUCKET, MIN_BITS, MAX_BITS = 128, 14, 24
 #: Least and greatest number of shared shingles that a document asks for.
 LEAST_MATCHES, MOST_MATCHES = 2, 8
-#: Partners of each node that are verified before pairs between components are looked for.
-LEADERS = 2
+#: Partners of each node that are verified at a time before all pairs between components are looked at.
+LEADERS = 3
+#: Rounds of this at most, and pairs between components per posting that are few enough to look at all.
+ROUNDS, FEW_PAIRS = 4, 3
 #: Rows that are broadcast at most; beyond, joins are shuffled.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -182,8 +184,9 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.where(excess > 0, 1 + np.log2(np.maximum(excess, 1)).astype(np.int64), 0).astype(np.uint8)
 
 
-def prefix_of(hashes: np.ndarray, level: np.ndarray) -> tuple[int, np.ndarray]:
-    """The number of shared shingles that a document asks for, and its prefix for it."""
+def prefix_of(hashes: np.ndarray, level: np.ndarray) -> tuple[int, int, np.ndarray]:
+    """The number of shared shingles that a document asks for, the number of its shingles that are
+    frequent, and its prefix."""
     n = len(hashes)
     need = -(-NUMERATOR * n // DENOMINATOR)
     lv = level[(hashes & np.uint64(len(level) - 1)).astype(np.int64)]
@@ -191,12 +194,12 @@ def prefix_of(hashes: np.ndarray, level: np.ndarray) -> tuple[int, np.ndarray]:
     first = lv[order[:n - need + 1]]
     cost = float(np.where(first > 0, 2.0 ** (first.astype(float) - 1), 0).sum())  # expected partners
     matches = min(max(LEAST_MATCHES, 1 + int(math.log2(1 + cost))), MOST_MATCHES, need)
-    return matches, hashes[order[:n - need + matches]]
+    return matches, int((lv > 0).sum()), hashes[order[:n - need + matches]]
 
 
 # ---------------------------------------------------------------- steps
 
-_SETS = "doc_id long, n long, node long, matches int, prefix array<long>"
+_SETS = "doc_id long, n long, node long, matches int, frequent int, prefix array<long>"
 
 
 def prefixes(docs: DataFrame, level: np.ndarray) -> DataFrame:
@@ -207,20 +210,22 @@ def prefixes(docs: DataFrame, level: np.ndarray) -> DataFrame:
         for batch, texts in text_blocks(batches):
             sets = shingle_sets(texts)
             nodes = [set_id(s) if len(s) else None for s in sets]
-            asked, tokens = [], []
+            asked, frequent, tokens = [], [], []
             for s, node in zip(sets, nodes, strict=True):
                 if node is None or node in sent:
                     asked.append(0)
+                    frequent.append(0)
                     tokens.append(None)
                     continue
                 sent.add(node)
-                matches, prefix = prefix_of(s, level)
+                matches, common, prefix = prefix_of(s, level)
                 asked.append(matches)
+                frequent.append(common)
                 tokens.append(prefix.view(np.int64))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()),
-                pa.array(asked, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "node", "matches", "prefix"])
+                pa.array(asked, pa.int32()), pa.array(frequent, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "node", "matches", "frequent", "prefix"])
 
     return docs.mapInArrow(run, _SETS)
 
@@ -279,6 +284,23 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return label
 
 
+def _most_shared(leads: DataFrame) -> DataFrame:
+    """Of (node, leader, shared), the ``LEADERS`` of each node that it shares most with."""
+    most = Window.partitionBy("node").orderBy(F.desc("shared"), "leader")
+    return leads.withColumn("k", F.row_number().over(most)).where(F.col("k") <= LEADERS).drop("k")
+
+
+def _outside(postings: DataFrame, label: DataFrame) -> DataFrame:
+    """(token, node, label, main) of the shingles whose nodes are in several components; main: the
+    component with most of its nodes."""
+    placed = cut(postings.join(label, "node", "left")
+                 .select("token", "node", F.coalesce("label", "node").alias("label")), "placed")
+    sizes = placed.groupBy("token", "label").agg(F.count("*").alias("n"))
+    mixed = (sizes.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
+             .where("labels > 1").select("token", "main"))
+    return cut(placed.join(mixed, "token"), "mixed")
+
+
 def similarity_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
@@ -291,14 +313,16 @@ def similarity_components(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("matches").alias("matches"))
     sized = cut(sized, "nodes")
     nodes = sized.where("doc_id is not null").select("node", "doc_id")
-    rows = sets.where("matches > 0").select("node", F.explode("prefix").alias("token"))
+    rows = sets.where("matches > 0").select("node", "frequent", F.explode("prefix").alias("token"))
 
-    # Prefix shingles of two nodes or more: the least, the greatest, and whether that is all.
-    tokens = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"))
+    # Prefix shingles of two nodes or more: the least, the greatest, the one with most frequent shingles
+    # (in a group of near copies, one that has what the others share), and whether that is all.
+    tokens = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
+                                       F.max(F.struct("frequent", "node"))["node"].alias("top"), F.count("*").alias("n"))
     tokens = cut(tokens.where("lo <> hi"), "tokens")
     many = tokens.where("n > 2")
     n_many = many.count()
-    stars = cut(rows.join(_small(many.select("token", "lo", "hi"), n_many), "token"), "stars")
+    stars = cut(rows.join(_small(many.select("token", "lo", "hi", "top"), n_many), "token").drop("frequent"), "stars")
     postings = (tokens.where("n = 2").select("token", F.explode(F.array("lo", "hi")).alias("node"))
                 .unionByName(stars.select("token", "node").distinct()))
 
@@ -310,33 +334,49 @@ def similarity_components(docs: DataFrame) -> DataFrame:
                        & (F.col("shared") >= F.least("ma", "mb"))).select("a", "b"))
 
     # Star pairs: of the leaders that a node shares prefix shingles with, the ones it shares most with.
-    leads = stars.select("node", F.explode(F.array("lo", "hi")).alias("leader")).where("node <> leader")
+    leads = stars.select("node", F.explode(F.array_distinct(F.array("lo", "hi", "top"))).alias("leader")).where("node <> leader")
     twos = tokens.where("n = 2").select(F.explode(F.array(
         F.struct(F.col("lo").alias("node"), F.col("hi").alias("leader")),
         F.struct(F.col("hi").alias("node"), F.col("lo").alias("leader")))).alias("x")).select("x.*")
     leads = leads.unionByName(twos).groupBy("node", "leader").agg(F.count("*").alias("shared"))
-    most = Window.partitionBy("node").orderBy(F.desc("shared"), "leader")
-    leads = leads.withColumn("k", F.row_number().over(most)).where(F.col("k") <= LEADERS)
+    leads = _most_shared(leads)
     star_pairs = leads.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "shared")
     first = cut(enough(star_pairs.groupBy("a", "b").agg(F.max("shared").alias("shared"))), "pairs")
     links = cut(similar_pairs(docs, nodes, first, "verify"), "links")
     label = components(links)
 
-    # What is left: pairs of different components.
-    placed = (postings.join(label, "node", "left")
-              .select("token", "node", F.coalesce("label", "node").alias("label")))
-    placed = cut(placed, "postings")
+    # What is left: pairs of different components. While they are many, a node outside a shingle's
+    # largest component is verified against some of that component's nodes first.
+    postings = cut(postings, "postings")
+    n_postings, done, joined = postings.count(), first, -1
+    for _ in range(ROUNDS):
+        placed = _outside(postings, label)
+        todo = placed.groupBy("token").agg(F.count("*").alias("n"), F.count_if(F.col("label") != F.col("main")).alias("out"))
+        cost = todo.agg(F.sum(F.col("n") * F.col("out"))).first()[0] or 0
+        if cost <= FEW_PAIRS * n_postings or joined == 0:
+            break
+        some = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(joined)))
+        inside = (placed.where("label = main").withColumn("k", F.row_number().over(some))
+                  .where(F.col("k") <= LEADERS).select("token", F.col("node").alias("leader")))
+        leads = placed.where("label <> main").select("token", "node").join(inside, "token")
+        leads = _most_shared(leads.groupBy("node", "leader").agg(F.count("*").alias("shared")))
+        pairs = leads.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "shared")
+        pairs = pairs.groupBy("a", "b").agg(F.max("shared").alias("shared"))
+        pairs = cut(enough(pairs).join(done, ["a", "b"], "left_anti"), "pairs")
+        more = cut(similar_pairs(docs, nodes, pairs, "verify"), "links")
+        joined = more.count()
+        done, links = done.unionByName(pairs), links.unionByName(more)
+        label = components(links) if joined else label
+    else:
+        placed = _outside(postings, label)
     # A shingle's largest component there is met by the others' nodes alone: pairs within it are not made.
-    sizes = placed.groupBy("token", "label").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
-             .where("labels > 1").select("token", "main"))
-    placed = cut(placed.join(mixed, "token"), "mixed")
     left = placed.where("label <> main").select("token", F.col("node").alias("x"), F.col("label").alias("lx"))
     right = placed.select("token", F.col("node").alias("y"), F.col("label").alias("ly"), "main")
     across = left.join(right, "token").where("lx <> ly and (ly = main or x < y)")
     across = (across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
               .groupBy("a", "b").agg(F.count("*").alias("shared")))
-    rest = cut(enough(across).join(first, ["a", "b"], "left_anti"), "rest")
+    # Sets of one shingle are equal or share none, so two different nodes are asked for two at least.
+    rest = cut(enough(across.where(F.col("shared") >= LEAST_MATCHES)).join(done, ["a", "b"], "left_anti"), "rest")
     if rest.limit(1).count():
         label = components(links.unionByName(cut(similar_pairs(docs, nodes, rest, "verify-rest"), "more-links")))
 

@@ -107,6 +107,21 @@ def test_jaccard_matches_brute_force_on_chains(spark, seed):
     assert sorted(tuple(r) for r in got) == sorted(brute_components(rows))
 
 
+def test_jaccard_group_whose_members_are_often_not_similar(spark, monkeypatch):
+    # Copies with many edits: a quarter of the pairs are similar, as in a large group of near copies.
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(90):
+        words = base[:]
+        for _ in range(rng.randint(1, 5)):
+            words[rng.randrange(120)] = f"e{k}x{rng.randrange(1000)}"
+        rows.append((k, " ".join(words)))
+    monkeypatch.setattr(jaccard_join, "FEW_PAIRS", 0)  # take the rounds
+    got = jaccard_join.similarity_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute_components(rows))
+
+
 def test_jaccard_rest_pairs_without_stars(spark):
     # Links that only members have with each other: the first two differ from all, the rest chain.
     words = [f"w{k}" for k in range(40)]
@@ -134,7 +149,7 @@ def test_prefixes_share_what_they_ask_for():
         b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 63, int(rng.integers(0, drop + 1)), dtype=np.uint64)]))
         both = len(np.intersect1d(a, b))
         if 100 * both >= 75 * (len(a) + len(b) - both):
-            (ma, pa), (mb, pb) = jaccard_join.prefix_of(a, level), jaccard_join.prefix_of(b, level)
+            (ma, _, pa), (mb, _, pb) = jaccard_join.prefix_of(a, level), jaccard_join.prefix_of(b, level)
             assert len(np.intersect1d(pa, pb)) >= min(ma, mb)
 
 
