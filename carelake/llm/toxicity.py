@@ -45,6 +45,8 @@ MIN_Z, MIN_ODDS, MIN_CONTEXTS = 3.0, 1.5, 4
 PRIOR = 0.05
 #: Lengths of word beginnings that are units.
 BEGINNINGS = (4, 5, 6, 7, 8)
+#: Characters whose contexts a Python worker holds at a time.
+CONTEXT_CHARS = 400_000
 #: Words that a Python worker remembers (twice as many at most).
 CACHE_ENTRIES = 100_000
 THRESHOLD = 0.7
@@ -143,7 +145,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: F.Column | None = No
              .join(F.broadcast(picked), "doc_id").where("text is not null").select("text", "toxic").distinct())
 
     def contexts(batches):
-        for batch, lines in text_blocks(batches):
+        for batch, lines in text_blocks(batches, chars=CONTEXT_CHARS):
             seen = set()
             for t, y in zip(lines, batch.column(1).to_pylist(), strict=True):
                 w = _WORD.findall(t.lower())
