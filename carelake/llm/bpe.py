@@ -35,7 +35,7 @@ from .common import RecentCache, held, map_blocks, read_table, ship
 #: A vocabulary file over this size is refused: it is shipped to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Words and chunks that a Python worker remembers (twice as many at most).
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 
 
 def read_vocabulary(path: str) -> bytes:
