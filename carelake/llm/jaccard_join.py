@@ -390,3 +390,23 @@ def similarity_components(docs: DataFrame) -> DataFrame:
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document's whole text."""
     return similarity_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# ---------------------------------------------------------------- the same in DuckDB
+
+SQL = r"""
+with recursive docs as (
+    select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+    select distinct r, s from (select r, unnest(case
+        when len(w) >= 5 then list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))
+        when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from docs)),
+sizes as (select r, count(*) as n from shingles group by r),
+shared as (select x.r as a, y.r as b, count(*) as c from shingles x join shingles y on x.s = y.s and x.r <> y.r group by all),
+links as (select a, b from shared join sizes p on a = p.r join sizes q on b = q.r where 100 * c >= 75 * (p.n + q.n - c)),
+reached as (select r, r as q from docs union select reached.r, links.b from reached join links on reached.q = links.a)
+select d.doc_id, cast(coalesce(any_value(n), 0) as bigint) as n_shingles, min(o.doc_id) as component_id
+from docs d join reached using (r) join docs o on o.r = reached.q left join sizes s on s.r = d.r
+group by d.r, d.doc_id
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op9_bpe
 from .decontamination import op7_decontamination
-from .jaccard_join import op1_jaccard_join
+from .jaccard_join import SQL as JACCARD_SQL, op1_jaccard_join
 from .language_id import op3_language_id
 from .nn_descent import op4_nn_descent
 from .secrets import SQL as SECRETS_SQL, op10_secret_scan
@@ -29,4 +29,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_secret_scan": op10_secret_scan,
 }
-SQL: dict[str, str] = {"op10_secret_scan": SECRETS_SQL}
+SQL: dict[str, str] = {"op1_jaccard_join": JACCARD_SQL, "op10_secret_scan": SECRETS_SQL}

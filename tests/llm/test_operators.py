@@ -139,6 +139,11 @@ def test_jaccard_documents_and_odd_rows(spark, texts):
     assert jaccard_join.similarity_components(empty(spark)).count() == 0
 
 
+def test_jaccard_query_equals_sql(spark):
+    from oracle_check import compare
+    assert compare(spark, SF, ["op1_jaccard_join"], verbose=False)["op1_jaccard_join"][0]
+
+
 def test_prefixes_share_what_they_ask_for():
     rng = np.random.default_rng(5)
     level = rng.integers(0, 5, 1 << 14).astype(np.uint8)
