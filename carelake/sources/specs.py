@@ -1,7 +1,8 @@
-"""Target tables: typed schemas with column comments and keyed-table settings.
+"""Target tables: typed schemas and keyed-table settings.
 
 Column names, order and types are the declared target schemas of the
-warehouse (fixed values, they must stay as declared). Comments are our own.
+warehouse (fixed values, they must stay as declared). A column has a comment
+where its name alone does not tell what it holds.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ _MONEY = T.DecimalType(19, 2)
 _SMALL, _TINY = T.ShortType(), T.ByteType()
 
 
-def _f(name: str, dtype: T.DataType, comment: str, nullable: bool = True) -> T.StructField:
-    return T.StructField(name, dtype, nullable, metadata={"comment": comment})
+def _f(name: str, dtype: T.DataType, comment: str = "", nullable: bool = True) -> T.StructField:
+    return T.StructField(name, dtype, nullable, metadata={"comment": comment} if comment else {})
 
 
 @dataclass(frozen=True)
@@ -76,196 +77,196 @@ def _fact(name, fields, not_null=()):
 
 
 DIM_HOSPITAL = _dim("dim_hospital", [
-    _f("id", _STR, "hospital id"),
-    _f("address", _STR, "street address"),
+    _f("id", _STR),
+    _f("address", _STR),
     _f("alias", _STR, "other name"),
-    _f("bed_num", _BIG, "number of beds"),
-    _f("city", _STR, "city"),
-    _f("department_num", _BIG, "number of departments"),
-    _f("district", _STR, "district"),
-    _f("establish_time", _STR, "date founded"),
+    _f("bed_num", _BIG),
+    _f("city", _STR),
+    _f("department_num", _BIG),
+    _f("district", _STR),
+    _f("establish_time", _STR),
     _f("health_care_num", _BIG, "number of medical staff"),
     _f("insurance", _STR, "accepts public insurance"),
-    _f("level", _STR, "hospital grade"),
-    _f("name", _STR, "hospital name"),
-    _f("province", _STR, "province"),
+    _f("level", _STR),
+    _f("name", _STR),
+    _f("province", _STR),
 ], buckets=1)
 
 DIM_DOCTOR = _dim("dim_doctor", [
-    _f("id", _STR, "doctor id"),
-    _f("birthday", _STR, "date of birth"),
-    _f("consultation_fee", _MONEY, "fee per consultation"),
+    _f("id", _STR),
+    _f("birthday", _STR),
+    _f("consultation_fee", _MONEY),
     _f("gender_code", _STR, "gender code, 101/102"),
-    _f("gender", _STR, "gender name"),
-    _f("name", _STR, "doctor name"),
+    _f("gender", _STR),
+    _f("name", _STR),
     _f("specialty_code", _STR, "specialty code, 5xx"),
-    _f("specialty_name", _STR, "specialty name"),
+    _f("specialty_name", _STR),
     _f("title_code", _STR, "title code, 301-305"),
-    _f("title_name", _STR, "title name"),
-    _f("hospital_id", _STR, "hospital the doctor works at"),
+    _f("title_name", _STR),
+    _f("hospital_id", _STR),
 ], buckets=4)
 
 DIM_PATIENT = _dim("dim_patient", [
-    _f("id", _STR, "patient id"),
-    _f("birthday", _STR, "date of birth"),
-    _f("gender_code", _STR, "gender code"),
-    _f("gender_name", _STR, "gender name"),
-    _f("name", _STR, "patient name"),
-    _f("user_id", _STR, "owning user"),
+    _f("id", _STR),
+    _f("birthday", _STR),
+    _f("gender_code", _STR),
+    _f("gender_name", _STR),
+    _f("name", _STR),
+    _f("user_id", _STR),
 ], buckets=2)
 
 DIM_MEDICINE = _dim("dim_medicine", [
-    _f("id", _STR, "medicine id"),
-    _f("approval_code", _STR, "approval number"),
-    _f("dose_type", _STR, "dosage form"),
-    _f("name", _STR, "medicine name"),
-    _f("name_en", _STR, "English name"),
-    _f("price", _MONEY, "unit price"),
-    _f("specs", _STR, "package specification"),
-    _f("trade_name", _STR, "brand name"),
+    _f("id", _STR),
+    _f("approval_code", _STR),
+    _f("dose_type", _STR),
+    _f("name", _STR),
+    _f("name_en", _STR),
+    _f("price", _MONEY),
+    _f("specs", _STR),
+    _f("trade_name", _STR),
 ], buckets=1)
 
 DIM_USER = _dim("dim_user", [
-    _f("id", _STR, "user id"),
-    _f("email", _STR, "e-mail"),
-    _f("telephone", _STR, "phone number"),
-    _f("username", _STR, "login name"),
+    _f("id", _STR),
+    _f("email", _STR),
+    _f("telephone", _STR),
+    _f("username", _STR),
 ], buckets=4)
 
 DWD_USER_REGISTER = _fact("dwd_user_register", [
-    _f("id", _STR, "user id"),
-    _f("create_time", _TS, "created at"),
-    _f("update_time", _TS, "updated at"),
-    _f("email", _STR, "e-mail"),
-    _f("telephone", _STR, "phone number"),
-    _f("username", _STR, "login name"),
-    _f("dt", _STR, "partition day"),
+    _f("id", _STR),
+    _f("create_time", _TS),
+    _f("update_time", _TS),
+    _f("email", _STR),
+    _f("telephone", _STR),
+    _f("username", _STR),
+    _f("dt", _STR),
 ])
 
 DWD_DOCTOR_REGISTER = _fact("dwd_doctor_register", [
-    _f("id", _STR, "doctor id"),
-    _f("create_time", _TS, "created at"),
-    _f("update_time", _TS, "updated at"),
-    _f("birthday", _STR, "date of birth"),
-    _f("consultation_fee", _MONEY, "fee per consultation"),
+    _f("id", _STR),
+    _f("create_time", _TS),
+    _f("update_time", _TS),
+    _f("birthday", _STR),
+    _f("consultation_fee", _MONEY),
     _f("gender_code", _STR, "gender code, 101/102"),
-    _f("gender_name", _STR, "gender name"),
-    _f("name", _STR, "doctor name"),
+    _f("gender_name", _STR),
+    _f("name", _STR),
     _f("specialty_code", _STR, "specialty code, 5xx"),
-    _f("specialty_name", _STR, "specialty name"),
+    _f("specialty_name", _STR),
     _f("title_code", _STR, "title code, 301-305"),
-    _f("title_name", _STR, "title name"),
-    _f("hospital_id", _STR, "hospital"),
-    _f("dt", _STR, "partition day"),
+    _f("title_name", _STR),
+    _f("hospital_id", _STR),
+    _f("dt", _STR),
 ])
 
 DWD_PATIENT_REGISTER = _fact("dwd_patient_register", [
-    _f("id", _STR, "patient id"),
-    _f("create_time", _TS, "created at"),
-    _f("update_time", _TS, "updated at"),
-    _f("birthday", _STR, "date of birth"),
-    _f("gender_code", _STR, "gender code"),
-    _f("gender_name", _STR, "gender name"),
-    _f("name", _STR, "patient name"),
-    _f("user_id", _STR, "owning user"),
-    _f("dt", _STR, "partition day"),
+    _f("id", _STR),
+    _f("create_time", _TS),
+    _f("update_time", _TS),
+    _f("birthday", _STR),
+    _f("gender_code", _STR),
+    _f("gender_name", _STR),
+    _f("name", _STR),
+    _f("user_id", _STR),
+    _f("dt", _STR),
 ])
 
 DWD_PAYMENT = _fact("dwd_payment", [
-    _f("id", _STR, "payment id", nullable=False),
-    _f("create_time", _TS, "created at"),
-    _f("update_time", _TS, "updated at"),
-    _f("payment_amount", _MONEY, "amount paid"),
+    _f("id", _STR, nullable=False),
+    _f("create_time", _TS),
+    _f("update_time", _TS),
+    _f("payment_amount", _MONEY),
     _f("status", _SMALL, "payment status, 202 unpaid / 203 paid"),
-    _f("consultation_id", _STR, "consultation paid for"),
-    _f("prescription_id", _STR, "prescription paid for"),
-    _f("user_id", _STR, "paying user"),
-    _f("dt", _STR, "partition day"),
+    _f("consultation_id", _STR),
+    _f("prescription_id", _STR),
+    _f("user_id", _STR),
+    _f("dt", _STR),
 ], not_null=("id",))
 
 DWD_REVIEW = _fact("dwd_review", [
-    _f("id", _STR, "consultation id"),
-    _f("create_time", _TS, "created at"),
-    _f("update_time", _TS, "updated at"),
+    _f("id", _STR),
+    _f("create_time", _TS),
+    _f("update_time", _TS),
     _f("rating", _TINY, "rating 1-5"),
-    _f("review", _STR, "review text"),
-    _f("doctor_id", _STR, "doctor"),
-    _f("patient_id", _STR, "patient"),
-    _f("user_id", _STR, "user"),
-    _f("dt", _STR, "partition day"),
+    _f("review", _STR),
+    _f("doctor_id", _STR),
+    _f("patient_id", _STR),
+    _f("user_id", _STR),
+    _f("dt", _STR),
 ])
 
 DWD_PRESCRIPTION_DETAIL = _fact("dwd_prescription_detail", [
-    _f("id", _STR, "detail id", nullable=False),
-    _f("create_time", _TS, "created at"),
-    _f("update_time", _TS, "updated at"),
+    _f("id", _STR, nullable=False),
+    _f("create_time", _TS),
+    _f("update_time", _TS),
     _f("count", _STR, "dose"),
-    _f("instruction", _STR, "how to take it"),
-    _f("medicine_id", _STR, "medicine"),
-    _f("approval_code", _STR, "approval number"),
-    _f("name", _STR, "medicine name"),
-    _f("name_en", _STR, "English name"),
-    _f("price", _MONEY, "unit price"),
-    _f("specs", _STR, "package specification"),
-    _f("trade_name", _STR, "brand name"),
-    _f("prescription_id", _STR, "owning prescription"),
-    _f("dt", _STR, "partition day"),
+    _f("instruction", _STR),
+    _f("medicine_id", _STR),
+    _f("approval_code", _STR),
+    _f("name", _STR),
+    _f("name_en", _STR),
+    _f("price", _MONEY),
+    _f("specs", _STR),
+    _f("trade_name", _STR),
+    _f("prescription_id", _STR),
+    _f("dt", _STR),
 ], not_null=("id",))
 
 _DOCTOR_COLS = [
-    _f("doctor_id", _STR, "attending doctor id"),
-    _f("doctor_name", _STR, "attending doctor name"),
-    _f("doctor_birthday", _STR, "attending doctor date of birth"),
-    _f("doctor_gender_code", _STR, "attending doctor gender code"),
-    _f("doctor_gender_name", _STR, "attending doctor gender name"),
-    _f("doctor_specialty_code", _STR, "attending doctor specialty code"),
-    _f("doctor_specialty_name", _STR, "attending doctor specialty name"),
-    _f("doctor_title_code", _STR, "attending doctor title code"),
-    _f("doctor_title_name", _STR, "attending doctor title name"),
-    _f("hospital_id", _STR, "hospital id"),
-    _f("hospital_name", _STR, "hospital name"),
-    _f("hospital_establish_time", _STR, "hospital founding date"),
-    _f("hospital_level", _STR, "hospital grade"),
-    _f("hospital_province", _STR, "hospital province"),
-    _f("hospital_city", _STR, "hospital city"),
-    _f("hospital_district", _STR, "hospital district"),
-    _f("patient_id", _STR, "patient id"),
-    _f("patient_name", _STR, "patient name"),
-    _f("patient_birthday", _STR, "patient date of birth"),
-    _f("patient_gender_code", _STR, "patient gender code"),
-    _f("patient_gender_name", _STR, "patient gender name"),
+    _f("doctor_id", _STR),
+    _f("doctor_name", _STR),
+    _f("doctor_birthday", _STR),
+    _f("doctor_gender_code", _STR),
+    _f("doctor_gender_name", _STR),
+    _f("doctor_specialty_code", _STR),
+    _f("doctor_specialty_name", _STR),
+    _f("doctor_title_code", _STR),
+    _f("doctor_title_name", _STR),
+    _f("hospital_id", _STR),
+    _f("hospital_name", _STR),
+    _f("hospital_establish_time", _STR),
+    _f("hospital_level", _STR),
+    _f("hospital_province", _STR),
+    _f("hospital_city", _STR),
+    _f("hospital_district", _STR),
+    _f("patient_id", _STR),
+    _f("patient_name", _STR),
+    _f("patient_birthday", _STR),
+    _f("patient_gender_code", _STR),
+    _f("patient_gender_name", _STR),
 ]
 
 _TIME_COLS = [
-    _f("dt", _STR, "partition day"),
-    _f("hour", _BIG, "hour of creation"),
-    _f("minute", _BIG, "minute of creation"),
+    _f("dt", _STR),
+    _f("hour", _BIG),
+    _f("minute", _BIG),
 ]
 
 DWD_PRESCRIPTION = _fact("dwd_prescription", [
-    _f("id", _STR, "prescription id", nullable=False),
-    _f("create_time", _TS, "created at"),
-    _f("update_time", _TS, "updated at"),
-    _f("instruction", _STR, "prescription note"),
+    _f("id", _STR, nullable=False),
+    _f("create_time", _TS),
+    _f("update_time", _TS),
+    _f("instruction", _STR),
     _f("status", _SMALL, "status, 202 unpaid / 203 paid"),
-    _f("total_amount", _MONEY, "total amount"),
-    _f("consultation_id", _STR, "consultation"),
+    _f("total_amount", _MONEY),
+    _f("consultation_id", _STR),
     *_DOCTOR_COLS,
     *_TIME_COLS,
 ], not_null=("id",))
 
 DWD_CONSULTATION = _fact("dwd_consultation", [
-    _f("id", _STR, "consultation id", nullable=False),
-    _f("create_time", _TS, "created at"),
-    _f("update_time", _TS, "updated at"),
-    _f("consultation_fee", _MONEY, "consultation fee"),
-    _f("description", _STR, "description of the condition"),
-    _f("diagnosis", _STR, "diagnosis"),
+    _f("id", _STR, nullable=False),
+    _f("create_time", _TS),
+    _f("update_time", _TS),
+    _f("consultation_fee", _MONEY),
+    _f("description", _STR),
+    _f("diagnosis", _STR),
     _f("rating", _TINY, "rating 1-5"),
-    _f("review", _STR, "review text"),
+    _f("review", _STR),
     _f("status", _SMALL, "status 201-207, 207 = reviewed"),
     *_DOCTOR_COLS,
-    _f("user_id", _STR, "user"),
+    _f("user_id", _STR),
     *_TIME_COLS,
 ], not_null=("id",))
 
@@ -279,5 +280,5 @@ ALL_SPECS = {s.name: s for s in [
 # when the jobs run as streams.
 ODS_DICT = TableSpec(name="ods_dict", schema=T.StructType([
     _f("id", T.IntegerType(), "code"),
-    _f("value", _STR, "text of the code"),
+    _f("value", _STR),
 ]), pk=("id",), buckets=1)

@@ -3,7 +3,9 @@
 A fact whose dimension row is missing is held for up to ``wait_seconds``;
 if the row arrives in time the fact is emitted enriched, otherwise it is
 emitted with NULL attributes when its timer fires. Facts whose dimension is
-present are emitted at once. Each fact is emitted exactly once.
+present are emitted at once. Every version of a fact waits and comes out by itself.
+All dimension rows are kept in the state, so this form is for small dimensions; `start_wait`
+(chain.py) waits without state for the rest.
 
 Spark plan: the fact stream and the dimension change stream are unioned
 into one flat, tagged stream, grouped by the join key and processed by a
@@ -11,17 +13,16 @@ into one flat, tagged stream, grouped by the join key and processed by a
 
 * ``ValueState`` ``dim``: the key's current dimension row (or a tombstone)
   with its arrival; an older arrival never overwrites a newer one.
-* ``MapState`` ``pending``: fact id -> fact columns and its deadline.
+* ``MapState`` ``pending``: (fact id, arrival, kind) -> fact columns and deadline.
 
 Skew: one key (a busy doctor) may carry a large share of the facts, so the
 state is keyed by ``(key, salt)`` with ``salt = hash(fact id) mod n``; each
 dimension change is copied to the ``n`` salts of its key. A fact and its
-retraction share a salt. State grows by ``n`` copies of each dimension row,
-which is small next to the facts.
+retraction share a salt. State holds ``n`` copies of each dimension row.
 
 Inside one batch a key's dimension changes are applied before its facts.
-A fact retraction (``-U``/``-D``) cancels a pending fact of the same id and
-is passed on without attributes (only its key matters downstream). Facts
+A fact retraction (``-U``/``-D``) cancels pending versions of the same id that
+are not newer than itself and is passed on without attributes (only its key matters downstream). Facts
 with a NULL key never match, so they bypass the state entirely.
 
 Note: with ``trigger(availableNow=True)`` a query holding processing-time
