@@ -17,8 +17,8 @@ Steps, all distributed:
 3. Prefix shingles are aggregated to their least and greatest node (map-side combine);
    those with one node only are done with. Of the others, star pairs (each node with the ``LEADERS`` of the
    least and greatest nodes that it shares most with) are verified first and give components.
-4. Pairs of different components that share enough prefix shingles and were not
-   verified yet are verified. So within a group of near copies a linear number of pairs
+4. Pairs of different components that share enough prefix shingles, early enough in both
+   sets, and were not verified yet are verified. So within a component a linear number of pairs
    is looked at, and no link between components is lost.
 5. Verification joins the full sets, computed anew from the texts of the documents
    involved, and compares them exactly.
@@ -51,10 +51,8 @@ NUMERATOR, DENOMINATOR = 75, 100
 PER_BUCKET, MIN_BITS, MAX_BITS = 128, 14, 24
 #: Least and greatest number of shared shingles that a document asks for.
 LEAST_MATCHES, MOST_MATCHES = 2, 8
-#: Partners of each node that are verified at a time before all pairs between components are looked at.
+#: Partners of each node that are verified before pairs between components are looked at.
 LEADERS = 3
-#: Rounds of this at most, and pairs between components per posting that are few enough to look at all.
-ROUNDS, FEW_PAIRS = 4, 3
 #: Rows that are broadcast at most; beyond, joins are shuffled.
 MAX_BROADCAST_ROWS = 1_000_000
 
@@ -290,15 +288,14 @@ def _most_shared(leads: DataFrame) -> DataFrame:
     return leads.withColumn("k", F.row_number().over(most)).where(F.col("k") <= LEADERS).drop("k")
 
 
-def _outside(postings: DataFrame, label: DataFrame) -> DataFrame:
-    """(token, node, label, main) of the shingles whose nodes are in several components; main: the
-    component with most of its nodes."""
-    placed = cut(postings.join(label, "node", "left")
-                 .select("token", "node", F.coalesce("label", "node").alias("label")), "placed")
-    sizes = placed.groupBy("token", "label").agg(F.count("*").alias("n"))
-    mixed = (sizes.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"))
+def _outside(postings: DataFrame, label: DataFrame, sized: DataFrame) -> DataFrame:
+    """The postings of shingles whose nodes are in several components, with label, n and matches of
+    the node and the component that has most of the shingle's nodes (main)."""
+    placed = cut(postings.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "placed")
+    sizes = placed.groupBy("token", "label").agg(F.count("*").alias("k"))
+    mixed = (sizes.groupBy("token").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count("*").alias("labels"))
              .where("labels > 1").select("token", "main"))
-    return cut(placed.join(mixed, "token"), "mixed")
+    return cut(placed.join(mixed, "token").join(sized.select("node", "n", "matches"), "node"), "mixed")
 
 
 def similarity_components(docs: DataFrame) -> DataFrame:
@@ -313,7 +310,7 @@ def similarity_components(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("matches").alias("matches"))
     sized = cut(sized, "nodes")
     nodes = sized.where("doc_id is not null").select("node", "doc_id")
-    rows = sets.where("matches > 0").select("node", "frequent", F.explode("prefix").alias("token"))
+    rows = sets.where("matches > 0").select("node", "frequent", F.posexplode("prefix").alias("place", "token"))
 
     # Prefix shingles of two nodes or more: the least, the greatest, the one with most frequent shingles
     # (in a group of near copies, one that has what the others share), and whether that is all.
@@ -323,8 +320,9 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     many = tokens.where("n > 2")
     n_many = many.count()
     stars = cut(rows.join(_small(many.select("token", "lo", "hi", "top"), n_many), "token").drop("frequent"), "stars")
-    postings = (tokens.where("n = 2").select("token", F.explode(F.array("lo", "hi")).alias("node"))
-                .unionByName(stars.select("token", "node").distinct()))
+    # Places of a shingle in the sets; 0, which excludes nothing, where it has two nodes only.
+    postings = (tokens.where("n = 2").select("token", F.explode(F.array("lo", "hi")).alias("node"), F.lit(0).alias("place"))
+                .unionByName(stars.select("token", "node", "place").distinct()))
 
     def enough(pairs: DataFrame) -> DataFrame:
         """Of (a, b, shared), those with sizes that allow a link and enough shared shingles."""
@@ -345,38 +343,22 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     links = cut(similar_pairs(docs, nodes, first, "verify"), "links")
     label = components(links)
 
-    # What is left: pairs of different components. While they are many, a node outside a shingle's
-    # largest component is verified against some of that component's nodes first.
-    postings = cut(postings, "postings")
-    n_postings, done, joined = postings.count(), first, -1
-    for _ in range(ROUNDS):
-        placed = _outside(postings, label)
-        todo = placed.groupBy("token").agg(F.count("*").alias("n"), F.count_if(F.col("label") != F.col("main")).alias("out"))
-        cost = todo.agg(F.sum(F.col("n") * F.col("out"))).first()[0] or 0
-        if cost <= FEW_PAIRS * n_postings or joined == 0:
-            break
-        some = Window.partitionBy("token").orderBy(F.xxhash64("node", F.lit(joined)))
-        inside = (placed.where("label = main").withColumn("k", F.row_number().over(some))
-                  .where(F.col("k") <= LEADERS).select("token", F.col("node").alias("leader")))
-        leads = placed.where("label <> main").select("token", "node").join(inside, "token")
-        leads = _most_shared(leads.groupBy("node", "leader").agg(F.count("*").alias("shared")))
-        pairs = leads.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"), "shared")
-        pairs = pairs.groupBy("a", "b").agg(F.max("shared").alias("shared"))
-        pairs = cut(enough(pairs).join(done, ["a", "b"], "left_anti"), "pairs")
-        more = cut(similar_pairs(docs, nodes, pairs, "verify"), "links")
-        joined = more.count()
-        done, links = done.unionByName(pairs), links.unionByName(more)
-        label = components(links) if joined else label
-    else:
-        placed = _outside(postings, label)
-    # A shingle's largest component there is met by the others' nodes alone: pairs within it are not made.
-    left = placed.where("label <> main").select("token", F.col("node").alias("x"), F.col("label").alias("lx"))
-    right = placed.select("token", F.col("node").alias("y"), F.col("label").alias("ly"), "main")
-    across = left.join(right, "token").where("lx <> ly and (ly = main or x < y)")
-    across = (across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-              .groupBy("a", "b").agg(F.count("*").alias("shared")))
-    # Sets of one shingle are equal or share none, so two different nodes are asked for two at least.
-    rest = cut(enough(across.where(F.col("shared") >= LEAST_MATCHES)).join(done, ["a", "b"], "left_anti"), "rest")
+    # What is left: pairs of different components. A shingle's largest component there is met by the others'
+    # nodes alone: pairs within it are not made. The first l shared shingles of a similar pair stand early:
+    # after the k-th, no more than the rest of either set can be shared.
+    placed = _outside(postings, label, sized)
+    left = placed.where("label <> main").select("token", *[F.col(c).alias(f"{c}1") for c in ("node", "label", "place", "n", "matches")])
+    right = placed.select("token", "main", *[F.col(c).alias(f"{c}2") for c in ("node", "label", "place", "n", "matches")])
+    asked = F.least("matches1", "matches2")
+    both = NUMERATOR + DENOMINATOR  # shared >= t / (1 + t) * (n1 + n2)
+    across = left.join(right, "token").where(
+        (F.col("label1") != F.col("label2")) & ((F.col("label2") == F.col("main")) | (F.col("node1") < F.col("node2")))
+        & (DENOMINATOR * F.least("n1", "n2") >= NUMERATOR * F.greatest("n1", "n2"))
+        & (both * (F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + asked - 1)
+           >= NUMERATOR * (F.col("n1") + F.col("n2"))))
+    across = (across.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b"), asked.alias("asked"))
+              .groupBy("a", "b", "asked").agg(F.count("*").alias("shared")).where("shared >= asked"))
+    rest = cut(across.select("a", "b").join(first, ["a", "b"], "left_anti"), "rest")
     if rest.limit(1).count():
         label = components(links.unionByName(cut(similar_pairs(docs, nodes, rest, "verify-rest"), "more-links")))
 

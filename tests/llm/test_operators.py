@@ -107,7 +107,7 @@ def test_jaccard_matches_brute_force_on_chains(spark, seed):
     assert sorted(tuple(r) for r in got) == sorted(brute_components(rows))
 
 
-def test_jaccard_group_whose_members_are_often_not_similar(spark, monkeypatch):
+def test_jaccard_group_whose_members_are_often_not_similar(spark):
     # Copies with many edits: a quarter of the pairs are similar, as in a large group of near copies.
     rng = random.Random(9)
     base = [f"w{k}" for k in range(120)]
@@ -117,7 +117,6 @@ def test_jaccard_group_whose_members_are_often_not_similar(spark, monkeypatch):
         for _ in range(rng.randint(1, 5)):
             words[rng.randrange(120)] = f"e{k}x{rng.randrange(1000)}"
         rows.append((k, " ".join(words)))
-    monkeypatch.setattr(jaccard_join, "FEW_PAIRS", 0)  # take the rounds
     got = jaccard_join.similarity_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(tuple(r) for r in got) == sorted(brute_components(rows))
 
