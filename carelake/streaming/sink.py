@@ -38,8 +38,9 @@ from carelake.functions.rowkind import is_live
 from carelake.operators.changelog import latest_by_key, snapshot_diff
 from carelake.sources.specs import ARRIVAL, BUCKET, ROWKIND, TableSpec
 
-#: Deltas after which a commit also compacts: three 20-second commits are the feed's minute.
-COMPACT_EVERY = 3
+#: Deltas after which a commit also compacts. Compaction writes a folder for each partition and bucket
+#: that was touched, thousands for a source that spans years, so it is much rarer than commits.
+COMPACT_EVERY = 30
 
 _ENTRY = "number BIGINT, kind STRING, folder STRING, parts STRING, upto BIGINT, batch BIGINT"
 

@@ -284,7 +284,7 @@ def test_commit_that_dies_anywhere_is_replayed_once(spark, tmp_dir, monkeypatch,
     def run(root, dying=None):
         for n, rows in enumerate(batches):
             df = spark.createDataFrame(rows, VERSIONED)
-            go = lambda: upsert(df, spec, f"{root}/s", feed_path=f"{root}/f", batch_id=n)  # noqa: E731, B023
+            go = lambda: upsert(df, spec, f"{root}/s", feed_path=f"{root}/f", batch_id=n, compact_every=3)  # noqa: E731, B023
             if n == dying:
                 before = _rows(live_view(spark, spec, f"{root}/s"))
                 with monkeypatch.context() as m:
@@ -309,7 +309,7 @@ def test_reader_keeps_its_version(spark, tmp_dir):
     upsert(spark.createDataFrame([("d1", "1", "a", "+I", 1)], VERSIONED), spec, f"{tmp_dir}/s")
     old = live_view(spark, spec, f"{tmp_dir}/s")
     for k in range(4):  # compacts on the way
-        upsert(spark.createDataFrame([("d1", "1", f"b{k}", "+U", 2 + k)], VERSIONED), spec, f"{tmp_dir}/s")
+        upsert(spark.createDataFrame([("d1", "1", f"b{k}", "+U", 2 + k)], VERSIONED), spec, f"{tmp_dir}/s", compact_every=2)
     assert _rows(old) == [("d1", "1", "a")]
     assert _rows(live_view(spark, spec, f"{tmp_dir}/s")) == [("d1", "1", "b3")]
 
