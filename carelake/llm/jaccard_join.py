@@ -189,7 +189,9 @@ def prefix_of(hashes: np.ndarray, level: np.ndarray) -> tuple[int, int, np.ndarr
     need = -(-NUMERATOR * n // DENOMINATOR)
     lv = level[(hashes & np.uint64(len(level) - 1)).astype(np.int64)]
     order = np.argsort(lv, kind="stable") if lv.any() else np.arange(n)
-    first = lv[order[:n - need + 1]]
+    # Only early shingles bring partners of the same size: after them, too few are left to share.
+    early = n - -(-2 * NUMERATOR * n // (NUMERATOR + DENOMINATOR)) + 1
+    first = lv[order[:early]]
     cost = float(np.where(first > 0, 2.0 ** (first.astype(float) - 1), 0).sum())  # expected partners
     matches = min(max(LEAST_MATCHES, 1 + int(math.log2(1 + cost))), MOST_MATCHES, need)
     return matches, int((lv > 0).sum()), hashes[order[:n - need + matches]]
