@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -101,6 +102,13 @@ def held(key, make: Callable):
     return _HELD["value"]
 
 
+def release() -> None:
+    """Let go of what ``held`` keeps, for tasks that need the worker's memory for something else."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+
+
 def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], schema) -> DataFrame:
     """``fn(batch, texts)`` returns the columns of its block, by name of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import cut, read_table, ship, text_blocks
+from .common import cut, read_table, release, ship, text_blocks
 
 WORDS = 5
 #: The similarity, as a fraction.
@@ -145,6 +145,7 @@ def count_sketch(docs: DataFrame, bits: int) -> np.ndarray:
 
     def count(batches):
         from pyspark import TaskContext
+        release()
         total = np.zeros(1 << bits, np.int64)
         for _, texts in text_blocks(batches):
             for s in shingle_sets(texts):
@@ -206,6 +207,7 @@ def prefixes(docs: DataFrame, level: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(level)
 
     def run(batches):
+        release()
         level, sent = shared.value, set()
         for batch, texts in text_blocks(batches):
             sets = shingle_sets(texts)
@@ -245,6 +247,7 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, name: str
     firsts = docs.join(_small(cut(firsts, f"{name}-firsts"), n_pairs), "doc_id").select("doc_id", "a", "text")
 
     def with_sets(batches):
+        release()
         for batch, texts in text_blocks(batches):
             # A document is in several pairs: its rows are neighbours after the join.
             sets, last = [], None

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import RecentCache, held, map_blocks, read_table, ship, text_blocks
+from .common import RecentCache, held, map_blocks, read_table, release, ship, text_blocks
 
 #: Labelled documents to learn from, of each class.
 MAX_DOCS = 5000
@@ -145,6 +145,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: F.Column | None = No
              .join(F.broadcast(picked), "doc_id").where("text is not null").select("text", "toxic").distinct())
 
     def contexts(batches):
+        release()
         for batch, lines in text_blocks(batches, chars=CONTEXT_CHARS):
             seen = set()
             for t, y in zip(lines, batch.column(1).to_pylist(), strict=True):
