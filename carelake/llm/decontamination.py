@@ -1,23 +1,26 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Texts and items are compared in lower case with white space runs as one
-space. Each benchmark item is covered by windows of ``WINDOW`` characters, one
-every ``WINDOW // 2`` (a shorter item is one window). A window of m characters occurs in a
+space. Each item is covered by windows of ``WINDOW`` characters (a shorter item is one window) and by
+shorter ones of ``EXCERPT - STEP + 1``, both every ``STEP`` characters and at its end. So every verbatim
+excerpt of ``EXCERPT`` characters or more holds a whole window, wherever it begins, and so does a
+stretch of ``WINDOW + STEP - 1`` with its edits. Of a short item three quarters (at least
+``LEAST_PART`` characters) are enough; one below ``LEAST`` must be there whole. A window of m characters occurs in a
 text with at most k edits only if some diagonal band holds at least
 ``m + 1 - Q * (k + 1)`` of the window's q-grams (the q-gram lemma). So, per block of texts:
 
 1. all positions' q-grams are hashed and looked up among the windows' q-grams;
-2. hits are counted by text, window and band; bands are ``BAND`` diagonals wide and overlap by half, so any
+2. hits are sorted by text, item, band and place, and counted in each window; bands are ``BAND`` diagonals wide and overlap by half, so any
    ``BAND // 2`` neighbouring diagonals (more than k) lie in one of them;
 3. bands that reach the bound are verified: a banded alignment gives the
    window's least edit distance to a stretch of the text there.
 
-A match is a window with at most k edits, k = ``RATE`` of its length. The
-windows' table is broadcast while the items have at most ``MAX_ITEM_CHARS``
+A match is a window with at most k edits, k = ``RATE`` of its length (fewer where the lemma asks). The
+items' table is broadcast while the items have at most ``MAX_ITEM_CHARS``
 characters; a larger benchmark is taken in several parts, each within that.
 
 Defined cases: null and empty texts match nothing; items that are null or
-shorter than ``LEAST`` characters (normalised) are no evidence and match
+shorter than ``Q`` characters (normalised), a word or two, are no evidence and match
 nothing; an empty table on either side gives no match; repeated rows each get
 a row, repeated items each their own match; texts are searched whole; other
 columns pass through ``mark_contaminated``, replaced where names clash.
@@ -39,7 +42,10 @@ WINDOW = 100
 RATE = 0.07
 #: Diagonals in a band; half of it must be more than the edits of a window.
 BAND = 16
-LEAST = 24
+#: The shortest verbatim excerpt that is found at any place, and characters from a window to the next.
+EXCERPT, STEP = 50, 10
+#: Items from here on are also found by a part, of this length at least, with windows every ``PART_STEP`` characters.
+LEAST, LEAST_PART, PART_STEP = 24, 20, 3
 MAX_ITEM_CHARS = 32_000_000
 TABLE_BITS = 22
 
@@ -78,39 +84,62 @@ def gram_hashes(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Windows:
+    codes: np.ndarray    # all items' characters
+    starts: np.ndarray   # where each item begins in them, and the end
+    start: np.ndarray    # each window's place in them; first the long windows, then the short ones, either in order
+    sizes: np.ndarray    # and length
     item: np.ndarray     # item id of each window
-    text: list[np.ndarray]  # its characters
     edits: np.ndarray    # k
     least: np.ndarray    # shared q-grams that k edits leave
-    grams: np.ndarray    # sorted hashes of all windows' q-grams
-    window: np.ndarray   # window of each
-    offset: np.ndarray   # and place in it
+    n_long: int
+    grams: np.ndarray    # sorted hashes of all items' q-grams
+    place: np.ndarray    # and the place of each
     table: np.ndarray    # by the hash's upper bits: whether a q-gram has them
 
+    @property
+    def text(self) -> list[np.ndarray]:
+        return [self.codes[s:s + m] for s, m in zip(self.start, self.sizes, strict=True)]
+
+
+def excerpt_of(n: int) -> int:
+    """The length from which verbatim excerpts of an item of n characters are found, at any place."""
+    return min(EXCERPT, max(-(-3 * n // 4), LEAST_PART)) if n >= LEAST else n
+
+
+def _starts(n: int, size: int, step: int) -> list[int]:
+    starts = list(range(0, n - size + 1, step))
+    return starts if starts[-1] + size == n else [*starts, n - size]
+
 
 def windows_of(items: list[tuple[int, str | None]]) -> Windows:
-    item, texts = [], []
+    item, texts, long, short = [], [], [], []
+    begin = 0
     for item_id, text in items:
         codes = _codes(normalise(text or ""))
-        if len(codes) < LEAST:
+        n = len(codes)
+        if n < Q:
             continue
-        starts = list(range(0, max(len(codes) - WINDOW, 0) + 1, WINDOW // 2))
-        if starts[-1] + WINDOW < len(codes):
-            starts.append(len(codes) - WINDOW)
-        for s in starts:
-            item.append(item_id)
-            texts.append(codes[s:s + WINDOW])
-    sizes = np.array([len(t) for t in texts], np.int64)
+        size = min(n, WINDOW)
+        long += [(begin + s, size, len(item)) for s in _starts(n, size, STEP)]
+        step = STEP if excerpt_of(n) == EXCERPT else PART_STEP
+        size = excerpt_of(n) - step + 1
+        if n >= LEAST:
+            short += [(begin + s, size, len(item)) for s in _starts(n, size, step)]
+        item.append(item_id)
+        texts.append(codes)
+        begin += n
+    start, sizes, of = np.array(long + short, np.int64).reshape(-1, 3).T
     edits = np.minimum((sizes * RATE).astype(np.int64), np.maximum(sizes // Q - 1, 0))
     grams = [gram_hashes(t) for t in texts]
+    starts = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)]).astype(np.int64)
     flat = np.concatenate([np.zeros(0, np.uint64), *grams])
-    window = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
-    offset = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for g in grams]])
+    place = np.concatenate([np.zeros(0, np.int32), *[np.arange(a, a + len(g), dtype=np.int32) for a, g in zip(starts, grams)]])
     order = np.argsort(flat, kind="stable")
     table = np.zeros(1 << TABLE_BITS, bool)
     table[flat >> np.uint64(64 - TABLE_BITS)] = True
-    return Windows(np.array(item, np.int64), texts, edits, sizes + 1 - Q * (edits + 1),
-                   flat[order], window[order], offset[order], table)
+    return Windows(np.concatenate([np.zeros(0, "<u4"), *texts]), starts, start.astype(np.int32), sizes.astype(np.int32),
+                   np.array(item, np.int64)[of], edits.astype(np.int16), (sizes + 1 - Q * (edits + 1)).astype(np.int16),
+                   len(long), flat[order], place[order], table)
 
 
 def find(texts: list[str], w: Windows) -> list[tuple[int, int, int, int, int]]:
@@ -129,32 +158,56 @@ def find(texts: list[str], w: Windows) -> list[tuple[int, int, int, int, int]]:
     at, low, count, text = at[inside], low[inside], count[inside], text[inside]
     if not len(at):
         return []
-    # Every hit once for each window that has the q-gram.
+    # Every hit once for each place of the q-gram in the items.
     gram = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
     at, text = np.repeat(at, count), np.repeat(text, count)
-    window, diagonal = w.window[gram], at - starts[text] - w.offset[gram]
+    place = w.place[gram].astype(np.int64)
+    item = np.searchsorted(w.starts, place, "right") - 1
+    diagonal = at - starts[text] - (place - w.starts[item])
     half = BAND // 2
     band = diagonal // half
     # A hit counts in the two bands that hold its diagonal.
-    key = np.stack([np.tile(text, 2), np.tile(window, 2), np.concatenate([band, band - 1])])
-    order = np.lexsort(key[::-1])
-    key = key[:, order]
-    first = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0).any(0)]))
-    shared = np.diff(np.append(first, key.shape[1]))
-    text, window, band = key[:, first]
-    kept = shared >= w.least[window]
-    return _aligned(codes, text[kept], window[kept], band[kept] * half, w)
+    key = np.stack([np.tile(text, 2), np.tile(item, 2), np.concatenate([band, band - 1]), np.tile(place, 2), np.tile(diagonal, 2)])
+    key = key[:, np.lexsort(key[3::-1])]
+    new = np.concatenate([[True], (np.diff(key[:3]) != 0).any(0)])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], key.shape[1]) - 1
+    span = len(w.codes) + 1
+    spot = (np.cumsum(new) - 1) * span + key[3]  # rises
+    out = []
+    for a, b in ((0, w.n_long), (w.n_long, len(w.start))):
+        # The windows that the q-grams of a group reach into, and how many of them each holds.
+        begin, end = w.starts[key[1, first]], w.starts[key[1, first] + 1]
+        from_ = np.searchsorted(w.start[a:b], np.maximum(begin, key[3, first] - (WINDOW - Q)), "left")
+        to = np.searchsorted(w.start[a:b], np.minimum(end - 1, key[3, last]), "right")
+        n = np.maximum(to - from_, 0)
+        group = np.repeat(np.arange(len(first)), n)
+        window = a + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(from_, n)
+        here = group * span + w.start[window]
+        low = np.searchsorted(spot, here, "left")
+        kept = np.searchsorted(spot, here + w.sizes[window] - Q, "right") - low >= w.least[window]
+        low, window = low[kept], window[kept]
+        out += _aligned(codes, *key[:3, low], key[4, low], window, w)
+    return out
 
 
-def _aligned(codes, text, window, diagonal, w: Windows) -> list[tuple[int, int, int, int, int]]:
-    out = []
-    sizes = np.array([len(w.text[k]) for k in window], np.int64)
+def _aligned(codes, text, item, band, diagonal, window, w: Windows) -> list[tuple[int, int, int, int, int]]:
+    """``diagonal``: the one of a hit, where a verbatim copy is looked for first."""
+    out, rest = [], []
+    begin = w.start[window] - w.starts[item]  # the window's place in its item
+    for j, (t, k, s, m) in enumerate(zip(text.tolist(), window.tolist(), (begin + diagonal).tolist(),
+                                         w.sizes[window].tolist(), strict=True)):
+        if s >= 0 and np.array_equal(codes[t][s:s + m], w.codes[w.start[k]:w.start[k] + m]):
+            out.append((t, k, s, s + m, 0))
+        else:
+            rest.append(j)
+    text, window, low = text[rest], window[rest], (band * (BAND // 2) + begin)[rest]
     for start in range(0, len(text), 512):
         part = slice(start, start + 512)
-        edits, ends = banded_edits([w.text[k] for k in window[part]], [codes[t] for t in text[part]],
-                                   diagonal[part], BAND)
+        patterns = [w.codes[w.start[k]:w.start[k] + w.sizes[k]] for k in window[part]]
+        edits, ends = banded_edits(patterns, [codes[t] for t in text[part]], low[part], BAND)
         ok = edits <= w.edits[window[part]]
-        for t, k, e, end, m in zip(text[part][ok], window[part][ok], edits[ok], ends[ok], sizes[part][ok], strict=True):
+        for t, k, e, end, m in zip(text[part][ok], window[part][ok], edits[ok], ends[ok], w.sizes[window[part]][ok], strict=True):
             out.append((int(t), int(k), max(int(end - m), 0), int(end), int(e)))
     return out
 

@@ -375,6 +375,34 @@ def test_decontamination_matches_brute_force(spark):
     assert got == want and 5 < len(want) < 60
 
 
+def test_decontamination_finds_every_excerpt_at_every_offset():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    text = lambda n: (" ".join(word() for _ in range(n))[:n - 1].rstrip() + "z" * n)[:n]
+    before, after = text(70) + " | ", " | " + text(70)
+    for n in (12, 20, 24, 30, 49, 50, 63, 85, 100, 120, 233):
+        item = text(n)
+        windows = decontamination.windows_of([(1, item)])
+        least = decontamination.excerpt_of(n)
+        assert least <= 50 and (least < n or n < 24)
+        for length in {least, min(least + 7, n), min(120, n)}:
+            for at in range(n - length + 1):
+                part = item[at:at + length]
+                if part != part.strip():  # the text's own space runs join with it
+                    continue
+                found = decontamination.find([before + part + after, "x" + part, part], windows)
+                assert {r[0] for r in found} == {0, 1, 2}, (n, length, at)
+        assert not decontamination.find([before + after, item[:11]], windows)
+    # With edits: a window's budget wherever the stretch begins.
+    item = text(233)
+    windows = decontamination.windows_of([(1, item)])
+    for at in range(233 - 109):
+        part = list(item[at:at + 109])
+        for k in range(7):
+            part[8 + 15 * k] = "?"
+        assert decontamination.find([before + "".join(part) + after], windows), at
+
+
 def test_decontamination_documents_and_odd_rows(spark, documents, texts):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     got = {(r["doc_id"], r["item_id"]) for r in queries.QUERIES["op7_decontamination"](spark, SF).collect()}
