@@ -21,7 +21,8 @@ Steps, all distributed:
    sets, and were not verified yet are verified. So within a component a linear number of pairs
    is looked at, and no link between components is lost.
 5. Verification joins the full sets, computed anew from the texts of the documents
-   involved, and compares them exactly.
+   involved, and compares them exactly. A node's text is found by a row's key, the hash of
+   its doc_id and text, so a null or repeated doc_id finds the node's own text.
 
 Components come from minimum labels with pointer jumping, cut by written tables.
 
@@ -200,7 +201,7 @@ def prefix_of(hashes: np.ndarray, level: np.ndarray) -> tuple[int, int, np.ndarr
 
 # ---------------------------------------------------------------- steps
 
-_SETS = "doc_id long, n long, node long, matches int, frequent int, prefix array<long>"
+_SETS = "doc_id long, key long, n long, node long, matches int, frequent int, prefix array<long>"
 
 
 def prefixes(docs: DataFrame, level: np.ndarray) -> DataFrame:
@@ -225,9 +226,9 @@ def prefixes(docs: DataFrame, level: np.ndarray) -> DataFrame:
                 frequent.append(common)
                 tokens.append(prefix.view(np.int64))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()),
+                batch.column("doc_id"), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array(nodes, pa.int64()),
                 pa.array(asked, pa.int32()), pa.array(frequent, pa.int32()), pa.array(tokens, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "node", "matches", "frequent", "prefix"])
+                names=["doc_id", "key", "n", "node", "matches", "frequent", "prefix"])
 
     return docs.mapInArrow(run, _SETS)
 
@@ -237,14 +238,16 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def similar_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-    """Of ``pairs`` (a, b), those whose sets are similar. ``nodes``: node and one of its documents."""
-    spark = docs.sparkSession
+    """Of ``pairs`` (a, b), those whose sets are similar. ``docs``: key and text; ``nodes``: node, the key of
+    one of its rows and whether other rows have that key too."""
     pairs = pairs.select("a", "b")
     n_pairs = pairs.count()
-    by_doc = pairs.join(nodes.withColumnRenamed("node", "b"), "b").select("doc_id", "a", "b")
-    members = docs.join(_small(cut(by_doc, f"{name}-members"), n_pairs), "doc_id").select("doc_id", "a", "b", "text")
-    firsts = pairs.select("a").distinct().join(nodes.withColumnRenamed("node", "a"), "a").select("doc_id", "a")
-    firsts = docs.join(_small(cut(firsts, f"{name}-firsts"), n_pairs), "doc_id").select("doc_id", "a", "text")
+    by_key = pairs.join(nodes.select(F.col("node").alias("b"), "key"), "b").select("key", "a", "b")
+    docs = docs.select("key", "text")
+    members = docs.join(_small(cut(by_key, f"{name}-members"), n_pairs), "key").select("key", "a", "b", "text")
+    firsts = pairs.select("a").distinct().join(nodes.withColumnRenamed("node", "a"), "a").select("key", "a", "copied")
+    firsts = cut(firsts, f"{name}-firsts")
+    n_copied = firsts.where("copied").count()
 
     def with_sets(batches):
         release()
@@ -258,12 +261,19 @@ def similar_pairs(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, name: str
                 if k in fresh:
                     last = next(computed).view(np.int64)
                 sets.append(last)
-            keep = [i for i, c in enumerate(batch.schema.names) if c not in ("text", "doc_id")]
+            keep = [i for i, c in enumerate(batch.schema.names) if c not in ("text", "key")]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in keep], pa.array(sets, pa.list_(pa.int64()))],
                                              names=[*[batch.schema.names[i] for i in keep], "hashes"])
 
     members = members.mapInArrow(with_sets, "a long, b long, hashes array<long>")
-    firsts = firsts.mapInArrow(with_sets, "a long, hashes array<long>").withColumnRenamed("hashes", "others")
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        some = docs.join(_small(some.select("key", "a"), n_pairs), "key").select("key", "a", "text")
+        return some.mapInArrow(with_sets, "a long, hashes array<long>").withColumnRenamed("hashes", "others")
+
+    # One row of each: repeated rows would meet each other's in the join.
+    single = sets_of(firsts.where("not copied"))
+    firsts = single.unionByName(cut(sets_of(firsts.where("copied")).dropDuplicates(["a"]), f"{name}-copied")) if n_copied else single
     both = F.size(F.array_intersect("hashes", "others"))
     return (members.join(firsts, "a")
             .where(DENOMINATOR * both >= NUMERATOR * (F.size("hashes") + F.size("others") - both))
@@ -308,13 +318,16 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
     words = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = min(max(math.ceil(math.log2(max(words / 6 / PER_BUCKET, 1))), MIN_BITS), MAX_BITS)
     sets = cut(prefixes(docs, levels(count_sketch(docs, bits))), "sets")
     sized = sets.where("matches > 0").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("matches").alias("matches"))
-    sized = cut(sized, "nodes")
-    nodes = sized.where("doc_id is not null").select("node", "doc_id")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("key"), F.max("n").alias("n"),
+        F.max("matches").alias("matches"))
+    copied = sets.where("node is not null").groupBy("key").agg((F.count("*") > 1).alias("copied")).where("copied")
+    sized = cut(sized.join(copied, "key", "left").withColumn("copied", F.coalesce("copied", F.lit(False))), "nodes")
+    nodes = sized.select("node", "key", "copied")
     rows = sets.where("matches > 0").select("node", "frequent", F.posexplode("prefix").alias("place", "token"))
 
     # Prefix shingles of two nodes or more: the least, the greatest, the one with most frequent shingles

@@ -138,6 +138,23 @@ def test_jaccard_documents_and_odd_rows(spark, texts):
     assert jaccard_join.similarity_components(empty(spark)).count() == 0
 
 
+def test_jaccard_rows_without_id_link_others(spark):
+    words = [f"w{k}" for k in range(60)]
+    text = lambda *changed: " ".join(f"e{w}" if k in changed else w for k, w in enumerate(words))
+    # A set whose first row in the task has no id; a row without id between two that are not similar; copies of both.
+    first = [(None, text()), (10, text()), (3, text(59))]
+    between = [(21, text(0, 1, 2, 3, 4, 5).replace("w", "y")), (None, text().replace("w", "y")),
+               (20, text(54, 55, 56, 57, 58, 59).replace("w", "y"))]
+    none = [(None, text().replace("w", "z")), (None, text(59).replace("w", "z"))]
+    key = lambda r: tuple((x is None, x or 0) for x in r)
+    for rows in (first, between, first + between * 3 + none * 2):
+        df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        got = jaccard_join.similarity_components(df).collect()
+        assert sorted((tuple(r) for r in got), key=key) == sorted(brute_components(rows), key=key)
+    want = {i: c for i, _, c in brute_components(first + between)}
+    assert want[10] == want[3] == 3 and want[21] == want[20] == 20
+
+
 def test_jaccard_query_equals_sql(spark):
     from oracle_check import compare
     assert compare(spark, SF, ["op1_jaccard_join"], verbose=False)["op1_jaccard_join"][0]
