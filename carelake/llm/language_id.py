@@ -9,9 +9,11 @@ matrix product of presences with the landmarks' folded weights.
 
 Fit: a bounded sample of labelled rows, ``PER_LANGUAGE`` distinct texts of at most ``SAMPLE_CHARS`` characters
 per language (by hash of the text), for at most ``MAX_LANGUAGES`` languages;
-``LANDMARKS`` of each language's texts are landmarks. Counting of n-grams covers whole texts.
+``LANDMARKS`` of each language's texts are landmarks. Counting of n-grams covers whole texts. N-grams of the
+sample's ``ALPHABET`` most frequent characters are features of their own; all others, of any script, are
+hashed into ``2 ** RARE_BITS`` features.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0;
+Defined cases: a null text, or one without a letter or without a feature, is ``und`` with score 0;
 so is every text if no labelled row is there to learn from. Ties go to the first
 language in order of name. Rows with null lang or doc_id are never learned from;
 repeated texts are learned once; repeated rows each get a row; an empty table
@@ -33,9 +35,12 @@ PER_LANGUAGE, SAMPLE_CHARS = 300, 20_000
 #: Of these, the landmarks.
 LANDMARKS = 60
 MAX_LANGUAGES = 256
-#: Characters that n-grams are made of: the sample's most frequent ones (a power of two, less one for the rest).
+#: Characters whose n-grams have features of their own: the sample's most frequent ones (a power of two, less one
+#: for the rest).
 ALPHABET = 127
 SHIFT = 7
+#: Features that n-grams with any other character are hashed into, as a power of two.
+RARE_BITS = 16
 RIDGE = 1e-2
 UNKNOWN = "und"
 #: Texts in a matrix product.
@@ -47,6 +52,7 @@ class KernelModel:
     languages: list[str]
     code: np.ndarray        # code point to 0 (other) or 1..ALPHABET
     slots: list[np.ndarray]  # n-gram (its characters' codes shifted together) to feature, or to the number of features
+    rare: np.ndarray        # hash of an n-gram with another character to feature, or to the number of features
     weights: np.ndarray     # features x languages
 
     @property
@@ -54,8 +60,23 @@ class KernelModel:
         return self.weights.shape[0]
 
 
-def _codes(text: str, code: np.ndarray) -> np.ndarray:
-    return code[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")]
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _rare(points: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hashes of the n-grams that hold a character without a code."""
+    other = codes == 0
+    if not other.any():
+        return np.zeros(0, np.int64)
+    one = points.astype(np.uint64) + np.uint64(1)
+    two = one[:-1] << np.uint64(21) | one[1:]
+    three = two[:-1] << np.uint64(21) | one[2:]
+    pair = other[:-1] | other[1:]
+    ids = np.concatenate([one[other], two[pair], three[pair[:-1] | other[2:]]])
+    ids = (ids ^ ids >> np.uint64(31)) * np.uint64(0x7FB5D329728EA185)
+    ids = (ids ^ ids >> np.uint64(27)) * np.uint64(0x81DADEF4BC2DD44D)
+    return (ids >> np.uint64(64 - RARE_BITS)).astype(np.int64)
 
 
 def _grams(codes: np.ndarray):
@@ -69,8 +90,11 @@ def presence(texts: list[str], model: KernelModel) -> np.ndarray:
     """texts x features, 1 where the text has the n-gram."""
     out = np.zeros((len(texts), model.size + 1), np.float32)
     for row, text in zip(out, texts, strict=True):
-        for grams, slots in zip(_grams(_codes(text, model.code)), model.slots, strict=True):
+        points = _points(text)
+        codes = model.code[points]
+        for grams, slots in zip(_grams(codes), model.slots, strict=True):
             row[slots[grams]] = 1
+        row[model.rare[_rare(points, codes)]] = 1
     return out[:, :-1]
 
 
@@ -86,7 +110,7 @@ def fit_kernel(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -
     if not languages:
         return None
     chars, counts = np.unique(np.concatenate(
-        [np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), "<u4") for t in texts] or [np.zeros(0, "<u4")]),
+        [_points(t) for t in texts] or [np.zeros(0, "<u4")]),
         return_counts=True)
     code = np.zeros(0x110000, np.uint8)
     kept = chars[np.lexsort((chars, -counts))][:ALPHABET]
@@ -97,12 +121,12 @@ def fit_kernel(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -
         taken[lang] = taken.get(lang, 0) + 1
         if taken[lang] <= landmarks:
             marks.append(k)
-    # The features: n-grams of the landmarks, without those that hold other characters.
+    # The features: n-grams of the landmarks; those that hold other characters by their hashes.
     slots, size = [], 0
     for n in (1, 2, 3):
         seen = np.zeros(1 << SHIFT * n, bool)
         for k in marks:
-            seen[_grams(_codes(texts[k], code))[n - 1]] = True
+            seen[_grams(code[_points(texts[k])])[n - 1]] = True
         ids = np.flatnonzero(seen)
         for place in range(n):
             ids = ids[(ids >> SHIFT * place) & ((1 << SHIFT) - 1) > 0]
@@ -110,9 +134,16 @@ def fit_kernel(texts: list[str], langs: list[str], landmarks: int = LANDMARKS) -
         table[ids] = np.arange(size, size + len(ids))
         size += len(ids)
         slots.append(table)
-    for table in slots:
+    rare = np.full(1 << RARE_BITS, -1, np.int32)
+    for k in marks:
+        points = _points(texts[k])
+        rare[_rare(points, code[points])] = 0
+    used = np.flatnonzero(rare == 0)
+    rare[used] = np.arange(size, size + len(used))
+    size += len(used)
+    for table in [*slots, rare]:
         table[table < 0] = size
-    model = KernelModel(languages, code, slots, np.zeros((size, 0), np.float32))
+    model = KernelModel(languages, code, slots, rare, np.zeros((size, 0), np.float32))
     marked = presence([texts[k] for k in marks], model)
     marked /= np.sqrt(np.maximum(marked.sum(1, keepdims=True), 1))
     values, vectors = np.linalg.eigh((marked @ marked.T).astype(float))
@@ -165,8 +196,9 @@ def identify(docs: DataFrame, model: KernelModel | None) -> DataFrame:
             rows = lettered[start:start + BATCH]
             values = score([texts[k] for k in rows], model)
             best = values.argmax(1)
-            pred[rows] = np.array(model.languages, object)[best]
-            scores[rows] = np.clip((values[np.arange(len(rows)), best].astype(float) + 1) / 2, 0, 1)
+            known = values.any(1)  # all 0: without a feature
+            pred[rows] = np.where(known, np.array(model.languages, object)[best], UNKNOWN)
+            scores[rows] = np.where(known, np.clip((values[np.arange(len(rows)), best].astype(float) + 1) / 2, 0, 1), 0)
         return {n: batch.column(i) for i, n in enumerate(batch.schema.names)} | {
             "lang_pred": pa.array(pred.tolist(), pa.string()), "score": scores}
 

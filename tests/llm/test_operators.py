@@ -235,6 +235,24 @@ def test_language_folded_weights_equal_the_kernel_regression():
     assert np.allclose(language_id.score(texts, model), kernel @ alpha, atol=1e-4)
 
 
+def test_language_several_scripts():
+    rng = random.Random(6)
+    # First character, number of characters, length of the texts in words; two languages of a script differ in words.
+    scripts = {"ar": (0x627, 36, 20), "el": (0x3b1, 25, 20), "en": (0x61, 26, 20), "fr": (0x61, 26, 20), "hi": (0x905, 50, 20),
+               "ja": (0x4e00, 140, 300), "ru": (0x430, 32, 20), "uk": (0x430, 32, 20), "zh": (0x5200, 2000, 60)}
+    rows = []
+    for lang, (first, n, length) in scripts.items():
+        words = ["".join(chr(first + rng.randrange(n)) for _ in range(rng.randint(2, 5))) for _ in range(60)]
+        rows += [(lang, " ".join(rng.choice(words) for _ in range(length))) for _ in range(60)]
+    rng.shuffle(rows)
+    model = language_id.fit_kernel([x for _, x in rows[::2]], [x for x, _ in rows[::2]])
+    best = language_id.score([x for _, x in rows[1::2]], model).argmax(1)
+    right = [model.languages[k] == lang for k, (lang, _) in zip(best, rows[1::2], strict=True)]
+    for lang in scripts:
+        own = [ok for ok, (x, _) in zip(right, rows[1::2], strict=True) if x == lang]
+        assert np.mean(own) > .9, lang
+
+
 def test_language_odd_rows(spark, documents):
     model = language_id.fit_language(documents.select("doc_id", "text", "lang"))
     got = language_id.identify(odd(spark), model).collect()
