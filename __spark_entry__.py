@@ -8,7 +8,6 @@ result as DuckDB SQL over the same tables.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -548,9 +547,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _SQL: dict[str, str] = dict(_oracle.ORACLE)
 
 # The training-data operators are an optional subpackage: without it the rest works alone.
-if importlib.util.find_spec("carelake.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
     from carelake.llm import queries as _llm
+except ImportError:
+    pass
+else:
     _QUERIES |= _llm.QUERIES | {"pipeline": corpus_pipeline.run}
     _SQL |= _llm.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 

@@ -10,7 +10,7 @@ from carelake.plans.warehouse import JOBS
 from carelake.sources.changelog import read_changelog
 from carelake.sources.specs import ALL_SPECS, ODS_DICT
 from carelake.streaming import live_view, start_job, state_lookup, upsert
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle_sql
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from oracle_check import compare
 
 STREAM_KEYS = {"stream_upsert", "stream_change_feed", "stream_lookup_wait"}

@@ -17,7 +17,7 @@ from carelake.sources.changelog import read_changelog
 from carelake.sources.specs import DIM_MEDICINE, ODS_DICT
 from carelake.streaming import live_view, read_state, start_job, state_lookup, upsert
 from carelake.streaming.wait import lookup_join_wait
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from helpers import ts
 
 

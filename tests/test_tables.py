@@ -11,7 +11,7 @@ from carelake.sources.changelog import read_changelog
 from carelake.sources.specs import DIM_DOCTOR, DIM_HOSPITAL, DIM_PATIENT
 from carelake.streaming import (current, live_view, open_table, publish, read_state,
                                 start_job, start_preview, state_lookup, upsert)
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 def test_create_if_absent_and_rebuild_keep_old_version(spark, tmp_dir):
