@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -48,6 +49,8 @@ STEP = 256
 BLOCK_IDS = 1 << 20
 #: The id after each document.
 END_ID = 0
+# Fixed value: the pattern of the ByteLevel pre-tokenizer.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Chunks that a Python worker remembers (twice as many at most).
 CACHE_ENTRIES = 400_000
 
@@ -58,22 +61,38 @@ BLOCK_SCHEMA = ("part long, first_row long, before long, doc_ids array<long>, si
 
 # ---------------------------------------------------------------- encoding texts
 
+#: Characters whose class no version of Unicode has changed since the libraries agree on it.
+_ODD = regex.compile(r"[^\t\n\r\x20-\x7E\xA1-\u04FF\u2010-\u2027\u2030-\u205E\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5]")
+#: Words that go to the library in one string.
+_JOINED = 2000
+
+
 class LibraryEncoder:
-    """Encodes texts with a tokenizers file; chunks that never share a token are encoded once."""
+    """Encodes texts with a tokenizers file; chunks that never share a token are encoded once.
+
+    A chunk is one or more matches of the file's own pre-tokenizer, which never share a token either: a
+    new chunk is put together from its matches. New words, matches of letters alone, go to the library many
+    at a time, with line feeds between them, whose id no word has. Chunks with other than common
+    characters go to it as they are. With ``plain``, special tokens' strings are ordinary text.
+    """
 
-    def __init__(self, content: bytes):
+    def __init__(self, content: bytes, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
         from tokenizers import Tokenizer
         text = content.decode()
         self.tokenizer = Tokenizer.from_str(text)
+        self.tokenizer.encode_special_tokens = plain
         spec = json.loads(text)
         pre = spec.get("pre_tokenizer") or {}
         # With this pre-tokenizer, every match ends before a space that a non-space follows.
         self.by_chunk = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space") and not spec.get("normalizer"))
-        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        self.added = [] if plain else [t["content"] for t in spec.get("added_tokens") or []]
         self.chunks = RecentCache(CACHE_ENTRIES)
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
+        self.find = regex.compile(BYTE_LEVEL_PATTERN).findall
 
     def _library(self, texts: list[str]) -> list[bytes]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -82,6 +101,42 @@ class LibraryEncoder:
         size = np.dtype(self.width).itemsize
         return [data[size * a:size * b] for a, b in zip([0, *ends], ends)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone, each with or without a space before it."""
+        if self.feed is None:
+            return self._library(words)
+        out: list[bytes] = []
+        size = np.dtype(self.width).itemsize
+        for k in range(0, len(words), _JOINED):
+            part = words[k:k + _JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, self.width)
+            ends = (size * np.flatnonzero(ids == self.feed)).tolist()
+            if len(ends) != len(part) - 1:
+                raise ValueError("the line feed's id is in a word")
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *[e + size for e in ends]], [*ends, len(data)], strict=True)]
+        return out
+
+    def _learn(self, new: list) -> None:
+        known, pieces, words, alone = self.chunks.new, {}, {}, {}
+        for k in new:
+            whole = k[1] if isinstance(k, tuple) else " " + k
+            if _ODD.search(whole):
+                alone[k] = whole
+            elif whole[whole[:1] == " ":].isalpha():
+                words[k] = whole
+            else:
+                pieces[k] = self.find(whole)
+        parts = {chunk_key(p): p for found in pieces.values() for p in found}
+        for k in self.chunks.missing(parts):
+            p = parts[k]
+            (words if p[p[:1] == " ":].isalpha() else alone)[k] = p
+        known.update(zip(words, self._words(list(words.values())), strict=True))
+        known.update(zip(alone, self._library(list(alone.values())), strict=True))
+        for k, found in pieces.items():
+            if len(found) != 1:
+                known[k] = b"".join([known[chunk_key(p)] for p in found])
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian integers of ``width``."""
         if not self.by_chunk:
@@ -92,11 +147,8 @@ class LibraryEncoder:
         for c in cuts:
             c[0] = chunk_key(c[0])
             seen.update(c)
-        new = self.chunks.missing(seen)
-        known = self.chunks.new
-        known.update(zip(new, self._library([k[1] if isinstance(k, tuple) else " " + k for k in new]),
-                         strict=True))
-        get = known.__getitem__
+        self._learn(self.chunks.missing(seen))
+        get = self.chunks.new.__getitem__
         out = [b"".join(map(get, c)) for c in cuts]
         for k in whole:
             out[k] = self._library([texts[k]])[0]
