@@ -37,12 +37,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from .bpe import read_vocabulary
 from .common import cut, held, read_table, ship, text_blocks
 from .ranked_search import pack, unpack
-from .token_files import LibraryEncoder
+from .token_files import LibraryEncoder, byte_level_table
 
 #: Bytes that one product of incidence matrices goes over.
-SLICE = 500_000
+SLICE = 250_000
 #: Characters of a block of documents, but for one longer text.
-BLOCK = 4_000_000
+BLOCK = 1_500_000
 
 BLOCK_SCHEMA = ("block long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
                 "n_shared array<long>, n_links array<long>, digests array<string>, links binary, "
@@ -131,20 +131,12 @@ def group_incidence(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray,
 
 # ---------------------------------------------------------------- tokens
 
-def byte_level_table() -> dict[str, int]:
-    """The character that stands for each byte in byte-level vocabularies, by its rule: printable ones stand for
-    themselves, the others are numbered from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
-
-
 class Tokenizers:
     """Both tokenizers, from the contents of their files, and the bytes of their tokens."""
 
     def __init__(self, a: bytes, b: bytes):
         import sentencepiece
-        self.a = LibraryEncoder(a, plain=True)
+        self.a = LibraryEncoder(a, plain=True, entries=200_000)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         byte = byte_level_table()
         vocabulary = json.loads(a)["model"]["vocab"]
@@ -276,7 +268,7 @@ def align(docs: DataFrame, a: str, b: str, shared: bool = False) -> DataFrame:
               "links array<struct<a:int,b:int,bytes:int>>" + (", shared_links array<struct<a:int,b:int>>" if shared else ""))
 
     def run(batches):
-        for batch, texts in text_blocks(batches, chars=BLOCK // 8):
+        for batch, texts in text_blocks(batches, chars=BLOCK // 4):
             x = align_block(tokenizers(), texts)
             a_start, b_start = np.cumsum(x.a_sizes) - x.a_sizes, np.cumsum(x.b_sizes) - x.b_sizes
             out = []

@@ -28,17 +28,17 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from carelake.session import work_dir
 
-from .bpe import chunk_key, chunks_of, read_vocabulary
+from .bpe import chunks_of, read_vocabulary
 from .common import RecentCache, cut, held, read_table, ship, text_blocks
 
 #: Longest code in bits (more, if the vocabulary needs it).
@@ -49,9 +49,9 @@ STEP = 256
 BLOCK_IDS = 1 << 20
 #: The id after each document.
 END_ID = 0
-# Fixed value: the pattern of the ByteLevel pre-tokenizer.
-BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Chunks that a Python worker remembers (twice as many at most).
+# Fixed value: the pattern of the ByteLevel pre-tokenizer, for characters that are not odd (below).
+_MATCHES = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
+#: Pieces of text that a Python worker remembers (twice as many at most).
 CACHE_ENTRIES = 400_000
 
 ID_SCHEMA = "doc_id long, part long, row long, before long, n_tokens long, ids binary"
@@ -61,22 +61,30 @@ BLOCK_SCHEMA = ("part long, first_row long, before long, doc_ids array<long>, si
 
 # ---------------------------------------------------------------- encoding texts
 
-#: Characters whose class no version of Unicode has changed since the libraries agree on it.
-_ODD = regex.compile(r"[^\t\n\r\x20-\x7E\xA1-\u04FF\u2010-\u2027\u2030-\u205E\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5]")
+#: All but characters that every version of Unicode puts in one class and that ``re`` and the library class alike.
+_ODD = re.compile("[^\\t\\n\\r\\x20-\\x7E\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u04ff\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]")
 #: Words that go to the library in one string.
 _JOINED = 2000
 
 
+def byte_level_table() -> dict[str, int]:
+    """The byte for which each character stands in byte-level vocabularies, by their rule: printable ones stand for
+    themselves, characters from 256 on for the others in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
+
+
 class LibraryEncoder:
-    """Encodes texts with a tokenizers file; chunks that never share a token are encoded once.
+    """Encodes texts with a tokenizers file; matches of its pre-tokenizer never share a token and are encoded once.
 
-    A chunk is one or more matches of the file's own pre-tokenizer, which never share a token either: a
-    new chunk is put together from its matches. New words, matches of letters alone, go to the library many
-    at a time, with line feeds between them, whose id no word has. Chunks with other than common
-    characters go to it as they are. With ``plain``, special tokens' strings are ordinary text.
+    Texts of common characters are cut with the pre-tokenizer's pattern here; in other texts, pieces
+    with odd characters (up to a space with a non-space after it, where every match ends) stay whole.
+    New words, a space and letters alone, go to the library many at a time, and their ids are told apart by
+    the bytes that each id stands for. With ``plain``, special tokens' strings are ordinary text.
     """
 
-    def __init__(self, content: bytes, plain: bool = False):
+    def __init__(self, content: bytes, plain: bool = False, entries: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
         from tokenizers import Tokenizer
         text = content.decode()
@@ -84,15 +92,15 @@ class LibraryEncoder:
         self.tokenizer.encode_special_tokens = plain
         spec = json.loads(text)
         pre = spec.get("pre_tokenizer") or {}
-        # With this pre-tokenizer, every match ends before a space that a non-space follows.
-        self.by_chunk = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
+        self.by_match = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space") and not spec.get("normalizer"))
         self.added = [] if plain else [t["content"] for t in spec.get("added_tokens") or []]
-        self.chunks = RecentCache(CACHE_ENTRIES)
+        self.known = RecentCache(entries)
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.feed = feed[0] if len(feed) == 1 else None
-        self.find = regex.compile(BYTE_LEVEL_PATTERN).findall
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)  # bytes of each id
+        if self.by_match:
+            for token, i in self.tokenizer.get_vocab(False).items():
+                self.sizes[i] = len(token)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -102,57 +110,47 @@ class LibraryEncoder:
         return [data[size * a:size * b] for a, b in zip([0, *ends], ends)]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters alone, each with or without a space before it."""
-        if self.feed is None:
-            return self._library(words)
+        """Ids of words, each a space and letters: no match of the pattern goes over such a space."""
         out: list[bytes] = []
         size = np.dtype(self.width).itemsize
         for k in range(0, len(words), _JOINED):
             part = words[k:k + _JOINED]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(part)], add_special_tokens=False)[0].ids, self.width)
-            ends = (size * np.flatnonzero(ids == self.feed)).tolist()
-            if len(ends) != len(part) - 1:
-                raise ValueError("the line feed's id is in a word")
-            data = ids.tobytes()
-            out += [data[a:b] for a, b in zip([0, *[e + size for e in ends]], [*ends, len(data)], strict=True)]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.width)
+            ends = np.cumsum(self.sizes[ids])
+            want = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in part])
+            stops = np.searchsorted(ends, want)
+            if not len(ends) or not np.array_equal(ends[np.minimum(stops, len(ends) - 1)], want):
+                raise ValueError("an id goes over the border of two words")
+            stops, data = (size * (stops + 1)).tolist(), ids.tobytes()
+            out += [data[a:b] for a, b in zip([0, *stops], stops)]
         return out
 
-    def _learn(self, new: list) -> None:
-        known, pieces, words, alone = self.chunks.new, {}, {}, {}
-        for k in new:
-            whole = k[1] if isinstance(k, tuple) else " " + k
-            if _ODD.search(whole):
-                alone[k] = whole
-            elif whole[whole[:1] == " ":].isalpha():
-                words[k] = whole
-            else:
-                pieces[k] = self.find(whole)
-        parts = {chunk_key(p): p for found in pieces.values() for p in found}
-        for k in self.chunks.missing(parts):
-            p = parts[k]
-            (words if p[p[:1] == " ":].isalpha() else alone)[k] = p
-        known.update(zip(words, self._words(list(words.values())), strict=True))
-        known.update(zip(alone, self._library(list(alone.values())), strict=True))
-        for k, found in pieces.items():
-            if len(found) != 1:
-                known[k] = b"".join([known[chunk_key(p)] for p in found])
+    def _pieces(self, text: str) -> list[str]:
+        if not _ODD.search(text):
+            return _MATCHES(text)
+        first, *rest = chunks_of(text)
+        return [p for c in [first, *[" " + r for r in rest]] for p in ([c] if _ODD.search(c) else _MATCHES(c))]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian integers of ``width``."""
-        if not self.by_chunk:
+        if not self.by_match:
             return self._library(texts)
         whole = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
-        cuts = [[""] if k in whole else chunks_of(t) for k, t in enumerate(texts)]
+        cuts = [[] if k in whole else self._pieces(t) for k, t in enumerate(texts)]
         seen: set = set()
         for c in cuts:
-            c[0] = chunk_key(c[0])
             seen.update(c)
-        self._learn(self.chunks.missing(seen))
-        get = self.chunks.new.__getitem__
+        new = self.known.missing(seen)
+        words = [p for p in new if p[0] == " " and p[1:].isalpha() and not _ODD.search(p)]
+        known = self.known.new
+        known.update(zip(words, self._words(words), strict=True))
+        alone = [p for p in new if p not in known]
+        known.update(zip(alone, self._library(alone), strict=True))
+        get = known.__getitem__
         out = [b"".join(map(get, c)) for c in cuts]
         for k in whole:
             out[k] = self._library([texts[k]])[0]
-        self.chunks.trim()
+        self.known.trim()
         return out
 
 
@@ -275,11 +273,12 @@ def id_counts(ids: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for x, n in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                count = np.bincount(_ids(x.as_buffer(), n))
-                if len(count) > len(total):
-                    total = np.concatenate([total, np.zeros(len(count) - len(total), np.int64)])
-                total[:len(count)] += count
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                texts = [_ids(x.as_buffer(), n) for x, n in zip(part.column(0), part.column(1).to_pylist(), strict=True)]
+                count = np.bincount(np.concatenate(texts), minlength=len(total))
+                count[:len(total)] += total
+                total = count
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "count"])
 

@@ -133,7 +133,7 @@ def test_library_encoder_equals_the_library(spark, plain):
     t.encode_special_tokens = plain
     texts = [x or "" for _, x in documents(spark) + TEXTS]
     encoder = token_files.LibraryEncoder(open(BYTE, "rb").read(), plain)
-    encoder.chunks.size = 500  # entries come and go
+    encoder.known.size = 500  # entries come and go
     got = [x for k in range(0, len(texts), 40) for x in encoder(texts[k:k + 40])]
     assert [np.frombuffer(x, "<u2").tolist() for x in got] == [
         e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
