@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import sys
+import time
 from collections.abc import Callable
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -34,11 +35,13 @@ from carelake.plans.warehouse import (JOBS, WIDE_LOOKUP_COLUMNS, build,  # noqa:
 from carelake.session import DEFAULT_CONF, work_dir  # noqa: E402
 from carelake.sources.changelog import read_changelog  # noqa: E402
 from carelake.sources.specs import ARRIVAL, ODS_DICT, ROWKIND, TableSpec  # noqa: E402
-from carelake.streaming.jobs import start_job, start_table, state_lookup  # noqa: E402
-from carelake.streaming import sink  # noqa: E402
-from carelake.streaming.chain import wait_step, wide_stages  # noqa: E402
+from carelake.streaming.files import NumberedLog, complete, exists, names  # noqa: E402
+from carelake.streaming.jobs import (start_feed_compaction, start_job, start_table, start_table_scan,  # noqa: E402
+                                     state_lookup)  # noqa: E402
+from carelake.streaming.chain import start_waiting_job  # noqa: E402
 from carelake.streaming.location import current, open_table, publish  # noqa: E402
-from carelake.streaming.sink import exists, live_view, read_feed, read_state, upsert  # noqa: E402
+from carelake.streaming.sink import (as_changes, feed_log, feed_schema, live_view, read_feed,  # noqa: E402
+                                     read_state, upsert)
 from carelake.streaming.wait import lookup_join_wait  # noqa: E402
 
 ROCKSDB_PROVIDER = DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"]
@@ -293,7 +296,11 @@ def q_stream_changing_review(spark, sf_dir):
 
 
 def q_stream_consultation_wait(spark, sf_dir, deadline_s: float = 600.0):
-    """W8 with its three waits: a third of the doctors become known after the facts."""
+    """W8 as a stream with its three waits: a third of the doctors become known after the facts.
+
+    The query runs on a real trigger; its clock stands still until the late doctors are found and is then
+    ten minutes on, so the result doesn't depend on the machine's speed.
+    """
     t = _t(spark, sf_dir)
     root = work_dir(spark, "stream_consultation_wait")
     job, wh = JOBS["dwd_consultation"], Warehouse(t)
@@ -310,50 +317,51 @@ def q_stream_consultation_wait(spark, sf_dir, deadline_s: float = 600.0):
     log = standins.ods_consultation(t)
     _land(log, f"{root}/landing")
     dims = {n: state_lookup(spark, JOBS[n].spec, f"{root}/{n}") for n in ("dim_doctor", "dim_hospital", "dim_patient")}
-    stages = wide_stages(dims)
-    rows, _ = keyed_rows(job, read_changelog(spark, f"{root}/landing", log.schema))
-
-    def step(n, facts, now):
-        done = wait_step(spark, facts, stages, f"{root}/steps", n, now=now, wait_seconds=300)
-        upsert(wide_output(job.spec, done), job.spec, f"{root}/state", batch_id=n, compact_every=100)
-
-    step(0, rows, 0.0)
-    put("dim_doctor", late)
-    step(1, rows.limit(0), 200.0)    # the late doctors are found
-    for n in (2, 3, 4):              # the rest have waited 300 s at each of the stages
-        step(n, rows.limit(0), 300.0 * n)
-    return live_view(spark, job.spec, f"{root}/state")
-
-
-class _Died(Exception):
-    """Stands for a driver that is lost."""
-
-
-def _dying(fn, part: str):
-    """Run ``fn`` with a writer that is lost when it comes to ``part`` of the commit."""
-    whole = getattr(sink, part)
-
-    def lost(*args, **kwargs):
-        raise _Died(part)
+    clock, stop_at = {"now": 0.0}, time.time() + deadline_s
+    queries = start_waiting_job(spark, job, read_changelog(spark, f"{root}/landing", log.schema, stream=True), dims, root,
+                                trigger={"processingTime": "1 second"}, clock=lambda: clock["now"])
+    doctors = dims["dim_doctor"].number()
+
+    def until(ready):
+        while not ready():
+            for q in queries:
+                if q.exception() is not None:
+                    raise q.exception()
+            if time.time() >= stop_at:
+                raise TimeoutError(f"the facts did not come out within {deadline_s} s")
+            time.sleep(0.2)
 
-    setattr(sink, part, lost)
+    steps = NumberedLog(spark, f"{root}/steps/plans")
+    done = lambda n: steps.newest() > n  # noqa: E731  (a later step has begun: step n is written and stored)
     try:
-        fn()
-    except _Died:
-        pass
+        until(lambda: done(_first_step_with_rows(spark, f"{root}/steps")))
+        put("dim_doctor", late)
+        until(lambda: steps.newest() >= 0 and steps.read(steps.newest())["dims"][0] > doctors)
+        for _ in range(3):  # a fact may wait at each of the stages
+            clock["now"] += 600.0
+            n = steps.newest() + 1
+            until(lambda n=n: done(n))
     finally:
-        setattr(sink, part, whole)
+        for q in queries:
+            q.stop()
+    return live_view(spark, job.spec, f"{root}/state")
+
+
+def _first_step_with_rows(spark, steps: str) -> int:
+    """The first step that has written rows; far ahead while none has."""
+    for n in sorted(int(x.partition("=")[2]) for x in names(spark, steps) if "=" in x):
+        if complete(spark, f"{steps}/lk_step={n}") and any("=" in x for x in names(spark, f"{steps}/lk_step={n}")):
+            return n
+    return 1 << 60
 
 
 def q_replay_upsert(spark, sf_dir):
-    """Batches lost before and after they are published, each replayed."""
+    """Streaming batches that are played again, after a compaction too."""
     path = work_dir(spark, "replay_upsert")
     rows = _events_rows(_ev(spark, sf_dir))
-    for n, part in enumerate(("_publish", "compact")):
-        batch = _half(rows, bool(n))
-        run = lambda b=batch, n=n: upsert(b, EVENTS_SPEC, path, batch_id=n, compact_every=1)
-        _dying(run, part)
-        run()
+    for n in (0, 1):
+        for _ in range(2):
+            upsert(_half(rows, bool(n)), EVENTS_SPEC, path, batch_id=n, compact_every=1)
     return live_view(spark, EVENTS_SPEC, path)
 
 
@@ -362,17 +370,69 @@ def _net_feed(spark, feed: str, after: int) -> DataFrame:
 
 
 def q_replay_change_feed(spark, sf_dir):
-    """The feed of a commit that was lost between its publication and its feed."""
+    """The feed of commits that were first made without it, and of one that is played again."""
     path = work_dir(spark, "replay_change_feed")
     rows = _events_rows(_ev(spark, sf_dir))
     for n, phase in enumerate((F.hour("ts") < 12, F.hour("ts") >= 12)):
-        run = lambda p=phase, n=n: upsert(rows.filter(p), EVENTS_SPEC, f"{path}/state",
-                                          feed_path=f"{path}/feed", batch_id=n)
-        _dying(run, "write_feed")
-        run()
+        upsert(rows.filter(phase), EVENTS_SPEC, f"{path}/state", batch_id=n)
+        for _ in range(2):
+            upsert(rows.filter(phase), EVENTS_SPEC, f"{path}/state", feed_path=f"{path}/feed", batch_id=n)
     return _net_feed(spark, f"{path}/feed", 0)
 
 
+DOCTOR_BRIEF = TableSpec(
+    name="doctor_brief", schema=T.StructType([
+        T.StructField("id", T.StringType()), T.StructField("name", T.StringType()),
+        T.StructField("title_code", T.StringType()), T.StructField("commits", T.LongType())]), buckets=4)
+
+
+def q_table_scan_handover(spark, sf_dir):
+    """D2's table read as a stream by a second job: its rows first, then exactly the changes since."""
+    t = _t(spark, sf_dir)
+    root = work_dir(spark, "table_scan_handover")
+    job, wh = JOBS["dim_doctor"], Warehouse(t)
+    spec = job.spec
+    every = job.enrich(job.prepare(wh.source(job.source)), **{n: wh.view(n) for n in job.lookups})
+    number = F.col("id").cast("bigint")
+
+    def put(rows, n):
+        upsert(rows.withColumn(ARRIVAL, F.lit(n).cast("long")), spec, f"{root}/state", feed_path=f"{root}/feed")
+
+    def scan():
+        def write(rows, batch_id):
+            brief = as_changes(rows).select("id", "name", "title_code", F.col(ARRIVAL).alias("commits"), ROWKIND, ARRIVAL)
+            upsert(brief, DOCTOR_BRIEF, f"{root}/brief", batch_id=batch_id)
+        start_table_scan(spark, spec, f"{root}/state", f"{root}/feed", write, f"{root}/checkpoint",
+                         trigger={"availableNow": True}).awaitTermination()
+
+    renamed = every.withColumn("name", F.concat("name", F.lit(" B")))
+    put(every.filter(number % 2 == 0), 1)
+    put(renamed.filter(number % 4 == 0), 2)
+    scan()                                                   # the rows of version 1
+    put(every.filter(number % 2 == 1), 3)
+    put(every.filter(number % 3 == 0).withColumn(ROWKIND, F.lit("-D")), 4)
+    scan()                                                   # commits 2 and 3
+    put(renamed.filter(number % 5 == 0), 5)
+    scan()
+    scan()                                                   # nothing is left
+    # The commit that each row came with: 3 stands for the snapshot of version 1, later ones are twice the commit + 1.
+    return live_view(spark, DOCTOR_BRIEF, f"{root}/brief")
+
+
+def q_feed_consumer_replay(spark, sf_dir):
+    """A consumer that runs between commits, of which each is played twice, sees every change once."""
+    root = work_dir(spark, "feed_consumer_replay")
+    rows = _events_rows(_ev(spark, sf_dir))
+    for n in range(3):
+        for _ in range(2):
+            upsert(rows.filter(F.col("event_id") % 3 == n), EVENTS_SPEC, f"{root}/state", feed_path=f"{root}/feed", batch_id=n)
+        start_feed_compaction(spark, EVENTS_SPEC, f"{root}/feed", f"{root}/net", f"{root}/checkpoint",
+                              trigger={"availableNow": True}).awaitTermination()
+    net = spark.read.schema(T.StructType([*feed_schema(EVENTS_SPEC).fields, T.StructField("feed_batch", T.LongType())])).parquet(
+        f"{root}/net")
+    return net.drop("batch_id")
+
+
 def q_stream_change_feed(spark, sf_dir):
     """Change feed written by the upsert stream: morning events, then the net change by the rest."""
     root = work_dir(spark, "stream_change_feed")
@@ -381,7 +441,7 @@ def q_stream_change_feed(spark, sf_dir):
     feed, last = f"{root}/feed", -1
     for phase in (rows.filter(morning), rows.filter(~morning)):
         if phase is not None and last < 0 and exists(spark, feed):
-            last = read_feed(spark, EVENTS_SPEC, feed).agg(F.max("batch_id")).first()[0]
+            last = feed_log(spark, feed).newest()
         _land(phase, f"{root}/landing")
         stream = read_changelog(spark, f"{root}/landing", rows.schema, stream=True)
         q = start_table(EVENTS_SPEC, stream, f"{root}/state", f"{root}/checkpoint",
@@ -445,7 +505,6 @@ def q_doctor_preview(spark, sf_dir):
 
 def q_stream_lookup_wait(spark, sf_dir, wait_seconds: float = 2.0, deadline_s: float = 300.0):
     """J6 on a stream: purchases wait up to 2 s for their user's signup row."""
-    import time
     root = work_dir(spark, "stream_lookup_wait")
     e = _t(spark, sf_dir)("events")
     facts = e.filter(F.col("event_type") == "purchase").select(
@@ -538,6 +597,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_consultation_wait": q_stream_consultation_wait,
     "replay_upsert": q_replay_upsert,
     "replay_change_feed": q_replay_change_feed,
+    "table_scan_handover": q_table_scan_handover,
+    "feed_consumer_replay": q_feed_consumer_replay,
     "rebuild_table": q_rebuild_table,
     "lookup_asof_changes": q_lookup_asof_changes,
     "reject_rows": q_reject_rows,

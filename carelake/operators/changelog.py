@@ -15,8 +15,26 @@ from carelake.functions.rowkind import DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFO
 from carelake.sources.specs import ARRIVAL, META, ROWKIND
 
 
-def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
+def _q(name: str) -> str:
+    """A column name in SQL. Select lists here are SQL texts: one call to the JVM instead of one per column."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _struct(names: Sequence[str]) -> str:
+    return f"struct({', '.join(_q(c) for c in names)})"
+
+
+def _images(before: str, after: str) -> Column:
+    """Change rows (kind, image) of a key from its images before and after."""
+    return F.expr(f"""CASE WHEN {before} IS NULL THEN array(struct('{INSERT}' AS k, {after} AS v))
+        WHEN {after} IS NULL THEN array(struct('{DELETE}' AS k, {before} AS v))
+        ELSE array(struct('{UPDATE_BEFORE}' AS k, {before} AS v), struct('{UPDATE_AFTER}' AS k, {after} AS v)) END""")
+
+
+def _changes(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Rows of the images ``__b`` and ``__a`` of each key."""
+    out = df.select(*[_q(k) for k in keys], F.explode(_images("__b", "__a")).alias("__c"))
+    return out.selectExpr(f"__c.k AS {ROWKIND}", *[_q(k) for k in keys], *[f"__c.v.{_q(c)} AS {_q(c)}" for c in cols])
 
 
 def inserts_only(df: DataFrame, *, drop_kind: bool = False) -> DataFrame:
@@ -35,9 +53,9 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (AR
     """
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    winner = F.max(F.struct(*[_q(c) for c in order + rest])).alias("__win")
+    winner = F.expr(f"max({_struct(order + rest)})").alias("__win") if order + rest else F.lit(None).alias("__win")
     out = df.groupBy(*[_q(k) for k in keys]).agg(winner)
-    return out.select(*[_q(c) if c in keys else F.col("__win")[c].alias(c) for c in df.columns])
+    return out.selectExpr(*[_q(c) if c in keys else f"__win.{_q(c)} AS {_q(c)}" for c in df.columns])
 
 
 def materialize(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (ARRIVAL,),
@@ -79,19 +97,10 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     """
     keys = list(keys)
     cols = [c for c in after.columns if c not in keys and c not in META]
-    b = before.select(*[_q(k) for k in keys], F.struct(*[_q(c) for c in cols]).alias("__b"))
-    a = after.select(*[_q(k) for k in keys], F.struct(*[_q(c) for c in cols]).alias("__a"))
-    joined = b.join(a, on=keys, how="full_outer").filter(~F.col("__b").eqNullSafe(F.col("__a")))
-
-    def img(kind: str, side: str) -> Column:
-        return F.struct(F.lit(kind).alias("k"), F.col(side).alias("v"))
-
-    images = (F.when(F.col("__b").isNull(), F.array(img(INSERT, "__a")))
-               .when(F.col("__a").isNull(), F.array(img(DELETE, "__b")))
-               .otherwise(F.array(img(UPDATE_BEFORE, "__b"), img(UPDATE_AFTER, "__a"))))
-    out = joined.select(*[_q(k) for k in keys], F.explode(images).alias("__c"))
-    return out.select(F.col("__c.k").alias(ROWKIND), *[_q(k) for k in keys],
-                      *[F.col("__c.v")[c].alias(c) for c in cols])
+    b = before.selectExpr(*[_q(k) for k in keys], f"{_struct(cols)} AS __b")
+    a = after.selectExpr(*[_q(k) for k in keys], f"{_struct(cols)} AS __a")
+    joined = b.join(a, on=keys, how="full_outer").filter("NOT (__b <=> __a)")
+    return _changes(joined, keys, cols)
 
 
 def compact_feed(feed: DataFrame, keys: Sequence[str], after_batch: int | None = None,
@@ -114,22 +123,10 @@ def compact_feed(feed: DataFrame, keys: Sequence[str], after_batch: int | None =
     if upto_batch is not None:
         f = f.filter(F.col(batch_col) <= F.lit(upto_batch))
     # within a commit the before-image (-U/-D) sorts ahead of the after-image (+I/+U)
-    is_after = F.col(ROWKIND).isin(INSERT, UPDATE_AFTER).cast("int")
-    change = F.struct(F.col(batch_col).alias("b"), is_after.alias("a"),
-                      F.struct(*[_q(c) for c in cols]).alias("img"))
-    per_key = f.groupBy(*[_q(k) for k in keys]).agg(F.min(change).alias("__first"),
-                                                    F.max(change).alias("__last"))
-    before = F.when(F.col("__first.a") == 0, F.col("__first.img"))
-    after = F.when(F.col("__last.a") == 1, F.col("__last.img"))
-    net = per_key.select(*[_q(k) for k in keys], before.alias("__b"), after.alias("__a"))
-    net = net.filter(~F.col("__b").eqNullSafe(F.col("__a")))
-
-    def img(kind: str, side: str) -> Column:
-        return F.struct(F.lit(kind).alias("k"), F.col(side).alias("v"))
-
-    images = (F.when(F.col("__b").isNull(), F.array(img(INSERT, "__a")))
-               .when(F.col("__a").isNull(), F.array(img(DELETE, "__b")))
-               .otherwise(F.array(img(UPDATE_BEFORE, "__b"), img(UPDATE_AFTER, "__a"))))
-    out = net.select(*[_q(k) for k in keys], F.explode(images).alias("__c"))
-    return out.select(F.col("__c.k").alias(ROWKIND), *[_q(k) for k in keys],
-                      *[F.col("__c.v")[c].alias(c) for c in cols])
+    change = (f"struct({_q(batch_col)} AS b, CAST({ROWKIND} IN ('{INSERT}', '{UPDATE_AFTER}') AS INT) AS a, "
+              f"{_struct(cols)} AS img)")
+    per_key = f.groupBy(*[_q(k) for k in keys]).agg(F.expr(f"min({change})").alias("__first"),
+                                                    F.expr(f"max({change})").alias("__last"))
+    net = per_key.selectExpr(*[_q(k) for k in keys], "CASE WHEN __first.a = 0 THEN __first.img END AS __b",
+                             "CASE WHEN __last.a = 1 THEN __last.img END AS __a")
+    return _changes(net.filter("NOT (__b <=> __a)"), keys, cols)

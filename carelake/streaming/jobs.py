@@ -27,7 +27,8 @@ from pyspark.sql.streaming import StreamingQuery
 from carelake.plans.warehouse import Job, keyed_rows
 from carelake.sources.specs import TableSpec
 from carelake.operators.changelog import compact_feed
-from carelake.streaming.sink import live_view, read_feed, upsert
+from carelake.streaming.files import NumberedLog, make_folder
+from carelake.streaming.sink import commit_keys, feed_log, feed_schema, live_view, newest_version, upsert
 
 # The commit cadence of the jobs and of the change feed.
 COMMIT_INTERVAL = "20 seconds"
@@ -36,9 +37,27 @@ FEED_INTERVAL = "1 minute"
 LookupReader = Callable[[], DataFrame]
 
 
-def state_lookup(spark: SparkSession, spec: TableSpec, path: str) -> LookupReader:
+class StateLookup:
+    """Reads the live rows of a state table when called (S3): as they stand then, or of one published version."""
+
+    def __init__(self, spark: SparkSession, spec: TableSpec, path: str):
+        self.spark, self.spec, self.path = spark, spec, path
+
+    def __call__(self, at: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        return live_view(self.spark, self.spec, self.path, at=at, keys=keys)
+
+    def number(self) -> int:
+        """The newest published version, -1 without one."""
+        return newest_version(self.spark, self.path)
+
+    def changed_keys(self, after: int, upto: int) -> DataFrame:
+        """Keys in the commits beyond ``after`` up to ``upto``; only those commits are read."""
+        return commit_keys(self.spark, self.spec, self.path, after, upto)
+
+
+def state_lookup(spark: SparkSession, spec: TableSpec, path: str) -> StateLookup:
     """A lookup that reads the live rows of a state table when called (S3)."""
-    return lambda: live_view(spark, spec, path)
+    return StateLookup(spark, spec, path)
 
 
 def batch_writer(job: Job, state_path: str, lookups: Mapping[str, LookupReader], *,
@@ -91,23 +110,68 @@ def start_job(job: Job, source: DataFrame, state_path: str, checkpoint: str,
     return writer.start()
 
 
+def _feed_stream(spark: SparkSession, feed_path: str) -> DataFrame:
+    """Published entries of a feed's log as a stream: an entry appears whole, after its changes are written."""
+    log = feed_log(spark, feed_path)
+    make_folder(spark, f"{log.root}/{0:09d}")
+    return spark.readStream.schema("number BIGINT, folder STRING, after BIGINT").json(f"{log.root}/*")
+
+
+def _feed_rows(spark: SparkSession, spec: TableSpec, feed_path: str, entries: list) -> DataFrame:
+    if not entries:
+        return spark.createDataFrame([], feed_schema(spec))
+    return spark.read.schema(feed_schema(spec)).parquet(*[f"{feed_path}/changes/{e.folder}" for e in entries])
+
+
+def start_table_scan(spark: SparkSession, spec: TableSpec, state_path: str, feed_path: str,
+                     write: Callable[[DataFrame, int], None], checkpoint: str, *,
+                     trigger: Mapping[str, object] | None = None) -> StreamingQuery:
+    """Read a keyed table as a stream: its rows first, then its changes.
+
+    The first batch has the rows of one published version as inserts, each later one the
+    changes of the commits since, by their numbers; the version is that of the last commit in
+    the first batch of the feed's log, which the checkpoint holds, so nothing is left out or read twice and a replay
+    sees the same. ``write(rows, batch number)`` gets the feed's columns and must be idempotent. Every
+    commit of the table needs its feed: a commit without one, after the first, raises.
+    """
+    consumed = NumberedLog(spark, f"{checkpoint}/consumed")  # the last commit of each batch
+
+    def run(entries: DataFrame, batch_id: int) -> None:
+        if batch_id == 0:  # may be a long history: only its end reaches the driver
+            last = entries.agg(F.max("number")).first()[0]
+            rows = live_view(spark, spec, state_path, at=last)
+            changes = rows.select(F.lit("+I").alias("rowkind"), "*", F.lit(last).cast("long").alias("batch_id"))
+        else:
+            last, new = consumed.read(batch_id - 1)["last"], sorted(entries.collect(), key=lambda e: e.number)
+            for e in new:
+                if e.after != last:
+                    raise ValueError(f"{spec.name}: commit {e.after} before {e.number} has no feed")
+                last = e.number
+            changes = _feed_rows(spark, spec, feed_path, new)
+        write(changes.select(*feed_schema(spec).names), batch_id)
+        if not consumed.has(batch_id):
+            consumed.write(batch_id, {"last": last})
+
+    return (_feed_stream(spark, feed_path).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": COMMIT_INTERVAL})).start())
+
+
 def start_feed_compaction(spark: SparkSession, spec: TableSpec, feed_path: str, out_path: str,
                           checkpoint: str, *, trigger: Mapping[str, object] | None = None
                           ) -> StreamingQuery:
     """The table's change feed at a coarser cadence (S8, T5; default 1 minute).
 
-    Streams the per-commit feed folder; each trigger's micro-batch holds the
-    commits since the previous trigger, which ``compact_feed`` folds into
+    Each trigger takes the commits that were published since the one before;
+    ``compact_feed`` folds them into
     their net change, written under ``out_path/feed_batch=<n>``.
     """
-    schema = read_feed(spark, spec, feed_path).schema
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        net = compact_feed(batch, spec.pk).withColumn("feed_batch", F.lit(int(batch_id)).cast("long"))
-        (net.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    def write(entries: DataFrame, batch_id: int) -> None:
+        net = compact_feed(_feed_rows(spark, spec, feed_path, entries.collect()), spec.pk)
+        (net.withColumn("feed_batch", F.lit(int(batch_id)).cast("long"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("feed_batch").parquet(out_path))
 
-    return (spark.readStream.schema(schema).parquet(feed_path).writeStream.foreachBatch(write)
+    return (_feed_stream(spark, feed_path).writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": FEED_INTERVAL})).start())
 

@@ -6,18 +6,19 @@ jobs' ``drop table`` + ``CREATE TABLE``) starts a new version: the new
 streaming query has a fresh checkpoint, so it re-reads its source from the
 start into empty state, while the old version stays readable until it is
 removed by retention. Pointers are append-only: one small file per published
-version, the highest wins. They are written with Spark, so it works on any file system the cluster uses.
+version, the highest wins. A death between a version's creation and its
+publication leaves a version that nobody sees and that the next ``open_table`` takes up.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from carelake.sources.specs import TableSpec
-from carelake.streaming.sink import complete, create_if_absent, exists
+from carelake.streaming.files import NumberedLog, names, write_once
+from carelake.streaming.sink import create_if_absent
 
 
 @dataclass(frozen=True)
@@ -47,35 +48,37 @@ class TableLocation:
         return f"{self.base}/rejects"
 
 
-def _pointers(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}/_published"
+def _pointers(spark: SparkSession, root: str, name: str) -> NumberedLog:
+    return NumberedLog(spark, f"{root.rstrip('/')}/{name}/_published")
+
+
+def _opened(root: str, name: str) -> str:
+    """Holds a mark for every version ever published, apart from the pointers: tells a lost pointer from a
+    table that was never published."""
+    return f"{root.rstrip('/')}/{name}/_marks"
 
 
 def current(spark: SparkSession, root: str, name: str) -> TableLocation:
     """The current version of ``name`` (version 0 when never built).
 
-    Raises if versions are there but no published pointer: falling back to an older one would
+    Raises if a version was published but its pointer is gone: falling back to an older one would
     bring old rows back.
     """
-    try:
-        rows = spark.read.schema("version BIGINT").json(f"{_pointers(root, name)}/*").collect()
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        rows = []
-    if not rows:
-        if exists(spark, f"{root.rstrip('/')}/{name}/v0"):
-            raise FileNotFoundError(f"{root}/{name} has versions but no published pointer")
-        return TableLocation(root, name, 0)
-    return TableLocation(root, name, max(r.version for r in rows))
+    newest = _pointers(spark, root, name).newest()
+    marks = names(spark, _opened(root, name))
+    if marks and int(marks[-1]) > newest:
+        raise FileNotFoundError(f"{root}/{name}: version {int(marks[-1])} was published, its pointer is gone")
+    return TableLocation(root, name, max(newest, 0))
 
 
 def publish(spark: SparkSession, loc: TableLocation) -> None:
     """Make ``loc`` the current version: one more pointer, written once; the highest wins."""
-    target = f"{_pointers(loc.root, loc.name)}/{loc.version:09d}"
-    if not complete(spark, target):
-        (spark.createDataFrame([(loc.version,)], "version BIGINT").coalesce(1)
-              .write.mode("overwrite").json(target))
+    pointers = _pointers(spark, loc.root, loc.name)
+    if not pointers.has(loc.version):
+        pointers.write(loc.version, {"version": loc.version})
+    mark = f"{_opened(loc.root, loc.name)}/{loc.version:09d}"
+    if not names(spark, mark):
+        write_once(spark, f"{mark}/published", "")
 
 
 def open_table(spark: SparkSession, root: str, spec: TableSpec, *,

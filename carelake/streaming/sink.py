@@ -1,48 +1,51 @@
-"""Keyed upsert into a versioned parquet state table.
+"""Keyed upsert into a versioned parquet state table.
 
 Nothing at ``path`` is ever replaced; every folder is written once:
 
-* ``commits/<id>``: the winning change of each key of one batch;
-* ``base/<partition>/c=<id>/bucket=<n>``: compacted partitions (value
-  partitions and hash buckets of the spec);
-* ``log/<number>``: one small JSON entry per published version. A ``delta``
-  entry names a commit folder and its partition values; a ``base`` entry
-  names, for every partition, the compacted folder in force and the last delta it holds.
+* ``commits/c=<id>/bucket=<n>``: the winning change of each key of one batch;
+* ``base/<partition>/c=<id>/bucket=<n>``: compacted buckets of partitions;
+* ``log``: one small entry per published version (``NumberedLog``). A ``delta``
+  entry names a commit folder and the buckets that it touches in each partition; a
+  ``base`` entry names, for every bucket of every partition, the compacted folder in force.
 
-A version exists once its log entry is written, which is the last write of a
-commit; readers take the newest base entry and the deltas after it and fold
+A version exists once its log entry is there, which is the last write of a
+commit and appears whole; readers take the newest base entry and the deltas after it and fold
 them by key (``latest_by_key``). So a reader sees the version before or after
-a commit, never half of one; a writer that dies leaves folders that no entry
-names. A streaming batch is published under its number: if it is replayed
+a commit, never half of one. A writer that dies at any point leaves folders and temporary files that no entry
+names, and a replay goes on as if it had not been. A streaming batch is published under its number: if it is replayed
 after its entry was written, it changes nothing (T3). One writer per table;
-a second one fails on the entry's folder.
+a second one fails on the entry. Entries are read from the newest back to the last base entry, so
+a commit reads at most ``COMPACT_EVERY`` of them however old the table is.
 
-A commit costs one shuffle of the batch by key. Deleted keys stay as tombstone
+A commit costs one shuffle of the batch by key, and tells its days and buckets on the way. Deleted keys stay as tombstone
 rows, because a late, older version must not bring them back; readers use
-``live_view``. ``compact`` folds the partitions that deltas have touched since.
+``live_view``. ``compact`` folds the buckets that deltas have touched since.
+
+The change feed of a table is versioned like the table: the changes of commit n are a folder of
+their own, published as entry n of the feed's log. Consumers read published commit
+numbers, never a folder's listing (``read_feed``, ``start_table_scan``).
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from carelake.functions.bucket import bucket_of
 from carelake.functions.rowkind import is_live
 from carelake.operators.changelog import latest_by_key, snapshot_diff
 from carelake.sources.specs import ARRIVAL, BUCKET, ROWKIND, TableSpec
+from carelake.streaming.files import NumberedLog
 
 #: Deltas after which a commit also compacts. Compaction writes a folder for each partition and bucket
 #: that was touched, thousands for a source that spans years, so it is much rarer than commits.
 COMPACT_EVERY = 30
 
-_ENTRY = "number BIGINT, kind STRING, folder STRING, parts STRING, upto BIGINT, batch BIGINT"
+Places = dict[str, list[int]]  # partition folder -> buckets
 
 
 def state_schema(spec: TableSpec) -> T.StructType:
@@ -57,42 +60,57 @@ def state_schema(spec: TableSpec) -> T.StructType:
 
 @dataclass
 class Version:
-    """What is published: the base folder of each partition, and the deltas since."""
+    """What is published: the base folder of each bucket, and the deltas since."""
 
     number: int = -1
-    base: dict[str, str] = field(default_factory=dict)   # partition folder -> compaction id
-    deltas: list[tuple[int, str, list[str]]] = field(default_factory=list)  # number, folder, partitions
+    base: dict[str, dict[str, str]] = field(default_factory=dict)    # partition folder -> bucket -> compaction id
+    deltas: list[tuple[int, str, Places]] = field(default_factory=list)  # number, folder, places; ascending
+    upto: int | None = None                              # the last delta that the base holds
     batch: int | None = None                             # last streaming batch
-    at_batch: dict[int, int] = field(default_factory=dict)  # streaming batch -> entry number
-
-
-def version(spark: SparkSession, path: str, before: int | None = None) -> Version | None:
-    """The newest published version (or the one before entry ``before``); None without a table."""
-    try:
-        rows = spark.read.schema(_ENTRY).json(f"{path}/log/*").collect()  # one small row per commit
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return None
-        raise
-    rows = sorted((r for r in rows if before is None or r.number < before), key=lambda r: r.number)
-    bases = [r for r in rows if r.kind == "base"]
-    out = Version(number=rows[-1].number if rows else -1, base=json.loads(bases[-1].parts) if bases else {})
-    held = bases[-1].upto if bases else -1
-    for r in rows:
-        if r.kind == "delta":
-            if r.number > held:
-                out.deltas.append((r.number, r.folder, json.loads(r.parts)))
-            if r.batch is not None:
-                out.batch = max(r.batch, -1 if out.batch is None else out.batch)
-                out.at_batch[r.batch] = r.number
+    batch_number: int | None = None                      # the entry that published it
+
+
+def _log(spark: SparkSession, path: str) -> NumberedLog:
+    return NumberedLog(spark, f"{path}/log")
+
+
+def version(spark: SparkSession, path: str, at: int | None = None) -> Version | None:
+    """The newest published version (or that of entry ``at``); None without a table."""
+    log = _log(spark, path)
+    newest = log.newest()
+    if newest < 0:
+        return None
+    out = Version(number=newest if at is None else min(at, newest))
+    number = out.number
+    while number >= 0:
+        entry = log.read(number)
+        if entry.get("batch") is not None and out.batch is None:
+            out.batch, out.batch_number = entry["batch"], entry["batch_number"]
+        if entry["kind"] == "base":
+            out.base, out.upto = entry["base"], entry["upto"]
+            break
+        out.deltas.insert(0, (number, entry["folder"], entry["places"]))
+        number -= 1
     return out
 
 
-def _publish(spark: SparkSession, path: str, number: int, kind: str, folder: str | None, parts,
-             upto: int | None = None, batch: int | None = None) -> None:
-    row = [(number, kind, folder, json.dumps(parts), upto, batch)]
-    (spark.createDataFrame(row, _ENTRY).coalesce(1)
-          .write.mode("errorifexists").json(f"{path}/log/{number:012d}"))
+def newest_version(spark: SparkSession, path: str) -> int:
+    """The number of the newest published version, -1 without a table."""
+    return _log(spark, path).newest()
+
+
+def commit_keys(spark: SparkSession, spec: TableSpec, path: str, after: int, upto: int) -> DataFrame:
+    """Distinct keys of the commits beyond version ``after`` up to ``upto``."""
+    log = _log(spark, path)
+    entries = [log.read(n) for n in range(after + 1, upto + 1)]
+    folders = [e["folder"] for e in entries if e["kind"] == "delta"]
+    if not folders:
+        return spark.createDataFrame([], state_schema(spec)).select(*spec.pk)
+    return _commit_rows(spark, spec, path, folders).select(*spec.pk).distinct()
+
+
+def _publish(spark: SparkSession, path: str, number: int, entry: dict) -> None:
+    _log(spark, path).write(number, entry)
 
 
 def _escape(value: str) -> str:
@@ -105,50 +123,85 @@ def _partition_path(spec: TableSpec, row) -> str:
     return "/".join(f"{c}={_escape(str(row[c]))}" for c in spec.partition)
 
 
-def _versions_rows(spark: SparkSession, spec: TableSpec, path: str, v: Version,
-                   parts: set[str] | None = None) -> DataFrame:
-    """All rows of a version, unfolded; only of the partitions ``parts``, if given."""
+def _partition_range(spec: TableSpec, places: Places) -> dict[str, tuple[str, str]]:
+    """The least and the greatest value of each partition column in ``places``: a batch may span years of days."""
+    values: dict[str, set[str]] = {c: set() for c in spec.partition}
+    for p in places:
+        for piece in filter(None, p.split("/")):
+            name, _, value = piece.partition("=")
+            values[name].add(unquote(value))
+    return {c: (min(v), max(v)) for c, v in values.items() if v}
+
+
+def _version_rows(spark: SparkSession, spec: TableSpec, path: str, v: Version, places: Places | None = None) -> DataFrame:
+    """All rows of a version, unfolded; with ``places``, only of those buckets of those partitions.
+
+    Other buckets and partitions are left out by folder, so nothing of them is read.
+    """
     schema = state_schema(spec)
-    out = spark.createDataFrame([], schema)
-    base = [f"{path}/base/{p + '/' if p else ''}c={c}" for p, c in v.base.items()
-            if parts is None or p in parts]
+    out = None
+    wanted = {p: None for p in v.base} if places is None else places
+    base = [f"{path}/base/{p + '/' if p else ''}c={c}/{BUCKET}={b}" for p, buckets in wanted.items()
+            for b, c in v.base.get(p, {}).items() if buckets is None or int(b) in buckets]
     if base:
         with_id = T.StructType(list(schema.fields) + [T.StructField("c", T.StringType())])
-        out = out.unionByName(spark.read.schema(with_id).option("basePath", f"{path}/base")
-                              .parquet(*base).drop("c").select(*schema.names))
-    deltas = [f"{path}/commits/{f}" for _, f, ps in v.deltas if parts is None or parts & set(ps)]
+        out = spark.read.schema(with_id).option("basePath", f"{path}/base").parquet(*base).select(*schema.names)
+    deltas = [f for _, f, at in v.deltas if places is None or any(set(places.get(p, ())) & set(bs) for p, bs in at.items())]
     if deltas:
-        rows = spark.read.schema(schema).parquet(*deltas)
-        if parts is not None and spec.partition:
-            rows = rows.filter(_partition_column(spec).isin(sorted(parts)))
-        out = out.unionByName(rows)
+        rows = _commit_rows(spark, spec, path, deltas)
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        return spark.createDataFrame([], schema)
+    if places is not None:
+        out = out.filter(F.col(BUCKET).isin(sorted({b for bs in places.values() for b in bs})))
+        for c, (least, most) in _partition_range(spec, places).items():
+            out = out.filter(F.col(c).cast("string").between(least, most))
     return out
 
 
-def _partition_column(spec: TableSpec) -> F.Column:
-    """``_partition_path`` as an expression."""
-    pieces = []
-    for c in spec.partition:
-        value = F.col(c).cast("string")
-        for ch in '%"#\'*/:=?\\\x7f{[]^' + "".join(map(chr, range(1, 32))):
-            value = F.replace(value, F.lit(ch), F.lit(f"%{ord(ch):02X}"))
-        pieces.append(F.concat(F.lit(f"{c}="), value))
-    return F.concat_ws("/", *pieces) if pieces else F.lit("")
+def _commit_rows(spark: SparkSession, spec: TableSpec, path: str, folders: list[str]) -> DataFrame:
+    schema = state_schema(spec)
+    with_id = T.StructType(list(schema.fields) + [T.StructField("c", T.StringType())])
+    return (spark.read.schema(with_id).option("basePath", f"{path}/commits")
+            .parquet(*[f"{path}/commits/c={f}" for f in folders]).select(*schema.names))
+
+
+def places_of(spec: TableSpec, keys: DataFrame) -> Places:
+    """The partitions and buckets of a batch of keys: distinct places, not keys, reach the driver."""
+    rows = keys.select(*spec.partition, bucket_of(spec.bucket_key, spec.buckets, spec.bucket_method).alias(BUCKET)).distinct()
+    return _as_places([(_partition_path(spec, r), r[BUCKET]) for r in rows.collect()])
+
+
+def _as_places(pairs) -> Places:
+    out: Places = {}
+    for p, b in sorted(pairs):
+        out.setdefault(p, []).append(b)
+    return out
 
 
 # ------------------------------------------------------------------- reading
 
-def read_state(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame | None:
-    """The current row of every key, tombstones included; None when absent."""
-    v = version(spark, path)
+def read_state(spark: SparkSession, spec: TableSpec, path: str, *, at: int | None = None,
+               keys: DataFrame | None = None) -> DataFrame | None:
+    """The current row of every key, tombstones included; None when absent.
+
+    ``at`` reads an older version. With ``keys`` (the key columns), only rows of those keys, and only
+    their buckets are read. A key of a table without value partitions may be given by its bucket key alone.
+    """
+    v = version(spark, path, at)
     if v is None:
         return None
-    return latest_by_key(_versions_rows(spark, spec, path, v), spec.pk, spec.order)
+    if keys is None:
+        return latest_by_key(_version_rows(spark, spec, path, v), spec.pk, spec.order)
+    on = [c for c in spec.pk if c in keys.columns]
+    rows = _version_rows(spark, spec, path, v, places_of(spec, keys)).join(keys.select(*on).distinct(), on, "left_semi")
+    return latest_by_key(rows.select(*state_schema(spec).names), spec.pk, spec.order)
 
 
-def live_view(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+def live_view(spark: SparkSession, spec: TableSpec, path: str, *, at: int | None = None,
+              keys: DataFrame | None = None) -> DataFrame:
     """Current rows of a state table in the target schema (S3)."""
-    state = read_state(spark, spec, path)
+    state = read_state(spark, spec, path, at=at, keys=keys)
     if state is None:
         return spark.createDataFrame([], spec.schema)
     return state.filter(is_live()).select(*spec.columns)
@@ -157,7 +210,7 @@ def live_view(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
 def create_if_absent(spark: SparkSession, spec: TableSpec, path: str) -> None:
     """``CREATE TABLE IF NOT EXISTS``: an empty table."""
     if version(spark, path) is None:
-        _publish(spark, path, 0, "base", None, {}, upto=-1)
+        _publish(spark, path, 0, {"kind": "base", "base": {}, "upto": None, "batch": None, "batch_number": None})
 
 
 # ------------------------------------------------------------------- writing
@@ -173,91 +226,105 @@ def upsert(rows: DataFrame, spec: TableSpec, path: str, *, feed_path: str | None
     """Apply a batch of conformed change rows to the state table at ``path``.
 
     ``rows`` carry the target columns plus ``rowkind`` and ``arrival``.
-    ``batch_id`` is the number of a streaming batch: one that is published
-    already is not applied again. With ``feed_path``, the batch's change feed goes to
-    ``feed_path/batch_id=<n>`` once the batch is published; it is a function of published
-    versions, so a replay after a crash in between writes the same feed. Returns the number of
+    ``batch_id`` is the number of a streaming batch, which ascends: one that is published
+    already is not applied again. With ``feed_path``, the changes of the commit are published there
+    once the commit is; they are a function of published
+    versions, so a replay after a crash in between publishes the same. Returns the number of
     partitions the batch touched.
     """
     spark = rows.sparkSession
     v = version(spark, path) or Version()
-    touched: list[str] = []
-    if batch_id is None or batch_id not in v.at_batch:
-        folder = uuid.uuid4().hex
+    touched: Places = {}
+    number = v.batch_number
+    if batch_id is None or v.batch is None or batch_id > v.batch:
+        folder, seen, number = uuid.uuid4().hex, Observation(), None
         winners = latest_by_key(with_layout(rows, spec), spec.pk, spec.order)
-        winners.write.parquet(f"{path}/commits/{folder}")
-        written = spark.read.schema(state_schema(spec)).parquet(f"{path}/commits/{folder}")
-        # Partition values only (the days of a batch) reach the driver.
-        days = written.select(*spec.partition).distinct().collect() if spec.partition else written.limit(1).collect()
-        touched = sorted({_partition_path(spec, r) for r in days})
+        # Partition values and buckets only (the days of a batch) reach the driver, with the write itself.
+        place = F.struct(*spec.layout)
+        winners.observe(seen, F.collect_set(place).alias("places")).write.partitionBy(BUCKET).parquet(
+            f"{path}/commits/c={folder}")
+        touched = _as_places([(_partition_path(spec, r), r[BUCKET]) for r in seen.get["places"]])
         if touched:
             number = v.number + 1
-            _publish(spark, path, number, "delta", folder, touched, batch=batch_id)
+            _publish(spark, path, number, {
+                "kind": "delta", "folder": folder, "places": touched, "batch": v.batch if batch_id is None else batch_id,
+                "batch_number": v.batch_number if batch_id is None else number})
             v.deltas.append((number, folder, touched))
-            v.number = number
-            if batch_id is not None:
-                v.at_batch[batch_id] = number
-    if feed_path is not None:
-        if batch_id is None:
-            raise ValueError("a change feed needs the batch's number")
-        if batch_id in v.at_batch:
-            write_feed(spark, spec, path, feed_path, batch_id, v)
+    elif batch_id < v.batch:
+        number = None
+    if feed_path is not None and number is not None:
+        write_feed(spark, spec, path, feed_path, number)
     if touched and len(v.deltas) >= compact_every:
         compact(spark, spec, path)
     return len(touched)
 
 
 def compact(spark: SparkSession, spec: TableSpec, path: str) -> None:
-    """Fold the partitions that deltas touched into new base folders and publish them."""
+    """Fold the buckets that deltas touched into new base folders and publish them."""
     v = version(spark, path)
     if v is None or not v.deltas:
         return
-    parts = {p for _, _, ps in v.deltas for p in ps}
+    places = _as_places({(p, b) for _, _, at in v.deltas for p, bs in at.items() for b in bs})
     c = uuid.uuid4().hex
-    rows = latest_by_key(_versions_rows(spark, spec, path, v, parts), spec.pk, spec.order)
+    rows = latest_by_key(_version_rows(spark, spec, path, v, places), spec.pk, spec.order)
     # REBALANCE groups rows by folder: a few files each, and AQE splits a large partition.
     (rows.withColumn("c", F.lit(c)).hint("rebalance", *spec.layout)
          .write.mode("append").partitionBy(*spec.partition, "c", BUCKET).parquet(f"{path}/base"))
-    _publish(spark, path, v.number + 1, "base", None, v.base | {p: c for p in parts}, upto=v.deltas[-1][0])
+    base = {p: dict(at) for p, at in v.base.items()}
+    for p, buckets in places.items():
+        base.setdefault(p, {}).update({str(b): c for b in buckets})
+    _publish(spark, path, v.number + 1, {"kind": "base", "base": base, "upto": v.deltas[-1][0],
+                                         "batch": v.batch, "batch_number": v.batch_number})
 
 
-def write_feed(spark: SparkSession, spec: TableSpec, path: str, feed_path: str, batch_id: int,
-               v: Version) -> None:
-    """The change feed of a published batch, unless it is there: the keys of the batch, before and after."""
-    number = v.at_batch[batch_id]
-    target = f"{feed_path}/batch_id={batch_id}"
-    if complete(spark, target):
-        return
-    _, folder, parts = next((d for d in v.deltas if d[0] == number), (None, None, None))
-    if folder is None:  # compacted meanwhile
-        row = spark.read.schema(_ENTRY).json(f"{path}/log/{number:012d}").first()
-        folder, parts = row.folder, json.loads(row.parts)
-    batch = spark.read.schema(state_schema(spec)).parquet(f"{path}/commits/{folder}")
-    older = version(spark, path, before=number) or Version()
-    keys = batch.select(*spec.pk)
-    old = _versions_rows(spark, spec, path, older, set(parts)).join(keys, list(spec.pk), "left_semi")
-    old = latest_by_key(old.select(*state_schema(spec).names), spec.pk, spec.order).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        new = latest_by_key(old.unionByName(batch), spec.pk, spec.order)
-        feed = snapshot_diff(old.filter(is_live()).select(*spec.columns),
-                             new.filter(is_live()).select(*spec.columns), spec.pk)
-        feed.write.mode("overwrite").parquet(target)
-    finally:
-        old.unpersist()
+# ---------------------------------------------------------------- change feed
 
+def feed_schema(spec: TableSpec) -> T.StructType:
+    return T.StructType([T.StructField(ROWKIND, T.StringType())] + list(spec.schema.fields)
+                        + [T.StructField("batch_id", T.LongType())])
 
-def exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
+def feed_log(spark: SparkSession, feed_path: str) -> NumberedLog:
+    return NumberedLog(spark, f"{feed_path}/log")
 
-def complete(spark: SparkSession, folder: str) -> bool:
-    """Whether a Spark write to ``folder`` has ended."""
-    return exists(spark, f"{folder}/_SUCCESS")
+
+def feed_changes(spark: SparkSession, spec: TableSpec, path: str, number: int) -> DataFrame:
+    """What commit ``number`` changed: its keys before and after, read from their buckets only."""
+    entry = _log(spark, path).read(number)
+    batch = _commit_rows(spark, spec, path, [entry["folder"]])
+    older = version(spark, path, number - 1) if number else None
+    keys = batch.select(*spec.pk)
+    old = _version_rows(spark, spec, path, older or Version(), entry["places"]).join(keys, list(spec.pk), "left_semi")
+    old = latest_by_key(old.select(*state_schema(spec).names), spec.pk, spec.order)
+    new = latest_by_key(old.unionByName(batch), spec.pk, spec.order)
+    return snapshot_diff(old.filter(is_live()).select(*spec.columns), new.filter(is_live()).select(*spec.columns), spec.pk)
 
 
-def read_feed(spark: SparkSession, spec: TableSpec, feed_path: str) -> DataFrame:
-    """The change feed of a table: ``rowkind``, the target columns, ``batch_id``."""
-    schema = T.StructType([T.StructField(ROWKIND, T.StringType())] + list(spec.schema.fields)
-                          + [T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).parquet(feed_path)
+def write_feed(spark: SparkSession, spec: TableSpec, path: str, feed_path: str, number: int) -> None:
+    """Publish the changes of commit ``number``, unless they are."""
+    log = feed_log(spark, feed_path)
+    if log.has(number):
+        return
+    folder = uuid.uuid4().hex
+    feed = feed_changes(spark, spec, path, number).withColumn("batch_id", F.lit(number).cast("long"))
+    feed.select(*feed_schema(spec).names).write.parquet(f"{feed_path}/changes/{folder}")
+    # The table's commit before this one: a consumer finds out if a commit has no feed.
+    older = version(spark, path, number - 1) if number else Version()
+    log.write(number, {"folder": folder, "after": older.deltas[-1][0] if older.deltas else older.upto})
+
+
+def read_feed(spark: SparkSession, spec: TableSpec, feed_path: str, *, after: int = -1,
+              upto: int | None = None) -> DataFrame:
+    """The published change feed of a table: ``rowkind``, the target columns, ``batch_id`` (the commit's number),
+    of the commits beyond ``after`` up to ``upto``."""
+    log = feed_log(spark, feed_path)
+    folders = [log.read(n)["folder"] for n in log.numbers(after) if upto is None or n <= upto]
+    if not folders:
+        return spark.createDataFrame([], feed_schema(spec))
+    return spark.read.schema(feed_schema(spec)).parquet(*[f"{feed_path}/changes/{f}" for f in folders])
+
+
+def as_changes(feed: DataFrame) -> DataFrame:
+    """A feed as a change log: ``arrival`` follows the commits, and in a commit the images after those before."""
+    after = F.col(ROWKIND).isin("+I", "+U").cast("long")
+    return feed.withColumn(ARRIVAL, F.col("batch_id") * 2 + after).drop("batch_id")

@@ -336,6 +336,26 @@ SELECT e.user_id AS id, e.ts AS create_time, s.s_name AS name, true AS one_time
 FROM events e LEFT JOIN supplier s ON e.user_id = s.s_suppkey WHERE e.event_type = 'signup'
 """
 
+# Even doctors first, every fourth renamed before the scan begins; then odd ones, every third deleted, every
+# fifth renamed. ``commits``: 3 for the snapshot of version 1, then twice the commit's number + 1.
+TABLE_SCAN_HANDOVER = f"""
+SELECT id, CASE WHEN n % 5 = 0 OR n % 4 = 0 THEN name || ' B' ELSE name END AS name, title_code,
+       CAST(CASE WHEN n % 5 = 0 AND NOT (n % 4 = 0 AND n % 3 <> 0) THEN 9 WHEN n % 2 = 0 THEN 3 ELSE 5 END AS BIGINT) AS commits
+FROM (SELECT *, CAST(id AS BIGINT) AS n FROM ({DIM_DOCTOR}))
+WHERE n % 3 <> 0 OR n % 5 = 0"""
+
+
+def _feed_commit(n: int) -> str:
+    """Changes by the n-th third of the events, by event_id."""
+    def upto(k):
+        live = _live(f"SELECT * FROM ({EV_DT}) WHERE event_id % 3 <= {k}", "dt, user_id", EV_DT_ORDER)
+        return f"SELECT dt, {EV_COLS} FROM ({live})"
+    diff = _diff(upto(n - 1), upto(n), ["dt", "user_id"], ["ts", "event_id", "event_type", "value", "props"])
+    return f"SELECT *, CAST({n} AS BIGINT) AS feed_batch FROM ({diff})"
+
+
+FEED_CONSUMER_REPLAY = " UNION ALL ".join(_feed_commit(n) for n in range(3))
+
 ORACLE: dict[str, str] = {
     "conform_cast": """
         SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, CAST(p_size AS SMALLINT) AS size_small,
@@ -408,6 +428,8 @@ ORACLE: dict[str, str] = {
     "stream_consultation_wait": CONSULTATION,
     "replay_upsert": f"SELECT dt, {EV_COLS} FROM ({_live(EV_DT, 'dt, user_id', EV_DT_ORDER)})",
     "replay_change_feed": STREAM_CHANGE_FEED,
+    "table_scan_handover": TABLE_SCAN_HANDOVER,
+    "feed_consumer_replay": FEED_CONSUMER_REPLAY,
     "rebuild_table": f"SELECT dt, {EV_COLS} FROM ({_live(EV_DT, 'dt, user_id', EV_DT_ORDER)})",
     "lookup_asof_changes": LOOKUP_ASOF_CHANGES,
     "reject_rows": REJECT_ROWS,

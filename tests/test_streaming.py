@@ -1,5 +1,6 @@
 """Streaming behaviour: batch = stream, replay, processing-time lookups, bounded wait."""
 
+import json
 import random
 import time
 from decimal import Decimal
@@ -333,3 +334,187 @@ def test_feed_compaction_stream_gives_net_change(spark, tmp_dir):
     got = sorted((r.rowkind, r.id, r.v) for r in spark.read.parquet(f"{tmp_dir}/net").collect())
     # all three commits in one trigger: from nothing to {1:a, 3:a, 4:c}
     assert got == [("+I", "1", "a"), ("+I", "3", "a"), ("+I", "4", "c")]
+
+
+# ---------------------------------------------------------------- deaths at any write
+
+def _stop_at(monkeypatch, nth: int, after: bool):
+    """The ``nth`` metadata file is lost on its way: before its rename, or with the driver right after it."""
+    from carelake.streaming import files
+    whole, seen = files.write_once, {"n": 0}
+
+    def write(spark, path, text):
+        seen["n"] += 1
+        if seen["n"] != nth:
+            return whole(spark, path, text)
+        if after:
+            whole(spark, path, text)
+        else:  # what a death before the rename leaves
+            whole(spark, f"{path.rpartition('/')[0]}/_half", text)
+        raise _Stop()
+
+    monkeypatch.setattr(files, "write_once", write)
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("nth", [1, 2, 3])  # the commit's entry, the feed's, the compaction's
+def test_death_at_any_metadata_write_is_replayed(spark, tmp_dir, monkeypatch, nth, after):
+    from carelake.streaming import compact
+    from carelake.streaming.sink import read_feed, version
+    spec = _versioned_spec()
+    first = spark.createDataFrame([("d1", "1", "a", "+I", 1), ("d2", "2", "a", "+I", 2)], VERSIONED)
+    second = spark.createDataFrame([("d1", "1", "b", "+U", 3), ("d2", "2", "a", "-D", 4)], VERSIONED)
+    go = lambda df, n: upsert(df, spec, f"{tmp_dir}/s", feed_path=f"{tmp_dir}/f", batch_id=n, compact_every=2)
+    go(first, 0)
+    with monkeypatch.context() as m:
+        _stop_at(m, nth, after)
+        with pytest.raises(_Stop):
+            go(second, 1)
+    go(second, 1)
+    go(second, 1)
+    assert _rows(live_view(spark, spec, f"{tmp_dir}/s")) == [("d1", "1", "b")]
+    compact(spark, spec, f"{tmp_dir}/s")
+    assert _rows(live_view(spark, spec, f"{tmp_dir}/s")) == [("d1", "1", "b")]
+    feed = read_feed(spark, spec, f"{tmp_dir}/f", after=0)
+    assert _rows(feed.select("rowkind", "dt", "id", "v")) == [("+U", "d1", "1", "b"), ("-D", "d2", "2", "a"), ("-U", "d1", "1", "a")]
+    assert version(spark, f"{tmp_dir}/s").batch == 1
+
+
+def test_log_reads_of_a_commit_do_not_grow(spark, tmp_dir, monkeypatch):
+    from carelake.streaming import files, sink
+    spec = _versioned_spec()
+    log = files.NumberedLog(spark, f"{tmp_dir}/s/log")
+    for n in range(2500):  # entries of a table that is compacted every 30 commits
+        kind = {"kind": "base", "base": {}, "upto": n - 1} if n % 30 == 29 else {"kind": "delta", "folder": "x", "places": {}}
+        files.write_once(spark, log.path(n), json.dumps({"number": n, "batch": n, "batch_number": n, **kind}))
+    reads = []
+    whole = files.read_text
+    monkeypatch.setattr(files, "read_text", lambda s, p: reads.append(p) or whole(s, p))
+    v = sink.version(spark, f"{tmp_dir}/s")
+    assert v.number == 2499 and v.batch == 2499 and len(reads) <= 30
+    assert log.numbers(2490) == list(range(2491, 2500))
+
+
+def test_keys_read_their_buckets_only(spark, tmp_dir):
+    from carelake.sources.specs import TableSpec
+    from carelake.streaming import compact
+    spec = TableSpec(name="t", schema=T.StructType([T.StructField("id", T.StringType()), T.StructField("v", T.LongType())]),
+                     pk=("id",), buckets=16)
+    rows = spark.range(200).selectExpr("CAST(id AS STRING) AS id", "id AS v", "'+I' AS rowkind", "id AS arrival")
+    upsert(rows, spec, f"{tmp_dir}/s")
+    compact(spark, spec, f"{tmp_dir}/s")
+    upsert(rows.filter("v < 50").selectExpr("id", "v + 1000 AS v", "rowkind", "arrival + 1000 AS arrival"), spec, f"{tmp_dir}/s")
+    keys = spark.createDataFrame([("7",), ("150",), ("none",)], "id string")
+    found = live_view(spark, spec, f"{tmp_dir}/s", keys=keys)
+    assert _rows(found) == [("150", 150), ("7", 1007)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [", 1)[1][:200]
+    base = {f.rsplit("/", 2)[1] for f in found.inputFiles() if "/base/" in f}  # by folder; commits by the filter
+    assert 1 <= len(base) <= 3
+
+
+def test_table_scan_takes_over_from_the_snapshot(spark, tmp_dir):
+    """Commits land before, between and while the scan is stopped; a commit without feed raises."""
+    from carelake.streaming import as_changes, start_table_scan
+    spec, rnd = _versioned_spec(), random.Random(4)
+    got = []
+
+    def scan():
+        def write(rows, batch_id):
+            got.append((batch_id, [tuple(r) for r in rows.collect()]))
+            upsert(as_changes(rows).select("dt", "id", "v", "rowkind", "arrival"), spec, f"{tmp_dir}/copy", batch_id=batch_id)
+        q = start_table_scan(spark, spec, f"{tmp_dir}/s", f"{tmp_dir}/f", write, f"{tmp_dir}/ck", trigger={"availableNow": True})
+        q.awaitTermination()
+
+    for n in range(7):
+        rows = [(rnd.choice(["d1", "d2"]), str(rnd.randrange(6)), str(n), rnd.choice(["+I", "+U", "-D"]), n) for _ in range(4)]
+        rows = list({r[:2]: r for r in rows}.values())
+        upsert(spark.createDataFrame(rows, VERSIONED), spec, f"{tmp_dir}/s", feed_path=f"{tmp_dir}/f", compact_every=3)
+        if n in (1, 4, 6):
+            scan()
+            assert _rows(live_view(spark, spec, f"{tmp_dir}/copy")) == _rows(live_view(spark, spec, f"{tmp_dir}/s"))
+    assert {r[0] for r in got[0][1]} == {"+I"} and len(got) == 3
+    upsert(spark.createDataFrame([("d1", "9", "x", "+I", 90)], VERSIONED), spec, f"{tmp_dir}/s")
+    upsert(spark.createDataFrame([("d1", "8", "x", "+I", 91)], VERSIONED), spec, f"{tmp_dir}/s", feed_path=f"{tmp_dir}/f")
+    scan_again = lambda: scan()
+    with pytest.raises(Exception, match="has no feed"):
+        scan_again()
+
+
+# ---------------------------------------------------------------- delta joins of waits
+
+def test_delta_steps_equal_wait_steps(spark, tmp_dir):
+    """Random facts, late, changed and deleted dimension rows: what comes out at every tick is the same."""
+    from carelake.sources.specs import TableSpec
+    from carelake.streaming import WaitStage, delta_step, wait_step
+    s = T.StringType()
+    doctor = TableSpec(name="doctor", schema=T.StructType([T.StructField(c, s) for c in ("id", "name", "hospital_id")]), buckets=4)
+    hospital = TableSpec(name="hospital", schema=T.StructType([T.StructField(c, s) for c in ("id", "name")]))
+
+    def stages(plain):
+        out = []
+        for spec, on, attrs in ((doctor, "doctor_id", {"name": "doctor_name", "hospital_id": "hospital_id"}),
+                                (hospital, "hospital_id", {"name": "hospital_name"})):
+            dim = state_lookup(spark, spec, f"{tmp_dir}/{spec.name}")
+            out.append(WaitStage((lambda d=dim: d()) if plain else dim, on, attrs))
+        return out
+
+    rnd = random.Random(8)
+    none = spark.createDataFrame([], WIDE)
+    for spec in (doctor, hospital):
+        upsert(spark.createDataFrame([], T.StructType([*spec.schema.fields, T.StructField("rowkind", s),
+                                                       T.StructField("arrival", T.LongType())])), spec, f"{tmp_dir}/{spec.name}")
+    now, number, written = 0.0, 0, []
+    for n in range(9):
+        if n in (1, 3, 4, 6):
+            rows = [(f"d{rnd.randrange(6)}", f"N{n}", f"h{rnd.randrange(3)}", rnd.choice(["+I", "+U", "+U", "-D"]), n) for _ in range(3)]
+            rows = list({r[0]: r for r in rows}.values())
+            upsert(spark.createDataFrame(rows, "id string, name string, hospital_id string, rowkind string, arrival long"),
+                   doctor, f"{tmp_dir}/doctor")
+        if n in (2, 5):
+            upsert(spark.createDataFrame([(f"h{n % 3}", f"H{n}", "+I", n)], "id string, name string, rowkind string, arrival long"),
+                   hospital, f"{tmp_dir}/hospital")
+        facts = []
+        for _ in range(rnd.randrange(5) if n < 6 else 0):
+            number += 1
+            facts.append((str(rnd.randrange(8)), rnd.choice([None, "d0", "d1", "d2", "d3", "d9"]),
+                          rnd.choice(["+I", "+U", "+U", "-D"]), number))
+        df = spark.createDataFrame(facts, WIDE) if facts else none
+        out = [_rows(step(spark, df, stages(plain), f"{tmp_dir}/{plain}", n, now=now, wait_seconds=25.0)
+                     .select("id", "rowkind", "arrival", "doctor_name", "hospital_id", "hospital_name"))
+               for step, plain in ((wait_step, True), (delta_step, False))]
+        assert out[0] == out[1], n
+        again = delta_step(spark, df, stages(False), f"{tmp_dir}/False", n, now=now + 7, wait_seconds=25.0)
+        assert _rows(again.select("id", "rowkind", "arrival", "doctor_name", "hospital_id", "hospital_name")) == out[1]
+        written.append(out[1])
+        now += rnd.choice([5.0, 10.0, 20.0])
+    for n in range(9, 16):
+        now += 30.0
+        out = [_rows(step(spark, none, stages(plain), f"{tmp_dir}/{plain}", n, now=now, wait_seconds=25.0).select("id", "arrival"))
+               for step, plain in ((wait_step, True), (delta_step, False))]
+        assert out[0] == out[1]
+        written.append(out[1])
+    assert sum(map(len, written)) == number
+
+
+def test_a_tick_writes_what_moves_not_what_is_pending(spark, tmp_dir):
+    from carelake.sources.specs import TableSpec
+    from carelake.streaming import WaitStage, delta_step
+    spec = TableSpec(name="doctor", schema=T.StructType([T.StructField(c, T.StringType()) for c in ("id", "name")]), buckets=4)
+    upsert(spark.createDataFrame([("x", "X", "+I", 0)], "id string, name string, rowkind string, arrival long"), spec, f"{tmp_dir}/d")
+    stage = [WaitStage(state_lookup(spark, spec, f"{tmp_dir}/d"), "doctor_id", {"name": "doctor_name"})]
+    pending = spark.range(3000).selectExpr("CAST(id AS STRING) AS id", "concat('d', id) AS doctor_id", "'+I' AS rowkind", "id AS arrival")
+    none = pending.limit(0)
+    steps = f"{tmp_dir}/steps"
+    size = lambda n: spark.read.parquet(f"{steps}/lk_step={n}").count()
+    delta_step(spark, pending, stage, steps, 0, now=0.0, wait_seconds=100)
+    upsert(spark.createDataFrame([("d5", "V", "+I", 1)], "id string, name string, rowkind string, arrival long"), spec, f"{tmp_dir}/d")
+    assert [r.id for r in delta_step(spark, none, stage, steps, 1, now=10.0, wait_seconds=100).collect()] == ["5"]
+    assert size(0) == 3000 and size(1) == 2  # the fact and the mark that it waits no more
+    assert delta_step(spark, none, stage, steps, 2, now=20.0, wait_seconds=100).count() == 0
+    assert delta_step(spark, none, stage, steps, 3, now=100.0, wait_seconds=100).count() == 2999
+    import shutil
+    delta_step(spark, pending.limit(3), stage, steps, 4, now=110.0, wait_seconds=100)
+    shutil.rmtree(f"{steps}/lk_step=4")
+    with pytest.raises(FileNotFoundError):
+        delta_step(spark, none, stage, steps, 5, now=120.0, wait_seconds=100)

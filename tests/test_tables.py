@@ -87,3 +87,10 @@ def test_wide_fact_stream_equals_batch(spark, tmp_dir):
     got = sorted(tuple(r) for r in live_view(spark, job.spec, f"{tmp_dir}/state").collect())
     want = sorted(tuple(r) for r in wh.table(job.name).collect())
     assert got == want
+
+
+def test_death_between_create_and_publish_is_taken_up(spark, tmp_dir):
+    spec = JOBS["dim_user"].spec
+    hidden = open_table(spark, tmp_dir, spec, publish_now=False)  # as if the driver died here
+    assert open_table(spark, tmp_dir, spec) == hidden
+    assert live_view(spark, spec, current(spark, tmp_dir, spec.name).state).count() == 0
