@@ -12,6 +12,7 @@ import os
 import sys
 import time
 from collections.abc import Callable
+from dataclasses import replace
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -28,6 +29,7 @@ from carelake.operators import (compact_feed, decode_codes, filter_changelog, in
                                 latest_by_key, lookup_join, lookup_join_asof, materialize,
                                 merge_state, snapshot_diff)
 from carelake.plans import standins  # noqa: E402
+from carelake.plans.backfill import backfill_wide  # noqa: E402
 from carelake.plans.batch import Warehouse, table_reader  # noqa: E402
 from carelake.plans.warehouse import (JOBS, WIDE_LOOKUP_COLUMNS, build,  # noqa: E402
                                       doctor_insert_preview, enrich_doctor_hospital_patient,
@@ -295,6 +297,28 @@ def q_stream_changing_review(spark, sf_dir):
     return _stream_job(spark, sf_dir, "dwd_review", standins.changing(standins.ods_consultation(_t(spark, sf_dir))))
 
 
+def _normalised(spark, sf_dir, job_name: str, log: DataFrame) -> DataFrame:
+    """A job as a stream over a log without before-images, which lands in parts that cut histories of keys apart."""
+    root = work_dir(spark, f"normalised_{job_name}")
+    job = replace(JOBS[job_name], spec=JOBS[job_name].spec.with_(before_images=False))
+    for part in range(3):
+        _land(log.filter(F.col("arrival") % 10 % 3 == part), f"{root}/landing")
+        stream = read_changelog(spark, f"{root}/landing", log.schema, stream=True)
+        start_job(job, stream, f"{root}/state", f"{root}/checkpoint", reject_path=f"{root}/rejects",
+                  trigger={"availableNow": True}).awaitTermination()
+    return live_view(spark, job.spec, f"{root}/state")
+
+
+def q_moved_day_upsert(spark, sf_dir):
+    """W4 over payments that move to another day: none stays in its old partition."""
+    return _normalised(spark, sf_dir, "dwd_payment", standins.moving(standins.ods_payment(_t(spark, sf_dir))))
+
+
+def q_normalised_review(spark, sf_dir):
+    """W5 over consultations that leave status 207, move or are deleted, without before-images."""
+    return _normalised(spark, sf_dir, "dwd_review", standins.moving(standins.ods_consultation(_t(spark, sf_dir))))
+
+
 def q_stream_consultation_wait(spark, sf_dir, deadline_s: float = 600.0):
     """W8 as a stream with its three waits: a third of the doctors become known after the facts.
 
@@ -474,6 +498,16 @@ def q_lookup_asof_changes(spark, sf_dir):
                             kind=ROWKIND).select("o_orderkey", "doctor_name")
 
 
+def q_backfill_consultation(spark, sf_dir):
+    """W8 rebuilt with each lookup as of the fact's own time, over versions with pairs, deletes and re-inserts."""
+    t = _t(spark, sf_dir)
+    wh, versions = Warehouse(t), {}
+    for name in ("dim_doctor", "dim_hospital", "dim_patient"):
+        versions[name] = standins.dimension_versions(wh.view(name))
+    return backfill_wide(JOBS["dwd_consultation"], standins.ods_consultation(t), versions).select(
+        "id", "dt", "doctor_name", "hospital_id", "hospital_name", "patient_name")
+
+
 def q_reject_rows(spark, sf_dir):
     """Payments of which every fourth has no create_time: what is written and what is rejected."""
     source = standins.ods_payment(_t(spark, sf_dir))
@@ -595,12 +629,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dim_doctor": q_stream_dim_doctor,
     "stream_dwd_prescription_detail": q_stream_dwd_prescription_detail,
     "stream_consultation_wait": q_stream_consultation_wait,
+    "moved_day_upsert": q_moved_day_upsert,
+    "normalised_review": q_normalised_review,
     "replay_upsert": q_replay_upsert,
     "replay_change_feed": q_replay_change_feed,
     "table_scan_handover": q_table_scan_handover,
     "feed_consumer_replay": q_feed_consumer_replay,
     "rebuild_table": q_rebuild_table,
     "lookup_asof_changes": q_lookup_asof_changes,
+    "backfill_consultation": q_backfill_consultation,
     "reject_rows": q_reject_rows,
     "bucket_hash": q_bucket_hash,
     "doctor_preview": q_doctor_preview,

@@ -273,6 +273,27 @@ def changing(source: DataFrame) -> DataFrame:
     return as_changelog(each, rowkind="rowkind", arrival="arrival")
 
 
+#: Changes without before-images: number, kind, days by which version and creation are shifted, what the status
+#: gains, and of which ids (every n-th). Every third id moves to another day, every fifth is deleted, every
+#: seventh moves back, every fourth sends an older version late.
+MOVES = ((0, "+I", 0, 0, 0, 1), (1, "+U", 1, 1, 1, 3), (2, "-D", 2, 1, 1, 5), (3, "+U", -1, 3, 2, 4), (4, "+U", 3, 0, 7, 7))
+
+
+def moving(source: DataFrame) -> DataFrame:
+    """A change log without before-images in which rows change their day and their status."""
+    changes = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(kind).alias("kind"), F.lit(version).alias("version"),
+                                 F.lit(created).alias("created"), F.lit(gain).alias("gain"), F.lit(every).alias("every"))
+                        for n, kind, version, created, gain, every in MOVES])
+    each = source.drop("rowkind", "arrival").withColumn("change", F.explode(changes))
+    each = each.filter(F.col("id") % F.col("change.every") == 0)
+    each = (each.withColumn("update_time", F.col("update_time") + F.make_interval(days=F.col("change.version")))
+            .withColumn("create_time", F.col("create_time") + F.make_interval(days=F.col("change.created")))
+            .withColumn("status", (F.col("status") + F.col("change.gain")).cast("int"))
+            .withColumn("rowkind", F.col("change.kind"))
+            .withColumn("arrival", F.col("id") * 10 + F.col("change.n")).drop("change"))
+    return as_changelog(each, rowkind="rowkind", arrival="arrival")
+
+
 def doctor_versions(t: Tables) -> DataFrame:
     """Doctors' recorded versions: renamed with -U/+U pairs of one time, deleted, inserted again."""
     s = t("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
@@ -287,3 +308,12 @@ def doctor_versions(t: Tables) -> DataFrame:
 DOCTOR_VERSIONS = (("+I", "1993-01-01 00:00:00", "", 1), ("-U", "1995-06-01 00:00:00", "", 2),
                    ("+U", "1995-06-01 00:00:00", " B", 2), ("-D", "1996-06-01 00:00:00", "", 3),
                    ("+I", "1997-06-01 00:00:00", " C", 6))
+
+
+def dimension_versions(view: DataFrame) -> DataFrame:
+    """Recorded versions of a dimension's rows, at the times and of the ids of ``DOCTOR_VERSIONS``."""
+    versions = F.array(*[F.struct(F.lit(kind).alias("rowkind"), F.lit(day).cast("timestamp_ntz").alias("version_time"),
+                                  F.lit(mark).alias("mark"), F.lit(every).alias("every"))
+                         for kind, day, mark, every in DOCTOR_VERSIONS])
+    return (view.withColumn("v", F.explode(versions)).filter(F.col("id").cast("bigint") % F.col("v.every") == 0)
+            .withColumn("name", F.concat("name", "v.mark")).select("*", "v.rowkind", "v.version_time").drop("v"))

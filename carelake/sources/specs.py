@@ -35,6 +35,8 @@ class TableSpec:
     ``buckets`` / ``bucket_key``: hash buckets of the key inside each partition.
     ``bucket_method``: ``hash`` (xxhash64 of the key) or ``mod`` (key modulo n,
     integral keys only).
+    ``before_images``: whether the change log that feeds the table has the
+    images before updates and deletes; a job over one without them has to normalise it.
     """
 
     name: str
@@ -46,6 +48,7 @@ class TableSpec:
     bucket_key: str = "id"
     bucket_method: str = "hash"
     not_null: tuple[str, ...] = field(default=())
+    before_images: bool = True
 
     @property
     def columns(self) -> list[str]:

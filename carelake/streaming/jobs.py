@@ -28,6 +28,7 @@ from carelake.plans.warehouse import Job, keyed_rows
 from carelake.sources.specs import TableSpec
 from carelake.operators.changelog import compact_feed
 from carelake.streaming.files import NumberedLog, make_folder
+from carelake.streaming.normalise import normalise, source_spec
 from carelake.streaming.sink import commit_keys, feed_log, feed_schema, live_view, newest_version, upsert
 
 # The commit cadence of the jobs and of the change feed.
@@ -62,12 +63,15 @@ def state_lookup(spark: SparkSession, spec: TableSpec, path: str) -> StateLookup
 
 def batch_writer(job: Job, state_path: str, lookups: Mapping[str, LookupReader], *,
                  feed_path: str | None = None, reject_path: str | None = None):
-    """The ``foreachBatch`` function of ``job``."""
+    """The ``foreachBatch`` function of ``job``; a source without before-images is normalised beside the state."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows, rejects = keyed_rows(job, batch)
+            changes = batch
+            if not job.spec.before_images:
+                changes = normalise(batch, source_spec(job, batch), f"{state_path}_source", batch_id)
+            rows, rejects = keyed_rows(job, changes)
 
             # Published versions only, as of this batch; their files are never replaced.
             views = {name: lookups[name]() for name in job.lookups}

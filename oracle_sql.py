@@ -314,6 +314,27 @@ CHANGING_PAYMENT = (PAYMENT.replace("o_orderdate AS update_time", "upd AS update
 CHANGING_REVIEW = (REVIEW.replace("o_orderdate AS update_time", "upd AS update_time")
                    .replace("FROM orders WHERE o_orderkey % 7 + 201 = 207", f"FROM ({_CHANGED_CONSULTATIONS}) WHERE st = 207"))
 
+
+
+def _moved(status: str) -> str:
+    """``orders`` as the live winners of its moves, by id alone: o_ columns, ``upd``, ``created`` and ``st``."""
+    changes = f"""
+      SELECT o.*, rowkind, CAST(o_orderdate AS TIMESTAMP) + version * INTERVAL 1 DAY AS upd,
+             CAST(o_orderdate AS TIMESTAMP) + shift * INTERVAL 1 DAY AS created, {status} + gain AS st, o_orderkey * 10 + n AS arrival
+      FROM orders o, (VALUES {_values(standins.MOVES)}) c(n, rowkind, version, shift, gain, every) WHERE o_orderkey % every = 0"""
+    return _live(changes, "o_orderkey", "upd DESC NULLS LAST, arrival DESC")
+
+
+def _of_moved(sql: str) -> str:
+    return (sql.replace("o_orderdate AS create_time", "created AS create_time").replace("o_orderdate AS update_time", "upd AS update_time")
+            .replace("strftime(o_orderdate", "strftime(created"))
+
+
+MOVED_DAY_UPSERT = (_of_moved(PAYMENT).replace("CASE WHEN o_orderstatus = 'F' THEN 203 ELSE 202 END", "st")
+                    .replace("FROM orders", "FROM (" + _moved("CASE WHEN o_orderstatus = 'F' THEN 203 ELSE 202 END") + ")"))
+NORMALISED_REVIEW = _of_moved(REVIEW).replace("FROM orders WHERE o_orderkey % 7 + 201 = 207",
+                                              "FROM (" + _moved("(o_orderkey % 7 + 201)") + ") WHERE st = 207")
+
 LOOKUP_ASOF_CHANGES = f"""
 WITH v AS (SELECT s_suppkey AS id, s_name || mark AS name, rowkind, CAST(t AS TIMESTAMP) AS t
            FROM supplier, (VALUES {_values(standins.DOCTOR_VERSIONS)}) c(rowkind, t, mark, every)
@@ -323,6 +344,28 @@ FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 120 EN
 ASOF LEFT JOIN v ON f.k = v.id AND f.at >= v.t
 """
 
+
+
+def _versions_of(dim: str, cols: str) -> str:
+    """Versions of a dimension; a before-image is followed by its after-image of the same time."""
+    return f"""SELECT id, {cols}, name || mark AS name, rowkind, CAST(t AS TIMESTAMP) AS t
+               FROM ({dim}) d, (VALUES {_values(standins.DOCTOR_VERSIONS)}) c(rowkind, t, mark, every)
+               WHERE CAST(id AS BIGINT) % every = 0 AND rowkind <> '-U'"""
+
+
+BACKFILL_CONSULTATION = f"""
+WITH dv AS ({_versions_of(DIM_DOCTOR, "hospital_id")}), hv AS ({_versions_of(DIM_HOSPITAL, "1 AS one")}),
+pv AS ({_versions_of(DIM_PATIENT, "1 AS one")}),
+f AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(o_orderkey % 120 AS VARCHAR) AS doctor_id,
+             CAST(o_custkey AS VARCHAR) AS patient_id, CAST(o_orderdate AS TIMESTAMP) AS at FROM orders),
+a AS (SELECT f.*, CASE WHEN dv.rowkind <> '-D' THEN dv.name END AS doctor_name, CASE WHEN dv.rowkind <> '-D' THEN dv.hospital_id END AS hospital_id
+      FROM f ASOF LEFT JOIN dv ON f.doctor_id = dv.id AND f.at >= dv.t),
+b AS (SELECT a.*, CASE WHEN hv.rowkind <> '-D' THEN hv.name END AS hospital_name
+      FROM a ASOF LEFT JOIN hv ON a.hospital_id = hv.id AND a.at >= hv.t)
+SELECT b.id, dt, doctor_name, hospital_id, hospital_name, CASE WHEN pv.rowkind <> '-D' THEN pv.name END AS patient_name
+FROM b ASOF LEFT JOIN pv ON b.patient_id = pv.id AND b.at >= pv.t
+"""
+
 REJECT_ROWS = """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 4 = 0 AS rejected FROM orders
 """
@@ -426,12 +469,15 @@ ORACLE: dict[str, str] = {
     "stream_dim_doctor": DIM_DOCTOR,
     "stream_dwd_prescription_detail": PRESCRIPTION_DETAIL,
     "stream_consultation_wait": CONSULTATION,
+    "moved_day_upsert": MOVED_DAY_UPSERT,
+    "normalised_review": NORMALISED_REVIEW,
     "replay_upsert": f"SELECT dt, {EV_COLS} FROM ({_live(EV_DT, 'dt, user_id', EV_DT_ORDER)})",
     "replay_change_feed": STREAM_CHANGE_FEED,
     "table_scan_handover": TABLE_SCAN_HANDOVER,
     "feed_consumer_replay": FEED_CONSUMER_REPLAY,
     "rebuild_table": f"SELECT dt, {EV_COLS} FROM ({_live(EV_DT, 'dt, user_id', EV_DT_ORDER)})",
     "lookup_asof_changes": LOOKUP_ASOF_CHANGES,
+    "backfill_consultation": BACKFILL_CONSULTATION,
     "reject_rows": REJECT_ROWS,
     "bucket_hash": BUCKET_HASH,
     "doctor_preview": DOCTOR_PREVIEW,
