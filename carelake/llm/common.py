@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import zipfile
@@ -97,16 +98,22 @@ def held(key, make: Callable):
     """What ``make()`` gives, kept in the Python worker until another key is asked for: workers are
     used again by other tasks and operators, and only one large object stays in each."""
     if _HELD.get("key") != key:
-        _HELD.clear()
+        release()
         _HELD.update(key=key, value=make())
     return _HELD["value"]
 
 
 def release() -> None:
-    """Let go of what ``held`` keeps, for tasks that need the worker's memory for something else."""
+    """Let go of what ``held`` keeps, for tasks that need the worker's memory for something else, and give
+    freed memory back to the system: allocators keep it otherwise, and workers are used again."""
     if _HELD:
         _HELD.clear()
         gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], schema) -> DataFrame:

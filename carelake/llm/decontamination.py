@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import map_blocks, read_table
+from .common import map_blocks, read_table, release
 
 Q = 12
 WINDOW = 100
@@ -295,6 +295,7 @@ def _mark(docs: DataFrame, items: list[tuple[int, str]], name: str) -> DataFrame
 
     def block(batch: pa.RecordBatch, texts: list[str]) -> dict:
         w = shared.value
+        release()  # of what other stages left in the worker
         matches: list[list[dict]] = [[] for _ in texts]
         by_text: dict[int, dict[int, list]] = {}
         for t, k, start, end, edits in find(texts, w) if len(w.item) else []:

@@ -116,7 +116,7 @@ def _shingle_sets(texts: list[str]) -> list[np.ndarray]:
     ends = np.cumsum(n)
     shingles = np.zeros(max(len(words) - WORDS + 1, 0), np.uint64)
     for j in range(WORDS):
-        shingles += words[j:len(words) - WORDS + 1 + j] * _PLACE[j]
+        shingles += words[j:j + len(shingles)] * _PLACE[j]
     shingles = _mix(shingles)
     out = []
     for end, k in zip(ends.tolist(), n.tolist(), strict=True):
@@ -313,12 +313,23 @@ def _outside(postings: DataFrame, label: DataFrame, sized: DataFrame) -> DataFra
     return cut(placed.join(mixed, "token").join(sized.select("node", "n", "matches"), "node"), "mixed")
 
 
+def row_key():
+    """What tells rows apart that share a doc_id, for rows with the columns doc_id (long) and text (string)."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def similarity_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    return similarity_rows(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def similarity_rows(docs: DataFrame) -> DataFrame:
+    """What ``similarity_components`` returns of every row, with its ``row_key`` and its
+    component's ``label``, which two components that share their smallest doc_id don't share."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("key", F.xxhash64("doc_id", "text"))
+    docs = docs.withColumn("key", row_key())
     words = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = min(max(math.ceil(math.log2(max(words / 6 / PER_BUCKET, 1))), MIN_BITS), MAX_BITS)
     sets = cut(prefixes(docs, levels(count_sketch(docs, bits))), "sets")
@@ -380,11 +391,12 @@ def similarity_components(docs: DataFrame) -> DataFrame:
     if rest.limit(1).count():
         label = components(links.unionByName(cut(similar_pairs(docs, nodes, rest, "verify-rest"), "more-links")))
 
-    of = sets.select("doc_id", "n", "node").join(label, "node", "left")
-    of = of.select("doc_id", "n", F.coalesce("label", "node").alias("label"))
+    of = sets.select("doc_id", "n", "node", "key").join(label, "node", "left")
+    of = of.select("doc_id", "n", "key", F.coalesce("label", "node").alias("label"))
     least = of.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return of.join(least, "label", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.col("key").alias("row_key"), "label")
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,21 @@ def test_near_duplicates_keep_one_of_each_group(steps):
     assert ids(after) == sorted({c for _, _, c in brute_components(rows(before))})
 
 
+def test_near_duplicates_tell_rows_apart_that_share_an_id(spark):
+    a = "one two three four five six seven eight nine ten eleven twelve"
+    near = a.replace("twelve", "twelve thirteen")
+    b = "a text of its own that has nothing in common with the other one at all"
+    rows = [(1, a), (5, a), (5, b), (7, a), (7, near), (8, near), (2, b + " x"), (9, ""), (9, ""), (None, a), (3, "lone words here"),
+            (3, "lone words here"), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF)
+    want = [(1, a), (2, b + " x"), (3, "lone words here"), (4, None), (9, ""), (9, ""), (None, a)]
+    assert sorted([(r.doc_id, r.text) for r in got.collect()], key=str) == sorted(want, key=str)
+    alone = spark.createDataFrame([(1, a, "", "", 1), (5, a, "", "", 1), (5, b, "", "", 1), (6, a, "", "", 1), (6, near, "", "", 1)], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, alone, SF).collect()]
+    assert sorted(kept) == [(1, a), (5, b)]
+
+
 def test_benchmark_passages_go(steps, spark):
     before, after = steps["benchmark"]
     items = [decontamination.normalise(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
