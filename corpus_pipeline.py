@@ -7,8 +7,9 @@ but the last return the columns of ``documents``, of every row they keep:
 * ``toxicity``: documents that the fitted model calls toxic go. The model learns
   from those rows of ``docs`` that have a label (two folds, as op6 does).
 * ``near_duplicates``: of each component of similar documents the one with the
-  smallest doc_id stays (once, if its row is repeated). Rows without doc_id, rows that
-  share a doc_id but not a text, and documents without words are not removed.
+  smallest doc_id stays (once, if its row is repeated; of similar texts with that id, one). Rows are told apart by
+  doc_id and text, so a text of its own stays whatever row shares its doc_id. Rows without doc_id and
+  documents without words are not removed.
 * ``benchmark``: documents that hold a benchmark passage go.
 * ``secrets``: spans of secrets are replaced by ``[SECRET]``; n_chars follows.
 * ``token_ids``: doc_id, n_tokens and digests of ids and decoded bytes.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from carelake.llm.bpe import encoded_digests
 from carelake.llm.common import cut, read_table
 from carelake.llm.decontamination import mark_contaminated
-from carelake.llm.jaccard_join import similarity_components
+from carelake.llm.jaccard_join import row_key, similarity_rows
 from carelake.llm.secrets import redact, scan
 from carelake.llm.toxicity import fit_toxicity, fold, score_toxicity
 
@@ -39,23 +40,24 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    found = similarity_components(docs.select("doc_id", "text"))
-    # The ids that go: they have a word and a smaller id in their component. Ids are few bytes; texts are shuffled
-    # only if the rows that go are too many to broadcast.
-    gone = cut(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    small = F.broadcast(gone) if gone.count() <= 1_000_000 else gone
-    kept = docs.join(small, "doc_id", "left_anti")
+    found = cut(similarity_rows(docs.select("doc_id", "text")).where("n_shingles > 0 AND doc_id IS NOT NULL")
+                .select("doc_id", "row_key", "label"), "found")
+    # Of each component with more than one row the row that stays: the smallest doc_id, then the smallest key.
+    first = F.min(F.struct("doc_id", "row_key"))
+    several = found.groupBy("label").agg(first["row_key"].alias("stays"), F.min("row_key").alias("lo"),
+                                         F.max("row_key").alias("hi")).where("lo <> hi").select("label", "stays")
+    # The rows that go. Keys are few bytes; texts are shuffled only if the keys are too many to broadcast.
+    gone = cut(found.join(several, "label").where("row_key <> stays").select("row_key").distinct(), "gone")
+    keyed = docs.withColumn("row_key", row_key())
+    kept = keyed.join(_small(gone), "row_key", "left_anti")
     # Repeated rows: one stays, but for rows without words, which are nobody's duplicate.
-    repeated = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    repeated = cut(repeated, "repeated")
-    if not repeated.limit(1).count():
-        return kept.select(*COLUMNS)
-    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    small = F.broadcast(repeated) if repeated.count() <= 1_000_000 else repeated
-    shared = kept.join(small, "doc_id").select(*COLUMNS)
-    first = shared.where(words).dropDuplicates(["doc_id", "text"])
-    return (kept.join(small, "doc_id", "left_anti").select(*COLUMNS)
-            .unionByName(first).unionByName(shared.where(~words)))
+    repeated = cut(found.groupBy("row_key").count().where("count > 1").select("row_key"), "repeated")
+    once = kept.join(_small(repeated), "row_key", "left_semi").dropDuplicates(["row_key"])
+    return kept.join(_small(repeated), "row_key", "left_anti").unionByName(once).select(*COLUMNS)
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= 1_000_000 else keys
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
