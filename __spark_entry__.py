@@ -37,6 +37,7 @@ from carelake.plans.warehouse import (JOBS, WIDE_LOOKUP_COLUMNS, build,  # noqa:
 from carelake.session import DEFAULT_CONF, work_dir  # noqa: E402
 from carelake.sources.changelog import read_changelog  # noqa: E402
 from carelake.sources.specs import ARRIVAL, ODS_DICT, ROWKIND, TableSpec  # noqa: E402
+from carelake.streaming.audit import audit_schema, start_audit_log  # noqa: E402
 from carelake.streaming.files import NumberedLog, complete, exists, names  # noqa: E402
 from carelake.streaming.jobs import (start_feed_compaction, start_job, start_table, start_table_scan,  # noqa: E402
                                      state_lookup)  # noqa: E402
@@ -457,6 +458,23 @@ def q_feed_consumer_replay(spark, sf_dir):
     return net.drop("batch_id")
 
 
+def q_audit_log_table(spark, sf_dir):
+    """The audit log of a table without a feed, followed by a stream while four commits (one played twice) and compactions are made."""
+    root = work_dir(spark, "audit_log_table")
+    rows = _events_rows(_ev(spark, sf_dir))
+
+    def write(changes, batch_id):
+        changes.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    for n in range(4):
+        for _ in range(1 + (n == 2)):
+            upsert(rows.filter(F.col("event_id") % 4 == n), EVENTS_SPEC, f"{root}/state", batch_id=n, compact_every=2)
+        if n % 2:
+            start_audit_log(spark, EVENTS_SPEC, f"{root}/state", write, f"{root}/checkpoint",
+                            trigger={"availableNow": True}).awaitTermination()
+    return spark.read.schema(audit_schema(EVENTS_SPEC)).parquet(*[f"{root}/out/{n}" for n in names(spark, f"{root}/out")])
+
+
 def q_stream_change_feed(spark, sf_dir):
     """Change feed written by the upsert stream: morning events, then the net change by the rest."""
     root = work_dir(spark, "stream_change_feed")
@@ -635,6 +653,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_change_feed": q_replay_change_feed,
     "table_scan_handover": q_table_scan_handover,
     "feed_consumer_replay": q_feed_consumer_replay,
+    "audit_log_table": q_audit_log_table,
     "rebuild_table": q_rebuild_table,
     "lookup_asof_changes": q_lookup_asof_changes,
     "backfill_consultation": q_backfill_consultation,

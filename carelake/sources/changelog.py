@@ -1,4 +1,4 @@
-"""Change-log scans.
+"""Change-log scans.
 
 A change log is any DataFrame with data columns plus ``rowkind`` and
 ``arrival``. In batch it is read with ``spark.read``; as a stream with
@@ -45,12 +45,3 @@ def read_changelog(spark: SparkSession, path: str, schema: T.StructType | None =
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
-
-
-def audit_log(changelog: DataFrame) -> DataFrame:
-    """The change log as plain rows with ``rowkind`` visible (``t$audit_log``).
-
-    Our change logs already carry the kind as a column, so this is the
-    identity; it names the intent at the call site.
-    """
-    return changelog

@@ -397,6 +397,25 @@ def _feed_commit(n: int) -> str:
     return f"SELECT *, CAST({n} AS BIGINT) AS feed_batch FROM ({diff})"
 
 
+# Four commits by event_id; a compaction after every second one takes a number of its own.
+# A window tells the winner of each key after each commit, without the joins of snapshots above.
+AUDIT_LOG_TABLE = f"""
+WITH firsts AS (SELECT *, event_id % 4 AS n FROM ({EV_DT})),
+batch AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dt, user_id, n ORDER BY {EV_DT_ORDER}) AS rn FROM firsts) WHERE rn = 1),
+best AS (SELECT n, dt, user_id, max((ts, event_id)) OVER (PARTITION BY dt, user_id ORDER BY n) AS w FROM batch),
+stood AS (SELECT b.n, b.dt, b.user_id, e.rowkind IN ('+I', '+U') AS live, e.ts, e.event_id, e.event_type, e.value, e.props
+          FROM best b JOIN batch e ON e.dt = b.dt AND e.user_id = b.user_id AND (e.ts, e.event_id) = b.w),
+pairs AS (SELECT n, dt, user_id, CASE WHEN live THEN (ts, event_id, event_type, value, props) END AS a,
+                 CASE WHEN lag(live) OVER k THEN lag((ts, event_id, event_type, value, props)) OVER k END AS b
+          FROM stood WINDOW k AS (PARTITION BY dt, user_id ORDER BY n)),
+moved AS (SELECT * FROM pairs WHERE a IS DISTINCT FROM b),
+images AS (SELECT n, dt, user_id, CASE WHEN b IS NULL THEN '+I' ELSE '+U' END AS rowkind, a AS v FROM moved WHERE a IS NOT NULL
+           UNION ALL
+           SELECT n, dt, user_id, CASE WHEN a IS NULL THEN '-D' ELSE '-U' END, b FROM moved WHERE b IS NOT NULL)
+SELECT rowkind, dt, user_id, v[1] AS ts, v[2] AS event_id, v[3] AS event_type, v[4] AS value, v[5] AS props,
+       CAST(n + CAST(floor(n / 2) AS BIGINT) AS BIGINT) AS "commit" FROM images
+"""
+
 FEED_CONSUMER_REPLAY = " UNION ALL ".join(_feed_commit(n) for n in range(3))
 
 ORACLE: dict[str, str] = {
@@ -475,6 +494,7 @@ ORACLE: dict[str, str] = {
     "replay_change_feed": STREAM_CHANGE_FEED,
     "table_scan_handover": TABLE_SCAN_HANDOVER,
     "feed_consumer_replay": FEED_CONSUMER_REPLAY,
+    "audit_log_table": AUDIT_LOG_TABLE,
     "rebuild_table": f"SELECT dt, {EV_COLS} FROM ({_live(EV_DT, 'dt, user_id', EV_DT_ORDER)})",
     "lookup_asof_changes": LOOKUP_ASOF_CHANGES,
     "backfill_consultation": BACKFILL_CONSULTATION,

@@ -518,3 +518,28 @@ def test_a_tick_writes_what_moves_not_what_is_pending(spark, tmp_dir):
     shutil.rmtree(f"{steps}/lk_step=4")
     with pytest.raises(FileNotFoundError):
         delta_step(spark, none, stage, steps, 5, now=120.0, wait_seconds=100)
+
+
+# ------------------------------------------------------------- audit log
+
+def test_audit_log_equals_the_feed_of_every_commit(spark, tmp_dir):
+    from carelake.streaming import read_audit_log, sink
+    spec = _versioned_spec()
+    batches = [[("d1", "1", "a", "+I", 1), ("d2", "2", "a", "+I", 2), ("d2", "4", None, "+I", 2)],
+               [("d1", "1", "b", "+U", 3), ("d2", "2", "a", "-D", 4), ("d1", "3", "c", "+I", 5)],
+               [("d1", "1", "b", "+U", 6), ("d2", "2", "late", "+U", 3), ("d1", "9", "never", "-D", 7)],
+               [("d1", "1", "b", "-D", 8), ("d2", "2", "z", "+I", 9), ("d2", "4", "x", "+U", 9)]]
+    assert read_audit_log(spark, spec, f"{tmp_dir}/s").count() == 0
+    for n, rows in enumerate(batches):
+        upsert(spark.createDataFrame(rows, VERSIONED), spec, f"{tmp_dir}/s", feed_path=f"{tmp_dir}/f", batch_id=n, compact_every=2)
+
+    def feed(after, upto):
+        return _rows(sink.read_feed(spark, spec, f"{tmp_dir}/f", after=after, upto=upto).select("rowkind", "dt", "id", "v", "batch_id"))
+
+    def audit(after, upto):
+        return _rows(read_audit_log(spark, spec, f"{tmp_dir}/s", after=after, upto=upto).select("rowkind", "dt", "id", "v", "commit"))
+
+    assert len(feed(-1, 99)) > 8
+    for after in range(-1, 6):
+        for upto in range(after, 7):
+            assert audit(after, upto) == feed(after, upto), (after, upto)
