@@ -30,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import RecentCache, held, map_blocks, read_table, ship
+from .common import BLOCK_CHARS, RecentCache, held, map_blocks, read_table, ship
 
 #: A vocabulary file over this size is refused: it is shipped to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -231,18 +231,22 @@ def _with(df: DataFrame, *fields: T.StructField) -> T.StructType:
 
 
 def bpe_encode(df: DataFrame, vocabulary: str, pre_token: str, text: str = "text",
-               out: str = "ids", decoded: str | None = None) -> DataFrame:
+               out: str = "ids", decoded: str | None = None, cache: int = CACHE_ENTRIES,
+               chars: int = BLOCK_CHARS) -> DataFrame:
     """``df`` with the ids of each text as ``array<int>`` in column ``out``; with ``decoded``, also
-    the bytes that those ids stand for, in that column (``bpe_decode`` without another pass)."""
+    the bytes that those ids stand for, in that column (``bpe_decode`` without another pass).
+
+    A worker remembers ``cache`` words (twice as many at most) and takes texts of about ``chars`` characters
+    at a time; neither changes the ids."""
     content = df.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    key = ("bpe", vocabulary, pre_token)
+    key = ("bpe", vocabulary, pre_token, cache)
     df = df.withColumn(text, F.col(text).cast("string"))
     fields = [T.StructField(out, T.ArrayType(T.IntegerType(), False), False)]
     if decoded:
         fields.append(T.StructField(decoded, T.BinaryType(), False))
 
     def block(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        encoder = held(key, lambda: BlockEncoder(parse_ranks(content.value), pre_token))
+        encoder = held(key, lambda: BlockEncoder(parse_ranks(content.value), pre_token, cache))
         coded = encoder(texts)
         ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), "<i4")))
@@ -252,7 +256,7 @@ def bpe_encode(df: DataFrame, vocabulary: str, pre_token: str, text: str = "text
             columns[decoded] = _decoded(ids, encoder.replay.bytes_of)
         return columns
 
-    return map_blocks(df, block, _with(df, *fields))
+    return map_blocks(df, block, _with(df, *fields), chars)
 
 
 def _decoded(ids: pa.Array, bytes_of: dict[int, bytes]) -> pa.Array:
@@ -291,9 +295,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None,
                            pre_token or public_tokenizers.PATTERN)
 
 
-def encoded_digests(docs: DataFrame, vocabulary: str, pre_token: str) -> DataFrame:
+def encoded_digests(docs: DataFrame, vocabulary: str, pre_token: str, cache: int = CACHE_ENTRIES,
+                    chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, n_tokens and digests of each document's ids and of the bytes decoded from them."""
-    return bpe_encode(docs.select("doc_id", "text"), vocabulary, pre_token, decoded="decoded").select(
+    return bpe_encode(docs.select("doc_id", "text"), vocabulary, pre_token, decoded="decoded", cache=cache, chars=chars).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -116,14 +116,15 @@ def release() -> None:
         pass
 
 
-def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], schema) -> DataFrame:
-    """``fn(batch, texts)`` returns the columns of its block, by name of ``schema``."""
+def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], schema,
+               chars: int = BLOCK_CHARS) -> DataFrame:
+    """``fn(batch, texts)`` returns the columns of its block of about ``chars``, by name of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema
     target = to_arrow_schema(schema)
     ship(df.sparkSession)
 
     def run(batches):
-        for batch, texts in text_blocks(batches):
+        for batch, texts in text_blocks(batches, chars=chars):
             columns = fn(batch, texts)
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import map_blocks, read_table, release
+from .common import BLOCK_CHARS, map_blocks, read_table, release
 
 Q = 12
 WINDOW = 100
@@ -277,17 +277,19 @@ def _benchmark_parts(benchmark: DataFrame) -> list[list[tuple[int, str]]]:
             for k in range(2 * n)]
 
 
-def mark_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` with ``matches``: an array of (item_id, windows found, least edits, start, end in the text)."""
+def mark_contaminated(docs: DataFrame, benchmark: DataFrame, chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` with ``matches``: an array of (item_id, windows found, least edits, start, end in the text).
+
+    A task looks at texts of about ``chars`` characters at a time (or one longer text)."""
     out = docs.drop("matches").withColumn("text", F.col("text").cast("string"))
     found = []
     for k, items in enumerate(_benchmark_parts(benchmark)):
         found.append(f"_matches{k}")
-        out = _mark(out, items, found[-1])
+        out = _mark(out, items, found[-1], chars)
     return out.withColumn("matches", F.concat(*found)).drop(*found)
 
 
-def _mark(docs: DataFrame, items: list[tuple[int, str]], name: str) -> DataFrame:
+def _mark(docs: DataFrame, items: list[tuple[int, str]], name: str, chars: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(windows_of(items))
     schema = T.StructType(docs.schema.fields + [T.StructField(name, MATCHES)])
     from pyspark.sql.pandas.types import to_arrow_type
@@ -308,7 +310,7 @@ def _mark(docs: DataFrame, items: list[tuple[int, str]], name: str) -> DataFrame
                                    "edits": min(r[3] for r in rows), "start": start, "end": end})
         return {n: batch.column(i) for i, n in enumerate(batch.schema.names)} | {name: pa.array(matches, kind)}
 
-    return map_blocks(docs, block, schema)
+    return map_blocks(docs, block, schema, chars)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

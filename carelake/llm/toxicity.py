@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .common import RecentCache, held, map_blocks, read_table, release, ship, text_blocks
+from .common import BLOCK_CHARS, RecentCache, held, map_blocks, read_table, release, ship, text_blocks
 
 #: Labelled documents to learn from, of each class.
 MAX_DOCS = 5000
@@ -229,9 +229,10 @@ def _segments_of(model: ToxicityModel, words: list[str], cache: dict | None = No
 
 # ---------------------------------------------------------------- score
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: ToxicityModel, chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with score, predicted (1 from ``THRESHOLD``) and passages (start, end in
-    characters of the text and score) of every significant segment."""
+    characters of the text and score) of every significant segment. A task looks at texts of about ``chars``
+    characters at a time (or one longer text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = "toxicity", hash(tuple(model.units.items())), model.curve
     names = ("score", "predicted", "passages")
@@ -264,7 +265,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             "passages": pa.array(passages, pa.list_(pa.struct([
                 ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])))}
 
-    return map_blocks(docs, block, schema)
+    return map_blocks(docs, block, schema, chars)
 
 
 def _places(text: str, found: list[tuple[int, int, float]], n: int, model: ToxicityModel) -> list[dict]:

@@ -30,12 +30,15 @@ from carelake.llm.secrets import redact, scan
 from carelake.llm.toxicity import fit_toxicity, fold, score_toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: An executor's memory holds what all stages before have made its JVM take, so the Python workers of a stage get less of
+#: it than those of the operator alone: characters of text at a time, and words that they remember.
+BLOCK_CHARS, CACHE_WORDS = 1_000_000, 250_000
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
     model = fit_toxicity(docs.select("doc_id", "text"), read_table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
-    return score_toxicity(docs, model).where("predicted = 0").select(*COLUMNS)
+    return score_toxicity(docs, model, BLOCK_CHARS).where("predicted = 0").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +64,7 @@ def _small(keys: DataFrame) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = mark_contaminated(docs.select(*COLUMNS), read_table(spark, sf_dir, "benchmark"))
+    marked = mark_contaminated(docs.select(*COLUMNS), read_table(spark, sf_dir, "benchmark"), BLOCK_CHARS)
     return marked.where(F.size("matches") == 0).select(*COLUMNS)
 
 
@@ -73,7 +76,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    return encoded_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encoded_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                           CACHE_WORDS, BLOCK_CHARS)
 
 
 STAGES = [("toxicity", toxicity), ("near_duplicates", near_duplicates), ("benchmark", benchmark),
