@@ -101,5 +101,5 @@ def test_odd_rows_pass_every_stage(spark, tmp_dir):
 
 def test_every_operator_has_a_query():
     names = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert names == list(range(1, 11)) and set(queries.QUERIES) <= set(entry.queries())
+    assert names == list(range(1, 14)) and set(queries.QUERIES) <= set(entry.queries())
     assert set(queries.SQL) <= set(entry.oracle_sql())
