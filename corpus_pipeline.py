@@ -32,7 +32,7 @@ from carelake.llm.toxicity import fit_toxicity, fold, score_toxicity
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: An executor's memory holds what all stages before have made its JVM take, so the Python workers of a stage get less of
 #: it than those of the operator alone: characters of text at a time, and words that they remember.
-BLOCK_CHARS, CACHE_WORDS = 1_000_000, 250_000
+BLOCK_CHARS, CACHE_WORDS = 500_000, 60_000
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
