@@ -118,13 +118,17 @@ def release() -> None:
 
 def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], schema,
                chars: int = BLOCK_CHARS) -> DataFrame:
-    """``fn(batch, texts)`` returns the columns of its block of about ``chars``, by name of ``schema``."""
+    """``fn(batch, texts)`` returns the columns of its block of about ``chars``, by name of ``schema``.
+
+    Slices of ``chars // 400`` rows are looked at, all of an Arrow batch by default, so small blocks copy few texts."""
     from pyspark.sql.pandas.types import to_arrow_schema
     target = to_arrow_schema(schema)
     ship(df.sparkSession)
 
     def run(batches):
-        for batch, texts in text_blocks(batches, chars=chars):
+        rows = max(chars // 400, 1)
+        slices = (b.slice(k, rows) for b in batches for k in range(0, b.num_rows, rows))
+        for batch, texts in text_blocks(slices, chars=chars):
             columns = fn(batch, texts)
             yield pa.RecordBatch.from_arrays(
                 [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)
