@@ -33,7 +33,7 @@ from carelake.plans.backfill import backfill_wide  # noqa: E402
 from carelake.plans.batch import Warehouse, table_reader  # noqa: E402
 from carelake.plans.warehouse import (JOBS, WIDE_LOOKUP_COLUMNS, build,  # noqa: E402
                                       doctor_insert_preview, enrich_doctor_hospital_patient,
-                                      keyed_rows, wide_output)
+                                      checked_rows, keyed_rows, wide_output)
 from carelake.session import DEFAULT_CONF, work_dir  # noqa: E402
 from carelake.sources.changelog import read_changelog  # noqa: E402
 from carelake.sources.specs import ARRIVAL, ODS_DICT, ROWKIND, TableSpec  # noqa: E402
@@ -535,6 +535,19 @@ def q_reject_rows(spark, sf_dir):
         rejects.select("id", F.lit(True).alias("rejected")))
 
 
+def q_reject_reasons(spark, sf_dir):
+    """Consultations with statuses and ratings beyond their types and without a create_time: what is kept, and each
+    column that does not fit."""
+    source, number = standins.ods_consultation(_t(spark, sf_dir)), F.col("id")
+    source = source.withColumns({"status": F.when(number % 9 == 0, 40000).otherwise(F.col("status")),
+                                 "rating": F.when(number % 10 == 0, 300).otherwise(F.col("rating")),
+                                 "create_time": F.when(number % 4 != 0, F.col("create_time"))})
+    rows, rejects = checked_rows(JOBS["dwd_consultation"], source)
+    told = rejects.select(F.col("id").cast("string").alias("id"), F.inline("errors"))
+    none = F.lit(None).cast("string")
+    return told.unionByName(rows.select("id", none.alias("field"), none.alias("value"), none.alias("reason")))
+
+
 def q_bucket_hash(spark, sf_dir):
     """The hash layout after two upserts: every key in one bucket within range."""
     path = work_dir(spark, "bucket_hash")
@@ -658,6 +671,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_asof_changes": q_lookup_asof_changes,
     "backfill_consultation": q_backfill_consultation,
     "reject_rows": q_reject_rows,
+    "reject_reasons": q_reject_reasons,
     "bucket_hash": q_bucket_hash,
     "doctor_preview": q_doctor_preview,
 }

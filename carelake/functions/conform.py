@@ -47,3 +47,28 @@ def split_rejects(df: DataFrame, not_null: tuple[str, ...] | list[str]) -> tuple
     for c in not_null:
         bad = bad | F.col(c).isNull()
     return df.filter(~bad), df.filter(bad)
+
+
+#: What a rejected row carries: the column, its value and why it does not fit.
+ERRORS = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("field", "value", "reason")]))
+
+
+def split_unfit(df: DataFrame, target: T.StructType, required: tuple[str, ...] | list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Split off rows that strict casts to ``target`` would stop at, or with a NULL in ``required``.
+
+    Source columns are checked against the target column of their name. Returns ``(good, rejects)``, each row of ``df``
+    in one of them; rejects keep the source's columns and have ``errors``, one for every column that does not fit.
+    Both are lazy filters, so a bad value is seen before any cast of it.
+    """
+    checks = [(F.col(f"`{f.name}`"), f.name, f.dataType) for f in target.fields
+              if f.name in df.columns and df.schema[f.name].dataType != f.dataType and not isinstance(f.dataType, T.StringType)]
+    bad = [(c, name, c.isNotNull() & c.try_cast(t).isNull(), f"not {t.simpleString()}") for c, name, t in checks]
+    bad += [(F.col(f"`{name}`"), name, F.col(f"`{name}`").isNull(), "null") for name in required]
+    if not bad:
+        return df, df.limit(0).withColumn("errors", F.lit(None).cast(ERRORS))
+    unfit = F.lit(False)
+    for _, _, test, _ in bad:
+        unfit = unfit | test
+    errors = F.array(*[F.when(test, F.struct(F.lit(name).alias("field"), c.cast("string").alias("value"),
+                                             F.lit(reason).alias("reason"))) for c, name, test, reason in bad])
+    return df.filter(~unfit), df.filter(unfit).withColumn("errors", F.filter(errors, lambda e: e.isNotNull()))

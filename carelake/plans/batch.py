@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from carelake.operators.changelog import materialize
 from carelake.plans import standins
-from carelake.plans.warehouse import JOBS, build, keyed_rows
+from carelake.plans.warehouse import JOBS, build, checked_rows
 from carelake.session import work_dir
 
 
@@ -50,8 +50,8 @@ class Warehouse:
         return self._views[name]
 
     def rejects(self, name: str) -> DataFrame:
-        """Rows of a table's source with a NULL key or NOT NULL column: what ``table`` leaves out."""
-        return keyed_rows(JOBS[name], self.source(JOBS[name].source))[1]
+        """Rows of a table's source that do not fit, with ``errors``: what ``table`` leaves out."""
+        return checked_rows(JOBS[name], self.source(JOBS[name].source))[1]
 
     def table(self, name: str) -> DataFrame:
         job = JOBS[name]

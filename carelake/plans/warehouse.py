@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from carelake.functions.conform import conform, split_rejects
+from carelake.functions.conform import conform, split_rejects, split_unfit
 from carelake.functions.timeparts import day_of, hour_of, minute_of, proc_time
 from carelake.operators.changelog import filter_changelog, inserts_only, materialize
 from carelake.operators.lookup import decode_codes, lookup_join
@@ -281,6 +281,20 @@ def keyed_rows(job: Job, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_rejects(rows, tuple(dict.fromkeys(job.spec.pk + job.spec.not_null)))
 
 
+def checked_rows(job: Job, source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``prepare`` of the rows that fit (R13, R15): returns ``(rows, rejects)``.
+
+    Rejects are source rows with ``errors``: values that the target's types do not take, and NULLs where
+    the key or a NOT NULL column comes from. One bad value stops no job.
+    """
+    needed = tuple(dict.fromkeys("create_time" if c == "dt" else c for c in job.spec.pk + job.spec.not_null))
+    missing = [c for c in needed if c not in source.columns]
+    if missing:
+        raise ValueError(f"{job.name}: {missing} are not in the source, so their rejects cannot be told")
+    good, rejects = split_unfit(source, job.spec.schema, needed)
+    return job.prepare(good), rejects
+
+
 def build(job: Job, source: DataFrame, lookups: Mapping[str, DataFrame]) -> DataFrame:
     """Batch result of a job: the current (live) rows of its target table.
 
@@ -289,6 +303,6 @@ def build(job: Job, source: DataFrame, lookups: Mapping[str, DataFrame]) -> Data
     survivors enriched, so lookups see one row per key instead of every
     change.
     """
-    rows, _ = keyed_rows(job, source)
+    rows, _ = checked_rows(job, source)
     live = materialize(rows, job.spec.pk, job.spec.order)
     return job.enrich(live, **{name: lookups[name] for name in job.lookups})

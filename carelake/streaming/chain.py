@@ -35,9 +35,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from carelake.functions.conform import split_rejects
 from carelake.functions.rowkind import RETRACT_KINDS
-from carelake.plans.warehouse import DOCTOR_ATTRS, HOSPITAL_ATTRS, PATIENT_ATTRS, Job, wide_output
+from carelake.plans.warehouse import DOCTOR_ATTRS, HOSPITAL_ATTRS, PATIENT_ATTRS, Job, checked_rows, wide_output
 from carelake.sources.specs import ARRIVAL, ROWKIND
 from carelake.streaming.files import NumberedLog, complete
 from carelake.streaming.jobs import StateLookup
@@ -241,12 +240,11 @@ def start_waiting_job(spark: SparkSession, job: Job, source: DataFrame,
                       clock: Callable[[], float] = time.time) -> list[StreamingQuery]:
     """Start W7 or W8; returns its queries (the job, and the one that stores its rejects).
 
-    ``root`` holds the steps, checkpoints, ``rejects`` (rows with a NULL key
-    or NOT NULL column, all of them), the target ``state`` and its change ``feed``. Use a
+    ``root`` holds the steps, checkpoints, ``rejects`` (source rows that do not
+    fit, all of them, with ``errors``), the target ``state`` and its change ``feed``. Use a
     processing-time trigger: waiting does not end an ``availableNow`` run.
     """
-    needed = tuple(dict.fromkeys(job.spec.pk + job.spec.not_null))
-    rows, rejects = split_rejects(job.prepare(source), needed)
+    rows, rejects = checked_rows(job, source)
 
     def write(done: DataFrame, batch_id: int) -> None:
         if not done.isEmpty():

@@ -3,8 +3,8 @@
 The source is any append stream of change rows (a folder of change-log
 files, a message bus). Every micro-batch goes through ``foreachBatch``:
 
-1. ``prepare`` the rows (casts, filters, ``dt``) and split off rows with a
-   NULL key column into the rejects folder (R15);
+1. split off rows with a NULL key or a value that its target's type does not take
+   into the rejects folder, with reasons (R13, R15), and ``prepare`` the others (casts, filters, ``dt``);
 2. re-read each lookup's current state (a static DataFrame captured once
    would stay frozen), and ``enrich``: processing-time lookups (J1, R7);
 3. ``upsert`` into the state table, then the batch's change feed, if asked for.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from carelake.plans.warehouse import Job, keyed_rows
+from carelake.plans.warehouse import Job, checked_rows
 from carelake.sources.specs import TableSpec
 from carelake.operators.changelog import compact_feed
 from carelake.streaming.files import NumberedLog, make_folder
@@ -71,7 +71,7 @@ def batch_writer(job: Job, state_path: str, lookups: Mapping[str, LookupReader],
             changes = batch
             if not job.spec.before_images:
                 changes = normalise(batch, source_spec(job, batch), f"{state_path}_source", batch_id)
-            rows, rejects = keyed_rows(job, changes)
+            rows, rejects = checked_rows(job, changes)
 
             # Published versions only, as of this batch; their files are never replaced.
             views = {name: lookups[name]() for name in job.lookups}
@@ -97,7 +97,7 @@ def start_job(job: Job, source: DataFrame, state_path: str, checkpoint: str,
 
     ``trigger`` defaults to the 20-second commit cadence; pass
     ``{"availableNow": True}`` to catch up and stop. One checkpoint folder
-    per job. Rows with a NULL key or NOT NULL column go to ``reject_path``, or
+    per job. Rows that do not fit (``checked_rows``) go to ``reject_path``, or
     beside the state table (``<state_path>_rejects``).
     """
     lookups = dict(lookups or {})

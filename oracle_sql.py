@@ -370,6 +370,14 @@ REJECT_ROWS = """
 SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey % 4 = 0 AS rejected FROM orders
 """
 
+REJECT_REASONS = """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS reason
+FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 10 <> 0 AND o_orderkey % 4 <> 0
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'status', '40000', 'not smallint' FROM orders WHERE o_orderkey % 9 = 0
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'rating', '300', 'not tinyint' FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'create_time', NULL, 'null' FROM orders WHERE o_orderkey % 4 = 0
+"""
+
 BUCKET_HASH = """
 SELECT count(*) AS n_keys, CAST(0 AS BIGINT) AS out_of_range, CAST(0 AS BIGINT) AS in_two_buckets FROM customer
 """
@@ -499,6 +507,7 @@ ORACLE: dict[str, str] = {
     "lookup_asof_changes": LOOKUP_ASOF_CHANGES,
     "backfill_consultation": BACKFILL_CONSULTATION,
     "reject_rows": REJECT_ROWS,
+    "reject_reasons": REJECT_REASONS,
     "bucket_hash": BUCKET_HASH,
     "doctor_preview": DOCTOR_PREVIEW,
 }

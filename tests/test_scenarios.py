@@ -97,6 +97,37 @@ def test_null_create_time_goes_to_rejects(spark):
     assert [r.id for r in bad.collect()] == ["8"]
 
 
+def test_one_bad_value_stops_no_job(spark, tmp_dir):
+    """A status that its type does not take and a NULL create_time are rejected with reasons; the rest is stored."""
+    from carelake.plans.warehouse import checked_rows
+    from carelake.sources.changelog import read_changelog
+    from carelake.streaming import live_view, start_job
+    job = JOBS["dwd_payment"]
+    src = spark.createDataFrame(
+        [payment("+I", 1, 7, "2024-01-01 10:00:00", None), payment("+I", 2, 8, "2024-01-01 10:00:00", None, status=40000),
+         (9, None, None, Decimal("1.00"), -40000, 1, 2, 3, "+I", 3), payment("+I", 4, 10, "2024-01-02 10:00:00", None)], ODS_PAYMENT)
+    good, rejects = checked_rows(job, src)
+    assert {r.id: [tuple(e) for e in r.errors] for r in rejects.collect()} == {
+        8: [("status", "40000", "not smallint")], 9: [("status", "-40000", "not smallint"), ("create_time", None, "null")]}
+    assert sorted(r.id for r in good.collect()) == ["10", "7"]
+    assert sorted(r.id for r in build(job, src, {}).collect()) == ["10", "7"]
+    src.write.parquet(f"{tmp_dir}/landing")
+    start_job(job, read_changelog(spark, f"{tmp_dir}/landing", src.schema, stream=True), f"{tmp_dir}/state", f"{tmp_dir}/checkpoint",
+              reject_path=f"{tmp_dir}/rejects", trigger={"availableNow": True}).awaitTermination()
+    assert sorted(r.id for r in live_view(spark, job.spec, f"{tmp_dir}/state").collect()) == ["10", "7"]
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()) == [8, 9]
+
+
+def test_every_job_can_tell_its_rejects(spark):
+    from carelake.plans.batch import table_reader
+    from helpers import SF_SMALL
+    from carelake.plans.standins import SOURCES
+    from carelake.plans.warehouse import checked_rows
+    for job in JOBS.values():
+        _, rejects = checked_rows(job, SOURCES[job.source](table_reader(spark, SF_SMALL)))
+        assert rejects.count() == 0 and "errors" in rejects.columns, job.name
+
+
 def test_review_withdrawn_leaves_table(spark):
     src = spark.createDataFrame([
         consultation("+I", 1, 5, 207, update="2024-01-01 10:00:00"),
