@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from carelake.operators.changelog import materialize
 from carelake.operators.lookup import lookup_join_asof
 from carelake.plans.warehouse import (DOCTOR_ATTRS, HOSPITAL_ATTRS, PATIENT_ATTRS, Job,
-                                      keyed_rows, wide_output)
+                                      checked_rows, wide_output)
 from carelake.sources.specs import ROWKIND
 
 def backfill_wide(job: Job, source: DataFrame, versions: Mapping[str, DataFrame], *,
@@ -32,7 +32,7 @@ def backfill_wide(job: Job, source: DataFrame, versions: Mapping[str, DataFrame]
     version became visible) and ``version_order`` (what orders versions of one time). ``fact_time`` is the fact's time of processing
     (a column of the prepared rows).
     """
-    rows, _ = keyed_rows(job, source)
+    rows, _ = checked_rows(job, source)
     live = materialize(rows, job.spec.pk, job.spec.order)
     for dim, on, attrs in (("dim_doctor", "doctor_id", DOCTOR_ATTRS),
                            ("dim_hospital", "hospital_id", HOSPITAL_ATTRS),
