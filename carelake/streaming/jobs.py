@@ -26,10 +26,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from carelake.plans.warehouse import Job, checked_rows
 from carelake.sources.specs import TableSpec
-from carelake.operators.changelog import compact_feed
+from carelake.operators.changelog import compact_feed, latest_by_key
 from carelake.streaming.files import NumberedLog, make_folder
 from carelake.streaming.normalise import normalise, source_spec
-from carelake.streaming.sink import commit_keys, feed_log, feed_schema, live_view, newest_version, upsert
+from carelake.streaming.sink import commit_keys, feed_log, feed_schema, fold, live_view, newest_version, upsert
 
 # The commit cadence of the jobs and of the change feed.
 COMMIT_INTERVAL = "20 seconds"
@@ -75,8 +75,10 @@ def batch_writer(job: Job, state_path: str, lookups: Mapping[str, LookupReader],
 
             # Published versions only, as of this batch; their files are never replaced.
             views = {name: lookups[name]() for name in job.lookups}
-            upsert(job.enrich(rows, **views), job.spec, state_path,
-                   feed_path=feed_path, batch_id=batch_id)
+            # One row of each key is looked up, as in batch: the lookups' columns are not shuffled by key.
+            pick = fold if job.spec.before_images else latest_by_key
+            upsert(job.enrich(pick(rows, job.spec.pk, job.spec.order), **views), job.spec, state_path,
+                   feed_path=feed_path, batch_id=batch_id, folded=True)
             # rejects are rare: a cheap emptiness check on the cached batch
             # saves a write and its commit on almost every batch
             if not rejects.isEmpty():

@@ -17,7 +17,8 @@ after its entry was written, it changes nothing (T3). One writer per table;
 a second one fails on the entry. Entries are read from the newest back to the last base entry, so
 a commit reads at most ``COMPACT_EVERY`` of them however old the table is.
 
-A commit costs one shuffle of the batch by key, and tells its days and buckets on the way. Deleted keys stay as tombstone
+A commit costs one shuffle of the batch by key, and tells its days and buckets on the way. Large folds shuffle hashes of
+keys, and whole rows only of keys that occur more than once (``fold``); a table of one commit is read as it is. Deleted keys stay as tombstone
 rows, because a late, older version must not bring them back; readers use
 ``live_view``. ``compact`` folds the buckets that deltas have touched since.
 
@@ -29,6 +30,7 @@ numbers, never a folder's listing (``read_feed``, ``start_table_scan``).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
@@ -38,6 +40,7 @@ from pyspark.sql import types as T
 from carelake.functions.bucket import bucket_of
 from carelake.functions.rowkind import is_live
 from carelake.operators.changelog import latest_by_key, snapshot_diff
+from carelake.session import work_dir
 from carelake.sources.specs import ARRIVAL, BUCKET, ROWKIND, TableSpec
 from carelake.streaming.files import NumberedLog
 
@@ -45,6 +48,11 @@ from carelake.streaming.files import NumberedLog
 #: that was touched, thousands for a source that spans years, so it is much rarer than commits.
 COMPACT_EVERY = 30
 
+#: Bytes of rows from which a fold keeps keys that occur once out of its shuffle, and up to how many keys that
+#: occur more than once are broadcast for it.
+FOLD_APART, FOLD_SHARED = 64 << 20, 1_000_000
+_HASH = "lk_hash"
+
 Places = dict[str, list[int]]  # partition folder -> buckets
 
 
@@ -159,6 +167,13 @@ def _version_rows(spark: SparkSession, spec: TableSpec, path: str, v: Version, p
     return out
 
 
+def _is_folded(spec: TableSpec, v: Version) -> bool:
+    """Whether no key can have two rows: there is one commit, or base folders (a key is in one of them) alone."""
+    if v.base:
+        return not v.deltas and {*spec.partition, spec.bucket_key} <= set(spec.pk)
+    return len(v.deltas) <= 1
+
+
 def _commit_rows(spark: SparkSession, spec: TableSpec, path: str, folders: list[str]) -> DataFrame:
     schema = state_schema(spec)
     with_id = T.StructType(list(schema.fields) + [T.StructField("c", T.StringType())])
@@ -166,6 +181,35 @@ def _commit_rows(spark: SparkSession, spec: TableSpec, path: str, folders: list[
             .parquet(*[f"{path}/commits/c={f}" for f in folders]).select(*schema.names))
 
 
+def _shared(rows: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Hashes of the keys that more than one row has, for a broadcast; None if there are too many, or rows are few.
+
+    Only hashes are shuffled. Keys that share a hash by chance count as repeated, so a key that is left out occurs once.
+    """
+    if int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < FOLD_APART:
+        return None
+    spark = rows.sparkSession
+    path, schema = work_dir(spark, "shared"), T.StructType([T.StructField(_HASH, T.LongType())])
+    hashes = rows.select(F.xxhash64(*keys).alias(_HASH)).groupBy(_HASH).count()
+    hashes.filter("count > 1").select(_HASH).write.parquet(path)
+    shared = spark.read.schema(schema).parquet(path)
+    return F.broadcast(shared) if shared.count() <= FOLD_SHARED else None
+
+
+def _with_hash(rows: DataFrame, keys: Sequence[str], shared: DataFrame, how: str) -> DataFrame:
+    """Rows whose key hash is (``left_semi``) or is not (``left_anti``) in ``shared``."""
+    return rows.withColumn(_HASH, F.xxhash64(*keys)).join(shared, _HASH, how).select(*rows.columns)
+
+
+def fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``latest_by_key`` of stored rows (they are read more than once): those whose key occurs once are not shuffled."""
+    shared = _shared(rows, keys)
+    if shared is None:
+        return latest_by_key(rows, keys, order)
+    return _with_hash(rows, keys, shared, "left_anti").unionByName(
+        latest_by_key(_with_hash(rows, keys, shared, "left_semi"), keys, order))
+
+
 def places_of(spec: TableSpec, keys: DataFrame) -> Places:
     """The partitions and buckets of a batch of keys: distinct places, not keys, reach the driver."""
     rows = keys.select(*spec.partition, bucket_of(spec.bucket_key, spec.buckets, spec.bucket_method).alias(BUCKET)).distinct()
@@ -192,7 +236,8 @@ def read_state(spark: SparkSession, spec: TableSpec, path: str, *, at: int | Non
     if v is None:
         return None
     if keys is None:
-        return latest_by_key(_version_rows(spark, spec, path, v), spec.pk, spec.order)
+        rows = _version_rows(spark, spec, path, v)
+        return rows if _is_folded(spec, v) else fold(rows, spec.pk, spec.order)
     on = [c for c in spec.pk if c in keys.columns]
     rows = _version_rows(spark, spec, path, v, places_of(spec, keys)).join(keys.select(*on).distinct(), on, "left_semi")
     return latest_by_key(rows.select(*state_schema(spec).names), spec.pk, spec.order)
@@ -222,10 +267,10 @@ def with_layout(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def upsert(rows: DataFrame, spec: TableSpec, path: str, *, feed_path: str | None = None,
-           batch_id: int | None = None, compact_every: int = COMPACT_EVERY) -> int:
+           batch_id: int | None = None, compact_every: int = COMPACT_EVERY, folded: bool = False) -> int:
     """Apply a batch of conformed change rows to the state table at ``path``.
 
-    ``rows`` carry the target columns plus ``rowkind`` and ``arrival``.
+    ``rows`` carry the target columns plus ``rowkind`` and ``arrival``; ``folded``: one row of each key.
     ``batch_id`` is the number of a streaming batch, which ascends: one that is published
     already is not applied again. With ``feed_path``, the changes of the commit are published there
     once the commit is; they are a function of published
@@ -238,7 +283,9 @@ def upsert(rows: DataFrame, spec: TableSpec, path: str, *, feed_path: str | None
     number = v.batch_number
     if batch_id is None or v.batch is None or batch_id > v.batch:
         folder, seen, number = uuid.uuid4().hex, Observation(), None
-        winners = latest_by_key(with_layout(rows, spec), spec.pk, spec.order)
+        winners = with_layout(rows, spec)
+        if not folded:
+            winners = latest_by_key(winners, spec.pk, spec.order)
         # Partition values and buckets only (the days of a batch) reach the driver, with the write itself.
         place = F.struct(*spec.layout)
         winners.observe(seen, F.collect_set(place).alias("places")).write.partitionBy(BUCKET).parquet(
