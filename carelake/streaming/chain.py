@@ -40,7 +40,7 @@ from carelake.plans.warehouse import DOCTOR_ATTRS, HOSPITAL_ATTRS, PATIENT_ATTRS
 from carelake.sources.specs import ARRIVAL, ROWKIND
 from carelake.streaming.files import NumberedLog, complete
 from carelake.streaming.jobs import StateLookup
-from carelake.streaming.sink import as_changes, upsert
+from carelake.streaming.sink import as_changes, fold, upsert, with_layout
 
 # The retry step and attempts of the waiting lookups (about 300 s).
 RETRY_STEP = "10 seconds"
@@ -189,13 +189,16 @@ def delta_step(spark: SparkSession, facts: DataFrame, stages: Sequence[WaitStage
         moved = moved.filter(f"{_ID} IS NULL OR {_STAGE} <> lk_from")
         following = f"IF({_STAGE} = {len(stages)}, 'done', 'wait')"
         moved = moved.selectExpr("*", f"explode(IF({_ID} IS NULL, array({following}), array({following}, 'freed'))) AS lk_out")
-        moved.selectExpr(
+        out = moved.selectExpr(
             *[f"IF(lk_out = 'freed', NULL, `{f.name}`) AS `{f.name}`" for f in list(facts.schema.fields) + added],
             _STAGE, _SINCE, f"IF(lk_out = 'freed', {_ID}, monotonically_increasing_id()) AS {_ID}",
             f"IF(lk_out = 'wait', {_key_of(stages)}, NULL) AS {_KEY}", f"lk_out AS {_KIND}",
             f"IF(lk_out = 'freed', {_ORIGIN}, {batch_id}L) AS {_ORIGIN}",
             f"IF(lk_out = 'wait', {_wait_bucket(_key_of(stages))}, 0) AS {_BUCKET}",
-        ).hint("rebalance", _KIND, _ORIGIN, _BUCKET).write.mode("overwrite").option(
+        )
+        # Rows that are done go to one folder, so only what waits, without most lookup columns, is shuffled to its folders.
+        rest = out.filter(f"{_KIND} <> 'done'").hint("rebalance", _KIND, _ORIGIN, _BUCKET)
+        out.filter(f"{_KIND} = 'done'").unionByName(rest).write.mode("overwrite").option(
             "partitionOverwriteMode", "static").partitionBy(_KIND, _ORIGIN, _BUCKET).parquet(target)
     return rows_of([batch_id], "done").select(*[f.name for f in list(facts.schema.fields) + added])
 
@@ -248,7 +251,8 @@ def start_waiting_job(spark: SparkSession, job: Job, source: DataFrame,
 
     def write(done: DataFrame, batch_id: int) -> None:
         if not done.isEmpty():
-            upsert(wide_output(job.spec, done), job.spec, f"{root}/state", feed_path=f"{root}/feed", batch_id=batch_id)
+            rows = fold(with_layout(wide_output(job.spec, done), job.spec), job.spec.pk, job.spec.order)
+            upsert(rows, job.spec, f"{root}/state", feed_path=f"{root}/feed", batch_id=batch_id, folded=True)
 
     rejected = (rejects.writeStream.format("parquet").option("path", f"{root}/rejects")
                 .option("checkpointLocation", f"{root}/checkpoint_rejects")

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from carelake.functions.bucket import bucket_of
-from carelake.functions.rowkind import is_live
+from carelake.functions.rowkind import INSERT, is_live
 from carelake.operators.changelog import latest_by_key, snapshot_diff
 from carelake.session import work_dir
 from carelake.sources.specs import ARRIVAL, BUCKET, ROWKIND, TableSpec
@@ -50,7 +50,7 @@ COMPACT_EVERY = 30
 
 #: Bytes of rows from which a fold keeps keys that occur once out of its shuffle, and up to how many keys that
 #: occur more than once are broadcast for it.
-FOLD_APART, FOLD_SHARED = 64 << 20, 1_000_000
+FOLD_APART, FOLD_SHARED = 16 << 20, 1_000_000
 _HASH = "lk_hash"
 
 Places = dict[str, list[int]]  # partition folder -> buckets
@@ -340,11 +340,23 @@ def feed_changes(spark: SparkSession, spec: TableSpec, path: str, number: int) -
     entry = _log(spark, path).read(number)
     batch = _commit_rows(spark, spec, path, [entry["folder"]])
     older = version(spark, path, number - 1) if number else None
-    keys = batch.select(*spec.pk)
-    old = _version_rows(spark, spec, path, older or Version(), entry["places"]).join(keys, list(spec.pk), "left_semi")
+    if older is None:
+        return _inserts(batch, spec)
+    before = _version_rows(spark, spec, path, older, entry["places"])
+    # Keys that the table did not have are inserted: only the others' rows are joined.
+    shared, fresh = _shared(before.unionByName(batch), spec.pk), None
+    if shared is not None:
+        fresh = _with_hash(batch, spec.pk, shared, "left_anti")
+        before, batch = (_with_hash(rows, spec.pk, shared, "left_semi") for rows in (before, batch))
+    old = before.join(batch.select(*spec.pk), list(spec.pk), "left_semi")
     old = latest_by_key(old.select(*state_schema(spec).names), spec.pk, spec.order)
     new = latest_by_key(old.unionByName(batch), spec.pk, spec.order)
-    return snapshot_diff(old.filter(is_live()).select(*spec.columns), new.filter(is_live()).select(*spec.columns), spec.pk)
+    changes = snapshot_diff(old.filter(is_live()).select(*spec.columns), new.filter(is_live()).select(*spec.columns), spec.pk)
+    return changes if fresh is None else changes.unionByName(_inserts(fresh, spec).select(*changes.columns))
+
+
+def _inserts(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    return rows.filter(is_live()).select(F.lit(INSERT).alias(ROWKIND), *spec.columns)
 
 
 def write_feed(spark: SparkSession, spec: TableSpec, path: str, feed_path: str, number: int) -> None:

@@ -63,3 +63,44 @@ def test_stream_looks_up_one_row_of_each_key(spark, tmp_dir, monkeypatch, always
 def test_no_schema_is_lost_by_an_empty_fold(spark, always_apart):
     rows = spark.createDataFrame([], T.StructType([T.StructField("id", T.StringType()), T.StructField("arrival", T.LongType())]))
     assert sink.fold(rows, ["id"], ["arrival"]).collect() == []
+
+
+def test_feed_of_large_commits_is_the_same(spark, tmp_dir, monkeypatch):
+    """Changes of keys that are new, changed, unchanged, deleted and late, with and without hashes of keys."""
+    spec, rnd = _versioned_spec(), random.Random(6)
+    commits = [{(rnd.choice(["d1", "d2"]), str(rnd.randrange(12))): (str(rnd.randrange(3)), rnd.choice(["+I", "+U", "-D"]),
+                                                                     rnd.randrange(9)) for _ in range(8)} for _ in range(5)]
+    feeds = []
+    for apart in (1 << 60, 0):
+        monkeypatch.setattr(sink, "FOLD_APART", apart)
+        root = f"{tmp_dir}/{apart}"
+        for rows in commits:
+            rows = spark.createDataFrame([(*k, v, kind, n) for k, (v, kind, n) in rows.items()], VERSIONED)
+            upsert(rows, spec, f"{root}/s", feed_path=f"{root}/f", compact_every=3)
+        feeds.append(_rows(sink.read_feed(spark, spec, f"{root}/f")))
+    assert feeds[0] == feeds[1] and {r[0] for r in feeds[0]} == {"+I", "-U", "+U", "-D"}
+
+
+def test_first_feed_and_done_facts_are_not_shuffled(spark, tmp_dir, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from carelake.sources.specs import TableSpec
+    from carelake.streaming import WaitStage, delta_step, state_lookup
+    spec = _versioned_spec()
+    rows = spark.createDataFrame([("d1", str(n), "a", "+I", n) for n in range(9)] + [("d1", "12", "a", "-D", 12)], VERSIONED)
+    upsert(rows, spec, f"{tmp_dir}/s", feed_path=f"{tmp_dir}/f")
+    feed = sink.feed_changes(spark, spec, f"{tmp_dir}/s", 0)
+    assert "Exchange" not in feed._jdf.queryExecution().executedPlan().toString()
+    assert feed.count() == 9 == sink.read_feed(spark, spec, f"{tmp_dir}/f").count()
+
+    doctor = TableSpec(name="doctor", schema=T.StructType([T.StructField(c, T.StringType()) for c in ("id", "name")]))
+    upsert(spark.createDataFrame([("1", "A", "+I", 1)], "id string, name string, rowkind string, arrival bigint"), doctor,
+           f"{tmp_dir}/doctor")
+    stage = WaitStage(state_lookup(spark, doctor, f"{tmp_dir}/doctor"), "doctor_id", {"name": "doctor_name"})
+    facts = spark.createDataFrame([("f1", "1", "+I", 1), ("f2", "2", "+I", 2)], "id string, doctor_id string, rowkind string, arrival bigint")
+    plans, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: (plans.append(w._df), parquet(w, *a, **k))[1])
+    done = delta_step(spark, facts, [stage], f"{tmp_dir}/steps", 0, now=0.0)
+    assert [r.doctor_name for r in done.collect()] == ["A"]
+    tree = plans[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert tree[0].startswith("Union") and sum("Rebalance" in line for line in tree) == 1
