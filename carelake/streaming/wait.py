@@ -8,15 +8,15 @@ All dimension rows are kept in the state, so this form is for small dimensions;
 (chain.py) waits without state for the rest.
 
 Spark plan: the fact stream and the dimension change stream are unioned
-into one flat, tagged stream, grouped by the join key and processed by a
+into one flat, tagged stream, grouped by a hash of the join key and processed by a
 ``transformWithStateInPandas`` processor with processing-time timers:
 
-* ``ValueState`` ``dim``: the key's current dimension row (or a tombstone)
+* ``MapState`` ``dims``: (key, salt) -> the key's current dimension row (or a tombstone)
   with its arrival; an older arrival never overwrites a newer one.
-* ``MapState`` ``pending``: (fact id, arrival, kind) -> fact columns and deadline.
+* ``MapState`` ``pending``: (key, salt, fact id, arrival, kind) -> fact columns and deadline.
 
 Skew: one key (a busy doctor) may carry a large share of the facts, so the
-state is keyed by ``(key, salt)`` with ``salt = hash(fact id) mod n``; each
+state is dealt by ``(key, salt)`` with ``salt = hash(fact id) mod n``; each
 dimension change is copied to the ``n`` salts of its key. A fact and its
 retraction share a salt. State holds ``n`` copies of each dimension row.
 
@@ -54,7 +54,9 @@ except (ImportError, AttributeError, ValueError):  # older cloudpickle: install
     pass
 
 # plain names: Arrow batches rename columns that start with "__"
-_TAG, _KEY, _SALT = "lk_tag", "lk_key", "lk_salt"
+_TAG, _KEY, _SALT, _GROUP = "lk_tag", "lk_key", "lk_salt", "lk_group"
+#: State groups to which (key, salt) pairs are dealt by hash; fixed for a checkpoint.
+STATE_GROUPS = 1024
 _RETRACT = ("-U", "-D")
 _KIND_RANK = {"-U": 0, "+I": 1, "+U": 1, "-D": 2}
 
@@ -97,16 +99,15 @@ def _converter(dtype: T.DataType):
 
 
 class _WaitProcessor(StatefulProcessor):
-    """Per (key, salt): the dimension row, a count of waiting facts, the waiting facts.
+    """Per state group, for each (key, salt) in it: the dimension row, a count of waiting facts, the waiting facts.
 
-    Every state call is a round trip to the JVM, so the hot path makes as few
-    as possible: one ``get`` of the ``dim`` value (which also carries the
-    number of waiting facts), and the ``pending`` map only when something
-    waits.
+    A call of Python costs milliseconds whatever it holds and a state call a round trip to the JVM, so one call takes a
+    group of keys, a key costs one look at ``dims`` (which also carries the number of its waiting facts) and one
+    update, and ``pending`` is read, once a call, only when something waits.
     """
 
     def __init__(self, fact_fields: Sequence[T.StructField], dim_fields: Sequence[T.StructField],
-                 fact_id: str, wait_ms: int, order: Sequence[str] = (ARRIVAL,)):
+                 fact_id: str, wait_ms: int, key_type: T.DataType, order: Sequence[str] = (ARRIVAL,)):
         self.fact_fields = list(fact_fields)
         self.dim_fields = list(dim_fields)
         self.fact_cols = [f.name for f in fact_fields]
@@ -114,7 +115,7 @@ class _WaitProcessor(StatefulProcessor):
         self.fact_id = fact_id
         self.id_pos = self.fact_cols.index(fact_id)
         self.order_pos = [self.fact_cols.index(c) for c in order]
-        self.wait_ms = int(wait_ms)
+        self.wait_ms, self.key_type, self.key_conv = int(wait_ms), key_type, _converter(key_type)
         self.fact_conv = [_converter(f.dataType) for f in self.fact_fields]
         self.dim_conv = [_converter(f.dataType) for f in self.dim_fields]
         self.no_attrs = (None,) * len(self.dim_cols)
@@ -126,107 +127,110 @@ class _WaitProcessor(StatefulProcessor):
                                    T.StructField("waiting", T.LongType()), *self.dim_fields])
         pending_schema = T.StructType([*self.fact_fields, T.StructField("deadline", T.LongType())])
         id_type = self.fact_fields[self.id_pos].dataType
-        self.dim = handle.getValueState("dim", dim_schema)
+        key = [T.StructField("key", self.key_type), T.StructField("salt", T.IntegerType())]
+        self.dims = handle.getMapState("dims", T.StructType(key), dim_schema)
         self.pending = handle.getMapState("pending", T.StructType([
-            T.StructField("id", id_type), T.StructField("arrival", T.LongType()),
+            *key, T.StructField("id", id_type), T.StructField("arrival", T.LongType()),
             T.StructField("kind", T.StringType())]), pending_schema)
 
     def _rank(self, values: tuple) -> tuple:
         """A version's order; NULL ranks lowest."""
         return tuple((values[p] is not None, values[p]) if values[p] is not None else (False,) for p in self.order_pos)
 
-    def _out(self, facts: list[tuple], attrs: tuple | None) -> pd.DataFrame:
-        tail = attrs if attrs is not None else self.no_attrs
-        return pd.DataFrame([tuple(f) + tail for f in facts], columns=self.fact_cols + self.dim_cols)
+    def _frame(self, rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=self.fact_cols + self.dim_cols)
+
+    def _held(self) -> dict[tuple, dict[tuple, tuple]]:
+        """The group's waiting facts by (key, salt)."""
+        held: dict[tuple, dict[tuple, tuple]] = {}
+        for k, v in self.pending.iterator():
+            held.setdefault(tuple(k[:2]), {})[tuple(k)] = tuple(v)
+        return held
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         chunks = list(rows)
         pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
-        # one conversion per column; the rest is plain Python (per-group pandas
-        # calls would dominate: a group holds a handful of rows)
-        tags = pdf[_TAG].tolist()
-        kinds = pdf[ROWKIND].tolist()
-        arrivals = [_py(a) for a in pdf[ARRIVAL].tolist()]
-        state = self.dim.get()
-        if state is None:
-            live, arrival, waiting, attrs = False, None, 0, self.no_attrs
-        else:
-            live, arrival, waiting, attrs = bool(state[0]), state[1], int(state[2] or 0), tuple(state[3:])
-        changed = False
-        out: list[pd.DataFrame] = []
-
-        dim_rows = [i for i, t in enumerate(tags) if t == 0]
-        if dim_rows:
-            # equal arrivals (a change feed's -U/+U pair of one batch): before-image first
-            dim_rows.sort(key=lambda i: (arrivals[i] is not None, arrivals[i] or 0,
-                                         _KIND_RANK.get(kinds[i], 1)))
-            dim_cols = [pdf[f"d_{c}"].tolist() for c in self.dim_cols]
-            for i in dim_rows:
-                arr = None if arrivals[i] is None else int(arrivals[i])
-                if arrival is not None and (arr is None or arr < arrival):
-                    continue  # an older version never overwrites a newer one; NULL ranks lowest
-                live, arrival = kinds[i] not in _RETRACT, arr
-                attrs = tuple(conv(col[i]) for conv, col in zip(self.dim_conv, dim_cols))
-                changed = True
-        current = attrs if live else None
-
-        if current is not None and waiting > 0:
-            held = [tuple(v[:-1]) for _, v in self.pending.iterator()]
-            if held:
-                out.append(self._out(held, current))
-            self.pending.clear()
-            for ts in list(self.handle.listTimers()):
-                self.handle.deleteTimer(ts)
-            waiting, changed = 0, True
-
-        fact_rows = [i for i, t in enumerate(tags) if t != 0]
-        if fact_rows:
+        # one conversion per column; the rest is plain Python
+        tags, kinds = pdf[_TAG].tolist(), pdf[ROWKIND].tolist()
+        arrivals = [None if (v := _py(a)) is None else int(v) for a in pdf[ARRIVAL].tolist()]
+        dim_cols = [pdf[f"d_{c}"].tolist() for c in self.dim_cols]
+        fact_cols = [pdf[f"f_{c}"].tolist() for c in self.fact_cols]
+        groups: dict[tuple, tuple[list[int], list[int]]] = {}
+        for i, (k, salt) in enumerate(zip(pdf[_KEY].tolist(), pdf[_SALT].tolist())):
+            groups.setdefault((self.key_conv(k), int(salt)), ([], []))[0 if tags[i] == 0 else 1].append(i)
+        deadline = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+        held, waits, out = None, False, []
+
+        for at, (dim_rows, fact_rows) in groups.items():
+            state = self.dims.getValue(at)
+            if state is None:
+                live, arrival, waiting, attrs = False, None, 0, self.no_attrs
+            else:
+                live, arrival, waiting, attrs = bool(state[0]), state[1], int(state[2] or 0), tuple(state[3:])
+            changed = False
+
+            if dim_rows:
+                # The last one counts. Equal arrivals (a change feed's -U/+U pair of one batch): before-image first
+                i = sorted(dim_rows, key=lambda i: (arrivals[i] is not None, arrivals[i] or 0,
+                                                    _KIND_RANK.get(kinds[i], 1)))[-1]
+                # an older version never overwrites a newer one; NULL ranks lowest
+                if arrival is None or (arrivals[i] is not None and arrivals[i] >= arrival):
+                    live, arrival = kinds[i] not in _RETRACT, arrivals[i]
+                    attrs = tuple(conv(col[i]) for conv, col in zip(self.dim_conv, dim_cols))
+                    changed = True
+            current = attrs if live else None
+
+            if waiting > 0 and held is None:
+                held = self._held()
+            if current is not None and waiting > 0:
+                for k, v in held.pop(at, {}).items():
+                    out.append(v[:-1] + current)
+                    self.pending.removeKey(k)
+                waiting, changed = 0, True
+
             fact_rows.sort(key=lambda i: (arrivals[i] is not None, arrivals[i] or 0))
-            fact_cols = [pdf[f"f_{c}"].tolist() for c in self.fact_cols]
-            now = timerValues.getCurrentProcessingTimeInMs()
-            emit_now, emit_plain = [], []
             for i in fact_rows:
                 values = tuple(conv(col[i]) for conv, col in zip(self.fact_conv, fact_cols))
                 # Every version of a fact waits by itself: none replaces another.
-                fid = (values[self.id_pos], arrivals[i], kinds[i])
+                fid = (*at, values[self.id_pos], arrivals[i], kinds[i])
                 if kinds[i] in _RETRACT:
                     if waiting > 0:
-                        for k, v in list(self.pending.iterator()):
-                            if k[0] == fid[0] and self._rank(v) <= self._rank(values):
-                                self.pending.removeKey(tuple(k))
+                        held = self._held() if held is None else held
+                        for k, v in list(held.get(at, {}).items()):
+                            if k[2] == fid[2] and self._rank(v) <= self._rank(values):
+                                del held[at][k]
+                                self.pending.removeKey(k)
                                 waiting, changed = waiting - 1, True
-                    emit_plain.append(values)
+                    out.append(values + self.no_attrs)
                 elif current is not None:
-                    emit_now.append(values)
+                    out.append(values + current)
                 else:
-                    deadline = now + self.wait_ms
                     self.pending.updateValue(fid, values + (deadline,))
-                    self.handle.registerTimer(deadline)
-                    waiting, changed = waiting + 1, True   # an upper bound; exact after a timer
-            if emit_now:
-                out.append(self._out(emit_now, current))
-            if emit_plain:
-                out.append(self._out(emit_plain, None))
-        if changed:
-            self.dim.update((live, arrival, waiting, *attrs))
-        yield from out
+                    if held is not None:
+                        held.setdefault(at, {})[fid] = values + (deadline,)
+                    waiting, changed, waits = waiting + 1, True, True  # an upper bound; exact after a timer
+            if changed:
+                self.dims.updateValue(at, (live, arrival, waiting, *attrs))
+        if waits:
+            self.handle.registerTimer(deadline)
+        if out:
+            yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
                            expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        expiry = expiredTimerInfo.getExpiryTimeInMs()
-        due, left = [], 0
-        for k, v in list(self.pending.iterator()):
-            fid = tuple(k)
-            if v[-1] is not None and v[-1] <= expiry:
-                due.append(tuple(v[:-1]))
-                self.pending.removeKey(fid)
-            else:
-                left += 1
-        state = self.dim.get()
-        if state is not None:
-            self.dim.update((state[0], state[1], left, *state[3:]))
+        expiry, due = expiredTimerInfo.getExpiryTimeInMs(), []
+        for at, facts in self._held().items():
+            over = [k for k, v in facts.items() if v[-1] is not None and v[-1] <= expiry]
+            if not over:
+                continue
+            for k in over:
+                due.append(facts[k][:-1] + self.no_attrs)
+                self.pending.removeKey(k)
+            state = self.dims.getValue(at)
+            if state is not None:
+                self.dims.updateValue(at, (state[0], state[1], len(facts) - len(over), *state[3:]))
         if due:
-            yield self._out(due, None)
+            yield self._frame(due)
 
     def close(self) -> None:
         pass
@@ -241,7 +245,7 @@ def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_ke
     ``arrival``); ``fact_id`` identifies a fact (its primary key). ``cols``
     maps dimension column -> output column. Output: the fact's data columns
     (with ``rowkind`` and ``arrival`` when present) plus the mapped columns.
-    ``salts`` splits each key's facts over that many state groups.
+    ``salts`` splits each key's facts over that many entries of the state.
     ``fact_order`` are the columns that order a fact's versions: a retraction
     withdraws only waiting versions that are not newer than itself.
     """
@@ -271,8 +275,9 @@ def lookup_join_wait(facts: DataFrame, dims: DataFrame, *, fact_key: str, dim_ke
     tagged = keyed_facts.unionByName(dims.filter(F.col(dim_key).isNotNull()).select(*d_sel))
 
     out_schema = T.StructType([*fact_fields, *dim_fields])
-    processor = _WaitProcessor(fact_fields, dim_fields, fact_id, int(wait_seconds * 1000), fact_order)
-    matched = tagged.groupBy(_KEY, _SALT).transformWithStateInPandas(
+    processor = _WaitProcessor(fact_fields, dim_fields, fact_id, int(wait_seconds * 1000), key_type, fact_order)
+    tagged = tagged.withColumn(_GROUP, F.pmod(F.xxhash64(_KEY, _SALT), F.lit(STATE_GROUPS)).cast("int"))
+    matched = tagged.groupBy(_GROUP).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out_schema,
         outputMode="Append", timeMode="ProcessingTime")
     # NULL keys never match: they skip the state and come out with NULL attributes
