@@ -33,15 +33,25 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: An executor's memory holds what all stages before have made its JVM take, so the Python workers of a stage get less of
 #: it than those of the operator alone: characters of text at a time, and words that they remember.
 BLOCK_CHARS, CACHE_WORDS = 500_000, 60_000
+#: Bytes of an Arrow batch between the JVM and a Python worker, both of which hold some batches for each task. Spark's
+#: default is 64 MB, or 10,000 rows however long they are.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Every stage with Python workers sets this for the session; a stage is planned after it returned."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     model = fit_toxicity(docs.select("doc_id", "text"), read_table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
     return score_toxicity(docs, model, BLOCK_CHARS).where("predicted = 0").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = docs.select(*COLUMNS)
     found = cut(similarity_rows(docs.select("doc_id", "text")).where("n_shingles > 0 AND doc_id IS NOT NULL")
                 .select("doc_id", "row_key", "label"), "found")
@@ -64,6 +74,7 @@ def _small(keys: DataFrame) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     marked = mark_contaminated(docs.select(*COLUMNS), read_table(spark, sf_dir, "benchmark"), BLOCK_CHARS)
     return marked.where(F.size("matches") == 0).select(*COLUMNS)
 
@@ -75,6 +86,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     import public_tokenizers
     return encoded_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
                            CACHE_WORDS, BLOCK_CHARS)

@@ -3,6 +3,7 @@
 import collections
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +41,22 @@ def test_stages_in_order(steps):
         assert steps[name][1].columns == corpus_pipeline.COLUMNS
 
 
+def test_stages_bound_the_bytes_of_arrow_batches(spark, tmp_dir):
+    """Long rows reach a Python worker some at a time, whatever their number."""
+    docs = spark.range(40).selectExpr("id doc_id", "repeat('word ', 200000) text", "'en' lang", "'s' source", "1000000L n_chars")
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "secrets":
+            spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+            stage(spark, docs.limit(1), SF)
+            most = docs.coalesce(1).mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+            assert most <= 2 * corpus_pipeline.BATCH_BYTES, name
+
+
 def test_near_duplicates_keep_one_of_each_group(steps):
     before, after = steps["near_duplicates"]
     assert ids(after) == sorted({c for _, _, c in brute_components(rows(before))})
