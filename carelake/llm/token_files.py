@@ -38,21 +38,25 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from carelake.session import work_dir
 
-from .bpe import chunks_of, read_vocabulary
+from .bpe import read_vocabulary
 from .common import RecentCache, cut, held, read_table, ship, text_blocks
 
 #: Longest code in bits (more, if the vocabulary needs it).
 LIMIT = 20
 #: Ids between two checkpoints.
 STEP = 256
+#: Ids that are packed into bits at a time.
+STRETCH = 1 << 16
 #: Ids in a block, at most (a longer document is a block of its own).
 BLOCK_IDS = 1 << 20
+#: Characters of text that are encoded at a time: more of them share their chunks.
+ENCODE_CHARS = 12_000_000
 #: The id after each document.
 END_ID = 0
 # Fixed value: the pattern of the ByteLevel pre-tokenizer, for characters that are not odd (below).
 _MATCHES = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
-#: Pieces of text that a Python worker remembers (twice as many at most).
-CACHE_ENTRIES = 400_000
+#: Chunks and pieces of text that a Python worker remembers (twice as many at most).
+CACHE_ENTRIES = 600_000
 
 ID_SCHEMA = "doc_id long, part long, row long, before long, n_tokens long, ids binary"
 BLOCK_SCHEMA = ("part long, first_row long, before long, doc_ids array<long>, sizes array<long>, "
@@ -78,9 +82,9 @@ def byte_level_table() -> dict[str, int]:
 class LibraryEncoder:
     """Encodes texts with a tokenizers file; matches of its pre-tokenizer never share a token and are encoded once.
 
-    Texts of common characters are cut with the pre-tokenizer's pattern here; in other texts, pieces
-    with odd characters (up to a space with a non-space after it, where every match ends) stay whole.
-    New words, a space and letters alone, go to the library many at a time, and their ids are told apart by
+    All texts of a call are cut into chunks (``chunk_column``), whose distinct ones are looked up. New chunks of common
+    characters are cut with the pre-tokenizer's pattern here; chunks with odd characters stay whole.
+    New pieces that begin with a space go to the library many at a time, and their ids are told apart by
     the bytes that each id stands for. With ``plain``, special tokens' strings are ordinary text.
     """
 
@@ -95,6 +99,7 @@ class LibraryEncoder:
         self.by_match = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space") and not spec.get("normalizer"))
         self.added = [] if plain else [t["content"] for t in spec.get("added_tokens") or []]
+        self.joins = not any(" " in a for a in self.added)  # else words side by side may hold a special token
         self.known = RecentCache(entries)
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)  # bytes of each id
@@ -110,7 +115,7 @@ class LibraryEncoder:
         return [data[size * a:size * b] for a, b in zip([0, *ends], ends)]
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words, each a space and letters: no match of the pattern goes over such a space."""
+        """Ids of words, each a space and no other white space: no match of the pattern goes over such a space."""
         out: list[bytes] = []
         size = np.dtype(self.width).itemsize
         for k in range(0, len(words), _JOINED):
@@ -125,35 +130,77 @@ class LibraryEncoder:
             out += [data[a:b] for a, b in zip([0, *stops], stops)]
         return out
 
-    def _pieces(self, text: str) -> list[str]:
-        if not _ODD.search(text):
-            return _MATCHES(text)
-        first, *rest = chunks_of(text)
-        return [p for c in [first, *[" " + r for r in rest]] for p in ([c] if _ODD.search(c) else _MATCHES(c))]
+    def _learn(self, chunks: list[str]) -> None:
+        """Ids of chunks into the cache; most are a word, the others are put together from their pieces."""
+        known = self.known.new
+        words, cuts = [], {}
+        for c in chunks:
+            if self.joins and c[0] == " " and c[1:].isalpha() and (c.isascii() or not _ODD.search(c)):
+                words.append(c)
+            else:
+                cuts[c] = [c] if _ODD.search(c) else _MATCHES(c)
+        known.update(zip(words, self._words(words), strict=True))
+        new = self.known.missing(set(chain.from_iterable(cuts.values())))
+        words = [p for p in new if p[0] == " " and not p.isspace() and not _ODD.search(p)] if self.joins else []
+        known.update(zip(words, self._words(words), strict=True))
+        alone = [p for p in new if p not in known]
+        known.update(zip(alone, self._library(alone), strict=True))
+        for c, pieces in cuts.items():
+            if len(pieces) != 1:
+                known[c] = b"".join([known[p] for p in pieces])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian integers of ``width``."""
         if not self.by_match:
             return self._library(texts)
         whole = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
-        cuts = [[] if k in whole else self._pieces(t) for k, t in enumerate(texts)]
-        seen: set = set()
-        for c in cuts:
-            seen.update(c)
-        new = self.known.missing(seen)
-        words = [p for p in new if p[0] == " " and p[1:].isalpha() and not _ODD.search(p)]
-        known = self.known.new
-        known.update(zip(words, self._words(words), strict=True))
-        alone = [p for p in new if p not in known]
-        known.update(zip(alone, self._library(alone), strict=True))
-        get = known.__getitem__
-        out = [b"".join(map(get, c)) for c in cuts]
+        chunks, ends = chunk_column(pa.array(["" if k in whole else t for k, t in enumerate(texts)], pa.large_string()))
+        coded = chunks.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn(self.known.missing(distinct))
+        ids = pa.array(map(self.known.new.__getitem__, distinct), pa.large_binary(), size=len(distinct)).take(coded.indices)
+        at = np.frombuffer(ids.buffers()[1], np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
+        data = ids.buffers()[2].to_pybytes() if at[-1] else b""
+        out = [data[a:b] for a, b in zip(at, at[1:])]
         for k in whole:
             out[k] = self._library([texts[k]])[0]
         self.known.trim()
         return out
 
 
+#: By the byte after a space: whether it begins a character that is no white space, and whether the next bytes tell.
+_MAY = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
+_SOLID = ~np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)]) & ~_MAY
+# Fixed value: white space of more than one byte, and U+180E, which was that in older versions of Unicode.
+_SPACES = [int.from_bytes(chr(c).encode()) for c in
+           (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def chunk_column(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The chunks of all texts, cut before each space with a non-space after it, where every match ends (the bytes are
+    not copied), and where each text's chunks begin; the last entry is the number of chunks."""
+    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    size, buffer = int(edges[-1] - edges[0]), texts.buffers()[2]
+    if not size:
+        return pa.array([], pa.large_string()), np.zeros(len(edges), np.int64)
+    buffer, edges = buffer.slice(int(edges[0]), size), edges - edges[0]
+    data = np.frombuffer(buffer, np.uint8)
+    begins = np.zeros(size + 1, bool)
+    space = data[:-1] == 0x20
+    begins[:size - 1] = space & _SOLID[data[1:]]
+    may = np.flatnonzero(space & _MAY[data[1:]])
+    if len(may):
+        code = data[may + 1].astype(np.int64) << 8 | data[may + 2]
+        long = data[may + 1] != 0xC2
+        code[long] = code[long] << 8 | data[may[long] + 3]
+        begins[may] = ~np.isin(code, _SPACES)
+    begins[edges[1:][edges[1:] > 0] - 1] = False  # what follows a text's last byte is another text
+    begins[edges[:-1]] = True
+    starts = np.flatnonzero(begins[:size])
+    offsets = pa.array(np.append(starts, size)).buffers()[1]
+    return pa.LargeStringArray.from_buffers(len(starts), offsets, buffer), np.searchsorted(starts, edges)
+
+
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) -> DataFrame:
     """Ids of every document, in ascending doc_id order within and between the parts.
 
@@ -168,7 +215,7 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) ->
 
     def run(batches):
         part, row, before = TaskContext.get().partitionId(), 0, 0
-        for batch, texts in text_blocks(batches):
+        for batch, texts in text_blocks(batches, chars=ENCODE_CHARS):
             encoder = held(("library", vocabulary), lambda: LibraryEncoder(content.value))
             tail = b"" if end_id is None else np.array([end_id], encoder.width).tobytes()
             ids = [x + tail for x in encoder(texts)]
@@ -240,16 +287,25 @@ class Codec:
 
     def encode(self, ids: np.ndarray, step: int = STEP) -> tuple[bytes, bytes]:
         """The payload and its checkpoints."""
-        bits = self.bits[ids]
-        ends = np.cumsum(bits)
-        starts = ends - bits
-        words = (int(ends[-1]) + 63) // 32 if len(ids) else 0
-        # Each code lies in two 32-bit words at most; codes don't overlap, so sums are unions.
-        wide = self.code[ids] << (64 - bits - (starts & 31)).astype(np.uint64)
-        at = starts >> 5
-        out = np.bincount(at, (wide >> np.uint64(32)).astype(float), words + 1)
-        out += np.bincount(at + 1, (wide & np.uint64(0xFFFFFFFF)).astype(float), words + 1)
-        return out.astype(">u4").tobytes(), starts[::step].astype("<u4").tobytes()
+        # Stretches of ids whose arrays stay in the processor's cache; ``total`` bits lie before each.
+        stretch, total, checkpoints = step * max(STRETCH // step, 1), 0, []
+        out = np.zeros((len(ids) * self.longest + 63) // 32 + 2, np.uint32)
+        for k in range(0, len(ids), stretch):
+            part = ids[k:k + stretch]
+            bits = self.bits[part]
+            ends = np.cumsum(bits) + total
+            starts = ends - bits
+            # Each code lies in two 32-bit words at most; codes don't overlap, so sums are unions.
+            wide = self.code[part] << (64 - bits - (starts & 31)).astype(np.uint64)
+            first = total >> 5
+            at = (starts >> 5) - first
+            words = np.bincount(at, (wide >> np.uint64(32)).astype(float), int(at[-1]) + 2)
+            words += np.bincount(at + 1, (wide & np.uint64(0xFFFFFFFF)).astype(float))
+            out[first:first + len(words)] += words.astype(np.uint32)
+            checkpoints.append(starts[::step].astype("<u4"))
+            total = int(ends[-1])
+        words = (total + 63) // 32 + 1 if len(ids) else 1
+        return out[:words].astype(">u4").tobytes(), b"".join([c.tobytes() for c in checkpoints])
 
     def decode(self, payload: bytes, checkpoints: bytes, n: int, step: int = STEP) -> np.ndarray:
         out = np.empty((step, -(-n // step)), np.uint32)
@@ -273,8 +329,8 @@ def id_counts(ids: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
                 texts = [_ids(x.as_buffer(), n) for x, n in zip(part.column(0), part.column(1).to_pylist(), strict=True)]
                 count = np.bincount(np.concatenate(texts), minlength=len(total))
                 count[:len(total)] += total

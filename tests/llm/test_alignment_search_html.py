@@ -8,6 +8,7 @@ from html import unescape
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -139,6 +140,26 @@ def test_library_encoder_equals_the_library(spark, plain):
         e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_chunks_end_where_matches_end_and_pieces_share_calls():
+    """Chunks put together are the texts, and begin at a space with a non-space after it; what begins with a space
+    does not go to the library alone."""
+    texts = ["", " ", "a", "a b", "a  b \n c ", " \xa0x  \u3000 y", "é \u2028z \u200b 漢 \u180e", "", "x\t y 😀 z"]
+    for part in (texts, texts[3:], [""]):
+        column = pa.array(["cut off ", *part], pa.large_string()).slice(1)
+        chunks, ends = token_files.chunk_column(column)
+        cut = [chunks[a:b].to_pylist() for a, b in zip(ends, ends[1:])]
+        assert ["".join(c) for c in cut] == part
+        assert all(x[0] == " " and not x[1].isspace() for c in cut for x in c[1:])
+    assert [len(c) for c in cut] == [0] and token_files.chunk_column(pa.array(["a b  c"], pa.large_string()))[0].to_pylist() == [
+        "a", " b ", " c"]
+    t, encoder, alone = Tokenizer.from_file(BYTE), token_files.LibraryEncoder(open(BYTE, "rb").read()), []
+    library = encoder._library
+    encoder._library = lambda x: alone.extend(x) or library(x)
+    text = "one 1 22 -- (two) word's word, 333"
+    assert np.frombuffer(encoder([text])[0], "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
+    assert sorted(alone) == ["'s", ")", ",", "one", "two"]
+
+
 # ---------------------------------------------------------------- search
 
 def oracle(docs, items):
