@@ -49,14 +49,12 @@ STEP = 256
 STRETCH = 1 << 16
 #: Ids in a block, at most (a longer document is a block of its own).
 BLOCK_IDS = 1 << 20
-#: Characters of text that are encoded at a time: more of them share their chunks.
-ENCODE_CHARS = 12_000_000
 #: The id after each document.
 END_ID = 0
 # Fixed value: the pattern of the ByteLevel pre-tokenizer, for characters that are not odd (below).
 _MATCHES = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
-#: Chunks and pieces of text that a Python worker remembers (twice as many at most).
-CACHE_ENTRIES = 600_000
+#: Pieces of text that a Python worker remembers (twice as many at most).
+CACHE_ENTRIES = 400_000
 
 ID_SCHEMA = "doc_id long, part long, row long, before long, n_tokens long, ids binary"
 BLOCK_SCHEMA = ("part long, first_row long, before long, doc_ids array<long>, sizes array<long>, "
@@ -82,8 +80,8 @@ def byte_level_table() -> dict[str, int]:
 class LibraryEncoder:
     """Encodes texts with a tokenizers file; matches of its pre-tokenizer never share a token and are encoded once.
 
-    All texts of a call are cut into chunks (``chunk_column``), whose distinct ones are looked up. New chunks of common
-    characters are cut with the pre-tokenizer's pattern here; chunks with odd characters stay whole.
+    All texts of a call are cut into matches of the pre-tokenizer's pattern (``piece_column``), whose distinct ones are
+    looked up; what has odd characters stays whole, up to a space with a non-space after it.
     New pieces that begin with a space go to the library many at a time, and their ids are told apart by
     the bytes that each id stands for. With ``plain``, special tokens' strings are ordinary text.
     """
@@ -130,32 +128,22 @@ class LibraryEncoder:
             out += [data[a:b] for a, b in zip([0, *stops], stops)]
         return out
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Ids of chunks into the cache; most are a word, the others are put together from their pieces."""
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pieces into the cache."""
         known = self.known.new
-        words, cuts = [], {}
-        for c in chunks:
-            if self.joins and c[0] == " " and c[1:].isalpha() and (c.isascii() or not _ODD.search(c)):
-                words.append(c)
-            else:
-                cuts[c] = [c] if _ODD.search(c) else _MATCHES(c)
+        words = [p for p in pieces if p[0] == " " and not p.isspace() and (p[1:].isalnum() and p.isascii() or not _ODD.search(p))
+                 ] if self.joins else []
         known.update(zip(words, self._words(words), strict=True))
-        new = self.known.missing(set(chain.from_iterable(cuts.values())))
-        words = [p for p in new if p[0] == " " and not p.isspace() and not _ODD.search(p)] if self.joins else []
-        known.update(zip(words, self._words(words), strict=True))
-        alone = [p for p in new if p not in known]
+        alone = [p for p in pieces if p not in known] if len(words) < len(pieces) else []
         known.update(zip(alone, self._library(alone), strict=True))
-        for c, pieces in cuts.items():
-            if len(pieces) != 1:
-                known[c] = b"".join([known[p] for p in pieces])
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian integers of ``width``."""
         if not self.by_match:
             return self._library(texts)
         whole = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
-        chunks, ends = chunk_column(pa.array(["" if k in whole else t for k, t in enumerate(texts)], pa.large_string()))
-        coded = chunks.dictionary_encode()
+        pieces, ends = piece_column(["" if k in whole else t for k, t in enumerate(texts)])
+        coded = pieces.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         self._learn(self.known.missing(distinct))
         ids = pa.array(map(self.known.new.__getitem__, distinct), pa.large_binary(), size=len(distinct)).take(coded.indices)
@@ -168,37 +156,64 @@ class LibraryEncoder:
         return out
 
 
-#: By the byte after a space: whether it begins a character that is no white space, and whether the next bytes tell.
-_MAY = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-_SOLID = ~np.isin(np.arange(256), [*range(0x09, 0x0E), *range(0x1C, 0x21)]) & ~_MAY
-# Fixed value: white space of more than one byte, and U+180E, which was that in older versions of Unicode.
-_SPACES = [int.from_bytes(chr(c).encode()) for c in
-           (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+#: Classes of characters: letters, numbers, others, white space, and odd ones that are or are not white space.
+_LETTER, _NUMBER, _OTHER, _SPACE, _ODD_CHAR, _ODD_SPACE = range(6)
+
+
+def _class_of(char: str) -> int:
+    if _ODD.match(char):
+        return _ODD_SPACE if char.isspace() or char in "\u180e" else _ODD_CHAR
+    return _SPACE if char.isspace() else _LETTER if char.isalpha() else _NUMBER if char.isdecimal() else _OTHER
+
 
+#: By code point; all from here on are odd and no white space.
+_CLASSES = np.array([_class_of(chr(c)) for c in range(0x9FA6)] + [_ODD_CHAR], np.uint8)
+# Fixed value: what the pattern takes after an apostrophe.
+_SUFFIXES = [[ord(c) for c in x] for x in ("s", "t", "re", "ve", "m", "ll", "d")]
 
-def chunk_column(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
-    """The chunks of all texts, cut before each space with a non-space after it, where every match ends (the bytes are
-    not copied), and where each text's chunks begin; the last entry is the number of chunks."""
-    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    size, buffer = int(edges[-1] - edges[0]), texts.buffers()[2]
+
+def piece_column(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The matches of the pattern in all texts, and where each text's begin; the last entry is the number of all.
+
+    Between a space with a non-space after it and what stands before it, every match ends. Such a chunk stays
+    whole if it has an odd character.
+    """
+    text = "".join(texts)
+    edges = np.cumsum([0, *map(len, texts)])
+    size = len(text)
     if not size:
         return pa.array([], pa.large_string()), np.zeros(len(edges), np.int64)
-    buffer, edges = buffer.slice(int(edges[0]), size), edges - edges[0]
-    data = np.frombuffer(buffer, np.uint8)
-    begins = np.zeros(size + 1, bool)
-    space = data[:-1] == 0x20
-    begins[:size - 1] = space & _SOLID[data[1:]]
-    may = np.flatnonzero(space & _MAY[data[1:]])
-    if len(may):
-        code = data[may + 1].astype(np.int64) << 8 | data[may + 2]
-        long = data[may + 1] != 0xC2
-        code[long] = code[long] << 8 | data[may[long] + 3]
-        begins[may] = ~np.isin(code, _SPACES)
-    begins[edges[1:][edges[1:] > 0] - 1] = False  # what follows a text's last byte is another text
-    begins[edges[:-1]] = True
-    starts = np.flatnonzero(begins[:size])
-    offsets = pa.array(np.append(starts, size)).buffers()[1]
-    return pa.LargeStringArray.from_buffers(len(starts), offsets, buffer), np.searchsorted(starts, edges)
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kind = _CLASSES[np.minimum(codes, len(_CLASSES) - 1)]
+    first = np.zeros(size + 1, bool)
+    first[edges[:-1]] = True
+    first = first[:size]
+    last = np.append(first[1:], True)
+    blank, white = codes == 0x20, (kind == _SPACE) | (kind == _ODD_SPACE)
+    before = np.append(np.uint8(_SPACE), kind[:-1])
+    # White space before something else is a match of its own, if it is not the space that begins the next one.
+    ends_white = white & ~last & ~np.append(white[1:], True)
+    begins = first | ends_white | (kind != before) & ~np.append(False, blank[:-1] & ~last[:-1] & ~white[1:])
+    marks = np.flatnonzero((codes == 0x27) & ~last & (first | (before <= _NUMBER) | (before == _SPACE) & ~np.append(True, blank[:-1])))
+    for suffix in _SUFFIXES:
+        at = marks[marks + len(suffix) < size]
+        for k, c in enumerate(suffix):
+            at = at[(codes[at + k + 1] == c) & ~first[at + k + 1]]
+        begins[at + 1] = False
+        after = at + len(suffix) + 1
+        begins[after[after < size]] = True
+    if kind.max() >= _ODD_CHAR:
+        chunks = first | blank & ends_white
+        starts = np.flatnonzero(chunks)
+        odd = np.repeat(np.logical_or.reduceat(kind >= _ODD_CHAR, starts), np.diff(starts, append=size))
+        begins = np.where(odd, chunks, begins)
+    starts = np.flatnonzero(begins)
+    data, offsets = text.encode(), np.append(starts, size)
+    if len(data) > size:
+        wide = (codes >= 0x80).astype(np.uint8) + (codes >= 0x800) + (codes >= 0x10000)
+        offsets[1:] += np.cumsum(wide, dtype=np.int64)[offsets[1:] - 1]
+    return (pa.LargeStringArray.from_buffers(len(starts), pa.array(offsets).buffers()[1], pa.py_buffer(data)),
+            np.searchsorted(starts, edges))
 
 
 def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) -> DataFrame:
@@ -215,7 +230,7 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) ->
 
     def run(batches):
         part, row, before = TaskContext.get().partitionId(), 0, 0
-        for batch, texts in text_blocks(batches, chars=ENCODE_CHARS):
+        for batch, texts in text_blocks(batches):
             encoder = held(("library", vocabulary), lambda: LibraryEncoder(content.value))
             tail = b"" if end_id is None else np.array([end_id], encoder.width).tobytes()
             ids = [x + tail for x in encoder(texts)]

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -140,18 +141,21 @@ def test_library_encoder_equals_the_library(spark, plain):
         e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
-def test_chunks_end_where_matches_end_and_pieces_share_calls():
-    """Chunks put together are the texts, and begin at a space with a non-space after it; what begins with a space
-    does not go to the library alone."""
-    texts = ["", " ", "a", "a b", "a  b \n c ", " \xa0x  \u3000 y", "é \u2028z \u200b 漢 \u180e", "", "x\t y 😀 z"]
-    for part in (texts, texts[3:], [""]):
-        column = pa.array(["cut off ", *part], pa.large_string()).slice(1)
-        chunks, ends = token_files.chunk_column(column)
-        cut = [chunks[a:b].to_pylist() for a, b in zip(ends, ends[1:])]
-        assert ["".join(c) for c in cut] == part
-        assert all(x[0] == " " and not x[1].isspace() for c in cut for x in c[1:])
-    assert [len(c) for c in cut] == [0] and token_files.chunk_column(pa.array(["a b  c"], pa.large_string()))[0].to_pylist() == [
-        "a", " b ", " c"]
+def test_pieces_are_the_matches_of_the_pattern_and_share_calls():
+    """Pieces of common characters are the pattern's matches, those of other texts whole matches put together; what
+    begins with a space does not go to the library alone."""
+    rng = np.random.default_rng(4)
+    common, odd = [*"'strevmlda1 ._\n\té漢", " ", " ", "'s"], ["\xa0", "\u3000", "\u2028", "\u200b", "\u180e", "😀", "²", "\x1c", "a", " ", "'", "\n"]
+    for signs in (common, common + odd):
+        texts = ["", *["".join(rng.choice(signs, rng.integers(0, 12))) for _ in range(3000)], ""]
+        pieces, ends = token_files.piece_column(texts)
+        for t, a, b in zip(texts, ends, ends[1:], strict=False):
+            matches, cut = regex.findall(public_tokenizers.PATTERN, t), pieces[a:b].to_pylist()
+            assert "".join(cut) == t
+            if signs is common:
+                assert cut == matches
+            assert set(np.cumsum([len(x) for x in cut])) <= set(np.cumsum([len(x) for x in matches]))
+    assert token_files.piece_column(["", ""])[1].tolist() == [0, 0, 0]
     t, encoder, alone = Tokenizer.from_file(BYTE), token_files.LibraryEncoder(open(BYTE, "rb").read()), []
     library = encoder._library
     encoder._library = lambda x: alone.extend(x) or library(x)
