@@ -29,17 +29,19 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain
+from collections.abc import Callable
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from carelake.session import work_dir
 
 from .bpe import read_vocabulary
-from .common import RecentCache, cut, held, read_table, ship, text_blocks
+from .common import cut, held, read_table, ship, text_blocks
 
 #: Longest code in bits (more, if the vocabulary needs it).
 LIMIT = 20
@@ -51,10 +53,12 @@ STRETCH = 1 << 16
 BLOCK_IDS = 1 << 20
 #: The id after each document.
 END_ID = 0
-# Fixed value: the pattern of the ByteLevel pre-tokenizer, for characters that are not odd (below).
-_MATCHES = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
-#: Pieces of text that a Python worker remembers (twice as many at most).
-CACHE_ENTRIES = 400_000
+#: Pieces of text that a Python worker remembers (more if one block has more).
+CACHE_ENTRIES = 1_000_000
+#: Characters of text whose distinct pieces are looked up at a time.
+ENCODE_CHARS = 16_000_000
+#: Characters of text that are cut into pieces at a time.
+CUT_CHARS = 1_000_000
 
 ID_SCHEMA = "doc_id long, part long, row long, before long, n_tokens long, ids binary"
 BLOCK_SCHEMA = ("part long, first_row long, before long, doc_ids array<long>, sizes array<long>, "
@@ -63,10 +67,13 @@ BLOCK_SCHEMA = ("part long, first_row long, before long, doc_ids array<long>, si
 
 # ---------------------------------------------------------------- encoding texts
 
-#: All but characters that every version of Unicode puts in one class and that ``re`` and the library class alike.
-_ODD = re.compile("[^\\t\\n\\r\\x20-\\x7E\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u04ff\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5]")
-#: Words that go to the library in one string.
-_JOINED = 2000
+# Characters other than white space that every version of Unicode puts in one class and that ``re`` and the library
+# class alike.
+_COMMON = "!-~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u04ff\u2010-\u2027\u2030-\u205e\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5"
+#: All but them and common white space.
+_ODD = re.compile(f"[^\\t\\n\\r\\x20{_COMMON}]")
+#: A space and a word of common characters (for Arrow): as a piece, one match of the pattern.
+_WORD = f"^ [{_COMMON}]+$"
 
 
 def byte_level_table() -> dict[str, int]:
@@ -77,13 +84,39 @@ def byte_level_table() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
+class KnownPieces:
+    """Pieces and their ids as Arrow columns, which hold many in little memory.
+
+    With more than ``size`` of them, only those of the block at hand stay, so the memory of a worker does not grow
+    with the corpus.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.pieces, self.ids = size, pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def look_up(self, pieces: pa.LargeStringArray, learn: Callable) -> pa.LargeBinaryArray:
+        """Ids of distinct ``pieces``; ``learn`` gives those of new ones."""
+        at = pc.index_in(pieces, value_set=self.pieces)
+        new = at.is_null()
+        fresh, place = pieces.filter(new), at.fill_null(0).to_numpy().astype(np.int64)
+        place[new.to_numpy(zero_copy_only=False)] = len(self.pieces) + np.arange(len(fresh))
+        if len(fresh):
+            self.ids = pa.concat_arrays([self.ids, learn(fresh)])
+            self.pieces = pa.concat_arrays([self.pieces, fresh])
+        out = self.ids.take(pa.array(place))
+        if len(self.pieces) > self.size:
+            self.pieces, self.ids = pieces, out
+        return out
+
+
 class LibraryEncoder:
     """Encodes texts with a tokenizers file; matches of its pre-tokenizer never share a token and are encoded once.
 
     All texts of a call are cut into matches of the pre-tokenizer's pattern (``piece_column``), whose distinct ones are
     looked up; what has odd characters stays whole, up to a space with a non-space after it.
-    New pieces that begin with a space go to the library many at a time, and their ids are told apart by
-    the bytes that each id stands for. With ``plain``, special tokens' strings are ordinary text.
+    New pieces that are a space and a word go to the library's model, which is all that the library does with a match
+    once its bytes are shown as characters; others go to the library whole.
+    With ``plain``, special tokens' strings are ordinary text.
     """
 
     def __init__(self, content: bytes, plain: bool = False, entries: int = CACHE_ENTRIES):
@@ -97,13 +130,11 @@ class LibraryEncoder:
         self.by_match = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                          and not pre.get("add_prefix_space") and not spec.get("normalizer"))
         self.added = [] if plain else [t["content"] for t in spec.get("added_tokens") or []]
-        self.joins = not any(" " in a for a in self.added)  # else words side by side may hold a special token
-        self.known = RecentCache(entries)
+        self.known = KnownPieces(entries)
         self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)  # bytes of each id
-        if self.by_match:
-            for token, i in self.tokenizer.get_vocab(False).items():
-                self.sizes[i] = len(token)
+        self.signs = np.zeros(256, "<u4")  # the character that shows each byte
+        for char, byte in byte_level_table().items():
+            self.signs[byte] = ord(char)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -112,47 +143,54 @@ class LibraryEncoder:
         size = np.dtype(self.width).itemsize
         return [data[size * a:size * b] for a, b in zip([0, *ends], ends)]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words, each a space and no other white space: no match of the pattern goes over such a space."""
-        out: list[bytes] = []
-        size = np.dtype(self.width).itemsize
-        for k in range(0, len(words), _JOINED):
-            part = words[k:k + _JOINED]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.width)
-            ends = np.cumsum(self.sizes[ids])
-            want = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in part])
-            stops = np.searchsorted(ends, want)
-            if not len(ends) or not np.array_equal(ends[np.minimum(stops, len(ends) - 1)], want):
-                raise ValueError("an id goes over the border of two words")
-            stops, data = (size * (stops + 1)).tolist(), ids.tobytes()
-            out += [data[a:b] for a, b in zip([0, *stops], stops)]
-        return out
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of pieces into the cache."""
-        known = self.known.new
-        words = [p for p in pieces if p[0] == " " and not p.isspace() and (p[1:].isalnum() and p.isascii() or not _ODD.search(p))
-                 ] if self.joins else []
-        known.update(zip(words, self._words(words), strict=True))
-        alone = [p for p in pieces if p not in known] if len(words) < len(pieces) else []
-        known.update(zip(alone, self._library(alone), strict=True))
+    def _words(self, words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of words, each one match of the pattern."""
+        at = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)[at[0]:at[-1]]
+        shown, tokenize = self.signs[data].tobytes().decode("utf-32-le"), self.tokenizer.model.tokenize
+        ids, ends = [], [0]
+        for a, b in pairwise((at - at[0]).tolist()):
+            ids += [t.id for t in tokenize(shown[a:b])]
+            ends.append(len(ids))
+        packed = np.array(ids, self.width)
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(words), [None, pa.py_buffer(packed.itemsize * np.array(ends)), pa.py_buffer(packed)])
+
+    def _learn(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of new pieces."""
+        simple = pc.match_substring_regex(pieces, _WORD)
+        words, alone = pieces.filter(simple), pieces.filter(pc.invert(simple)).to_pylist()
+        found = [self._words(words)] if len(words) else []
+        if alone:
+            found.append(pa.array(self._library(alone), pa.large_binary()))
+        order = np.argsort(~simple.to_numpy(zero_copy_only=False), kind="stable")  # words first
+        return pa.concat_arrays(found).take(pa.array(np.argsort(order)))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian integers of ``width``."""
         if not self.by_match:
             return self._library(texts)
         whole = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
-        pieces, ends = piece_column(["" if k in whole else t for k, t in enumerate(texts)])
-        coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self._learn(self.known.missing(distinct))
-        ids = pa.array(map(self.known.new.__getitem__, distinct), pa.large_binary(), size=len(distinct)).take(coded.indices)
-        at = np.frombuffer(ids.buffers()[1], np.int64)[ends].tolist() if len(ids) else [0] * len(ends)
-        data = ids.buffers()[2].to_pybytes() if at[-1] else b""
-        out = [data[a:b] for a, b in zip(at, at[1:])]
+        texts_cut = ["" if k in whole else t for k, t in enumerate(texts)] if whole else texts
+        # Arrays with an entry for each character are made for some texts at a time.
+        some = np.cumsum([0, *map(len, texts)]) // CUT_CHARS
+        borders = [*np.flatnonzero(np.diff(some[:-1], prepend=-1)).tolist(), len(texts)]
+        parts = [piece_column(texts_cut[a:b]) for a, b in pairwise(borders)]
+        coded = pa.chunked_array([p for p, _ in parts], pa.large_string()).dictionary_encode()
+        if len(coded):
+            known = self.known.look_up(coded.chunk(0).dictionary, self._learn)
+        indices, begun, out = pa.chunked_array([c.indices for c in coded.chunks], pa.int32()), 0, []
+        for pieces, ends in parts:
+            if not len(pieces):
+                out += [b""] * (len(ends) - 1)
+                continue
+            ids = known.take(indices.slice(begun, len(pieces)).combine_chunks())
+            at = np.frombuffer(ids.buffers()[1], np.int64)[ends].tolist()
+            data = ids.buffers()[2].to_pybytes() if at[-1] else b""
+            out += [data[a:b] for a, b in pairwise(at)]
+            begun += len(pieces)
         for k in whole:
             out[k] = self._library([texts[k]])[0]
-        self.known.trim()
         return out
 
 
@@ -230,7 +268,7 @@ def token_ids(docs: DataFrame, vocabulary: str, end_id: int | None = END_ID) ->
 
     def run(batches):
         part, row, before = TaskContext.get().partitionId(), 0, 0
-        for batch, texts in text_blocks(batches):
+        for batch, texts in text_blocks(batches, chars=ENCODE_CHARS):
             encoder = held(("library", vocabulary), lambda: LibraryEncoder(content.value))
             tail = b"" if end_id is None else np.array([end_id], encoder.width).tobytes()
             ids = [x + tail for x in encoder(texts)]

@@ -164,6 +164,27 @@ def test_pieces_are_the_matches_of_the_pattern_and_share_calls():
     assert sorted(alone) == ["'s", ")", ",", "one", "two"]
 
 
+def test_distinct_pieces_of_a_block_are_learned_once_and_kept_in_bounds(monkeypatch):
+    """A block is cut some texts at a time, but its distinct words go to the model once, by themselves; what is
+    remembered stays within the bound or one block's pieces."""
+    rng = np.random.default_rng(8)
+    signs = [*"'strevmlda1 ._\n\té漢", " ", " ", "'s", "\xa0", "\u200b", "😀", "²", "<|endoftext|>"]
+    blocks = [["", *["".join(rng.choice(signs, rng.integers(0, 40))) for _ in range(400)], ""] for _ in range(4)] + [[], ["", ""]]
+    monkeypatch.setattr(token_files, "CUT_CHARS", 700)
+    t, encoder, learned = Tokenizer.from_file(BYTE), token_files.LibraryEncoder(open(BYTE, "rb").read(), entries=300), []
+    words, most = encoder._words, 300
+    encoder._words = lambda x: learned.extend(x.to_pylist()) or words(x)
+    for texts in blocks:
+        learned.clear()
+        got = encoder(texts)
+        assert [np.frombuffer(x, "<u2").tolist() for x in got] == [
+            e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+        assert len(learned) == len(set(learned)) and all(w[0] == " " and not w[1:].count(" ") for w in learned)
+        pieces = token_files.piece_column(["" if "<|endoftext|>" in x else x for x in texts])[0]
+        most = max(most, len(pieces.unique()))
+        assert len(encoder.known.pieces) == len(encoder.known.ids) <= most
+
+
 # ---------------------------------------------------------------- search
 
 def oracle(docs, items):
