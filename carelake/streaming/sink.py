@@ -292,6 +292,9 @@ def upsert(rows: DataFrame, spec: TableSpec, path: str, *, feed_path: str | None
             f"{path}/commits/c={folder}")
         touched = _as_places([(_partition_path(spec, r), r[BUCKET]) for r in seen.get["places"]])
         if touched:
+            if v.number < 0 and batch_id:  # a stream's later batch: version 0 is the empty table before it
+                create_if_absent(spark, spec, path)
+                v.number = 0
             number = v.number + 1
             _publish(spark, path, number, {
                 "kind": "delta", "folder": folder, "places": touched, "batch": v.batch if batch_id is None else batch_id,
@@ -340,7 +343,7 @@ def feed_changes(spark: SparkSession, spec: TableSpec, path: str, number: int) -
     entry = _log(spark, path).read(number)
     batch = _commit_rows(spark, spec, path, [entry["folder"]])
     older = version(spark, path, number - 1) if number else None
-    if older is None:
+    if older is None or not (older.base or older.deltas):
         return _inserts(batch, spec)
     before = _version_rows(spark, spec, path, older, entry["places"])
     # Keys that the table did not have are inserted: only the others' rows are joined.
